@@ -22,16 +22,29 @@ def decimal_point(column: Column) -> Column:
     return F.translate(column, ",", ".")
 
 
-def to_number(column: Column, data_type: T.DataType) -> Column:
-    """Number as DOUBLE; text that is no number gives NULL instead of failing the job.
+def number_text(column: Column) -> Column:
+    """The cell as it is judged: trimmed, with a decimal point."""
+    return F.trim(decimal_point(column))
+
+
+def parse_number(text: Column) -> Column:
+    """DOUBLE from :func:`number_text`; what is no number gives NULL instead of failing the job.
 
     Most cells are plain decimals, and ``translate`` recognises these much
     cheaper than a regular expression does.
     """
-    if isinstance(data_type, (T.StringType, T.VarcharType, T.CharType)):
-        text = F.trim(decimal_point(column))
-        plain = F.translate(text, "0123456789", "").isin(*_PLAIN_REST)
-        return F.when(plain | text.rlike(NUMBER_PATTERN), text.try_cast("double"))
+    plain = F.translate(text, "0123456789", "").isin(*_PLAIN_REST)
+    return F.when(plain | text.rlike(NUMBER_PATTERN), text.try_cast("double"))
+
+
+def is_text(data_type: T.DataType) -> bool:
+    return isinstance(data_type, (T.StringType, T.VarcharType, T.CharType))
+
+
+def to_number(column: Column, data_type: T.DataType) -> Column:
+    """Number as DOUBLE from a column of any type."""
+    if is_text(data_type):
+        return parse_number(number_text(column))
     if isinstance(data_type, (T.DoubleType, T.FloatType)):
         return nan_to_null(column.cast("double"))
     return column.cast("double")

@@ -7,9 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattline.functions.names import METER_PATTERN, matching, quote
-from wattline.functions.numeric import decimal_point, to_number
 from wattline.errors import OptionError
+from wattline.functions.names import METER_PATTERN, matching, quote
+from wattline.functions.numeric import decimal_point, is_text, number_text, parse_number, to_number
 
 # Fixed value: quarter-hour kW to kWh.
 KW_TO_KWH = 0.25
@@ -30,18 +30,23 @@ def normalize_decimals(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def coerce_numeric(df: DataFrame, columns: Sequence[str] | None = None, factor: float | None = None) -> DataFrame:
     """Numbers from text with decimal comma, missing where there is none, scaled by ``factor``.
 
-    All columns change in one projection; a chain of hundreds of projections would not plan.
+    All columns change together in two projections, text first, so that each text is made once;
+    a chain of hundreds of projections would not plan.
     """
     chosen = set(matching(df) if columns is None else columns)
+    texts = {f.name for f in df.schema.fields if f.name in chosen and is_text(f.dataType)}
     types = {f.name: f.dataType for f in df.schema.fields}
 
-    def cell(name: str):
+    def number(name: str):
+        cell = F.col(quote(name))
         if name not in chosen:
-            return F.col(quote(name))
-        number = to_number(F.col(quote(name)), types[name])
-        return (number * F.lit(float(factor)) if factor is not None else number).alias(name)
+            return cell
+        made = parse_number(cell) if name in texts else to_number(cell, types[name])
+        return (made * F.lit(float(factor)) if factor is not None else made).alias(name)
 
-    return df.select(*[cell(c) for c in df.columns])
+    if texts:
+        df = df.select(*[number_text(F.col(quote(c))).alias(c) if c in texts else F.col(quote(c)) for c in df.columns])
+    return df.select(*[number(c) for c in df.columns])
 
 
 def scale_meters(df: DataFrame, factor: float = KW_TO_KWH, pattern: str = METER_PATTERN) -> DataFrame:

@@ -9,15 +9,13 @@ from pyspark.sql import functions as F
 
 from wattline.errors import OptionError, TrainingError
 
-_SQUARED = F.pow(F.col("label") - F.col("prediction"), 2)
-
 
 def mse() -> Column:
-    return F.avg(_SQUARED)
+    return F.avg(F.pow(F.col("label") - F.col("prediction"), 2))
 
 
 def rmse() -> Column:
-    return F.sqrt(F.avg(_SQUARED))
+    return F.sqrt(mse())
 
 
 METRICS = {"rmse": rmse, "mse": mse}

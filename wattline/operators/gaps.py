@@ -60,14 +60,17 @@ def interpolate_gaps(
     keys = list(keys)
     stamped = df.where(F.col(ts).isNotNull()).select(*keys, ts, F.col(value).cast("double").alias(value))
     merged = merge_repeated(stamped, value, keys, ts)
-    point = F.when(F.col(value).isNotNull(), F.struct(F.col(ts).alias("at"), F.col(value).alias("v")))
+    known_at = F.when(F.col(value).isNotNull(), F.col(ts))
     seen = nearest(
         merged,
         [
-            Near("_left", point),
-            Near("_right", point, after=True),
+            Near("_left_at", known_at),
+            Near("_left", F.col(value)),
+            Near("_right_at", known_at, after=True),
+            Near("_right", F.col(value), after=True),
             Near("_next", F.col(ts), after=True, strict=True),
-            Near("_next_point", point, after=True, strict=True),
+            Near("_beyond_at", known_at, after=True, strict=True),
+            Near("_beyond", F.col(value), after=True, strict=True),
         ],
         keys,
         ts,
@@ -77,19 +80,16 @@ def interpolate_gaps(
     )
     step = F.make_dt_interval(secs=F.lit(step_seconds))
     absent = F.when(F.col("_next") > F.col(ts) + step, F.sequence(F.col(ts) + step, F.col("_next") - step, step))
-    own = F.struct(F.col(ts).alias("at"), F.col("_right").alias("right"))
-    added = F.transform(
-        F.filter(F.coalesce(absent, F.array().cast("array<timestamp_ntz>")), lambda t: t < F.col("_next")),
-        lambda t: F.struct(t.alias("at"), F.col("_next_point").alias("right")),
-    )
-    grid = seen.select(*keys, F.col(ts).alias("_row_ts"), value, "_left", F.inline(F.concat(F.array(own), added)))
+    absent = F.coalesce(F.filter(absent, lambda t: t < F.col("_next")), F.array().cast("array<timestamp_ntz>"))
+    grid = seen.withColumn("_at", F.explode(F.concat(F.array(ts), absent)))
 
-    span = wall_micros(F.col("right.at")) - wall_micros(F.col("_left.at"))
-    share = (wall_micros(F.col("at")) - wall_micros(F.col("_left.at"))) / span
-    line = F.col("_left.v") + (F.col("right.v") - F.col("_left.v")) * share
-    is_reading = F.col("at") == F.col("_row_ts")
+    is_reading = F.col("_at") == F.col(ts)
+    right_at = F.when(is_reading, F.col("_right_at")).otherwise(F.col("_beyond_at"))
+    right = F.when(is_reading, F.col("_right")).otherwise(F.col("_beyond"))
+    start = wall_micros(F.col("_left_at"))
+    share = (wall_micros(F.col("_at")) - start) / (wall_micros(right_at) - start)
     present = is_reading & F.col(value).isNotNull()
-    filled = F.when(present, F.col(value)).when(F.col("_left").isNotNull() & F.col("right").isNotNull(), line)
+    filled = F.when(present, F.col(value)).otherwise(F.col("_left") + (right - F.col("_left")) * share)
     return grid.select(
-        *keys, F.col("at").alias(ts), filled.alias(value), (~present & filled.isNotNull()).alias("is_filled")
+        *keys, F.col("_at").alias(ts), filled.alias(value), (~present & filled.isNotNull()).alias("is_filled")
     )

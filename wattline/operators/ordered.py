@@ -45,7 +45,7 @@ class Near:
     """Nearest non-null ``value`` in time order.
 
     ``after`` looks forward in time instead of back; ``strict`` leaves the row itself out.
-    ``value`` may be a struct, for example of timestamp and reading.
+    Numbers and timestamps keep the chunk table a hash aggregation; other types make it sort.
     """
 
     out: str
@@ -59,8 +59,20 @@ def _check_tie(df: DataFrame, tie: str | None) -> None:
         raise OptionError(f"tie-break column {tie!r} must be an integer column")
 
 
+def _rank(tie: str | None) -> Column:
+    """Order of rows in a series as one number, since a struct would force a sort aggregation.
+
+    A tie-break moves the rank by less than one step of the position. DECIMAL(38) holds
+    positions up to the year 150,000.
+    """
+    if tie is None:
+        return F.col(_POS)
+    step = F.lit(20_000_000_000_000_000_000).cast("decimal(20,0)")
+    return F.col(_POS).cast("decimal(19,0)") * step + F.col(tie).cast("decimal(19,0)")
+
+
 def _chunk_table(df: DataFrame, group: list[str], tie: str | None, specs: Sequence[Near]) -> DataFrame:
-    order = F.struct(_POS, *([tie] if tie else []))
+    order = _rank(tie)
     stats = [
         F.count(F.lit(1)).alias("_rows"),
         F.min(_POS).alias("_lo"),

@@ -69,7 +69,8 @@ def gated(raw: DataFrame, options: PrepareOptions = PrepareOptions(), strict: bo
     """
     Contract(RAW, "raw").check(raw)
     ingested = ingest_timestamp(raw, strict)
-    numbers = coerce_numeric(ingested, matching(ingested, options.pattern))
-    Contract(PREPROCESSED, "preprocessed").check(numbers)
-    engineered = prepare(numbers, options)
+    if options.convert:
+        # Only its schema is looked at: the long route coerces after the unpivot, with one expression.
+        Contract(PREPROCESSED, "preprocessed").check(coerce_numeric(ingested, matching(ingested, options.pattern)))
+    engineered = prepare(ingested, options)
     return Contract(ENGINEERED, "engineered").check(engineered)

@@ -22,6 +22,7 @@ class TrainOptions:
     train_end: str = TRAIN_END
     val_end: str = VAL_END
     definitions: Sequence[ModelDefinition] = DEFAULT_MODELS
+    features: Sequence[str] | None = None
     scoring: str = "rmse"
     parallelism: int = 4
     training_params: dict[str, str] = field(default_factory=dict)
@@ -66,7 +67,7 @@ def train_job(raw: DataFrame, options: TrainOptions) -> TrainResult:
             engineered = spark.read.parquet(path)
         with log.phase("model_search"):
             train, validation, _ = split_frames(engineered, options.train_end, options.val_end)
-            features = feature_columns(engineered, target)
+            features = options.features or feature_columns(engineered, target)
             trials = search(
                 train, validation, features, target, options.definitions,
                 models_path=options.path("models"), parallelism=options.parallelism,
