@@ -20,6 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -67,7 +68,7 @@ def _rank(tie: str | None) -> Column:
     """
     if tie is None:
         return F.col(_POS)
-    step = F.lit(20_000_000_000_000_000_000).cast("decimal(20,0)")
+    step = F.lit(Decimal(20_000_000_000_000_000_000))
     return F.col(_POS).cast("decimal(19,0)") * step + F.col(tie).cast("decimal(19,0)")
 
 
