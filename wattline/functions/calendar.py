@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 MICROS_PER_SECOND = 1_000_000
 MICROS_PER_DAY = 86_400 * MICROS_PER_SECOND
+_UTC_NAMES = {"UTC", "Etc/UTC", "GMT", "Z", "+00:00"}
 
 
 def hour_of_day(ts: Column) -> Column:
@@ -33,9 +34,13 @@ TIME_FEATURES = {
 def wall_micros(ts: Column) -> Column:
     """Microseconds since 1970 on the wall clock.
 
-    ``unix_micros`` would go through the session time zone, where the hour of a
-    daylight-saving jump is not monotone; this form is, for every zone.
+    ``unix_micros`` goes through the session time zone, where the hour of a daylight-saving
+    jump is not monotone; it is used in a UTC session only, where it costs nothing. The
+    other form is right in every zone.
     """
+    session = SparkSession.getActiveSession()
+    if session is not None and session.conf.get("spark.sql.session.timeZone") in _UTC_NAMES:
+        return F.unix_micros(ts.cast("timestamp"))
     seconds = F.hour(ts).cast("bigint") * 3600 + F.minute(ts) * 60
     fraction = (F.extract(F.lit("SECOND"), ts) * MICROS_PER_SECOND).cast("bigint")
     return F.unix_date(ts.cast("date")) * F.lit(MICROS_PER_DAY) + seconds * MICROS_PER_SECOND + fraction

@@ -36,7 +36,6 @@ CHUNK_ROWS = 2_000_000
 # Every pass divides crowded chunks by their own range, so few passes are needed.
 MAX_CUTS = 8
 
-_POS = "_pos"
 _CHUNK = "_chunk"
 _TIE = "_tie_chunk"
 
@@ -60,24 +59,24 @@ def _check_tie(df: DataFrame, tie: str | None) -> None:
         raise OptionError(f"tie-break column {tie!r} must be an integer column")
 
 
-def _rank(tie: str | None) -> Column:
-    """Order of rows in a series as one number, since a struct would force a sort aggregation.
+def _rank(ts: str, tie: str | None) -> Column:
+    """Order of rows in a series as one value, since a struct would force a sort aggregation.
 
     A tie-break moves the rank by less than one step of the position. DECIMAL(38) holds
     positions up to the year 150,000.
     """
     if tie is None:
-        return F.col(_POS)
+        return F.col(ts)
     step = F.lit(Decimal(20_000_000_000_000_000_000))
-    return F.col(_POS).cast("decimal(19,0)") * step + F.col(tie).cast("decimal(19,0)")
+    return wall_micros(F.col(ts)).cast("decimal(19,0)") * step + F.col(tie).cast("decimal(19,0)")
 
 
-def _chunk_table(df: DataFrame, group: list[str], tie: str | None, specs: Sequence[Near]) -> DataFrame:
-    order = _rank(tie)
+def _chunk_table(df: DataFrame, group: list[str], ts: str, tie: str | None, specs: Sequence[Near]) -> DataFrame:
+    order = _rank(ts, tie)
     stats = [
         F.count(F.lit(1)).alias("_rows"),
-        F.min(_POS).alias("_lo"),
-        F.max(_POS).alias("_hi"),
+        F.min(ts).alias("_lo"),
+        F.max(ts).alias("_hi"),
         (F.min(tie) if tie else F.lit(0)).cast("bigint").alias("_tie_lo"),
         (F.max(tie) if tie else F.lit(0)).cast("bigint").alias("_tie_hi"),
     ]
@@ -93,11 +92,16 @@ def _start(position: Column, low: Column, high: Column, parts: Column) -> Column
     return low + F.floor((position - low) / width).cast("bigint") * width
 
 
-def _cut(df: DataFrame, crowded: DataFrame, group: list[str], tie: str | None, chunk_rows: int) -> DataFrame:
+def _cut(
+    df: DataFrame, crowded: DataFrame, group: list[str], ts: str, tie: str | None, chunk_rows: int
+) -> DataFrame:
+    ends = [wall_micros(F.col(c)).alias(c) for c in ("_lo", "_hi")]
+    spread = [ts, *([tie] if tie else [])]
+    marked = attach(df, crowded.select(*group, "_rows", *ends, "_tie_lo", "_tie_hi"), group, spread)
     parts = F.ceil(F.col("_rows") * 4 / F.lit(chunk_rows))
-    marked = attach(df, crowded.select(*group, "_rows", "_lo", "_hi", "_tie_lo", "_tie_hi"), group, [_POS])
     by_time = F.col("_rows").isNotNull() & (F.col("_hi") > F.col("_lo"))
-    chunk = F.when(by_time, _start(F.col(_POS), F.col("_lo"), F.col("_hi"), parts)).otherwise(F.col(_CHUNK))
+    place = _start(wall_micros(F.col(ts)), F.col("_lo"), F.col("_hi"), parts)
+    chunk = F.when(by_time, place).otherwise(F.col(_CHUNK))
     tie_chunk = F.col(_TIE)
     if tie:
         by_tie = F.col("_rows").isNotNull() & (F.col("_hi") == F.col("_lo"))
@@ -119,23 +123,24 @@ def chunked(
 ) -> tuple[DataFrame, DataFrame]:
     """Rows with their chunk, and the chunk table on shared storage."""
     _check_tie(df, tie)
-    width = F.lit(chunk_days * MICROS_PER_DAY).cast("bigint")
+    day = F.unix_date(F.col(ts).cast("date"))
+    first_day = (day - F.pmod(day, F.lit(chunk_days))).cast("bigint")
     rows = df.select(
         "*",
-        wall_micros(F.col(ts)).alias(_POS),
+        (first_day * F.lit(MICROS_PER_DAY)).alias(_CHUNK),
+        F.lit(0).cast("bigint").alias(_TIE),
         *[spec.value.alias(f"_v{i}") for i, spec in enumerate(specs)],
     )
-    rows = rows.select("*", (F.col(_POS) - F.pmod(F.col(_POS), width)).alias(_CHUNK), F.lit(0).cast("bigint").alias(_TIE))
     group = [*keys, _CHUNK, _TIE]
     for _ in range(MAX_CUTS):
-        table = materialize(_chunk_table(rows, group, tie, specs), "chunks")
+        table = materialize(_chunk_table(rows, group, ts, tie, specs), "chunks")
         splittable = (F.col("_hi") > F.col("_lo")) | (F.col("_tie_hi") > F.col("_tie_lo"))
         crowded = table.where((F.col("_rows") > chunk_rows) & splittable)
         if crowded.isEmpty():
             break
-        rows = _cut(rows, crowded, group, tie, chunk_rows)
+        rows = _cut(rows, crowded, group, ts, tie, chunk_rows)
     else:
-        table = materialize(_chunk_table(rows, group, tie, specs), "chunks")
+        table = materialize(_chunk_table(rows, group, ts, tie, specs), "chunks")
     return rows, table
 
 
@@ -167,7 +172,7 @@ def nearest(
 
     # Chunks are bounded, so beyond the broadcast bound one shuffle on the chunk serves join and window.
     joined = attach(rows, carry, group, rows=table.count())
-    by_time = [_POS, *([tie] if tie else [])]
+    by_time = [ts, *([tie] if tie else [])]
 
     def frame(spec: Near):
         order = [F.desc(c) for c in by_time] if spec.after else by_time

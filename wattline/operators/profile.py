@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wattline.functions.names import METER_PREFIX, prefixed, quote
+from wattline.operators.clean import to_long
 from wattline.operators.contracts import type_name
 
 
@@ -35,7 +36,8 @@ def decimal_format(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
     Runs on long form, so hundreds of columns do not pile up in one aggregation.
     """
     columns = prefixed(df, METER_PREFIX) if columns is None else list(columns)
-    cells = df.select(*[F.col(c).cast("string").alias(c) for c in columns]).unpivot([], columns, "column", "cell")
+    texts = df.select(*[F.col(quote(c)).cast("string").alias(c) for c in columns])
+    cells = to_long(texts, columns, (), "column", "cell")
     cell = F.coalesce(F.col("cell"), F.lit("nan"))
     flags = cells.groupBy("column").agg(
         F.bool_or(cell.contains(",")).alias("comma"),
