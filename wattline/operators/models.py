@@ -19,6 +19,8 @@ from wattline.errors import OptionError, TrainingError
 
 # Spark's trees are at most this deep.
 MAX_DEPTH = 30
+# The normal-equation solver takes as many features.
+MAX_NORMAL_FEATURES = 4096
 # A classifier target has at most this many classes.
 MAX_CLASSES = 100
 
@@ -115,7 +117,8 @@ def _elastic_net(params, label_std):
     """Objective 1/(2n)|y-Xw|^2 + alpha*l1_ratio*|w|_1 + alpha*(1-l1_ratio)/2*|w|^2.
 
     Spark fits on the label divided by its standard deviation, which weakens the quadratic
-    part by that factor; the factor is put back here.
+    part by that factor; the factor is put back here. The normal-equation solver divides by the
+    population deviation, so it is named instead of being left to a choice.
     """
     _reject_unknown("elastic_net", params, {"alpha", "l1_ratio", "max_iter", "tol", "fit_intercept", "random_state"})
     alpha = float(params.get("alpha", 1.0))
@@ -127,6 +130,7 @@ def _elastic_net(params, label_std):
         featuresCol="features",
         labelCol="label",
         standardization=False,
+        solver="normal",
         fitIntercept=bool(params.get("fit_intercept", True)),
         maxIter=int(params.get("max_iter", 1000)),
         tol=float(params.get("tol", 1e-9)),
@@ -153,8 +157,8 @@ def build(definition: ModelDefinition, label_std: float | None = None):
 
 
 def label_deviation(df: DataFrame, target: str) -> float:
-    """Sample standard deviation, the one Spark scales labels by."""
-    return float(df.agg(F.stddev_samp(target)).first()[0] or 0.0)
+    """Population standard deviation, the one the solver scales labels by."""
+    return float(df.agg(F.stddev_pop(target)).first()[0] or 0.0)
 
 
 def _check_classes(df: DataFrame, target: str) -> None:
@@ -180,9 +184,11 @@ def fit(
         fitted = Pipeline(stages=[*stages, estimator, back]).fit(labels.transform(train.select(*features, target)))
         return fitted
     prepared = train.select(*features, F.col(target).cast("double").alias("label"))
-    deviation = label_deviation(prepared, "label") if definition.kind == "elastic_net" else None
-    if definition.kind == "elastic_net" and deviation == 0.0:
-        deviation = None
+    deviation = None
+    if definition.kind == "elastic_net":
+        if len(features) > MAX_NORMAL_FEATURES:
+            raise OptionError(f"elastic_net takes {MAX_NORMAL_FEATURES} features at most")
+        deviation = label_deviation(prepared, "label") or None
     return Pipeline(stages=[*stages, build(definition, deviation)]).fit(prepared)
 
 

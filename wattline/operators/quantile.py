@@ -86,7 +86,7 @@ def _narrowed(rows: DataFrame, hot: DataFrame, n_hot: int, keys: list[str], valu
             "bracket",
         )
         bracket = found.drop("_values")
-        if found.where(F.col("_values") > hot_rows).isEmpty():
+        if found.where(F.col("_values") > max(hot_rows, 1)).isEmpty():
             break
 
     run = Window.partitionBy(*keys).orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)

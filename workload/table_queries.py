@@ -255,12 +255,11 @@ def impute_mode(spark, sf_dir):
       FROM grid WINDOW before AS (PARTITION BY meter_id ORDER BY timestamp ROWS UNBOUNDED PRECEDING),
         behind AS (PARTITION BY meter_id ORDER BY timestamp ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))
     SELECT meter_id, timestamp,
-      round(coalesce(value, lv + (rv - lv) * (epoch_us(timestamp) - epoch_us(lt)) / (epoch_us(rt) - epoch_us(lt))), 6) AS value,
+      coalesce(value, lv + (rv - lv) * (CAST(epoch_us(timestamp) - epoch_us(lt) AS DOUBLE) / (epoch_us(rt) - epoch_us(lt)))) AS value,
       value IS NULL AND lv IS NOT NULL AND rv IS NOT NULL AS is_filled FROM near"""
 )
 def interpolate_gaps(spark, sf_dir):
-    filled = fill_gaps(to_long(fx.readings(spark, sf_dir)))
-    return filled.withColumn("value", F.round("value", 6))
+    return fill_gaps(to_long(fx.readings(spark, sf_dir)))
 
 
 @query(
@@ -319,7 +318,7 @@ def time_features(spark, sf_dir):
 
 @query(
     f"""WITH {fx.ENGINEERED_SQL} SELECT {fx.SPLIT_CASE_SQL} AS split, count(*) AS n_rows, min(timestamp) AS first_ts,
-    max(timestamp) AS last_ts, round(sum(total_load), 3) AS load FROM engineered GROUP BY 1"""
+    max(timestamp) AS last_ts, round(sum(total_load), 6) AS load FROM engineered GROUP BY 1"""
 )
 def time_split(spark, sf_dir):
     parts = split_by_time(fx.engineered(spark, sf_dir), fx.TRAIN_END, fx.VAL_END)
@@ -327,7 +326,7 @@ def time_split(spark, sf_dir):
         F.count(F.lit(1)).alias("n_rows"),
         F.min("timestamp").alias("first_ts"),
         F.max("timestamp").alias("last_ts"),
-        F.round(F.sum("total_load"), 3).alias("load"),
+        F.round(F.sum("total_load"), 6).alias("load"),
     )
 
 
