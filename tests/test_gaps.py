@@ -26,7 +26,16 @@ def test_repeated_hour_becomes_its_mean(spark):
 def test_a_step_that_does_not_divide_the_gap_never_passes_the_next_reading(spark):
     data = [(1, at(0, 1), 0.0), (1, at(40, 1), 40.0)]
     got = rows(interpolate_gaps(spark.createDataFrame(data, DDL)), "timestamp")
-    assert [(r[1], r[2]) for r in got] == [(at(0, 1), 0.0), (at(15, 1), 15.0), (at(40, 1), 40.0)]
+    assert [(r[1], r[2]) for r in got] == [(at(m, 1), float(m)) for m in (0, 15, 30, 40)]
+
+
+def test_a_long_silence_is_filled_in_blocks(spark):
+    n = 10_000
+    data = [(1, at(0), 0.0), (1, at(n), float(n))]
+    got = interpolate_gaps(spark.createDataFrame(data, DDL)).selectExpr(
+        "count(*)", "count(distinct timestamp)", "sum(value)", "count_if(is_filled)"
+    )
+    assert rows(got) == [(n + 1, n + 1, pytest.approx(n * (n + 1) / 2), n - 1)]
 
 
 @pytest.mark.parametrize("chunk_rows", [1, 2_000_000])

@@ -53,7 +53,7 @@ def test_salted_join_gives_the_same(spark, monkeypatch):
     import wattline.storage as storage
 
     data = series(300)
-    monkeypatch.setattr(storage.attach, "__defaults__", ((), None, 0))
+    monkeypatch.setattr(storage.attach, "__defaults__", ((), None, -1))
     filled = forward_fill(spark.createDataFrame(data, DDL), ["value"], ["meter_id"], tie="reading_id", chunk_rows=10)
     assert {r["reading_id"]: r["value"] for r in filled.collect()} == brute_fill(data)
 
@@ -97,6 +97,12 @@ def test_strict_and_backward_looks(spark):
     assert [r["next"] for r in got] == [at(1), at(2), at(3), at(4), None]
 
 
+def test_a_null_key_is_a_series_of_its_own(spark):
+    data = [(None, at(0), 0, 7.0), (None, at(96 * 60), 1, None), (1, at(0), 2, None)]
+    filled = forward_fill(spark.createDataFrame(data, DDL), ["value"], ["meter_id"])
+    assert {r["reading_id"]: r["value"] for r in filled.collect()} == {0: 7.0, 1: 7.0, 2: None}
+
+
 def test_empty_input(spark):
     assert forward_fill(spark.createDataFrame([], DDL), ["value"], ["meter_id"]).count() == 0
 

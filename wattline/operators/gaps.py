@@ -11,6 +11,7 @@ from wattline.functions.calendar import MICROS_PER_SECOND, wall_micros
 from wattline.operators.ordered import CHUNK_DAYS, CHUNK_ROWS, Near, nearest
 
 STEP_SECONDS = 900
+_BLOCK = 4096
 
 
 def interval_anomalies(
@@ -78,12 +79,20 @@ def interpolate_gaps(
         chunk_days,
         chunk_rows,
     )
-    step = F.make_dt_interval(secs=F.lit(step_seconds))
-    absent = F.when(F.col("_next") > F.col(ts) + step, F.sequence(F.col(ts) + step, F.col("_next") - step, step))
-    absent = F.coalesce(F.filter(absent, lambda t: t < F.col("_next")), F.array().cast("array<timestamp_ntz>"))
-    grid = seen.withColumn("_at", F.explode(F.concat(F.array(ts), absent)))
+    # Steps 0 (the reading itself) to the last one before the next reading, made in blocks, so that a
+    # silence of years is never one array.
+    width = step_seconds * MICROS_PER_SECOND
+    distance = wall_micros(F.col("_next")) - wall_micros(F.col(ts))
+    last_step = F.coalesce(F.greatest(F.ceil(distance / width) - 1, F.lit(0)), F.lit(0)).cast("bigint")
+    blocks = seen.withColumn("_last_step", last_step).withColumn(
+        "_block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor(F.col("_last_step") / _BLOCK).cast("bigint")))
+    )
+    first = F.col("_block") * _BLOCK
+    steps = blocks.withColumn("_step", F.explode(F.sequence(first, F.least(F.col("_last_step"), first + (_BLOCK - 1)))))
+    shift = F.make_dt_interval(secs=F.col("_step") * step_seconds)
+    grid = steps.withColumn("_at", F.when(F.col("_step") == 0, F.col(ts)).otherwise(F.col(ts) + shift))
 
-    is_reading = F.col("_at") == F.col(ts)
+    is_reading = F.col("_step") == 0
     right_at = F.when(is_reading, F.col("_right_at")).otherwise(F.col("_beyond_at"))
     right = F.when(is_reading, F.col("_right")).otherwise(F.col("_beyond"))
     start = wall_micros(F.col("_left_at"))

@@ -30,9 +30,11 @@ from wattline.errors import OptionError
 from wattline.functions.calendar import MICROS_PER_DAY, wall_micros
 from wattline.storage import attach, materialize
 
-# Width of a chunk before any cut, and the row count beyond which it is cut.
+# Width of a chunk before any cut, and the row count beyond which it is cut. The count is for rows
+# that carry a few values; wide rows get proportionally smaller chunks.
 CHUNK_DAYS = 32
 CHUNK_ROWS = 2_000_000
+_NARROW = 4
 # Every pass divides crowded chunks by their own range, so few passes are needed.
 MAX_CUTS = 8
 
@@ -93,11 +95,11 @@ def _start(position: Column, low: Column, high: Column, parts: Column) -> Column
 
 
 def _cut(
-    df: DataFrame, crowded: DataFrame, group: list[str], ts: str, tie: str | None, chunk_rows: int
+    df: DataFrame, crowded: DataFrame, count: int, group: list[str], ts: str, tie: str | None, chunk_rows: int
 ) -> DataFrame:
     ends = [wall_micros(F.col(c)).alias(c) for c in ("_lo", "_hi")]
     spread = [ts, *([tie] if tie else [])]
-    marked = attach(df, crowded.select(*group, "_rows", *ends, "_tie_lo", "_tie_hi"), group, spread)
+    marked = attach(df, crowded.select(*group, "_rows", *ends, "_tie_lo", "_tie_hi"), group, spread, count)
     parts = F.ceil(F.col("_rows") * 4 / F.lit(chunk_rows))
     by_time = F.col("_rows").isNotNull() & (F.col("_hi") > F.col("_lo"))
     place = _start(wall_micros(F.col(ts)), F.col("_lo"), F.col("_hi"), parts)
@@ -120,9 +122,10 @@ def chunked(
     specs: Sequence[Near],
     chunk_days: int = CHUNK_DAYS,
     chunk_rows: int = CHUNK_ROWS,
-) -> tuple[DataFrame, DataFrame]:
-    """Rows with their chunk, and the chunk table on shared storage."""
+) -> tuple[DataFrame, DataFrame, int]:
+    """Rows with their chunk, the chunk table on shared storage, and its row count."""
     _check_tie(df, tie)
+    chunk_rows = max(1, chunk_rows * _NARROW // max(_NARROW, len(specs)))
     day = F.unix_date(F.col(ts).cast("date"))
     first_day = (day - F.pmod(day, F.lit(chunk_days))).cast("bigint")
     rows = df.select(
@@ -132,16 +135,14 @@ def chunked(
         *[spec.value.alias(f"_v{i}") for i, spec in enumerate(specs)],
     )
     group = [*keys, _CHUNK, _TIE]
-    for _ in range(MAX_CUTS):
+    splittable = (F.col("_hi") > F.col("_lo")) | (F.col("_tie_hi") > F.col("_tie_lo"))
+    is_crowded = (F.col("_rows") > chunk_rows) & splittable
+    for cuts in range(MAX_CUTS + 1):
         table = materialize(_chunk_table(rows, group, ts, tie, specs), "chunks")
-        splittable = (F.col("_hi") > F.col("_lo")) | (F.col("_tie_hi") > F.col("_tie_lo"))
-        crowded = table.where((F.col("_rows") > chunk_rows) & splittable)
-        if crowded.isEmpty():
-            break
-        rows = _cut(rows, crowded, group, ts, tie, chunk_rows)
-    else:
-        table = materialize(_chunk_table(rows, group, ts, tie, specs), "chunks")
-    return rows, table
+        found = table.agg(F.count(F.lit(1)).alias("chunks"), F.count_if(is_crowded).alias("crowded")).first()
+        if found["crowded"] == 0 or cuts == MAX_CUTS:
+            return rows, table, found["chunks"]
+        rows = _cut(rows, table.where(is_crowded), found["crowded"], group, ts, tie, chunk_rows)
 
 
 def nearest(
@@ -155,7 +156,7 @@ def nearest(
 ) -> DataFrame:
     """``df`` plus one column per spec. Rows without a timestamp have no place in time and must be gone."""
     keys = list(keys)
-    rows, table = chunked(df, keys, ts, tie, specs, chunk_days, chunk_rows)
+    rows, table, chunks = chunked(df, keys, ts, tie, specs, chunk_days, chunk_rows)
     group = [*keys, _CHUNK, _TIE]
 
     # One row per chunk: at most (rows / chunk_rows) * 8 + history / chunk_days per series.
@@ -171,7 +172,7 @@ def nearest(
     )
 
     # Chunks are bounded, so beyond the broadcast bound one shuffle on the chunk serves join and window.
-    joined = attach(rows, carry, group, rows=table.count())
+    joined = attach(rows, carry, group, rows=chunks)
     by_time = [ts, *([tie] if tie else [])]
 
     def frame(spec: Near):

@@ -37,8 +37,9 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new, unused path below the shared folder."""
-    return f"{shared_dir(spark)}/wattline/{label}-{uuid.uuid4().hex}"
+    """A new, unused path below the shared folder, grouped by application for later removal."""
+    application = spark.sparkContext.applicationId
+    return f"{shared_dir(spark)}/wattline/{application}/{label}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, label: str, partition_by: Sequence[str] = ()) -> DataFrame:
@@ -67,13 +68,17 @@ def attach(
     one key holding a large share of ``df`` is spread over ``SALTS`` tasks. Without
     ``spread_by`` the shuffle is on the keys alone, for keys whose rows are bounded already.
     """
-    keys = list(keys)
     if rows is None:
         rows = small.count()
+    extra = [c for c in small.columns if c not in keys]
+    # A NULL key is a key like any other: it has its own rows and its own statistics.
+    other = small.select(*[F.col(k).alias(f"_key_{k}") for k in keys], *extra)
+    same = [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys]
+    columns = [*df.columns, *extra]
     if rows <= max_broadcast_rows:
-        return df.join(F.broadcast(small), keys, "left")
+        return df.join(F.broadcast(other), same, "left").select(*columns)
     if not spread_by:
-        return df.join(small, keys, "left")
+        return df.join(other, same, "left").select(*columns)
     salted = df.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(SALTS)).cast("int"))
-    copies = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return salted.join(copies, [*keys, "_salt"], "left").drop("_salt")
+    copies = other.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return salted.join(copies, [*same, F.col("_salt") == F.col("_copy")], "left").select(*columns)
