@@ -18,8 +18,10 @@ from wattline.operators.clean import to_long
 from wattline.operators.features import engineer_wide, total_by_time
 from wattline.operators.impute import forward_fill
 from wattline.operators.quantile import exact_median
-from wattline.plans.prepare import PrepareOptions, prepare
-from wattline.storage import materialize
+from wattline.operators.contracts import RAW, Contract
+from wattline.plans.prepare import PrepareOptions, gated, prepare
+from wattline.sources.delimited import scan_delimited, write_delimited
+from wattline.storage import materialize, scratch_path
 
 METERS = 370
 
@@ -84,6 +86,12 @@ def main() -> None:
     for name, job in jobs.items():
         if not only or name in only:
             timed(name, job)
+    if not only or "raw_text_to_features" in only:
+        # the whole path of a raw file: scan, gates, coercion, scaling, fill, features
+        texts = [F.translate(F.col(c).cast("string"), ".", ",").alias(c) for c in wide.columns[1:]]
+        raw = wide.select(F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss").alias("stamp"), *texts)
+        path = write_delimited(raw.toDF("", *wide.columns[1:]), scratch_path(spark, "bench-raw"))
+        timed("raw_text_to_features", lambda: gated(scan_delimited(spark, path, Contract(RAW))))
     if rows:
         even = materialize(long_table(spark, rows, 0.0), "bench-even")
         hot = materialize(long_table(spark, rows, 0.34), "bench-hot")

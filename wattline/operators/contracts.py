@@ -148,12 +148,16 @@ class Contract:
                 found.append(Violation(self.name, column, kind, actual[column], "type"))
         return found
 
-    def check(self, df: DataFrame) -> DataFrame:
-        """``df`` itself when it keeps the contract; an error that names every breach otherwise."""
-        found = self.violations(df.schema)
+    def check_schema(self, schema: T.StructType) -> None:
+        """An error that names every breach."""
+        found = self.violations(schema)
         if found:
             lines = "; ".join(f"{v.column}: expected {v.expected}, {v.actual or 'missing'}" for v in found)
             raise ContractError(f"contract {self.name!r} is broken: {lines}")
+
+    def check(self, df: DataFrame) -> DataFrame:
+        """``df`` itself when it keeps the contract."""
+        self.check_schema(df.schema)
         return df
 
 
