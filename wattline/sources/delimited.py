@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +21,7 @@ from wattline.operators.contracts import Contract
 SEPARATOR = ";"
 BLANK_NAME = "Unnamed: 0"
 TIMESTAMP = "timestamp"
-# Header probes run one after the other on the driver, so their number is bounded.
+# Every header probe is a small job, so their number is bounded.
 MAX_SOURCES = 1_000
 
 
@@ -43,27 +44,29 @@ def read_header(spark: SparkSession, path: str | Sequence[str], sep: str = SEPAR
     return [BLANK_NAME, *names[1:]] if names and names[0] in ("", "_c0") else names
 
 
+def _file_schema(schema: T.StructType) -> T.StructType:
+    """The schema under the names the file itself has; the header is checked against them."""
+    return T.StructType([T.StructField("" if f.name == BLANK_NAME else f.name, f.dataType) for f in schema.fields])
+
+
+def _checked_scan(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType, sep: str) -> DataFrame:
+    """A file whose header differs fails the job; Spark would otherwise bind its columns by position."""
+    reader = _reader(spark, sep).option("header", True).option("enforceSchema", False)
+    return reader.schema(_file_schema(schema)).csv(paths)
+
+
 def scan_delimited(
     spark: SparkSession, path: str | Sequence[str], contract: Contract | None = None, sep: str = SEPARATOR
 ) -> DataFrame:
     """Typed read: the header decides the columns, the contract their types, all else is text.
 
     One header line is probed; the data is read once, when a job runs. A column named
-    ``timestamp`` is read as a timestamp. Files are matched to the header by name.
+    ``timestamp`` is read as a timestamp.
     """
     names = read_header(spark, path, sep)
-    schema = contract.read_schema(names) if contract else T.StructType([T.StructField(n, T.StringType()) for n in names])
-    # Spark names a blank first header _c0 and checks the header against the schema.
-    on_file = T.StructType([T.StructField("_c0" if f.name == BLANK_NAME else f.name, f.dataType) for f in schema.fields])
-    if any(f.name == TIMESTAMP for f in schema.fields):
-        on_file = T.StructType(
-            [T.StructField(f.name, T.TimestampNTZType() if f.name == TIMESTAMP else f.dataType) for f in on_file.fields]
-        )
-    blank_first = bool(names) and names[0] == BLANK_NAME
-    reader = _reader(spark, sep).option("header", True)
-    # A blank name cannot be checked by name, so only then the schema is laid over the columns.
-    reader = reader.option("enforceSchema", blank_first)
-    return reader.schema(on_file).csv(path).toDF(*names)
+    expected = (contract or Contract({})).read_schema(names)
+    typed = [T.StructField(f.name, T.TimestampNTZType()) if f.name == TIMESTAMP else f for f in expected.fields]
+    return _checked_scan(spark, path, T.StructType(typed), sep).toDF(*names)
 
 
 def parse_timestamp(cell: Column, data_type: T.DataType, strict: bool = True) -> Column:
@@ -101,7 +104,8 @@ def scan_directory(spark: SparkSession, path: str, sep: str = SEPARATOR, source:
     """All ``*.txt`` and ``*.csv`` of a directory as one table of text with its source file; None if there are none.
 
     Files may order their columns differently: each distinct header is scanned as one group and the
-    groups are put together by name. When all headers agree, that is one scan of everything.
+    groups are put together by name. When all headers agree, that is one scan of everything. Beyond
+    ``MAX_SOURCES`` files all must agree, and one that does not fails the job.
     """
     globs = [f"{path.rstrip('/')}/*.{ending}" for ending in ("txt", "csv")]
     present = []
@@ -113,22 +117,20 @@ def scan_directory(spark: SparkSession, path: str, sep: str = SEPARATOR, source:
                 raise
     if not present:
         return None
+    groups: dict[tuple[str, ...], list[str]] = {}
     if len(present) > MAX_SOURCES:
-        # One scan; a header that differs from the first one fails the job instead of being misread.
-        groups = {tuple(read_header(spark, present[0], sep)): present}
-        check = True
+        groups[tuple(read_header(spark, present[0], sep))] = present
     else:
-        groups: dict[tuple[str, ...], list[str]] = {}
-        for file in present:
-            groups.setdefault(tuple(read_header(spark, file, sep)), []).append(file)
-        check = False
+        probe = inheritable_thread_target(spark)(lambda file: tuple(read_header(spark, file, sep)))
+        with ThreadPoolExecutor(max_workers=16) as pool:
+            for file, names in zip(present, pool.map(probe, present)):
+                groups.setdefault(names, []).append(file)
     parts = []
     for names, files in groups.items():
-        on_file = T.StructType([T.StructField("_c0" if n == BLANK_NAME else n, T.StringType()) for n in names])
-        reader = _reader(spark, sep).option("header", True).option("enforceSchema", not check).schema(on_file)
-        scan = reader.csv(files)
-        columns = [F.col(quote(c)).alias(n) for c, n in zip(on_file.names, names)]
-        parts.append(scan.select(*columns, F.col("_metadata.file_name").alias(source)))
+        scan = _checked_scan(spark, files, Contract({}).read_schema(list(names)), sep)
+        # the hidden file column has to be taken before the columns get new names
+        cells = [scan[c].alias(n) for c, n in zip(scan.columns, names)]
+        parts.append(scan.select(*cells, F.col("_metadata.file_name").alias(source)))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
@@ -159,8 +161,3 @@ def write_delimited(df: DataFrame, path: str, sep: str = SEPARATOR) -> str:
     """Delimited files with header."""
     df.write.mode("errorifexists").option("header", True).option("sep", sep).csv(path)
     return path
-
-
-def safe_name(name: str) -> str:
-    """A name fit for a path."""
-    return re.sub(r"[^A-Za-z0-9_.-]", "_", name)

@@ -75,9 +75,10 @@ def save_engineered(df: DataFrame, path: str, fmt: str = "parquet", partition_by
 def save_predictions(df: DataFrame, path: str, source: str = "source_file") -> str:
     """One folder per source file.
 
-    A task writes the sources it holds; no shuffle gathers a large source into one task.
+    Rebalancing brings a source's rows together, so that few files are written, and splits
+    a source too large for one task.
     """
-    df.write.mode("overwrite").partitionBy(source).parquet(path)
+    df.hint("rebalance", F.col(source)).write.mode("overwrite").partitionBy(source).parquet(path)
     return path
 
 
