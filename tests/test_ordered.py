@@ -84,6 +84,25 @@ def test_wide_equals_long(spark):
     assert sorted(map(str, one.collect())) == sorted(map(str, two.select(one.columns).collect()))
 
 
+def test_large_chunk_tables_are_scanned_in_blocks(spark, monkeypatch):
+    import wattline.operators.ordered as ordered
+
+    draw = random.Random(4)
+    data = [(at(i // 2 * 7), i, *[float(i) if draw.random() < 0.05 else None for _ in range(2)]) for i in range(600)]
+    df = spark.createDataFrame(data, "timestamp timestamp_ntz, reading_id bigint, MT_001 double, MT_002 double")
+    specs = [Near("left", F.col("MT_001")), Near("right", F.col("MT_002"), after=True, strict=True)]
+    plain = nearest(df, specs, tie="reading_id", chunk_rows=5)
+    monkeypatch.setattr(ordered, "CARRY_CELLS", 0)
+    monkeypatch.setattr(ordered, "_BLOCKS", 8)
+    blocked = nearest(df, specs, tie="reading_id", chunk_rows=5)
+    assert sorted(map(str, blocked.collect())) == sorted(map(str, plain.collect()))
+    last, want = None, {}
+    for _, i, left, _ in data:
+        last = left if left is not None else last
+        want[i] = last
+    assert {r["reading_id"]: r["left"] for r in blocked.collect()} == want
+
+
 def test_strict_and_backward_looks(spark):
     data = [(1, at(i), i, v) for i, v in enumerate([None, 1.0, None, 3.0, None])]
     specs = [

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,6 +48,11 @@ def wall_micros(ts: Column) -> Column:
     return F.unix_date(ts.cast("date")) * F.lit(MICROS_PER_DAY) + seconds * MICROS_PER_SECOND + fraction
 
 
+def from_wall_micros(micros: Column) -> Column:
+    """The zone-free timestamp of :func:`wall_micros`."""
+    return F.lit("1970-01-01").cast("timestamp_ntz") + F.make_dt_interval(secs=micros / F.lit(Decimal(MICROS_PER_SECOND)))
+
+
 def slot_start(ts: Column, step: str = "15 minutes") -> Column:
     """Start of the fixed-width time slot that holds ``ts``."""
     return F.window(ts, step)["start"]

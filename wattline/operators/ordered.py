@@ -35,6 +35,9 @@ from wattline.storage import attach, materialize
 CHUNK_DAYS = 32
 CHUNK_ROWS = 2_000_000
 _NARROW = 4
+# A chunk table without keys is scanned in one task up to this many cells, in blocks beyond.
+CARRY_CELLS = 2_000_000
+_BLOCKS = 256
 # Every pass divides crowded chunks by their own range, so few passes are needed.
 MAX_CUTS = 8
 
@@ -145,6 +148,55 @@ def chunked(
         rows = _cut(rows, table.where(is_crowded), found["crowded"], group, ts, tie, chunk_rows)
 
 
+def _scan(edges: DataFrame, keys: list[str], group: list[str], specs: Sequence[Near]) -> DataFrame:
+    """Per chunk, the nearest edge among the chunks before it (after it) that share its keys."""
+    before = Window.partitionBy(*keys).orderBy(_CHUNK, _TIE).rowsBetween(Window.unboundedPreceding, -1)
+    behind = Window.partitionBy(*keys).orderBy(F.desc(_CHUNK), F.desc(_TIE)).rowsBetween(Window.unboundedPreceding, -1)
+    return edges.select(
+        *dict.fromkeys([*keys, *group]),
+        *[
+            F.last(f"_edge{i}", ignorenulls=True).over(behind if s.after else before).alias(f"_carry{i}")
+            for i, s in enumerate(specs)
+        ],
+    )
+
+
+def _carried(table: DataFrame, keys: list[str], group: list[str], specs: Sequence[Near], chunks: int) -> DataFrame:
+    """What each chunk gets from the chunks around it.
+
+    A series has at most (rows / chunk_rows) * 8 + days / chunk_days chunks. A table without keys is one
+    series; when its chunk table is large, blocks of chunks are scanned side by side and a table of
+    at most ``_BLOCKS`` rows carries between the blocks.
+    """
+    edges = table.select(*group, *[f"_edge{i}" for i in range(len(specs))])
+    if keys or chunks * len(specs) <= CARRY_CELLS:
+        return _scan(edges, keys, group, specs)
+    shares = [i / _BLOCKS for i in range(1, _BLOCKS)]
+    borders = sorted(set(edges.agg(F.percentile_approx(_CHUNK, shares)).first()[0]))
+    passed = F.filter(F.array(*[F.lit(b).cast("bigint") for b in borders]), lambda b: b <= F.col(_CHUNK))
+    edges = edges.withColumn("_block", F.size(passed))
+    order = F.struct(_CHUNK, _TIE)
+    ends = edges.groupBy("_block").agg(
+        *[
+            (F.min_by if s.after else F.max_by)(f"_edge{i}", F.when(F.col(f"_edge{i}").isNotNull(), order)).alias(f"_edge{i}")
+            for i, s in enumerate(specs)
+        ]
+    )
+    before = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    behind = Window.orderBy(F.desc("_block")).rowsBetween(Window.unboundedPreceding, -1)
+    outer = ends.select(
+        "_block",
+        *[
+            F.last(f"_edge{i}", ignorenulls=True).over(behind if s.after else before).alias(f"_outer{i}")
+            for i, s in enumerate(specs)
+        ],
+    )
+    inner = _scan(edges, ["_block"], group, specs).join(F.broadcast(outer), "_block")
+    return inner.select(
+        *group, *[F.coalesce(f"_carry{i}", f"_outer{i}").alias(f"_carry{i}") for i in range(len(specs))]
+    )
+
+
 def nearest(
     df: DataFrame,
     specs: Sequence[Near],
@@ -159,18 +211,7 @@ def nearest(
     rows, table, chunks = chunked(df, keys, ts, tie, specs, chunk_days, chunk_rows)
     group = [*keys, _CHUNK, _TIE]
 
-    # One row per chunk: at most (rows / chunk_rows) * 8 + history / chunk_days per series.
-    carry = table.select(*group, *[f"_edge{i}" for i in range(len(specs))])
-    earlier = Window.partitionBy(*keys).orderBy(_CHUNK, _TIE).rowsBetween(Window.unboundedPreceding, -1)
-    later = Window.partitionBy(*keys).orderBy(F.desc(_CHUNK), F.desc(_TIE)).rowsBetween(Window.unboundedPreceding, -1)
-    carry = carry.select(
-        *group,
-        *[
-            F.last(f"_edge{i}", ignorenulls=True).over(later if s.after else earlier).alias(f"_carry{i}")
-            for i, s in enumerate(specs)
-        ],
-    )
-
+    carry = _carried(table, keys, group, specs, chunks)
     # Chunks are bounded, so beyond the broadcast bound one shuffle on the chunk serves join and window.
     joined = attach(rows, carry, group, rows=chunks)
     by_time = [ts, *([tie] if tie else [])]

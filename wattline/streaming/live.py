@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from wattline.functions.calendar import from_wall_micros, wall_micros
 from wattline.functions.names import matching
 from wattline.operators.clean import KW_TO_KWH, coerce_numeric
 from wattline.operators.drift import DRIFT_THRESHOLD, drift_flag
@@ -33,16 +34,18 @@ def live_metrics(
 ) -> DataFrame:
     """RMSE, MSE and drift flag per closed time window; rows later than ``lateness`` are dropped.
 
-    State is one row per open window. Works on a stream in append mode and on a batch.
+    State is one row per open window. Works on a stream in append mode and on a batch. Windows
+    follow the wall clock of ``ts`` in every session time zone.
     """
-    timed = predictions.withColumn("_at", F.col(ts).cast("timestamp"))
+    # Watermarks need a zoned timestamp: the instant that UTC shows as the wall clock time.
+    timed = predictions.withColumn("_at", F.timestamp_micros(wall_micros(F.col(ts))))
     if predictions.isStreaming:
         timed = timed.withWatermark("_at", lateness)
     squared = F.avg(F.pow(F.col("label") - F.col("prediction"), 2))
     windows = timed.groupBy(F.window("_at", width), *by).agg(F.count(F.lit(1)).alias("n_rows"), squared.alias("mse"))
     rmse = F.sqrt("mse")
     return windows.select(
-        F.col("window.start").cast("timestamp_ntz").alias("window_start"),
+        from_wall_micros(F.unix_micros("window.start")).alias("window_start"),
         *by,
         "n_rows",
         rmse.alias("rmse"),
