@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from helpers import at, rows
 from wattline.errors import IngestError, OptionError, RegistryError, TrainingError
