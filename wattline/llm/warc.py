@@ -1,8 +1,8 @@
 """WARC archives: writing pages as response and revisit records, and a reader that salvages damaged files.
 
-Writing is plain DataFrame work: a record is a string, and the text sink puts the two empty lines that end a record
-between them, on any file system that Spark can write. Reading takes each archive file as one row of the
-``binaryFile`` source and walks it inside a task.
+A record is a column expression; a task compresses each record as a gzip member of its own, and the text sink
+writes the members' bytes end to end, on any file system that Spark can write. The sink wants a separator, which is an
+empty gzip member. Reading takes each archive file as one row of the ``binaryFile`` source and walks it inside a task.
 
 The reader checks every record: framing, length, block digest, payload digest, and for compressed members the
 checksum. After a failed check it trusts nothing it has not seen valid: it resumes at the place the length field points to if a valid
@@ -21,14 +21,19 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wattline.llm.batches import pieces
 from wattline.storage import scratch_path
 
 #: Payloads shorter than this are always stored as responses.
 LEAST_REVISIT_BYTES = 100
 #: Rows of one archive file; keeps a file small enough to be one row of a scan.
 RECORDS_PER_ARCHIVE = 4000
+#: Compression level of the members.
+LEVEL = 1
 
 _END = "\r\n\r\n"
+#: A gzip member without content, which readers pass over.
+_EMPTY_MEMBER = bytes.fromhex("1f8b0800000000000003") + bytes.fromhex("0300") + bytes(8)
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _DATE = "2024-01-01T00:00:00Z"
 _START = re.compile(rb"\x1f\x8b\x08|WARC/1\.[01]\r\n")
@@ -66,7 +71,7 @@ def _urn(key: Column) -> Column:
 
 
 def warc_record(key: Column, uri: Column, body: Column, size: Column, digest: Column, owner: Column) -> Column:
-    """A whole record without the two empty lines that end it."""
+    """A whole record."""
     revisit = owner.isNotNull() & ~key.eqNullSafe(owner)
     http = F.concat(
         F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), size.cast("string"), F.lit(_END)
@@ -90,6 +95,7 @@ def warc_record(key: Column, uri: Column, body: Column, size: Column, digest: Co
         line("Content-Length", F.octet_length(block).cast("string")),
         F.lit("\r\n"),
         block,
+        F.lit(_END),
     )
 
 
@@ -103,11 +109,24 @@ def write_archives(
     become responses and the others revisits of it; rows without a key never own a payload that has another owner. A null address leaves its
     line out. An empty table writes no record.
     """
+
+    def compress(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            for piece in pieces(batch, "value"):
+                members = []
+                for record in piece.column("value"):
+                    engine = zlib.compressobj(LEVEL, zlib.DEFLATED, 31)
+                    members.append(engine.compress(record.as_py()) + engine.flush())
+                yield pa.RecordBatch.from_arrays([pa.array(members, pa.binary())], ["value"])
+
     narrow = pages.select(F.col(key).alias("page_id"), F.col(uri).alias("url"), F.col(body).alias("html"))
     planned = plan_revisits(narrow, "html", "page_id", least)
     record = warc_record(*[F.col(c) for c in ("page_id", "url", "html", "payload_bytes", "payload_digest", "owner")])
-    writer = planned.select(record.alias("value")).write.option("lineSep", _END).option("maxRecordsPerFile", records_per_archive)
-    writer.text(path)
+    members = planned.select(record.cast("binary").alias("value")).mapInArrow(compress, "value binary")
+    writer = members.select(F.col("value").cast("string")).write.option("maxRecordsPerFile", records_per_archive)
+    writer.option("encoding", "ISO-8859-1").option("lineSep", _EMPTY_MEMBER.decode("latin-1")).text(path)
 
 
 # Reading
