@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattline.llm import bpe, exact_dedup, mixing, rule_quality, toxicity, warc
+from wattline.llm import bpe, exact_dedup, jaccard_join, mixing, rule_quality, substring_dedup, toxicity, warc
 
 QUERIES = {}
 ORACLES = {}
@@ -52,6 +52,18 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marked.select("row.doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+@query()
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.substring_dedup(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+@query()
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
 #: Weights of the sources in turn, the share of all words that the mix takes, and the most copies of a source's words.
 MIX_WEIGHTS, MIX_SHARE, MIX_CAP = (3.0, 1.0, 2.0), 1.5, 2.0
 
