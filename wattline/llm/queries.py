@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattline.llm import bpe, exact_dedup, jaccard_join, mixing, rule_quality, substring_dedup, toxicity, warc
+from wattline.llm import bpe, exact_dedup, fingerprints, jaccard_join, mixing, rule_quality, substring_dedup, toxicity, warc
 
 QUERIES = {}
 ORACLES = {}
@@ -82,6 +82,11 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+@query()
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_texts(table(spark, sf_dir, "documents"))
+
+
 def labelled(docs: DataFrame, labels: DataFrame, label: str, parts: int, part: int) -> DataFrame:
     """Texts with labels that may be learnt from: key, text, label."""
     allowed = labels.where(~toxicity.held_out(F.col("doc_id"), parts, part)).select(
