@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattline.llm import bpe, exact_dedup, fingerprints, jaccard_join, mixing, rule_quality, substring_dedup, toxicity, warc
+from wattline.llm import bpe, exact_dedup, fingerprints, jaccard_join, license_scan, mixing, rule_quality, substring_dedup, toxicity, warc
 
 QUERIES = {}
 ORACLES = {}
@@ -40,6 +40,17 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_round_trip(table(spark, sf_dir, "pages"))
 
 
+@query()
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files: a source is a project, a hundred ids are a directory, and a text that is little but a notice is its license file."""
+    docs = table(spark, sf_dir, "documents")
+    notice = F.coalesce(F.length("text") <= 200, F.lit(False)) & F.col("text").rlike(license_scan.TELLING)
+    folder = F.concat_ws("/", F.coalesce("source", F.lit("none")), F.floor(F.col("doc_id") / 100).cast("string"))
+    path = F.concat_ws("/", folder, F.concat(F.when(notice, F.lit("LICENSE.")).otherwise(F.lit("text.")), F.col("doc_id").cast("string")))
+    found = license_scan.scan_files(docs, path)
+    return found.withColumnRenamed("id", "doc_id")
+
+
 @query(
     """
     SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc_id = max(doc_id) OVER g AS kept,
