@@ -312,9 +312,9 @@ def fingerprint_texts(docs: DataFrame, text: str = "text", key: str = "doc_id")
     inner = found.where("role = 0").drop("part", "role", "text")
     # one row per partition: these windows never see documents
     heads = found.where("role = 1").select("part", F.col("text").alias("following"))
-    parts = heads.select("part").withColumn("prior", F.lag("part").over(Window.orderBy("part")))
-    last = parts.agg(F.max("part").alias("last"))
-    after = parts.join(F.broadcast(last)).select("part", F.coalesce("prior", "last").alias("of_part")).join(heads, "part").select("of_part", "following")
+    last = F.max("part").over(Window.partitionBy(F.lit(0)))
+    parts = heads.select("part", F.coalesce(F.lag("part").over(Window.orderBy("part")), last).alias("of_part"))
+    after = parts.join(heads, "part").select("of_part", "following")
     tails = found.where("role = 2").select("part", "key", "text")
     met = tails.join(after, F.col("part") == F.col("of_part")).select("key", "text", "following")
     kind = narrow.schema["key"].dataType.simpleString()
