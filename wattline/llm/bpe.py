@@ -1,9 +1,9 @@
 """Byte-level BPE by a pair occurrence index.
 
 A task gathers the distinct pieces of its texts that it has not met before, lays their symbols out in one array, and keeps an
-index from each adjacent pair with a rank to its positions. Ranks that are active are taken in ascending order; a rank's merge
-is applied at all its positions at once, and only the lists of the neighbouring pairs change. This gives each piece the
-same ids as merging its lowest rank first, since pieces share no pair.
+index from the rank of each adjacent pair to its positions. Ranks that are active are taken in ascending order; a rank's
+merge is applied at all its positions at once, and only the lists of the neighbouring pairs change. This gives each piece
+the same ids as merging its lowest rank first, since pieces share no pair.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ import heapq
 import json
 from collections.abc import Iterator
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,8 +22,10 @@ from wattline.llm.batches import pieces
 #: Splits a text into pieces before merging; a fixed value of the byte-level vocabularies.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Known pieces of a task; the memory of the table is bounded by both.
-CACHE_PIECES = 400_000
-CACHE_CHARS = 24 << 20
+CACHE_PIECES = 300_000
+CACHE_CHARS = 16 << 20
+#: Bytes of text whose new pieces are merged together; the more, the fewer times each rank is taken.
+TEXT_BYTES = 8 << 20
 
 
 def byte_symbols() -> dict[str, int]:
@@ -46,75 +49,98 @@ class Vocabulary:
         self.byte_id = [0] * 256
         for shown, byte in to_byte.items():
             self.byte_id[byte] = ids[shown]
-        self.rank: dict[tuple[int, int], tuple[int, int]] = {}
+        ranked = []
         for rank, pair in enumerate(model["merges"]):
             left, right = pair if isinstance(pair, list) else pair.split(" ")
-            self.rank.setdefault((ids[left], ids[right]), (rank, ids[left + right]))
+            ranked.append((ids[left], ids[right], rank, ids[left + right]))
+        table = np.array(ranked, np.int64).reshape(-1, 4)
+        #: Left, right and merged symbol of each rank, and the pairs in order with their ranks.
+        self.left, self.right, self.merged = table[:, 0], table[:, 1], table[:, 3]
+        self.width = int(max(ids.values())) + 2
+        keys = self.left * self.width + self.right
+        order = np.argsort(keys, kind="stable")
+        self.pairs, self.rank_of = keys[order], order
         self.added = {t["content"]: t["id"] for t in file.get("added_tokens", [])}
         self.bytes_of |= {i: t.encode() for t, i in self.added.items()}
 
+    def ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Rank of each pair, or -1."""
+        key = left * self.width + right
+        at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
+        return np.where((self.pairs[at] == key) & (left >= 0) & (right >= 0), self.rank_of[at], -1)
+
 
 def merge_pieces(texts: list[bytes], vocabulary: Vocabulary) -> list[list[int]]:
     """Ids of each piece, by one pair occurrence index over all of them.
 
-    The symbols of all pieces lie end to end with a border between them. ``after`` and ``before`` link the symbols that are left.
+    The symbols of all pieces lie end to end with a border (-1) before, between and behind. ``after`` and ``before`` link
+    the symbols that are left; a merged symbol stays at the place of its left part.
     """
-    rank, byte_id = vocabulary.rank, vocabulary.byte_id
-    symbols: list[int] = [-1]
-    starts = []
-    for text in texts:
-        starts.append(len(symbols))
-        symbols.extend([byte_id[b] for b in text])
-        symbols.append(-1)
-    size = len(symbols)
-    after = list(range(1, size + 1))
-    before = list(range(-1, size - 1))
-    where: dict[tuple[int, int], list[int]] = {}
-    for at, pair in enumerate(zip(symbols, symbols[1:], strict=False)):
-        if pair in rank:
-            where.setdefault(pair, []).append(at)
-    active = [(rank[pair][0], pair) for pair in where]
-    heapq.heapify(active)
+    if not len(vocabulary.pairs):
+        return [[vocabulary.byte_id[b] for b in t] for t in texts]
+    lengths = np.array([len(t) for t in texts], np.int64)
+    starts = np.cumsum(lengths + 1) - lengths
+    size = int(lengths.sum()) + len(texts) + 1
+    symbols = np.full(size, -1, np.int64)
+    inner = np.ones(size, bool)
+    inner[0] = False
+    inner[starts + lengths] = False
+    symbols[inner] = np.array(vocabulary.byte_id, np.int64)[np.frombuffer(b"".join(texts), np.uint8)]
+    after, before = np.arange(1, size + 1), np.arange(-1, size - 1)
+    where: dict[int, list[np.ndarray]] = {}
+    active: list[int] = []
+
+    def index(places: np.ndarray, ranks: np.ndarray) -> None:
+        order = np.argsort(ranks, kind="stable")
+        places, ranks = places[order], ranks[order]
+        borders = np.flatnonzero(np.r_[True, ranks[1:] != ranks[:-1]])
+        for rank, begin, end in zip(ranks[borders].tolist(), borders.tolist(), [*borders[1:].tolist(), len(ranks)], strict=True):
+            lists = where.get(rank)
+            if lists is None:
+                where[rank] = [places[begin:end]]
+                heapq.heappush(active, rank)
+            else:
+                lists.append(places[begin:end])
+
+    ranks = vocabulary.ranks(symbols[:-1], symbols[1:])
+    some = np.flatnonzero(ranks >= 0)
+    if len(some):
+        index(some, ranks[some])
     while active:
-        _, pair = heapq.heappop(active)
-        positions = where.pop(pair, None)
-        if positions is None:
+        rank = heapq.heappop(active)
+        lists = where.pop(rank)
+        at = lists[0] if len(lists) == 1 else np.unique(np.concatenate(lists))
+        left, right = int(vocabulary.left[rank]), int(vocabulary.right[rank])
+        # a place may be stale: merged away, or changed by a merge beside it
+        at = at[symbols[at] == left]
+        at = at[symbols[after[at]] == right]
+        if left == right and len(at) > 1:
+            # in a row of equal symbols every second pair overlaps the one before
+            fresh = np.r_[True, at[1:] != after[at[:-1]]]
+            begin = np.maximum.accumulate(np.where(fresh, np.arange(len(at)), 0))
+            at = at[(np.arange(len(at)) - begin) % 2 == 0]
+        if not len(at):
             continue
-        left, right = pair
-        new = rank[pair][1]
-        positions.sort()
-        for at in positions:
-            # a position may be stale: merged away, or changed by a merge to its left
-            if symbols[at] != left:
-                continue
-            gone = after[at]
-            if symbols[gone] != right:
-                continue
-            symbols[at] = new
-            symbols[gone] = -2
-            follow = after[gone]
-            after[at] = follow
-            before[follow] = at
-            prior = before[at]
-            for place, near in ((prior, (symbols[prior], new)), (at, (new, symbols[follow]))):
-                if near in rank:
-                    if near in where:
-                        where[near].append(place)
-                    else:
-                        where[near] = [place]
-                        heapq.heappush(active, (rank[near][0], near))
-    result = []
-    for start in starts:
-        ids, at = [], start
-        while symbols[at] != -1:
-            ids.append(symbols[at])
-            at = after[at]
-        result.append(ids)
-    return result
+        gone = after[at]
+        follow = after[gone]
+        symbols[at] = vocabulary.merged[rank]
+        symbols[gone] = -2
+        after[at] = follow
+        before[follow] = at
+        places = np.concatenate([before[at], at])
+        ranks = vocabulary.ranks(symbols[places], symbols[after[places]])
+        some = ranks >= 0
+        if some.any():
+            index(places[some], ranks[some])
+    left_over = symbols >= 0
+    counts = np.add.reduceat(left_over, starts) * (lengths > 0) if len(texts) else np.empty(0, np.int64)
+    flat = symbols[left_over].tolist()
+    ends = np.cumsum(counts).tolist()
+    return [flat[e - c : e] for c, e in zip(counts.tolist(), ends, strict=True)]
 
 
 class Encoder:
-    """Encodes and decodes whole texts; keeps the ids of pieces it has met, up to a bound."""
+    """Encodes and decodes whole texts; keeps what it knows of pieces it has met, up to a bound."""
 
     def __init__(self, vocabulary: Vocabulary):
         import regex
@@ -122,43 +148,54 @@ class Encoder:
         self.vocabulary = vocabulary
         self.find = regex.compile(PATTERN).findall
         self.added = regex.compile("(" + "|".join(map(regex.escape, sorted(vocabulary.added, key=len, reverse=True))) + ")") if vocabulary.added else None
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.digits = {i: str(i) for i in vocabulary.bytes_of}
+        self._forget()
+
+    def _forget(self) -> None:
+        # an added token is known by a tuple, which no piece of a text equals
+        self.ids: dict = {(t,): [i] for t, i in self.vocabulary.added.items()}
+        self.written: dict = {k: str(v[0]) for k, v in self.ids.items()}
+        self.bytes: dict = {k: self.vocabulary.bytes_of[v[0]] for k, v in self.ids.items()}
         self.chars = 0
 
-    def _split(self, text: str) -> list[str | int]:
-        if self.added is None or not any(t in text for t in self.vocabulary.added):
-            return self.find(text)
-        out: list[str | int] = []
-        for k, part in enumerate(self.added.split(text)):
-            if k % 2:
-                out.append(self.vocabulary.added[part])
-            else:
-                out.extend(self.find(part))
+    def split(self, texts: list[str]) -> list[list]:
+        """Pieces and added tokens of each text; after this all of them are known. New pieces are merged together."""
+        out = []
+        for text in texts:
+            if self.added is None or not any(t in text for t in self.vocabulary.added):
+                out.append(self.find(text))
+                continue
+            parts: list = []
+            for k, part in enumerate(self.added.split(text)):
+                parts.extend([(part,)] if k % 2 else self.find(part))
+            out.append(parts)
+        if len(self.ids) > CACHE_PIECES or self.chars > CACHE_CHARS:
+            self._forget()
+        new = list(set().union(*out).difference(self.ids))
+        self.chars += sum(map(len, new))
+        for piece, ids in zip(new, merge_pieces([p.encode() for p in new], self.vocabulary), strict=True):
+            self.ids[piece] = ids
+            self.written[piece] = ",".join(map(self.digits.__getitem__, ids))
+            self.bytes[piece] = self.decode_bytes(ids)
         return out
 
     def encode(self, texts: list[str]) -> Iterator[list[int]]:
-        """Ids of each text. All pieces that are new in ``texts`` are merged together."""
-        split = [self._split(t) for t in texts]
-        if len(self.known) > CACHE_PIECES or self.chars > CACHE_CHARS:
-            self.known.clear()
-            self.chars = 0
-        known = self.known
-        new = list(dict.fromkeys(p for parts in split for p in parts if p not in known and not isinstance(p, int)))
-        self.chars += sum(map(len, new))
-        for piece, ids in zip(new, merge_pieces([p.encode() for p in new], self.vocabulary), strict=True):
-            known[piece] = tuple(ids)
-        for parts in split:
-            out: list[int] = []
-            for p in parts:
-                if isinstance(p, int):
-                    out.append(p)
-                else:
-                    out.extend(known[p])
-            yield out
+        """Ids of each text."""
+        for parts in self.split(texts):
+            yield [i for p in parts for i in self.ids[p]]
+
+    def decode_bytes(self, ids: list[int]) -> bytes:
+        return b"".join(map(self.vocabulary.bytes_of.__getitem__, ids))
 
     def decode(self, ids: list[int]) -> str:
         """The text of ``ids``; bytes that are no UTF-8 become replacement characters."""
-        return b"".join(map(self.vocabulary.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
+        return self.decode_bytes(ids).decode("utf-8", "replace")
+
+    def written_and_decoded(self, texts: list[str]) -> Iterator[tuple[str, str]]:
+        """Ids joined by commas, and the text decoded from them. Pieces are written and decoded once while they are known."""
+        for parts in self.split(texts):
+            raw = b"".join(map(self.bytes.__getitem__, parts))
+            yield ",".join(map(self.written.__getitem__, parts)), raw.decode("utf-8", "replace")
 
 
 def read_vocabulary(spark, path: str) -> str:
@@ -184,15 +221,14 @@ def encode_texts(docs: DataFrame, vocabulary_path: str, text: str = "text", key:
 
         encoder = Encoder(Vocabulary(shared.value))
         for batch in batches:
-            for piece in pieces(batch, "text"):
+            for piece in pieces(batch, "text", TEXT_BYTES):
                 texts = [t or "" for t in piece.column("text").to_pylist()]
                 counts, id_lists, id_sums, decoded, decoded_sums = [], [], [], [], []
-                for out in encoder.encode(texts):
-                    counts.append(len(out))
-                    id_sums.append(hashlib.sha256(",".join(map(str, out)).encode()).hexdigest())
-                    back = encoder.decode(out)
+                for written, back in encoder.written_and_decoded(texts):
+                    counts.append(written.count(",") + 1 if written else 0)
+                    id_sums.append(hashlib.sha256(written.encode()).hexdigest())
                     decoded_sums.append(hashlib.sha256(back.encode()).hexdigest())
-                    id_lists.append(out if ids else None)
+                    id_lists.append(np.array(written.split(","), np.int32) if ids and written else [] if ids else None)
                     decoded.append(back if ids else None)
                 yield pa.RecordBatch.from_arrays(
                     [piece.column("key"), pa.array(counts, pa.int64()), pa.array(id_lists, pa.list_(pa.int32())), pa.array(id_sums, pa.string()),
