@@ -39,6 +39,8 @@ MOST_COMMON = 1_000_000
 PAIRS_PER_ROW = 4
 #: Members of one hub that one task streams over.
 SLOT_ROWS = 2000
+#: Narrow tables (keys only) of at most so many rows are broadcast, after they are counted; larger ones are shuffled.
+BROADCAST_ROWS = 200_000
 
 
 def shingle_sets(texts, words: int = WORDS):
@@ -108,6 +110,11 @@ def _profiles(docs: DataFrame, words: int, percent: int, common: np.ndarray) ->
     return docs.mapInArrow(run, f"rid long, id {kind}, text_hash long, n long, sig binary, rare array<long>, often array<long>")
 
 
+def _small(keys: DataFrame) -> DataFrame:
+    """A written table of keys, broadcast if its count allows."""
+    return F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys
+
+
 def _verify(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs (a, b) of ``pairs`` that link, by whole texts: 100 * overlap >= percent * union.
 
@@ -117,10 +124,11 @@ def _verify(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Dat
     counts = pairs.groupBy("b").agg(F.count(F.lit(1)).alias("rows"))
     sized = counts.select("b", F.ceil(F.col("rows") / SLOT_ROWS).cast("int").alias("slots"))
     heads = sized.select("b", F.explode(F.sequence(F.lit(0), F.col("slots") - 1)).alias("slot"))
-    heads = heads.join(texts, F.col("b") == F.col("node")).select("b", "slot", F.lit(None).cast("long").alias("a"), "text")
+    heads = heads.select("b", "slot", F.lit(None).cast("long").alias("a"), F.col("b").alias("of"))
     rest = pairs.join(sized, "b").withColumn("slot", F.pmod(F.xxhash64("a"), F.col("slots")).cast("int"))
-    rest = rest.join(texts, F.col("a") == F.col("node")).select("b", "slot", "a", "text")
-    dealt = heads.union(rest).repartition("b", "slot").sortWithinPartitions("b", "slot", F.col("a").asc_nulls_first())
+    places = materialize(heads.union(rest.select("b", "slot", "a", F.col("a").alias("of"))), "places")
+    met = texts.join(_small(places), F.col("of") == F.col("node")).select("b", "slot", "a", "text")
+    dealt = met.repartition("b", "slot").sortWithinPartitions("b", "slot", F.col("a").asc_nulls_first())
 
     def run(batches):
         import pyarrow as pa
@@ -149,43 +157,56 @@ def _fits(a: str, b: str, percent: int):
     return (100 * F.least(a, b) >= percent * F.greatest(a, b))
 
 
+def _blocks(entries: DataFrame, turn: int) -> DataFrame:
+    """Blocks with more than one component: ``gram``, ``pairs`` of different components, and a ``hub``, another one each turn."""
+    hub = F.struct(F.xxhash64(F.lit(turn), "node").alias("h"), F.col("node").alias("b"), F.col("n").alias("m"), F.col("comp").alias("comp_b"))
+    if turn:
+        parts = entries.groupBy("gram", "comp").agg(F.count(F.lit(1)).alias("k"), F.min(hub).alias("hub"))
+    else:
+        # every class is still its own component
+        parts = entries.select("gram", F.lit(1).cast("long").alias("k"), hub.alias("hub"))
+    k, kk = F.sum("k"), F.sum(F.col("k") * F.col("k"))
+    blocks = parts.groupBy("gram").agg(((k * k - kk) / 2).alias("pairs"), F.min("hub").alias("hub"))
+    return blocks.where("pairs > 0").select("gram", "pairs", "hub.b", "hub.m", "hub.comp_b")
+
+
 def link_classes(entries: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """``node, comp`` of all classes that link with another one. ``entries``: (gram, node, n); ``texts``: (node, text)."""
     spark = entries.sparkSession
-    edges = spark.createDataFrame([], "u long, v long")
     labels = spark.createDataFrame([], "node long, comp long")
-    tested = spark.createDataFrame([], "a long, b long")
-    rows, before, turn, links, last = entries.count(), None, 0, 0, False
-    while rows and not last:
-        now = entries.join(labels, "node", "left").select("gram", "node", "n", F.coalesce("comp", "node").alias("comp"))
-        now = materialize(now, "blocks")
-        kinds = now.groupBy("gram", "comp").agg(F.count(F.lit(1)).alias("k"))
-        kinds = kinds.groupBy("gram").agg(F.sum("k").alias("k"), F.sum(F.col("k") * F.col("k")).alias("kk"), F.count(F.lit(1)).alias("comps"))
-        mixed = kinds.where("comps > 1")
-        left = mixed.agg(F.sum((F.col("k") * F.col("k") - F.col("kk")) / 2).alias("pairs")).first()["pairs"] or 0
+    edges = tested = None
+    now, rows, links = entries.withColumn("comp", F.col("node")), entries.count(), 0
+    for turn in range(rows):
+        if turn and links:
+            now = now.drop("comp").join(labels, "node", "left").select("gram", "node", "n", F.coalesce("comp", "node").alias("comp"))
+        blocks = materialize(_blocks(now, turn), "blocks")
+        left = blocks.agg(F.sum("pairs").alias("pairs")).first()["pairs"]
         if not left:
             break
-        last = left <= PAIRS_PER_ROW * rows or (turn > 0 and before is not None and links == 0)
-        open_ = now.join(mixed.select("gram"), "gram", "left_semi")
+        # blocks of one component are done for good
+        met = now.join(blocks, "gram")
+        now = materialize(met.drop("pairs"), "entries")
+        last = left <= PAIRS_PER_ROW * rows or (turn > 0 and not links)
+        pairs = now
         if last:
-            other = open_.select("gram", F.col("node").alias("b"), F.col("n").alias("m"), F.col("comp").alias("comp_b"))
-            met = open_.join(other, "gram").where(F.col("node") < F.col("b"))
-        else:
-            hub = F.min(F.struct(F.xxhash64(F.lit(turn), "node").alias("h"), F.col("node").alias("b"), F.col("n").alias("m"), F.col("comp").alias("comp_b")))
-            met = open_.join(open_.groupBy("gram").agg(hub.alias("hub")).select("gram", "hub.b", "hub.m", "hub.comp_b"), "gram")
-        met = met.where((F.col("comp") != F.col("comp_b")) & _fits("n", "m", percent))
-        fresh = met.groupBy(F.col("node").alias("a"), "b").agg(F.count(F.lit(1)).alias("shared")).select("a", "b")
-        if turn:
-            fresh = fresh.join(tested, (fresh.a == tested.a) & (fresh.b == tested.b), "left_anti")
+            own = now.select("gram", "node", "n", "comp")
+            other = own.select("gram", F.col("node").alias("b"), F.col("n").alias("m"), F.col("comp").alias("comp_b"))
+            pairs = own.join(other, "gram").where(F.col("node") < F.col("b"))
+        pairs = pairs.where((F.col("comp") != F.col("comp_b")) & _fits("n", "m", percent))
+        fresh = pairs.groupBy(F.col("node").alias("a"), "b").agg(F.count(F.lit(1)).alias("shared")).select("a", "b")
+        if tested is not None:
+            fresh = fresh.join(tested, ["a", "b"], "left_anti")
         fresh = materialize(fresh, "pairs")
         found = materialize(_verify(fresh, texts, words, percent), "links")
         links = found.count()
-        both = fresh.union(fresh.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        tested = tested.union(both)
         if links:
-            edges = edges.union(found)
+            edges = found if edges is None else edges.union(found)
             labels = materialize(components(edges), "labels")
-        before, turn = left, turn + 1
+        if last:
+            break
+        both = fresh.union(fresh.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        tested = both if tested is None else tested.union(both)
+        now = now.select("gram", "node", "n", "comp")
     return labels
 
 
@@ -204,8 +225,8 @@ def jaccard_components(docs: DataFrame, text: str = "text", key: str = "doc_id",
     classes = materialize(
         filled.groupBy("sig").agg(F.min("rid").alias("node"), F.min("id").alias("least_id"), F.count(F.lit(1)).alias("rows")), "classes"
     )
-    again = filled.join(classes.where("rows > 1").select("sig", "node"), "sig").where("rid <> node").select("rid")
-    heads = filled.join(again, "rid", "left_anti")
+    again = materialize(filled.join(classes.where("rows > 1").select("sig", "node"), "sig").where("rid <> node").select("rid"), "copies")
+    heads = filled.join(_small(again), "rid", "left_anti")
     rare = heads.select(F.explode("rare").alias("gram"), F.col("rid").alias("node"), "n")
     order = Window.partitionBy("gram").orderBy("node")
     rare = (
@@ -214,10 +235,17 @@ def jaccard_components(docs: DataFrame, text: str = "text", key: str = "doc_id",
     )
     often = heads.select(F.explode("often").alias("gram"), F.col("rid").alias("node"), "n")
     entries = materialize(rare.union(often), "entries")
-    wanted = profiles.join(entries.select(F.col("node").alias("rid")).distinct(), "rid", "left_semi").select("rid", "id", "text_hash")
-    wanted = wanted.select(F.col("rid").alias("node"), F.col("id").alias("of_id"), F.col("text_hash").alias("of_hash"))
-    met = source.join(wanted, (F.col("text_hash") == F.col("of_hash")) & F.col("id").eqNullSafe(F.col("of_id")))
-    texts = materialize(met.select("node", "text").dropDuplicates(["node"]), "texts")
+    # rows that repeat id and text would bring the text of their class several times
+    repeated = profiles.groupBy("id", "text_hash").agg(F.count(F.lit(1)).alias("k")).where("k > 1")
+    repeated = repeated.select(F.col("id").alias("again_id"), F.col("text_hash").alias("again_hash"))
+    wanted = profiles.select("rid", "id", "text_hash").join(entries.select(F.col("node").alias("rid")).distinct(), "rid", "left_semi")
+    wanted = wanted.join(repeated, (F.col("text_hash") == F.col("again_hash")) & F.col("id").eqNullSafe(F.col("again_id")), "left").select(
+        F.col("rid").alias("node"), F.col("id").alias("of_id"), F.col("text_hash").alias("of_hash"), F.col("again_hash").isNotNull().alias("repeats")
+    )
+    wanted = _small(materialize(wanted, "wanted"))
+    met = source.join(wanted, (F.col("text_hash") == F.col("of_hash")) & F.col("id").eqNullSafe(F.col("of_id"))).select("node", "text", "repeats")
+    texts = met.where("not repeats").drop("repeats").union(met.where("repeats").drop("repeats").dropDuplicates(["node"]))
+    texts = materialize(texts, "texts")
     labels = link_classes(entries, texts, words, percent)
     placed = classes.join(labels, "node", "left").select("sig", F.coalesce("comp", "node").alias("comp"), "least_id")
     least = placed.groupBy("comp").agg(F.min("least_id").alias("component_id"))
