@@ -3,7 +3,7 @@
 A window is a fixed number of consecutive words. Comparing every document with every shard would be quadratic, so
 shards are made by content: each window has a minimizer, the smallest hash among its short word sequences, and equal windows have
 equal minimizers. A run of windows with one minimizer is a segment. Only segments whose minimizer occurs again can hold a
-repeated window; equal segments are combined, and the distinct ones go to shards by minimizer. Each shard is indexed, its
+repeated window; equal segments are combined where they are read, and the distinct ones go to shards by minimizer. Each shard is indexed, its
 segments stream through backward search, and the matching statistics say which windows occur elsewhere. The
 work is linear in the words.
 
@@ -114,6 +114,33 @@ def _with_runs(docs: DataFrame, runs: DataFrame) -> DataFrame:
     return met.mapInArrow(run, f"id {kind}, text_hash long, n_words long, kept_sha256 string, text string, runs {runs_type}")
 
 
+def _places(held: DataFrame, window: int) -> DataFrame:
+    """Where each segment is: id, text_hash, begin, least, content_hash, words."""
+    found = _segments(held, window)
+    words = F.length("content") - F.length(F.translate("content", " ", "")) + 1
+    return found.select("id", "text_hash", "begin", "least", F.xxhash64("content").alias("content_hash"), words.alias("words"))
+
+
+def _combined(segments: DataFrame) -> DataFrame:
+    """Distinct segments with their copies: least, content, copies.
+
+    Copies are combined in each batch, so a passage with very many copies is a few rows when it moves. The rows move once, by
+    minimizer; the aggregation and the index both find them in place.
+    """
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            for piece in pieces(batch, "content", 4 << 20):
+                counts = pa.Table.from_batches([piece]).group_by(["least", "content"]).aggregate([("content", "count")])
+                for part in counts.select(["least", "content", "content_count"]).to_batches():
+                    yield pa.RecordBatch.from_arrays(part.columns, ["least", "content", "copies"])
+
+    combined = segments.select("least", "content").mapInArrow(run, "least long, content string, copies long")
+    return combined.repartition("least").groupBy("least", "content").agg(F.sum("copies").alias("copies"))
+
+
 def _segments(held: DataFrame, window: int) -> DataFrame:
     """The segments of all runs: id, text_hash, begin, least, content (words joined by one space)."""
     kind = held.schema["id"].dataType.simpleString()
@@ -207,8 +234,7 @@ def _index_shards(distinct: DataFrame, window: int, shard_words: int) -> DataFra
         if rows:
             yield flush(rows)
 
-    dealt = distinct.repartition("least").sortWithinPartitions("least")
-    out = dealt.mapInArrow(run, "least long, content string, ranges array<struct<low:int,high:int>>")
+    out = distinct.sortWithinPartitions("least").mapInArrow(run, "least long, content string, ranges array<struct<low:int,high:int>>")
     return out.select("least", F.xxhash64("content").alias("content_hash"), "ranges")
 
 
@@ -261,24 +287,24 @@ def substring_dedup(
     held = materialize(_with_runs(source, runs.join(again, "least", "left_semi")), "held")
     open_ = held.where(F.col("text").isNotNull())
     segments = _segments(open_, window)
-    counted = segments.groupBy("least", "content").agg(F.count(F.lit(1)).alias("copies"))
-    counted = materialize(counted, "segments")
-    words = F.length("content") - F.length(F.translate("content", " ", "")) + 1
-    large = counted.groupBy("least").agg(F.sum(words).alias("words")).where(F.col("words") > shard_words).select("least")
+    places = materialize(_places(open_, window), "places")
+    # distinct segments of a minimizer, counted by hash: only their sizes matter here
+    large = places.groupBy("least", "content_hash").agg(F.first("words").alias("words"))
+    large = large.groupBy("least").agg(F.sum("words").alias("words")).where(F.col("words") > shard_words).select("least")
     large = materialize(large, "large")
-    usual = _index_shards(counted.join(large, "least", "left_anti"), window, shard_words)
-    places = segments.select("id", "text_hash", "begin", "least", F.xxhash64("content").alias("content_hash"))
+    crowded = large.count()
+    usual = segments.join(large, "least", "left_anti") if crowded else segments
+    found = _index_shards(_combined(usual), window, shard_words)
 
     def cuts(found: DataFrame, where: DataFrame) -> DataFrame:
         met = where.join(found, ["least", "content_hash"]).select("id", "text_hash", "begin", F.explode("ranges").alias("r"))
         return met.select("id", "text_hash", (F.col("begin") + F.col("r.low")).alias("low"), (F.col("begin") + F.col("r.high")).alias("high"))
 
-    all_cuts = cuts(usual, places)
-    if large.count():
+    all_cuts = cuts(found, places)
+    if crowded:
         single = _single_windows(segments.join(large, "least", "left_semi"), window)
-        alone = single.groupBy("least", "content").agg(F.count(F.lit(1)).alias("copies"))
         where = single.select("id", "text_hash", "begin", "least", F.xxhash64("content").alias("content_hash"))
-        all_cuts = all_cuts.union(cuts(_index_shards(alone, window, shard_words), where))
+        all_cuts = all_cuts.union(cuts(_index_shards(_combined(single), window, shard_words), where))
     changed = _remove(open_, all_cuts, window)
     none = F.array().cast("array<struct<low:int,high:int>>")
     same = held.where(F.col("text").isNull()).select("id", "n_words", F.lit(0).cast("long").alias("n_removed"), "kept_sha256", none.alias("removed"))
