@@ -7,9 +7,18 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import SparkSession
 
 # Bytes of text that a task holds in expanded form at a time; one longer text is a piece of its own.
 PIECE_BYTES = 2 << 20
+# Bytes of one Arrow batch between Spark and a Python task, unless the session says otherwise.
+BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 16 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Smaller Arrow batches for whole texts: a task holds a batch twice, in the JVM and in Python."""
+    if spark.conf.get(BATCH_SETTING, None) is None:
+        spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
 
 
 def pieces(batch: pa.RecordBatch, column: str, limit: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:

@@ -22,10 +22,10 @@ from wattline.llm.batches import pieces
 #: Splits a text into pieces before merging; a fixed value of the byte-level vocabularies.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Known pieces of a task; the memory of the table is bounded by both.
-CACHE_PIECES = 300_000
-CACHE_CHARS = 16 << 20
+CACHE_PIECES = 200_000
+CACHE_CHARS = 12 << 20
 #: Bytes of text whose new pieces are merged together; the more, the fewer times each rank is taken.
-TEXT_BYTES = 8 << 20
+TEXT_BYTES = 4 << 20
 
 
 def byte_symbols() -> dict[str, int]:
@@ -153,9 +153,8 @@ class Encoder:
 
     def _forget(self) -> None:
         # an added token is known by a tuple, which no piece of a text equals
-        self.ids: dict = {(t,): [i] for t, i in self.vocabulary.added.items()}
-        self.written: dict = {k: str(v[0]) for k, v in self.ids.items()}
-        self.bytes: dict = {k: self.vocabulary.bytes_of[v[0]] for k, v in self.ids.items()}
+        self.written: dict = {(t,): str(i) for t, i in self.vocabulary.added.items()}
+        self.bytes: dict = {(t,): t.encode() for t in self.vocabulary.added}
         self.chars = 0
 
     def split(self, texts: list[str]) -> list[list]:
@@ -169,20 +168,19 @@ class Encoder:
             for k, part in enumerate(self.added.split(text)):
                 parts.extend([(part,)] if k % 2 else self.find(part))
             out.append(parts)
-        if len(self.ids) > CACHE_PIECES or self.chars > CACHE_CHARS:
+        if len(self.written) > CACHE_PIECES or self.chars > CACHE_CHARS:
             self._forget()
-        new = list(set().union(*out).difference(self.ids))
+        new = list(set().union(*out).difference(self.written))
         self.chars += sum(map(len, new))
         for piece, ids in zip(new, merge_pieces([p.encode() for p in new], self.vocabulary), strict=True):
-            self.ids[piece] = ids
             self.written[piece] = ",".join(map(self.digits.__getitem__, ids))
             self.bytes[piece] = self.decode_bytes(ids)
         return out
 
     def encode(self, texts: list[str]) -> Iterator[list[int]]:
         """Ids of each text."""
-        for parts in self.split(texts):
-            yield [i for p in parts for i in self.ids[p]]
+        for written, _ in self.written_and_decoded(texts):
+            yield [int(i) for i in written.split(",")] if written else []
 
     def decode_bytes(self, ids: list[int]) -> bytes:
         return b"".join(map(self.vocabulary.bytes_of.__getitem__, ids))

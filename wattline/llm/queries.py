@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattline.llm import bpe, exact_dedup, fingerprints, jaccard_join, license_scan, mixing, rule_quality, substring_dedup, toxicity, warc
+from wattline.llm.batches import bound_batches
 
 QUERIES = {}
 ORACLES = {}
@@ -22,6 +23,7 @@ def query(sql: str | None = None):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
