@@ -180,22 +180,24 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, text: str = "text", th
     Null and empty texts have no features and get the score of the intercept; repeated rows and equal texts score
     alike; an empty table gives an empty result. No shuffle; the model is broadcast, its size is bounded.
     """
+    from pyspark.sql.functions import ArrowUDFType, arrow_udf
+
     # plain values: a broadcast is unpickled before the package can be
     shared = docs.sparkSession.sparkContext.broadcast((model.slots, model.weights, model.intercept, model.sizes, model.bits))
-    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    row_type = row.schema["row"].dataType.simpleString()
 
-    def run(batches):
+    def score(arrays):
         import pyarrow as pa
 
         known = ToxicityModel(*shared.value)
         places = known.places()
-        for batch in batches:
-            flat = pa.RecordBatch.from_arrays([batch.column("row"), batch.column("row").field(text)], ["row", "text"])
-            for piece in pieces(flat, "text"):
+        for array in arrays:
+            scores = [np.empty(0)]
+            for piece in pieces(pa.RecordBatch.from_arrays([array], ["text"]), "text"):
                 raw, borders = text_bytes(piece.column("text"))
-                scores = np.array([known.score(raw[a:b], places) for a, b in zip(borders[:-1], borders[1:], strict=True)])
-                predicted = (scores >= threshold).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([piece.column("row"), pa.array(scores), pa.array(predicted)], ["row", "score", "predicted"])
+                scores.append(np.array([known.score(raw[a:b], places) for a, b in zip(borders[:-1], borders[1:], strict=True)]))
+            yield pa.array(np.concatenate(scores))
 
-    return row.mapInArrow(run, f"row {row_type}, score double, predicted int")
+    # only the text goes to Python; the row stays where it is. Not deterministic: it is to run once, whatever refers to it
+    column = arrow_udf(score, "double", ArrowUDFType.SCALAR_ITER).asNondeterministic()
+    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), column(F.col(text)).alias("score"))
+    return row.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
