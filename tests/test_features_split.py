@@ -7,7 +7,7 @@ from wattline.functions.rowwise import row_aggregate
 from wattline.operators.features import dropped_columns, engineer_wide, feature_projection, total_by_time, with_time_features
 from wattline.operators.clean import to_long
 from wattline.operators.split import feature_columns, features_only, split_frames, time_split
-from wattline.plans.prepare import PrepareOptions, gated, prepare
+from wattline.plans.prepare import PrepareOptions, gated, prepare, rejected_rows
 
 WIDE = "timestamp timestamp_ntz, MT_001 double, MT_002 double, MT_003 double"
 DATA = [(at(0), 1.0, None, 3.0), (at(1), None, None, None), (at(2), 0.5, 0.25, -1.0)]
@@ -99,13 +99,40 @@ def test_routes_agree_and_keys_keep_files_apart(spark):
     data = [("a", at(0), "1,0", None), ("a", at(1), None, "2,5"), ("b", at(2), None, "4"), ("b", at(3), "x", None), ("b", None, "9", "9")]
     df = spark.createDataFrame(data, "source_file string, timestamp timestamp_ntz, MT_001 string, MT_002 string")
     for route in ("wide", "long"):
-        got = rows(prepare(df, PrepareOptions(route=route), ["source_file"]).select("source_file", "timestamp", "total_load"), "timestamp")
+        options = PrepareOptions(route=route, untimed="reject")
+        got = rows(prepare(df, options, ["source_file"]).select("source_file", "timestamp", "total_load"), "timestamp")
         assert got == [("a", at(0), 0.25), ("a", at(1), 0.875), ("b", at(2), 1.0), ("b", at(3), 1.0)]
-    for options in (PrepareOptions(route="other"), PrepareOptions(route="wide", imputation="median")):
+        with pytest.raises(Exception, match="no timestamp"):
+            prepare(df, PrepareOptions(route=route, imputation="none"), ["source_file"]).collect()
+        with pytest.raises(OptionError):
+            prepare(df, PrepareOptions(route=route, convert=False))
+    assert [tuple(r) for r in rejected_rows(df).select("source_file", "MT_001").collect()] == [("b", "9")]
+    for options in (PrepareOptions(route="other"), PrepareOptions(untimed="other"), PrepareOptions(route="wide", imputation="magic")):
         with pytest.raises(OptionError):
             prepare(df, options)
 
 
+@pytest.mark.parametrize("route", ["wide", "long"])
+def test_rows_that_share_a_timestamp_stay_apart(spark, route):
+    data = [(at(0), "1", "2"), (at(0), "10", "20"), (at(1), "3", None)]
+    df = spark.createDataFrame(data, "timestamp timestamp_ntz, MT_001 string, MT_002 string").coalesce(1)
+    got = prepare(df, PrepareOptions(route=route, factor=None))
+    # the third row takes its missing cell from the later of the two
+    assert sorted(r["total_load"] for r in got.collect()) == [3.0, 23.0, 30.0]
+
+
+@pytest.mark.parametrize("route", ["wide", "long"])
+@pytest.mark.parametrize("strategy, want", [("median", 2.0), ("mode", 1.0)])
+def test_statistics_stay_inside_a_file(spark, route, strategy, want):
+    data = [("a", at(0), 1.0), ("a", at(1), 1.0), ("a", at(2), 3.0), ("a", at(9), None), ("b", at(0), 100.0), ("b", at(1), None)]
+    df = spark.createDataFrame(data, "source_file string, timestamp timestamp_ntz, MT_001 double")
+    got = prepare(df, PrepareOptions(route=route, factor=None, imputation=strategy), ["source_file"])
+    filled = {(r["source_file"], r["timestamp"]): r["total_load"] for r in got.collect()}
+    assert filled[("a", at(9))] == 1.0 and filled[("b", at(1))] == 100.0
+    alone = prepare(df.drop("source_file"), PrepareOptions(route=route, factor=None, imputation=strategy))
+    assert [r["total_load"] for r in alone.orderBy("timestamp").collect()][-1] == want
+
+
 @pytest.mark.parametrize("imputation, want", [("median", [1.0, 1.0]), ("mode", [1.0, 1.0]), ("none", [1.0, 0.0])])
 def test_other_imputations(spark, imputation, want):
     df = spark.createDataFrame([(at(0), "1"), (at(1), None)], "timestamp timestamp_ntz, MT_001 string")

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from helpers import at, rows
 from wattline.errors import IngestError, OptionError, RegistryError, TrainingError
@@ -14,7 +15,7 @@ from wattline.sources.delimited import (
 )
 from wattline.sources.tables import (
     COMPARISON_SCHEMA, REGISTRY_SCHEMA, REPORT_SCHEMA, RUN_PHASES_SCHEMA, TRIAL_METRICS_SCHEMA, champion, load_champion,
-    phase_durations, read_table, register, save_engineered,
+    phase_durations, read_table, register, save_engineered, save_predictions,
 )
 
 HEADER = '"";"MT_001";"MT_002"\n'
@@ -80,6 +81,28 @@ def test_headerless_scan_skips_a_header_line(spark, tmp_path):
     assert rows(got, "timestamp") == [(at(0), 0.5, None), (at(1), 1.5, None)]
 
 
+def test_headerless_scan_keeps_rows_without_timestamp(spark, tmp_path):
+    (tmp_path / "a.txt").write_text("timestamp;MT_001;MT_002\n2024-01-01 00:00:00;1;2\n;2,5;x\n;;\n")
+    (tmp_path / "b.txt").write_text(";7;\n2024-01-01 00:15:00;3;4\n")
+    got = scan_headerless(spark, [f"{tmp_path}/a.txt", f"{tmp_path}/b.txt"])
+    found = sorted([tuple(r) for r in got.collect()], key=repr)
+    assert found == sorted([(at(0), 1.0, 2.0), (None, 2.5, None), (None, None, None), (None, 7.0, None), (at(1), 3.0, 4.0)], key=repr)
+
+
+def test_directory_scan_of_many_files(spark, tmp_path):
+    for i in range(1100):
+        names, cells = (("A", "B"), "1;2") if i % 2 else (("B", "A"), "2;1")
+        (tmp_path / f"f{i}.txt").write_text(f'"";"MT_{names[0]}";"MT_{names[1]}"\n"{at(0)}";{cells}\n')
+    got = scan_directory(spark, str(tmp_path)).groupBy("MT_A", "MT_B").agg(F.countDistinct("source_file").alias("n")).collect()
+    assert [tuple(r) for r in got] == [("1", "2", 1100)]
+
+
+def test_scoring_keeps_other_sources(spark, tmp_path):
+    for source in ("a", "b", "a"):
+        save_predictions(spark.createDataFrame([(source, 1.0)], "source_file string, prediction double"), f"{tmp_path}/p")
+    assert sorted(r["source_file"] for r in spark.read.parquet(f"{tmp_path}/p").collect()) == ["a", "b"]
+
+
 def test_engineered_sink(spark, tmp_path):
     df = spark.createDataFrame([(at(0), 1.5)], "timestamp timestamp_ntz, total_load double")
     for _ in range(2):

@@ -10,12 +10,14 @@ from pyspark.sql import functions as F
 from wattline.errors import OptionError, TrainingError
 
 
-def mse() -> Column:
-    return F.avg(F.pow(F.col("label") - F.col("prediction"), 2))
+def mse(label: Column | None = None, guess: Column | None = None) -> Column:
+    label = F.col("label") if label is None else label
+    guess = F.col("prediction") if guess is None else guess
+    return F.avg(F.pow(label - guess, 2))
 
 
-def rmse() -> Column:
-    return F.sqrt(mse())
+def rmse(label: Column | None = None, guess: Column | None = None) -> Column:
+    return F.sqrt(mse(label, guess))
 
 
 METRICS = {"rmse": rmse, "mse": mse}
@@ -35,8 +37,8 @@ def evaluate(
 ) -> DataFrame:
     """One row per group with the row count, the unusable rows, and each metric.
 
-    All models are judged in one pass with partial sums. A row without usable label or prediction is
-    counted and leaves NaN in no metric: callers decide with :func:`require_usable`.
+    All models are judged in one pass with partial sums, over the rows with usable label and prediction. The others are
+    counted; :func:`evaluate_one` refuses them.
     """
     _known(metrics)
     label, guess = F.col("label").cast("double"), F.col("prediction").cast("double")
@@ -44,7 +46,7 @@ def evaluate(
     return predictions.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.count_if(broken).alias("n_broken"),
-        *[METRICS[m]().alias(m) for m in metrics],
+        *[METRICS[m](F.when(~broken, label), F.when(~broken, guess)).alias(m) for m in metrics],
     )
 
 

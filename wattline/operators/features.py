@@ -6,10 +6,11 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wattline.errors import OptionError
 from wattline.functions.calendar import TIME_FEATURES
-from wattline.functions.names import METER_PATTERN, METER_PREFIX, matching, numeric, quote
+from wattline.functions.names import METER_PATTERN, METER_PREFIX, matching, quote
 from wattline.functions.rowwise import ROW_METHODS, row_aggregate
 
 TARGET = "total_load"
@@ -30,16 +31,32 @@ def with_time_features(df: DataFrame, flags: Mapping[str, bool] | None = None, t
     return df.withColumns({n: make(F.col(ts)) for n, make in TIME_FEATURES.items() if flags.get(n, False)})
 
 
+def column_roles(schema: T.StructType, target: str = TARGET, ts: str = "timestamp", keep: Sequence[str] = ()) -> dict[str, str]:
+    """What each column is to the engineered table: key, time, target, feature, or unused (meters and text)."""
+
+    def role(field: T.StructField) -> str:
+        if field.name in keep:
+            return "key"
+        if field.name == ts:
+            return "time"
+        if field.name == target:
+            return "target"
+        is_feature = isinstance(field.dataType, T.NumericType) and not field.name.startswith(METER_PREFIX)
+        return "feature" if is_feature else "unused"
+
+    return {f.name: role(f) for f in schema.fields}
+
+
 def feature_projection(
     df: DataFrame, target: str = TARGET, ts: str = "timestamp", keep: Sequence[str] = ()
 ) -> DataFrame:
-    """Timestamp first, then every number that is no meter, then the target if it got lost."""
-    chosen = [c for c in numeric(df) if not c.startswith(METER_PREFIX) and c not in keep]
-    if ts in df.columns:
-        chosen.insert(0, ts)
-    if target in df.columns and target not in chosen:
-        chosen.append(target)
-    return df.select(*keep, *[F.col(quote(c)) for c in chosen])
+    """Keys, time, then numeric target and features in their order; a target that is no number comes last."""
+    roles = column_roles(df.schema, target, ts, keep)
+    measured = isinstance(df.schema[target].dataType, T.NumericType) if target in roles else True
+    rank = {"key": 0, "time": 1, "feature": 2, "target": 2 if measured else 3}
+    order = {**{c: i for i, c in enumerate(keep)}, **{c: i + len(keep) for i, c in enumerate(df.columns) if c not in keep}}
+    used = sorted((c for c, r in roles.items() if r in rank), key=lambda c: (rank[roles[c]], order[c]))
+    return df.select(*[F.col(quote(c)) for c in used])
 
 
 def dropped_columns(before: DataFrame, after: DataFrame) -> list[str]:
@@ -81,6 +98,10 @@ def engineer_long(
     flags: Mapping[str, bool] | None = None,
     target: str = TARGET,
     keep: Sequence[str] = (),
+    row: str | None = None,
 ) -> DataFrame:
-    totals = total_by_time(long, method, keys=[*keep, "timestamp"], out=TARGET)
+    """The long form's table; ``row`` names the column that tells apart input rows which share a timestamp."""
+    totals = total_by_time(long, method, keys=[*keep, "timestamp", *([row] if row else [])], out=TARGET)
+    if row:
+        totals = totals.drop(row)
     return feature_projection(with_time_features(totals, flags), target, keep=keep)

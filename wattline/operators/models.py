@@ -21,8 +21,6 @@ from wattline.errors import OptionError, TrainingError
 MAX_DEPTH = 30
 # The normal-equation solver takes as many features.
 MAX_NORMAL_FEATURES = 4096
-# A classifier target has at most this many classes.
-MAX_CLASSES = 100
 
 
 @dataclass(frozen=True)
@@ -42,13 +40,21 @@ DEFAULT_MODELS = (
 )
 
 # Parameters without a counterpart here; accepted so that existing definitions run.
-IGNORED = {"n_jobs", "min_samples_split", "verbose", "verbosity"}
+IGNORED = {"n_jobs", "verbose", "verbosity"}
+DEFAULT_SEED = 42
 
 
 def _depth(value: Any, default: int) -> int:
     if value is None or value == "None":
         return default
-    return min(int(value), MAX_DEPTH)
+    if int(value) > MAX_DEPTH:
+        raise OptionError(f"trees are at most {MAX_DEPTH} deep, not {value}")
+    return int(value)
+
+
+def _seed(params: Mapping[str, Any]) -> int:
+    value = params.get("random_state")
+    return DEFAULT_SEED if value is None else int(value)
 
 
 def _reject_unknown(kind: str, params: Mapping[str, Any], known: set[str]) -> None:
@@ -57,7 +63,14 @@ def _reject_unknown(kind: str, params: Mapping[str, Any], known: set[str]) -> No
         raise OptionError(f"{kind}: unknown parameters {sorted(unknown)}")
 
 
-_FOREST = {"n_estimators", "max_depth", "random_state", "max_features", "max_bins", "min_samples_leaf"}
+def _least_leaf(params: Mapping[str, Any]) -> int:
+    """Least rows of a leaf. A node that must hold ``min_samples_split`` rows to be split is one whose halves hold half as many."""
+    return max(int(params.get("min_samples_leaf", 1)), int(params.get("min_samples_split", 2)) // 2)
+
+
+_FOREST = {
+    "n_estimators", "max_depth", "random_state", "max_features", "max_bins", "min_samples_leaf", "min_samples_split", "bootstrap",
+}
 
 
 def _forest_options(kind: str, params: Mapping[str, Any], features: str) -> dict[str, Any]:
@@ -65,10 +78,11 @@ def _forest_options(kind: str, params: Mapping[str, Any], features: str) -> dict
     return {
         "numTrees": int(params.get("n_estimators", 100)),
         "maxDepth": _depth(params.get("max_depth"), MAX_DEPTH),
-        "seed": int(params.get("random_state") or 42),
+        "seed": _seed(params),
+        "bootstrap": bool(params.get("bootstrap", True)),
         "featureSubsetStrategy": str(params.get("max_features", features)),
         "maxBins": int(params.get("max_bins", 32)),
-        "minInstancesPerNode": int(params.get("min_samples_leaf", 1)),
+        "minInstancesPerNode": _least_leaf(params),
     }
 
 
@@ -86,6 +100,7 @@ def _forest_classifier(params, label_std):
 
 _BOOSTED = {
     "n_estimators", "learning_rate", "max_depth", "num_leaves", "random_state", "subsample", "max_bins", "min_samples_leaf",
+    "min_samples_split",
 }
 
 
@@ -104,9 +119,9 @@ def _boosted(kind: str, depth: int, rate: float):
             stepSize=float(params.get("learning_rate", rate)),
             maxDepth=default if limit in (None, "None", -1) else _depth(limit, default),
             maxBins=int(params.get("max_bins", 32)),
-            minInstancesPerNode=int(params.get("min_samples_leaf", 1)),
+            minInstancesPerNode=_least_leaf(params),
             subsamplingRate=float(params.get("subsample", 1.0)),
-            seed=int(params.get("random_state") or 42),
+            seed=_seed(params),
             checkpointInterval=10,
         )
 
@@ -156,19 +171,17 @@ def build(definition: ModelDefinition, label_std: float | None = None):
     return BUILDERS[definition.kind](definition.params, label_std)
 
 
-def label_deviation(df: DataFrame, target: str) -> float:
-    """Population standard deviation, the one the solver scales labels by."""
-    return float(df.agg(F.stddev_pop(target)).first()[0] or 0.0)
+def label_deviation(df: DataFrame, target: str, sample: bool = False) -> float:
+    """The standard deviation that a solver scales labels by: of the population, or of a sample."""
+    return float(df.agg((F.stddev_samp if sample else F.stddev_pop)(target)).first()[0] or 0.0)
 
 
 def _check_classes(df: DataFrame, target: str) -> None:
+    """A continuous target is an error; any number of classes is not."""
     if isinstance(df.schema[target].dataType, T.FractionalType):
         fractional = df.where(F.col(target) != F.floor(F.col(target))).limit(1).count()
         if fractional:
             raise TrainingError(f"{target!r} is continuous; a classifier needs classes")
-    classes = df.agg(F.approx_count_distinct(target)).first()[0]
-    if classes > MAX_CLASSES:
-        raise TrainingError(f"{target!r} has about {classes} values; a classifier takes {MAX_CLASSES} classes at most")
 
 
 def fit(
@@ -184,12 +197,12 @@ def fit(
         fitted = Pipeline(stages=[*stages, estimator, back]).fit(labels.transform(train.select(*features, target)))
         return fitted
     prepared = train.select(*features, F.col(target).cast("double").alias("label"))
-    deviation = None
-    if definition.kind == "elastic_net":
-        if len(features) > MAX_NORMAL_FEATURES:
-            raise OptionError(f"elastic_net takes {MAX_NORMAL_FEATURES} features at most")
-        deviation = label_deviation(prepared, "label") or None
-    return Pipeline(stages=[*stages, build(definition, deviation)]).fit(prepared)
+    if definition.kind != "elastic_net":
+        return Pipeline(stages=[*stages, build(definition)]).fit(prepared)
+    # Beyond the normal equations' bound the iterative solver takes over; it scales labels by the sample deviation.
+    wide = len(features) > MAX_NORMAL_FEATURES
+    deviation = label_deviation(prepared, "label", sample=wide) or None
+    return Pipeline(stages=[*stages, build(definition, deviation).setSolver("l-bfgs" if wide else "normal")]).fit(prepared)
 
 
 def predict(model: PipelineModel, df: DataFrame, keep: Sequence[str]) -> DataFrame:

@@ -14,7 +14,7 @@ TRAIN_END = "2013-12-31"
 VAL_END = "2014-06-30"
 
 
-def _bound(value: str | datetime) -> Column:
+def day_bound(value: str | datetime) -> Column:
     text = value.isoformat(sep=" ") if isinstance(value, datetime) else value
     return F.lit(text).cast("timestamp_ntz")
 
@@ -23,12 +23,12 @@ def split_label(
     ts: Column, train_end: str = TRAIN_END, val_end: str = VAL_END, test_end: str | None = None
 ) -> Column:
     """'train', 'validation', 'test', or NULL for rows without timestamp or past ``test_end``."""
-    past = ts > _bound(val_end)
+    past = ts > day_bound(val_end)
     if test_end is not None:
-        past = past & (ts <= _bound(test_end))
+        past = past & (ts <= day_bound(test_end))
     return (
-        F.when(ts <= _bound(train_end), F.lit("train"))
-        .when((ts > _bound(train_end)) & (ts <= _bound(val_end)), F.lit("validation"))
+        F.when(ts <= day_bound(train_end), F.lit("train"))
+        .when((ts > day_bound(train_end)) & (ts <= day_bound(val_end)), F.lit("validation"))
         .when(past, F.lit("test"))
     )
 
@@ -62,12 +62,12 @@ def split_frames(
     if df.isEmpty():
         raise WattlineError("cannot split an empty table")
     at = F.col(ts)
-    test = df.where(at > _bound(val_end))
+    test = df.where(at > day_bound(val_end))
     if test_end is not None:
-        test = test.where(at <= _bound(test_end))
+        test = test.where(at <= day_bound(test_end))
     return (
-        df.where(at <= _bound(train_end)),
-        df.where((at > _bound(train_end)) & (at <= _bound(val_end))),
+        df.where(at <= day_bound(train_end)),
+        df.where((at > day_bound(train_end)) & (at <= day_bound(val_end))),
         test,
     )
 

@@ -11,7 +11,7 @@ from wattline.errors import RegistryError
 from wattline.operators.drift import DRIFT_THRESHOLD, PRIMARY_METRIC, detect_drift, latest_report, retrain_decision
 from wattline.operators.evaluate import evaluate_one
 from wattline.operators.models import load_model
-from wattline.operators.split import VAL_END, split_label
+from wattline.operators.split import VAL_END, day_bound
 from wattline.plans.prepare import PrepareOptions, gated
 from wattline.plans.runlog import RunLog, now
 from wattline.sources.tables import REPORT_SCHEMA, append_rows, load_champion, read_table
@@ -29,9 +29,10 @@ class MonitorOptions:
 
 
 def live_slice(engineered: DataFrame, live_after: str = VAL_END, test_end: str | None = None) -> DataFrame:
-    """The rows behind the validation bound."""
-    label = split_label(F.col("timestamp"), live_after, live_after, test_end)
-    return engineered.where(label == "test")
+    """The rows behind the validation bound, as a plain range that reaches a Parquet scan."""
+    at = F.col("timestamp")
+    live = engineered.where(at > day_bound(live_after))
+    return live if test_end is None else live.where(at <= day_bound(test_end))
 
 
 def is_drift(spark: SparkSession, baseline: float, live: float, threshold: float = DRIFT_THRESHOLD) -> bool:

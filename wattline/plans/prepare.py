@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wattline.errors import OptionError
@@ -16,7 +17,7 @@ from wattline.functions.numeric import is_text
 from wattline.operators.clean import KW_TO_KWH, clean_long, coerce_numeric
 from wattline.operators.contracts import ENGINEERED, PREPROCESSED, RAW, Contract
 from wattline.operators.features import engineer_long, engineer_wide
-from wattline.operators.impute import forward_fill, impute_long
+from wattline.operators.impute import STRATEGIES, fill_wide, forward_fill, impute_long
 from wattline.sources.delimited import ingest_timestamp
 from wattline.storage import materialize
 
@@ -32,25 +33,57 @@ class PrepareOptions:
     target: str = "total_load"
     # "long": one row per meter and time, for hundreds of meters; "wide": row-local, for a few.
     route: str = "long"
+    # Rows without timestamp: "fail" the job, or "reject" them, which `rejected_rows` lists.
+    untimed: str = "fail"
+
+
+ROW = "_row"
+
+
+def rejected_rows(df: DataFrame, ts: str = "timestamp") -> DataFrame:
+    """Rows that have no place in time; `prepare` refuses them unless told to leave them out."""
+    return df.where(F.col(ts).isNull())
+
+
+def _timed(df: DataFrame, untimed: str) -> DataFrame:
+    if untimed == "reject":
+        return df.where("timestamp is not null")
+    if untimed != "fail":
+        raise OptionError(f"unknown choice {untimed!r} for rows without timestamp; known: fail, reject")
+    refuse = F.raise_error(F.lit("a row has no timestamp; see rejected_rows")).cast("boolean")
+    return df.where(F.when(F.col("timestamp").isNull(), refuse).otherwise(F.lit(True)))
+
+
+def _check_types(df: DataFrame, meters: Sequence[str], options: PrepareOptions) -> None:
+    texts = [c for c in meters if is_text(df.schema[c].dataType)]
+    if texts and not options.convert:
+        raise OptionError(f"text columns need convert=True: {texts[:5]}")
 
 
 def clean_wide(df: DataFrame, options: PrepareOptions, keys: Sequence[str] = ()) -> DataFrame:
-    """Coerced, scaled and forward-filled meter columns."""
+    """Coerced, scaled and filled meter columns, one row for each input row."""
     meters = matching(df, options.pattern)
+    _check_types(df, meters, options)
     numbers = coerce_numeric(df, meters, options.factor)
-    if options.imputation == "none":
+    if options.imputation == "none" or not meters:
         return numbers
-    if options.imputation != "forward_fill":
-        raise OptionError("the wide route fills forward only; use the long route for the median or mode")
-    return forward_fill(numbers, meters, keys)
+    # Filling needs two passes: cells are coerced once, and a row's id orders rows that share a timestamp.
+    numbers = materialize(numbers.withColumn(ROW, F.monotonically_increasing_id()), "coerced")
+    if options.imputation == "forward_fill":
+        filled = forward_fill(numbers, meters, keys, tie=ROW)
+    else:
+        filled = fill_wide(numbers, meters, options.imputation, keys)
+    return filled.drop(ROW)
 
 
 def prepare(df: DataFrame, options: PrepareOptions = PrepareOptions(), keys: Sequence[str] = ()) -> DataFrame:
-    """Engineered table from a table with ``timestamp`` and meter columns.
+    """Engineered table from a table with ``timestamp`` and meter columns: one row for each input row, on both routes.
 
     ``keys`` (such as the source file) separate series that must not fill into each other.
     """
-    stamped = df.where("timestamp is not null")
+    if options.imputation not in STRATEGIES:
+        raise OptionError(f"unknown imputation strategy {options.imputation!r}; known: {STRATEGIES}")
+    stamped = _timed(df, options.untimed)
     if options.route == "wide":
         return engineer_wide(
             clean_wide(stamped, options, keys), options.method, options.pattern, options.flags, options.target, keys
@@ -59,15 +92,14 @@ def prepare(df: DataFrame, options: PrepareOptions = PrepareOptions(), keys: Seq
         raise OptionError(f"unknown route {options.route!r}; known: long, wide")
     # Meters are told apart by their place: the names are not needed again, and sort and shuffle faster as numbers.
     meters = matching(stamped, options.pattern)
-    long = clean_long(stamped, [*keys, "timestamp"], options.convert, options.factor, meters, named=False)
-    if options.imputation != "none" and any(is_text(stamped.schema[c].dataType) for c in meters):
-        # Filling needs two passes. Text is parsed once: reading it again costs more than the columnar copy.
+    _check_types(stamped, meters, options)
+    numbered = stamped.withColumn(ROW, F.monotonically_increasing_id())
+    long = clean_long(numbered, [*keys, "timestamp", ROW], options.convert, options.factor, meters, named=False)
+    if options.imputation != "none":
+        # Filling needs two passes. The copy holds each row's id, and text is parsed once.
         long = materialize(long, "coerced")
-    if options.imputation == "forward_fill":
-        filled = forward_fill(long, ["value"], [*keys, "meter_id"])
-    else:
-        filled = impute_long(long, options.imputation)
-    return engineer_long(filled, options.method, options.flags, options.target, keys)
+    filled = impute_long(long, options.imputation, key=[*keys, "meter_id"], tie=ROW)
+    return engineer_long(filled, options.method, options.flags, options.target, keys, ROW)
 
 
 def _numeric_schema(schema: T.StructType, options: PrepareOptions) -> T.StructType:

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
+from wattline.operators.contracts import RAW, Contract
 from wattline.operators.models import load_model, predict
 from wattline.plans.prepare import PrepareOptions, prepare
 from wattline.sources.delimited import BLANK_NAME, normalize_header, scan_directory
@@ -26,10 +27,14 @@ def predict_batch(
 def score_files(
     spark: SparkSession, path: str, model: PipelineModel, options: PrepareOptions = PrepareOptions()
 ) -> DataFrame | None:
-    """Predictions for every file of a directory; values never fill from one file into another."""
+    """Predictions for every file of a directory; values never fill from one file into another.
+
+    The files together must keep the raw contract, as training data must.
+    """
     raw = scan_directory(spark, path)
     if raw is None:
         return None
+    Contract(RAW, "raw").check(raw.drop(SOURCE))
     names = ["timestamp" if c == BLANK_NAME else c for c in raw.columns]
     return predict_batch(normalize_header(raw.toDF(*names)), model, options, [SOURCE])
 

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,13 +15,14 @@ from wattline.errors import IngestError
 from wattline.functions.names import quote
 from wattline.functions.numeric import to_number
 from wattline.operators.contracts import Contract
+from wattline.storage import materialize
 
 # Separator of the meter files, and the name other tools give a blank header.
 SEPARATOR = ";"
 BLANK_NAME = "Unnamed: 0"
 TIMESTAMP = "timestamp"
-# Every header probe is a small job, so their number is bounded.
-MAX_SOURCES = 1_000
+# Names that readers give a blank header.
+_BLANK = ("", "_c0")
 
 
 def _reader(spark: SparkSession, sep: str):
@@ -41,7 +41,11 @@ def read_header(spark: SparkSession, path: str | Sequence[str], sep: str = SEPAR
         if _missing(error):
             raise IngestError(f"no file at {path!r}") from error
         raise
-    return [BLANK_NAME, *names[1:]] if names and names[0] in ("", "_c0") else names
+    return _known_names(names)
+
+
+def _known_names(names: list[str]) -> list[str]:
+    return [BLANK_NAME, *names[1:]] if names and names[0] in _BLANK else names
 
 
 def _file_schema(schema: T.StructType) -> T.StructType:
@@ -83,54 +87,73 @@ def ingest_timestamp(df: DataFrame, strict: bool = True) -> DataFrame:
     return df.select(stamp.alias(TIMESTAMP), *[F.col(quote(c)) for c in df.columns[1:]])
 
 
-def is_blank_name(name: str) -> bool:
-    return name in ("", "_c0") or name.lower().startswith("unnamed")
+def header_mapping(schema: T.StructType) -> dict[str, str]:
+    """Column of a scan to its clean name: no quotes, and ``timestamp`` for a first column without a name of its own."""
+    mapping = {f.name: f.name.strip('"') for f in schema.fields}
+    lead = schema.fields[0].name
+    if mapping[lead] in _BLANK or mapping[lead].lower().startswith("unnamed"):
+        mapping[lead] = TIMESTAMP
+    return mapping
 
 
 def normalize_header(df: DataFrame, strict: bool = True) -> DataFrame:
-    """Quotes leave the names, a blank first name becomes ``timestamp``, and that column is parsed."""
-    names = [c.strip('"') for c in df.columns]
-    if is_blank_name(names[0]):
-        names[0] = TIMESTAMP
-    renamed = df.toDF(*names)
-    if TIMESTAMP not in names:
+    """One select: each column under its clean name, the ``timestamp`` parsed."""
+    mapping = header_mapping(df.schema)
+    if TIMESTAMP not in mapping.values():
         raise IngestError("no timestamp column in the header")
-    kind = renamed.schema[TIMESTAMP].dataType
-    stamp = parse_timestamp(F.col(TIMESTAMP), kind, strict).alias(TIMESTAMP)
-    return renamed.select(*[stamp if c == TIMESTAMP else F.col(quote(c)) for c in names])
+    columns = {
+        old: parse_timestamp(F.col(quote(old)), df.schema[old].dataType, strict) if new == TIMESTAMP else F.col(quote(old))
+        for old, new in mapping.items()
+    }
+    return df.select(*[columns[old].alias(new) for old, new in mapping.items()])
 
 
-def scan_directory(spark: SparkSession, path: str, sep: str = SEPARATOR, source: str = "source_file") -> DataFrame | None:
-    """All ``*.txt`` and ``*.csv`` of a directory as one table of text with its source file; None if there are none.
+def first_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """``file, line``: the first line of every file, found in one distributed job for any number of files."""
+    lines = spark.read.text(paths).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"), "value", F.monotonically_increasing_id().alias("place")
+    )
+    # a file's first line is the first row of its first block, and ids rise with the rows of a block
+    return lines.where("at = 0").groupBy("file").agg(F.min_by("value", "place").alias("line"))
 
-    Files may order their columns differently: each distinct header is scanned as one group and the
-    groups are put together by name. When all headers agree, that is one scan of everything. Beyond
-    ``MAX_SOURCES`` files all must agree, and one that does not fails the job.
-    """
-    globs = [f"{path.rstrip('/')}/*.{ending}" for ending in ("txt", "csv")]
-    present = []
-    for glob in globs:
+
+def _present(spark: SparkSession, folder: str, endings: Sequence[str]) -> list[str]:
+    """The patterns that match a file."""
+    found = []
+    for pattern in (f"{folder.rstrip('/')}/*.{ending}" for ending in endings):
         try:
-            present.extend(_reader(spark, sep).option("header", True).csv(glob).inputFiles())
+            spark.read.text(pattern)
+            found.append(pattern)
         except AnalysisException as error:
             if not _missing(error):
                 raise
-    if not present:
+    return found
+
+
+def scan_directory(spark: SparkSession, path: str, sep: str = SEPARATOR, source: str = "source_file") -> DataFrame | None:
+    """All ``*.txt`` and ``*.csv`` of a directory as one table of text with its source file; None if there are none.
+
+    Files may order their columns differently. One job reads every first line; each distinct header gives one scan, which keeps the rows
+    of its own files, and the scans are put together by name. When all headers agree, that is one scan. Files are never
+    listed on the driver; headers are, one per kind of file.
+    """
+    patterns = _present(spark, path, ("txt", "csv"))
+    if not patterns:
         return None
-    groups: dict[tuple[str, ...], list[str]] = {}
-    if len(present) > MAX_SOURCES:
-        groups[tuple(read_header(spark, present[0], sep))] = present
-    else:
-        probe = inheritable_thread_target(spark)(lambda file: tuple(read_header(spark, file, sep)))
-        with ThreadPoolExecutor(max_workers=16) as pool:
-            for file, names in zip(present, pool.map(probe, present)):
-                groups.setdefault(names, []).append(file)
+    lines = materialize(first_lines(spark, patterns), "headers")
+    kinds = [r["line"] for r in lines.select("line").distinct().orderBy("line").collect()]
     parts = []
-    for names, files in groups.items():
-        scan = _checked_scan(spark, files, Contract({}).read_schema(list(names)), sep)
-        # the hidden file column has to be taken before the columns get new names
-        cells = [scan[c].alias(n) for c, n in zip(scan.columns, names)]
-        parts.append(scan.select(*cells, F.col("_metadata.file_name").alias(source)))
+    for line in kinds:
+        names = _known_names(next(csv.reader([line], delimiter=sep), [""]))
+        schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(names))])
+        scan = _reader(spark, sep).option("header", True).schema(schema).csv(patterns)
+        # the hidden file columns have to be taken before the columns get new names
+        cells = [F.col(f"c{i}").alias(n) for i, n in enumerate(names)]
+        rows = scan.select(*cells, F.col("_metadata.file_name").alias(source), F.col("_metadata.file_path").alias("_file"))
+        if len(kinds) > 1:
+            own = lines.where(F.col("line") == F.lit(line)).select(F.col("file").alias("_file"))
+            rows = rows.join(own, "_file", "left_semi")
+        parts.append(rows.drop("_file"))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
@@ -139,22 +162,25 @@ def scan_headerless(
 ) -> DataFrame:
     """Timestamp, then numbers named ``client_1`` and up; cells that do not convert are missing.
 
-    A header line that is there all the same has no timestamp and is left out.
+    A header line that is there all the same is left out: the first line of a file, if its first cell is no timestamp and no other
+    cell is a number. All other rows stay, whatever their cells are.
     """
     try:
-        raw = _reader(spark, sep).option("header", False).csv(path)
+        width = len(_reader(spark, sep).option("header", False).csv(path).columns)
     except AnalysisException as error:
         if _missing(error):
             raise IngestError(f"no file at {path!r}") from error
         raise
-    names = raw.columns
-    typed = raw.select(
-        F.col(names[0]).try_cast("timestamp_ntz").alias(TIMESTAMP),
-        *[to_number(F.col(c), T.StringType()).alias(f"{prefix}{i}") for i, c in enumerate(names[1:], 1)],
-        F.col(names[0]).alias("_first"),
-    )
-    header = F.col(TIMESTAMP).isNull() & (F.coalesce(F.col("_first"), F.lit("")) == "")
-    return typed.where(~header).drop("_first")
+    cells = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(width)])
+    # the reader passes over each file's first line; those come from their own job and are judged one by one
+    rest = _reader(spark, sep).option("header", True).schema(cells).csv(path)
+    parsed = F.from_csv("line", F.lit(cells.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " ")), {"sep": sep, "quote": '"'})
+    first = first_lines(spark, path).where(F.trim("line") != "").select(parsed.alias("row")).select("row.*")
+    stamp = F.col("c0").try_cast("timestamp_ntz")
+    numbers = [to_number(F.col(f"c{i}"), T.StringType()) for i in range(1, width)]
+    is_header = stamp.isNull() & F.coalesce(*numbers, F.lit(None).cast("double")).isNull()
+    rows = rest.unionByName(first.where(~is_header))
+    return rows.select(stamp.alias(TIMESTAMP), *[n.alias(f"{prefix}{i}") for i, n in enumerate(numbers, 1)])
 
 
 def write_delimited(df: DataFrame, path: str, sep: str = SEPARATOR) -> str:

@@ -73,12 +73,12 @@ def save_engineered(df: DataFrame, path: str, fmt: str = "parquet", partition_by
 
 
 def save_predictions(df: DataFrame, path: str, source: str = "source_file") -> str:
-    """One folder per source file.
+    """One folder per source file. A later job replaces the folders of its own sources only.
 
     Rebalancing brings a source's rows together, so that few files are written, and splits
     a source too large for one task.
     """
-    df.hint("rebalance", F.col(source)).write.mode("overwrite").partitionBy(source).parquet(path)
+    df.hint("rebalance", F.col(source)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(source).parquet(path)
     return path
 
 
