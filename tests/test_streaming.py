@@ -67,3 +67,16 @@ def test_closed_windows_equal_batch(spark, tmp_path):
     # 100 hours: four whole days; the fifth window stays open
     assert rows(spark.read.parquet(f"{tmp_path}/out"), "window_start") == rows(whole.where(F.col("n_rows") == 24), "window_start")
     assert whole.count() == 5
+
+
+def test_batches_that_split_one_timestamp_equal_batch(spark, tmp_path):
+    """Arrivals in order of (timestamp, tie), cut in the middle of a timestamp; a row behind the cut is late."""
+    schema = "meter_id bigint, timestamp timestamp_ntz, n bigint, value double"
+    data = [(1, at(0), 1, 7.0), (1, at(0), 5, 1.0), (1, at(0), 6, None), (1, at(0), 8, 9.0), (1, at(1), 9, None)]
+    fill = StreamFill(f"{tmp_path}/fill", tie="n")
+    for batch_id, part in enumerate((data[:2], data[2:3] + [(1, at(0), 3, None)], data[3:])):
+        fill.process(spark.createDataFrame(part, schema), batch_id)
+    got = {r["n"]: r["value"] for r in fill.result(spark).collect()}
+    assert got == {1: 7.0, 5: 1.0, 6: 1.0, 8: 9.0, 9: 9.0}
+    assert [r["n"] for r in fill.late_rows(spark).collect()] == [3]
+    assert sorted(p.name for p in (tmp_path / "fill" / "state").iterdir() if p.is_dir()) == ["batch_id=1", "batch_id=2"]

@@ -53,6 +53,12 @@ def materialize(df: DataFrame, label: str, partition_by: Sequence[str] = ()) ->
     return spark.read.schema(df.schema).parquet(path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a table of the library's own that is no longer needed; a missing one is no error."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def attach(
     df: DataFrame,
     small: DataFrame,

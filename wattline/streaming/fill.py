@@ -1,7 +1,7 @@
 """Forward fill on a stream of long readings.
 
-State is one row per meter: its last timestamp and last present value. It lives in a table
-version per micro-batch. A batch is filled by the batch operator, so a meter that has a third
+State is one row per meter: the place of its last reading (timestamp and tie-break) and its last present value. It lives
+in a table version per micro-batch; the last two versions are kept. A batch is filled by the batch operator, so a meter that has a third
 of the rows is cut into chunks here as well, instead of passing through one state function.
 Every write is keyed by the batch id: a batch that runs again after a failure replaces its
 own output and state and nothing else.
@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from wattline.operators.impute import forward_fill
 from wattline.operators.ordered import CHUNK_DAYS, CHUNK_ROWS
-from wattline.storage import attach, materialize
+from wattline.storage import attach, remove, scratch_path
 
 
 @dataclass(frozen=True)
@@ -58,14 +58,22 @@ class StreamFill:
         columns = batch.columns
         state = self._previous(spark, batch_id)
         # The batch is needed several times; on shared storage it survives the loss of an executor.
-        rows = materialize(batch.where(F.col(ts).isNotNull()), "stream-batch")
+        held = scratch_path(spark, "stream-batch")
+        batch.where(F.col(ts).isNotNull()).write.parquet(held)
+        rows = spark.read.schema(batch.schema).parquet(held)
         if state is None:
             known = rows.withColumns(
-                {"_last_ts": F.lit(None).cast(rows.schema[ts].dataType), "_last_value": F.lit(None).cast("double")}
+                {
+                    "_last_ts": F.lit(None).cast(rows.schema[ts].dataType),
+                    "_last_tie": F.lit(None).cast("bigint"),
+                    "_last_value": F.lit(None).cast("double"),
+                }
             )
         else:
             known = attach(rows, state, [key], [ts])
-        is_late = F.coalesce(F.col(ts) < F.col("_last_ts"), F.lit(False))
+        tie = F.col(self.tie).cast("bigint") if self.tie else F.lit(0).cast("bigint")
+        behind = (F.col(ts) < F.col("_last_ts")) | ((F.col(ts) == F.col("_last_ts")) & (tie < F.col("_last_tie")))
+        is_late = F.coalesce(behind, F.lit(False))
         known.where(is_late).select(*columns).write.mode("overwrite").parquet(f"{self.late}/batch_id={batch_id}")
         in_time = known.where(~is_late)
         filled = forward_fill(in_time, [value], [key], ts, self.tie, self.chunk_days, self.chunk_rows)
@@ -73,20 +81,23 @@ class StreamFill:
             *[F.coalesce(F.col(value), F.col("_last_value")).alias(value) if c == value else F.col(c) for c in columns]
         ).write.mode("overwrite").parquet(f"{self.filled}/batch_id={batch_id}")
 
-        order = F.struct(ts, *([self.tie] if self.tie else []))
+        place = F.struct(F.col(ts).alias("ts"), tie.alias("tie"))
         newest = in_time.groupBy(key).agg(
-            F.max(ts).alias("_last_ts"),
-            F.max_by(value, F.when(F.col(value).isNotNull(), order)).cast("double").alias("_last_value"),
+            F.max(place).alias("_last"),
+            F.max_by(value, F.when(F.col(value).isNotNull(), place)).cast("double").alias("_last_value"),
         )
+        newest = newest.select(key, F.col("_last.ts").alias("_last_ts"), F.col("_last.tie").alias("_last_tie"), "_last_value")
         if state is not None:
-            both = state.select(key, "_last_ts", "_last_value", F.lit(0).alias("_age")).unionByName(
-                newest.withColumn("_age", F.lit(1))
-            )
+            both = state.withColumn("_age", F.lit(0)).unionByName(newest.withColumn("_age", F.lit(1)))
+            last = F.max(F.struct("_last_ts", "_last_tie"))
             newest = both.groupBy(key).agg(
-                F.max("_last_ts").alias("_last_ts"),
-                F.max_by("_last_value", F.when(F.col("_last_value").isNotNull(), F.col("_age"))).alias("_last_value"),
+                last.alias("_last"), F.max_by("_last_value", F.when(F.col("_last_value").isNotNull(), F.col("_age"))).alias("_last_value")
             )
+            newest = newest.select(key, "_last._last_ts", "_last._last_tie", "_last_value")
         newest.write.mode("overwrite").parquet(self.state(batch_id))
+        # a repeated batch needs the state before it, and none older
+        remove(spark, self.state(batch_id - 2))
+        remove(spark, held)
 
     def start(self, stream: DataFrame, available_now: bool = True) -> StreamingQuery:
         writer = stream.writeStream.foreachBatch(self.process).option("checkpointLocation", f"{self.base}/checkpoint")

@@ -75,7 +75,32 @@ def _trained(spark, sf_dir, definition: ModelDefinition):
 
 @query()
 def train_rf(spark, sf_dir):
-    return _trained(spark, sf_dir, ModelDefinition("rf", "random_forest_regressor", {"n_estimators": 20, "max_depth": 8}))
+    return _trained(spark, sf_dir, ModelDefinition("rf", "random_forest_regressor", {"n_estimators": 200, "max_depth": 12}))
+
+
+_CELLS_SQL = f"""WITH {fx.ENGINEERED_SQL} SELECT hour_of_day, day_of_week, is_weekend, count(*) AS n_rows, round(avg(total_load), 6) AS prediction
+    FROM engineered WHERE {_TRAIN} GROUP BY ALL"""
+
+
+def _cells(spark, sf_dir, definition: ModelDefinition):
+    """What a model predicts for each calendar cell of the training slice."""
+    train, _, _ = _slices(spark, sf_dir)
+    cells = train.groupBy(*FEATURES).agg(F.count(F.lit(1)).alias("n_rows"))
+    return predict(fit(definition, train, FEATURES), cells, [*FEATURES, "n_rows"]).withColumn("prediction", F.round("prediction", 6))
+
+
+@query(_CELLS_SQL)
+def train_rf_cells(spark, sf_dir):
+    """Whole samples and full depth: every tree, and so the forest, predicts the mean of each cell."""
+    params = {"n_estimators": 200, "max_depth": 30, "bootstrap": False}
+    return _cells(spark, sf_dir, ModelDefinition("rf", "random_forest_regressor", params))
+
+
+@query(_CELLS_SQL)
+def train_gbt_cells(spark, sf_dir):
+    """A first tree of full depth predicts the mean of each cell, and the trees behind it have nothing left to fit."""
+    params = {"n_estimators": 3, "learning_rate": 0.05, "max_depth": 30}
+    return _cells(spark, sf_dir, ModelDefinition("gbm", "gradient_boosting", params))
 
 
 @query()
@@ -101,7 +126,7 @@ def train_rf_classifier(spark, sf_dir):
     """The event type from calendar features: share of right guesses per type."""
     rows = fx.events(spark, sf_dir).select("event_type", F.hour("ts").alias("hour_of_day"), F.weekday("ts").alias("day_of_week"))
     rows = materialize(rows, "classes")
-    definition = ModelDefinition("rf_class", "random_forest_classifier", {"n_estimators": 10, "max_depth": 6})
+    definition = ModelDefinition("rf_class", "random_forest_classifier", {"n_estimators": 100, "max_depth": 12})
     model = fit(definition, rows, ["hour_of_day", "day_of_week"], "event_type")
     right = (F.col("prediction") == F.col("event_type")).cast("double")
     return predict(model, rows, ["event_type"]).groupBy("event_type").agg(
