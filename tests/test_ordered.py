@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from helpers import START, at, plan_of
 from wattline.errors import OptionError
+from wattline.operators import ordered
 from wattline.operators.impute import forward_fill
 from wattline.operators.ordered import Near, nearest
 from wattline.operators.clean import to_long
@@ -54,6 +55,7 @@ def test_salted_join_gives_the_same(spark, monkeypatch):
 
     data = series(300)
     monkeypatch.setattr(storage.attach, "__defaults__", ((), None, -1))
+    monkeypatch.setattr(ordered, "BROADCAST_BYTES", -1)
     filled = forward_fill(spark.createDataFrame(data, DDL), ["value"], ["meter_id"], tie="reading_id", chunk_rows=10)
     assert {r["reading_id"]: r["value"] for r in filled.collect()} == brute_fill(data)
 
@@ -139,3 +141,16 @@ def test_plan_shuffles_rows_once_and_never_into_one_partition(spark):
     assert "Python" not in long
     # the rows, and the chunk table
     assert long.count("Exchange hashpartitioning") == 2
+
+
+def test_shuffled_carry_moves_rows_once(spark, monkeypatch):
+    monkeypatch.setattr(ordered, "BROADCAST_BYTES", -1)
+    df = spark.createDataFrame(series(100), DDL)
+    monkeypatch.setattr("wattline.operators.ordered.CHUNK_ROWS", 10)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(forward_fill(df, ["value"], ["meter_id"]))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # the rows, the carried values, and the chunk table; the window finds the rows where the join put them
+    assert plan.count("Exchange hashpartitioning") == 3 and "SortMergeJoin" in plan

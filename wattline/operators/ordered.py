@@ -38,8 +38,10 @@ _NARROW = 4
 # A chunk table without keys is scanned in one task up to this many cells, in blocks beyond.
 CARRY_CELLS = 2_000_000
 _BLOCKS = 256
-# Every pass divides crowded chunks by their own range, so few passes are needed.
-MAX_CUTS = 8
+
+# What chunks carry is broadcast up to this size, estimated from its cells, and joined by a shuffle beyond.
+BROADCAST_BYTES = 32 << 20
+_CELL_BYTES = 16
 
 _CHUNK = "_chunk"
 _TIE = "_tie_chunk"
@@ -138,12 +140,13 @@ def chunked(
         *[spec.value.alias(f"_v{i}") for i, spec in enumerate(specs)],
     )
     group = [*keys, _CHUNK, _TIE]
+    # Every pass divides crowded chunks by their own range; it ends when none is crowded that has two places.
     splittable = (F.col("_hi") > F.col("_lo")) | (F.col("_tie_hi") > F.col("_tie_lo"))
     is_crowded = (F.col("_rows") > chunk_rows) & splittable
-    for cuts in range(MAX_CUTS + 1):
+    while True:
         table = materialize(_chunk_table(rows, group, ts, tie, specs), "chunks")
         found = table.agg(F.count(F.lit(1)).alias("chunks"), F.count_if(is_crowded).alias("crowded")).first()
-        if found["crowded"] == 0 or cuts == MAX_CUTS:
+        if found["crowded"] == 0:
             return rows, table, found["chunks"]
         rows = _cut(rows, table.where(is_crowded), found["crowded"], group, ts, tie, chunk_rows)
 
@@ -197,6 +200,23 @@ def _carried(table: DataFrame, keys: list[str], group: list[str], specs: Sequenc
     )
 
 
+def _plain_keys(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """``df`` with its keys as columns without NULL, which plain equality can join: a value and whether it stands for NULL."""
+    made, names = {}, []
+    for i, key in enumerate(keys):
+        kind = df.schema[key].dataType
+        if isinstance(kind, (T.NumericType, T.StringType)):
+            instead = F.lit(0).cast(kind)
+        elif isinstance(kind, T.BooleanType):
+            instead = F.lit(False)
+        else:
+            instead = F.lit("1970-01-01").cast(kind)
+        made[f"_key{i}"] = F.coalesce(F.col(key), instead)
+        made[f"_null{i}"] = F.col(key).isNull()
+        names += [f"_key{i}", f"_null{i}"]
+    return (df.withColumns(made) if made else df), names
+
+
 def nearest(
     df: DataFrame,
     specs: Sequence[Near],
@@ -212,13 +232,19 @@ def nearest(
     group = [*keys, _CHUNK, _TIE]
 
     carry = _carried(table, keys, group, specs, chunks)
+    rows, marks = _plain_keys(rows, keys)
+    other, _ = _plain_keys(carry, keys)
+    place = [*marks, _CHUNK, _TIE]
+    other = other.select(*[F.col(c).alias(f"_of{c}") for c in place], *[f"_carry{i}" for i in range(len(specs))])
+    if chunks * (len(specs) + len(place)) * _CELL_BYTES <= BROADCAST_BYTES:
+        other = F.broadcast(other)
     # Chunks are bounded, so beyond the broadcast bound one shuffle on the chunk serves join and window.
-    joined = attach(rows, carry, group, rows=chunks)
+    joined = rows.join(other, [F.col(c) == F.col(f"_of{c}") for c in place], "left")
     by_time = [ts, *([tie] if tie else [])]
 
     def frame(spec: Near):
         order = [F.desc(c) for c in by_time] if spec.after else by_time
-        window = Window.partitionBy(*group).orderBy(*order)
+        window = Window.partitionBy(*place).orderBy(*order)
         return window.rowsBetween(Window.unboundedPreceding, -1 if spec.strict else Window.currentRow)
 
     return joined.select(

@@ -15,7 +15,6 @@ HOT_ROWS = 2_000_000
 # Each round cuts a hot key's bracket into this many cells.
 _CELLS = 64
 _SKETCH = 1_000
-_ROUNDS = 8
 
 
 def exact_median(df: DataFrame, keys: Sequence[str], value: str, hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -55,7 +54,9 @@ def _narrowed(rows: DataFrame, hot: DataFrame, n_hot: int, keys: list[str], valu
         return joined.where((F.col(value) >= F.col("_lo")) & (F.col(value) <= F.col("_hi")))
 
     shares = [i / _CELLS for i in range(1, _CELLS)]
-    for _ in range(_ROUNDS):
+    # ends when the brackets are small, or hold no more than the values around the middle
+    crowd = None
+    while True:
         live = inside(bracket)
         borders = materialize(
             live.groupBy(*keys).agg(F.percentile_approx(value, shares, _SKETCH).alias("_borders")), "borders"
@@ -86,7 +87,8 @@ def _narrowed(rows: DataFrame, hot: DataFrame, n_hot: int, keys: list[str], valu
             "bracket",
         )
         bracket = found.drop("_values")
-        if found.where(F.col("_values") > max(hot_rows, 1)).isEmpty():
+        before, crowd = crowd, found.agg(F.max("_values").alias("m")).first()["m"]
+        if crowd is None or crowd <= hot_rows or crowd == before:
             break
 
     run = Window.partitionBy(*keys).orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
