@@ -12,7 +12,8 @@ decides how many pairs are looked at.
 
 Documents with equal sets are one class and are compared once. In a large block pairs are not expanded: each round compares
 all members with one hub of the block, links are merged to components, and only pairs of different components remain.
-When few pairs remain, all of them are compared; so the components are exactly those of the full join.
+When few pairs remain, all their shared entries are counted, pairs that cannot reach the overlap which their sizes ask for
+are dropped, and the others are compared; so the components are exactly those of the full join.
 """
 
 from __future__ import annotations
@@ -157,6 +158,16 @@ def _fits(a: str, b: str, percent: int):
     return (100 * F.least(a, b) >= percent * F.greatest(a, b))
 
 
+def _reaches(shared: str, a: str, b: str, percent: int):
+    """Whether sets of sizes a and b that share ``shared`` entries of the product can link.
+
+    Of the set whose entries end first in the order, all n-grams up to there are entries, and of the other one too. So the overlap is
+    the shared entries and at most what that set has behind its entries: ``ceil(t * size) - 1``.
+    """
+    behind = F.greatest(*[F.floor((percent * F.col(c) + 99) / 100) - 1 for c in (a, b)])
+    return (100 + percent) * (F.col(shared) + behind) >= percent * (F.col(a) + F.col(b))
+
+
 def _blocks(entries: DataFrame, turn: int) -> DataFrame:
     """Blocks with more than one component: ``gram``, ``pairs`` of different components, and a ``hub``, another one each turn."""
     hub = F.struct(F.xxhash64(F.lit(turn), "node").alias("h"), F.col("node").alias("b"), F.col("n").alias("m"), F.col("comp").alias("comp_b"))
@@ -193,7 +204,10 @@ def link_classes(entries: DataFrame, texts: DataFrame, words: int, percent: int)
             other = own.select("gram", F.col("node").alias("b"), F.col("n").alias("m"), F.col("comp").alias("comp_b"))
             pairs = own.join(other, "gram").where(F.col("node") < F.col("b"))
         pairs = pairs.where((F.col("comp") != F.col("comp_b")) & _fits("n", "m", percent))
-        fresh = pairs.groupBy(F.col("node").alias("a"), "b").agg(F.count(F.lit(1)).alias("shared")).select("a", "b")
+        fresh = pairs.groupBy(F.col("node").alias("a"), "b").agg(F.count(F.lit(1)).alias("shared"), F.first("n").alias("n"), F.first("m").alias("m"))
+        if last:
+            fresh = fresh.where(_reaches("shared", "n", "m", percent))
+        fresh = fresh.select("a", "b")
         if tested is not None:
             fresh = fresh.join(tested, ["a", "b"], "left_anti")
         fresh = materialize(fresh, "pairs")
