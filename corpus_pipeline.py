@@ -46,7 +46,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document of the mix, and the digests that prove the round trip."""
     import public_tokenizers
 
-    encoded = bpe.encode_texts(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    encoded = bpe.encode_texts(docs, public_tokenizers.path("byte_bpe_50k.json"), decoded=False)
     return encoded.select("doc_id", "n_tokens", "ids", "ids_sha256", "decoded_sha256")
 
 

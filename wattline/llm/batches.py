@@ -30,6 +30,8 @@ def pieces(batch: pa.RecordBatch, column: str, limit: int = PIECE_BYTES) -> Iter
     starts = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
     for begin, end in zip(starts, np.r_[starts[1:], batch.num_rows], strict=True):
         yield batch.slice(begin, end - begin)
+    # workers live on after a task; what it has freed goes back to the system
+    pa.default_memory_pool().release_unused()
 
 
 def text_bytes(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -25,7 +25,7 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 CACHE_PIECES = 200_000
 CACHE_CHARS = 12 << 20
 #: Bytes of text whose new pieces are merged together; the more, the fewer times each rank is taken.
-TEXT_BYTES = 4 << 20
+TEXT_BYTES = 2 << 20
 
 
 def byte_symbols() -> dict[str, int]:
@@ -202,7 +202,7 @@ def read_vocabulary(spark, path: str) -> str:
         return file.read()
 
 
-def encode_texts(docs: DataFrame, vocabulary_path: str, text: str = "text", key: str = "doc_id", ids: bool = True) -> DataFrame:
+def encode_texts(docs: DataFrame, vocabulary_path: str, text: str = "text", key: str = "doc_id", ids: bool = True, decoded: bool = True) -> DataFrame:
     """Encode and decode every whole text: key, ``n_tokens``, ``ids`` (null unless asked for), ``ids_sha256``, ``decoded``
     (null unless asked for), ``decoded_sha256``.
 
@@ -221,16 +221,16 @@ def encode_texts(docs: DataFrame, vocabulary_path: str, text: str = "text", key:
         for batch in batches:
             for piece in pieces(batch, "text", TEXT_BYTES):
                 texts = [t or "" for t in piece.column("text").to_pylist()]
-                counts, id_lists, id_sums, decoded, decoded_sums = [], [], [], [], []
+                counts, id_lists, id_sums, backs, decoded_sums = [], [], [], [], []
                 for written, back in encoder.written_and_decoded(texts):
                     counts.append(written.count(",") + 1 if written else 0)
                     id_sums.append(hashlib.sha256(written.encode()).hexdigest())
                     decoded_sums.append(hashlib.sha256(back.encode()).hexdigest())
                     id_lists.append(np.array(written.split(","), np.int32) if ids and written else [] if ids else None)
-                    decoded.append(back if ids else None)
+                    backs.append(back if decoded else None)
                 yield pa.RecordBatch.from_arrays(
                     [piece.column("key"), pa.array(counts, pa.int64()), pa.array(id_lists, pa.list_(pa.int32())), pa.array(id_sums, pa.string()),
-                     pa.array(decoded, pa.string()), pa.array(decoded_sums, pa.string())],
+                     pa.array(backs, pa.string()), pa.array(decoded_sums, pa.string())],
                     ["key", "n_tokens", "ids", "ids_sha256", "decoded", "decoded_sha256"],
                 )
 

@@ -91,7 +91,7 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    encoded = bpe.encode_texts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), ids=False)
+    encoded = bpe.encode_texts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), ids=False, decoded=False)
     return encoded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
