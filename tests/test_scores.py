@@ -98,5 +98,7 @@ def test_clean_checks(spark):
 def test_total_load_check_sees_a_difference(spark):
     one = spark.createDataFrame([(1, 2.0), (2, 3.0)], "timestamp int, total_load double")
     two = spark.createDataFrame([(1, 2.0), (2, 3.5)], one.schema)
-    assert rows(total_load_check(one, two)) == [(2, 0.5)]
+    assert rows(total_load_check(one, two)) == [(2, 0.5, 0)]
+    merged = spark.createDataFrame([(1, 5.0)], one.schema)
+    assert rows(total_load_check(spark.createDataFrame([(1, 2.0), (1, 3.0)], one.schema), merged)) == [(1, 0.0, 1)]
     assert "TakeOrdered" in plan_of(first_rows(one))

@@ -77,13 +77,14 @@ def clean_checks(df: DataFrame, pairs: Mapping[str, tuple[str, str]]) -> DataFra
 
 
 def total_load_check(wide: DataFrame, long: DataFrame, target: str = "total_load", ts: str = "timestamp") -> DataFrame:
-    """Largest difference between the row aggregate's wide and long routes over all timestamps.
+    """Largest difference between the row aggregate's wide and long routes over all timestamps, and rows that only one has.
 
-    Both sides are keyed by timestamp and added up, so a repeated timestamp is no problem.
+    Totals are added up per timestamp, and so are rows, as +1 and -1: a route that merges repeated timestamps shows.
     """
-    signed = wide.select(ts, F.col(target).alias("_v")).unionAll(long.select(ts, (-F.col(target)).alias("_v")))
-    differences = signed.groupBy(ts).agg(F.abs(F.sum("_v")).alias("_d"))
-    return differences.agg(F.count(F.lit(1)).alias("timestamps"), F.max("_d").alias("max_abs_diff"))
+    one = F.lit(1).cast("bigint")
+    signed = wide.select(ts, F.col(target).alias("_v"), one.alias("_r")).unionAll(long.select(ts, (-F.col(target)).alias("_v"), (-one).alias("_r")))
+    differences = signed.groupBy(ts).agg(F.abs(F.sum("_v")).alias("_d"), F.abs(F.sum("_r")).alias("_n"))
+    return differences.agg(F.count(F.lit(1)).alias("timestamps"), F.max("_d").alias("max_abs_diff"), F.sum("_n").alias("row_difference"))
 
 
 def first_rows(df: DataFrame, n: int = 5, ts: str = "timestamp") -> DataFrame:

@@ -18,21 +18,22 @@ from wattline.operators.evaluate import (
     threshold_breaches as breaches,
 )
 from wattline.operators.models import ModelDefinition, fit, load_model, predict, save_model
-from wattline.operators.search import grid, search, trial_table
+from wattline.operators.search import Trial, grid, search, trial_table
 from wattline.operators.select import champion_vs_baseline as champion_or_baseline
 from wattline.operators.select import select_best as best_of
 from wattline.operators.select import select_best_lenient as best_of_lenient
 from wattline.operators.split import split_frames
-from wattline.plans.compare import compare_models as compare
+from wattline.plans.compare import candidate, compare_models as compare, promote_from_results
 from wattline.plans.monitor import MonitorOptions, monitor_job
 from wattline.plans.prepare import PrepareOptions
 from wattline.plans.score import score_job
-from wattline.plans.train import TrainOptions, train_job
+from wattline.plans.train import TrainOptions, log_trials, train_job
 from wattline.sources.tables import (
     COMPARISON_SCHEMA,
     REPORT_SCHEMA,
     TRIAL_METRICS_SCHEMA,
     champion,
+    load_champion,
     phase_durations,
     read_table,
 )
@@ -371,6 +372,43 @@ def trial_metrics_log(spark, sf_dir):
     return table.select("model_name", "run_id", F.explode("metrics").alias("metric", "value"))
 
 
+_TYPE_SPREAD_SQL = "SELECT event_type AS model_name, stddev_pop(value) AS rmse FROM events GROUP BY 1"
+
+
+def _type_trials(spark, sf_dir) -> list[Trial]:
+    """Each event type is a trial; its error is the spread of its values. Five rows, in order of their names."""
+    spread = fx.events(spark, sf_dir).groupBy("event_type").agg(F.stddev_pop("value").alias("rmse")).orderBy("event_type").collect()
+    return [
+        Trial(i, f"run_{i}", ModelDefinition(r["event_type"], "elastic_net", {"alpha": i}), {"rmse": r["rmse"]}, "success", f"models/{r['event_type']}")
+        for i, r in enumerate(spread)
+    ]
+
+
+@query(f"SELECT model_name, 'models/' || model_name AS model_uri, round(rmse, 6) AS rmse FROM ({_TYPE_SPREAD_SQL})")
+def trial_log_roundtrip(spark, sf_dir):
+    """Trials through the log's own writer, read back."""
+    path = scratch_path(spark, "trial-log")
+    log_trials(spark, path, _type_trials(spark, sf_dir), {"slice": "all"})
+    table = read_table(spark, path, TRIAL_METRICS_SCHEMA)
+    return table.select("model_name", "model_uri", F.round(F.col("metrics")["rmse"], 6).alias("rmse"))
+
+
+@query(
+    f"""WITH t AS ({_TYPE_SPREAD_SQL}), b AS (SELECT rmse AS base FROM t ORDER BY model_name LIMIT 1),
+    w AS (SELECT model_name FROM t, b WHERE rmse < base OR model_name = (SELECT min(model_name) FROM t) ORDER BY rmse, model_name LIMIT 1)
+    SELECT t.model_name AS model_id, CASE WHEN t.model_name = (SELECT min(model_name) FROM t) THEN 'baseline' ELSE 'candidate' END AS role,
+      t.model_name = w.model_name AS is_champion, w.model_name AS registered, round(t.rmse, 6) AS rmse FROM t, w"""
+)
+def promote_results(spark, sf_dir):
+    """The first event type is the baseline; the winner is reported and registered, and both tables are read back."""
+    base = scratch_path(spark, "promote")
+    made = [candidate(t) for t in _type_trials(spark, sf_dir)]
+    promote_from_results(spark, made[0], made[1:], "rmse", f"{base}/reports", f"{base}/registry")
+    winner = load_champion(spark, f"{base}/registry")["model_name"]
+    report = read_table(spark, f"{base}/reports", COMPARISON_SCHEMA)
+    return report.select("model_id", "role", "is_champion", F.lit(winner).alias("registered"), F.round(F.col("metrics")["rmse"], 6).alias("rmse"))
+
+
 @query(
     """WITH phases AS (SELECT user_id AS run_id, event_type AS phase, (epoch_us(max(ts)) - epoch_us(min(ts))) // 1000 AS duration_ms,
       CASE WHEN max(value) > 150 THEN 'FAILED' ELSE 'SUCCESS' END AS status FROM events GROUP BY ALL)

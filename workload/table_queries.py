@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wattline.functions.calendar import wall_micros
 from wattline.functions.names import matching
 from wattline.functions.rowwise import row_aggregate
 from wattline.operators.clean import KW_TO_KWH, coerce_numeric, scale_meters, select_meters
@@ -26,7 +27,7 @@ from wattline.operators.profile import decimal_format as format_of
 from wattline.operators.profile import first_rows, profile_columns as profile, total_load_check as compare_totals
 from wattline.operators.split import features_only, time_split as split_by_time
 from wattline.plans.monitor import live_slice as slice_live
-from wattline.plans.prepare import PrepareOptions, gated, prepare
+from wattline.plans.prepare import PrepareOptions, gated, prepare, rejected_rows as rejected
 from wattline.sources.delimited import (
     ingest_timestamp as ingest,
     normalize_header as clean_header,
@@ -403,7 +404,45 @@ def total_load_check(spark, sf_dir):
     table = fx.readings(spark, sf_dir)
     wide = prepare(table, options)
     long = prepare(table, PrepareOptions(route="long"))
-    return compare_totals(wide, long).select("timestamps", (F.col("max_abs_diff") < 1e-6).alias("equal"))
+    same = (F.col("max_abs_diff") < 1e-6) & (F.col("row_difference") == 0)
+    return compare_totals(wide, long).select("timestamps", same.alias("equal"))
+
+
+_TWICE = ", ".join(f"{m} * 3 AS {m}" for m in fx.METERS)
+
+
+def _repeated(spark, sf_dir):
+    """Every reading and, under the same timestamp, one of three times its values."""
+    table = fx.readings(spark, sf_dir)
+    return table.unionByName(table.select("timestamp", *[(F.col(m) * 3).alias(m) for m in fx.METERS]))
+
+
+@query(
+    f"""WITH {fx.READINGS_SQL}, repeated AS (SELECT * FROM readings UNION ALL SELECT timestamp, {_TWICE} FROM readings),
+    scaled AS (SELECT timestamp, {', '.join(f'{m} * 0.25 AS {m}' for m in fx.METERS)} FROM repeated)
+    SELECT timestamp, round({fx.TOTAL_SQL}, 6) AS total_load FROM scaled"""
+)
+def repeated_timestamps(spark, sf_dir):
+    """Rows that share a timestamp stay apart on the long route."""
+    return _ends(prepare(_repeated(spark, sf_dir), PrepareOptions(imputation="none"))).select("timestamp", "total_load")
+
+
+_UNTIMED = "(epoch_us(timestamp) // 900000000) % 50 = 0"
+
+
+@query(
+    f"""WITH {fx.READINGS_SQL} SELECT count(*) FILTER (WHERE NOT {_UNTIMED}) AS kept, count(*) FILTER (WHERE {_UNTIMED}) AS rejected, count(*) AS total
+    FROM readings"""
+)
+def rejected_rows(spark, sf_dir):
+    """Rows without timestamp are listed; with the kept ones they are the input."""
+    slot = F.floor(wall_micros(F.col("timestamp")) / 900_000_000)
+    table = fx.readings(spark, sf_dir).withColumn("timestamp", F.when(slot % 50 != 0, F.col("timestamp")))
+    kept = prepare(table, PrepareOptions(untimed="reject", imputation="none")).select(F.lit("kept").alias("kind"))
+    both = kept.unionAll(rejected(table).select(F.lit("rejected").alias("kind")))
+    return both.agg(
+        F.count_if(F.col("kind") == "kept").alias("kept"), F.count_if(F.col("kind") == "rejected").alias("rejected"), F.count(F.lit(1)).alias("total")
+    )
 
 
 @query(f"WITH {fx.ENGINEERED_SQL} {_ENGINEERED_OUT} ORDER BY timestamp LIMIT 5")
