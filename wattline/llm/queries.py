@@ -65,7 +65,21 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marked.select("row.doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
-@query()
+@query(
+    r"""
+    WITH d AS (
+      SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
+    ), p AS (SELECT rid, ws, unnest(range(1, len(ws) - 33)) AS i FROM d WHERE len(ws) >= 35
+    ), h AS (SELECT rid, i, md5(array_to_string(ws[i:i + 34], ' ')) AS h FROM p
+    ), b AS (SELECT rid, i FROM h QUALIFY count(*) OVER (PARTITION BY h) > 1
+    ), c AS (SELECT DISTINCT rid, unnest(range(i, i + 35)) AS j FROM b
+    ), w AS (SELECT rid, unnest(ws) AS word, generate_subscripts(ws, 1) AS j FROM d
+    ), k AS (SELECT rid, string_agg(word, ' ' ORDER BY j) AS kept FROM w ANTI JOIN c USING (rid, j) GROUP BY rid
+    ), n AS (SELECT rid, count(*) AS gone FROM c GROUP BY rid)
+    SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(gone, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+    FROM d LEFT JOIN k USING (rid) LEFT JOIN n USING (rid)
+    """
+)
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substring_dedup.substring_dedup(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
@@ -81,7 +95,33 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 MIX_WEIGHTS, MIX_SHARE, MIX_CAP = (3.0, 1.0, 2.0), 1.5, 2.0
 
 
-@query()
+@query(
+    r"""
+    WITH s AS (
+      SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents
+    ), t AS (
+      SELECT source, sum(size)::BIGINT AS source_size,
+        [3.0::DOUBLE, 1.0::DOUBLE, 2.0::DOUBLE][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS w
+      FROM s GROUP BY source
+    ), l AS (SELECT *, 2.0::DOUBLE * source_size AS lim, 1.5::DOUBLE * sum(source_size) OVER () AS whole FROM t
+    ), f AS (
+      SELECT *, (whole - (sum(lim) OVER o - lim)) / (sum(w) OVER () - sum(w) OVER o + w) AS level FROM l
+      WINDOW o AS (ORDER BY lim / w, source NULLS LAST ROWS UNBOUNDED PRECEDING)
+    ), g AS (
+      SELECT *, first_value(CASE WHEN w * level < lim THEN level END IGNORE NULLS) OVER (ORDER BY lim / w, source NULLS LAST ROWS UNBOUNDED PRECEDING) AS set_level
+      FROM f
+    ), v AS (
+      SELECT source, source_size, CASE WHEN set_level IS NULL THEN lim ELSE least(w * set_level, lim) END AS target,
+        (('0x' || substr(md5('17:' || coalesce('s' || source, 'null')), 1, 12))::BIGINT / 281474976710656.0::DOUBLE)::DECIMAL(34, 15) AS shift
+      FROM g
+    ), e AS (
+      SELECT s.*, source_size, target, shift, (CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END)::DECIMAL(34, 15) AS expected
+      FROM s JOIN v ON s.source IS NOT DISTINCT FROM v.source
+    ), u AS (SELECT *, sum(expected) OVER (PARTITION BY source ORDER BY size DESC, doc_id NULLS FIRST ROWS UNBOUNDED PRECEDING) AS upto FROM e
+    ), c AS (SELECT *, (floor(upto + shift) - floor(upto - expected + shift))::BIGINT AS copies FROM u)
+    SELECT doc_id, source, size, source_size, target, copies, copies * size AS taken FROM c
+    """
+)
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix_sources(table(spark, sf_dir, "documents"), MIX_WEIGHTS, MIX_SHARE, MIX_CAP)
     return mixed.select("doc_id", "source", "size", "source_size", "target", "copies", "taken")
