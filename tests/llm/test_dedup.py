@@ -82,7 +82,7 @@ def near_expected(rows):
     return sorted(out, key=repr), len(least)
 
 
-@pytest.mark.parametrize("changes", [{}, {"COMMON": 1, "PAIRS_PER_ROW": 0, "SLOT_ROWS": 2}, {"MOST_COMMON": 1, "COMMON": 2}])
+@pytest.mark.parametrize("changes", [{}, {"COMMON": 1, "PAIRS_PER_LINK": 10**9, "SLOT_ROWS": 2}, {"MOST_COMMON": 1, "COMMON": 2}])
 def test_near_edges(edge_docs, monkeypatch, changes):
     for name, value in changes.items():
         monkeypatch.setattr(jaccard_join, name, value)
@@ -91,7 +91,7 @@ def test_near_edges(edge_docs, monkeypatch, changes):
     assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in found), key=repr) == expected
 
 
-@pytest.mark.parametrize("changes", [{}, {"PAIRS_PER_ROW": 0, "COMMON": 2, "SLOT_ROWS": 5}])
+@pytest.mark.parametrize("changes", [{}, {"PAIRS_PER_LINK": 0, "COMMON": 2, "SLOT_ROWS": 5}])
 def test_near_group_and_common_passage(spark, monkeypatch, changes):
     for name, value in changes.items():
         monkeypatch.setattr(jaccard_join, name, value)

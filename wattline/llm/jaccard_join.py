@@ -12,7 +12,7 @@ decides how many pairs are looked at.
 
 Documents with equal sets are one class and are compared once. In a large block pairs are not expanded: each round compares
 all members with one hub of the block, links are merged to components, and only pairs of different components remain.
-When few pairs remain, all their shared entries are counted, pairs that cannot reach the overlap which their sizes ask for
+When hubs find few links, the shared entries of all pairs that remain are counted, pairs that cannot reach the overlap which their sizes ask for
 are dropped, and the others are compared; so the components are exactly those of the full join.
 """
 
@@ -36,8 +36,8 @@ PERCENT = 75
 COMMON = 12
 #: Most common n-grams that are sent to all tasks (8 bytes each), the most frequent first. Others only cost time.
 MOST_COMMON = 1_000_000
-#: Rounds with hubs go on while the pairs left are more than this many per block row, and links still appear.
-PAIRS_PER_ROW = 4
+#: Rounds with hubs go on while at least one in so many of the pairs they compare is a link.
+PAIRS_PER_LINK = 20
 #: Members of one hub that one task streams over.
 SLOT_ROWS = 2000
 #: Narrow tables (keys only) of at most so many rows are broadcast, after they are counted; larger ones are shuffled.
@@ -187,6 +187,7 @@ def link_classes(entries: DataFrame, texts: DataFrame, words: int, percent: int)
     labels = spark.createDataFrame([], "node long, comp long")
     edges = tested = None
     now, rows, links = entries.withColumn("comp", F.col("node")), entries.count(), 0
+    compared = 0
     for turn in range(rows):
         if turn and links:
             now = now.drop("comp").join(labels, "node", "left").select("gram", "node", "n", F.coalesce("comp", "node").alias("comp"))
@@ -197,7 +198,7 @@ def link_classes(entries: DataFrame, texts: DataFrame, words: int, percent: int)
         # blocks of one component are done for good
         met = now.join(blocks, "gram")
         now = materialize(met.drop("pairs"), "entries")
-        last = left <= PAIRS_PER_ROW * rows or (turn > 0 and not links)
+        last = turn > 0 and links * PAIRS_PER_LINK <= compared
         pairs = now
         if last:
             own = now.select("gram", "node", "n", "comp")
@@ -212,7 +213,7 @@ def link_classes(entries: DataFrame, texts: DataFrame, words: int, percent: int)
             fresh = fresh.join(tested, ["a", "b"], "left_anti")
         fresh = materialize(fresh, "pairs")
         found = materialize(_verify(fresh, texts, words, percent), "links")
-        links = found.count()
+        links, compared = found.count(), fresh.count()
         if links:
             edges = found if edges is None else edges.union(found)
             labels = materialize(components(edges), "labels")
