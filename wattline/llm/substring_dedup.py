@@ -64,7 +64,9 @@ def window_runs(words: np.ndarray, first: np.ndarray, window: int, seed: int):
         return none, none, none, np.empty(0, np.uint64), np.empty(0, bool)
     least, tie = least[at], tie[at]
     begins = np.flatnonzero(np.r_[True, (least[1:] != least[:-1]) | (owner[1:] != owner[:-1])])
-    return owner[begins], inner[begins], np.diff(np.r_[begins, len(at)]), least[begins], np.logical_or.reduceat(tie, begins)
+    many = np.diff(np.r_[begins, len(at)])
+    # without a tie the minimizer's places are at least `width` apart, and so are equal windows: they need a longer run than that
+    return owner[begins], inner[begins], many, least[begins], np.logical_or.reduceat(tie, begins) | (many > width)
 
 
 def _runs(docs: DataFrame, window: int, seed: int) -> DataFrame:
