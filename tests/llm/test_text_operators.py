@@ -2,6 +2,9 @@
 
 import gzip
 import hashlib
+import math
+import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -209,6 +212,39 @@ def test_license_lines(spark, edge_docs):
     assert license_scan.scan_files(edge_docs, F.lit("a/b")).count() >= len(edge_rows())
 
 
+def license_expected(rows, templates, least):
+    """Every line against every template, without any filter."""
+    words = lambda t: re.findall("[a-z0-9]+", t.lower())
+    vocabulary = {w for t in templates.values() for w in words(t)}
+    docs = Counter(w for _, t in rows for w in set(words(t or "")) & vocabulary)
+    idf = {w: math.log((len(rows) + 1) / (docs[w] + 1)) + 1 for w in vocabulary}
+    vector = lambda t: {w: n * idf.get(w, max(idf.values())) for w, n in Counter(words(t)).items()}
+    length = lambda v: math.sqrt(sum(x * x for x in v.values()))
+    sides = {k: vector(t) for k, t in sorted(templates.items())}
+    out = {}
+    for i, text in rows:
+        for line, passage in enumerate(re.split("\r\n|\r|\n", text or "")):
+            v = vector(passage)
+            best = max(((sum(x * s.get(w, 0) for w, x in v.items()) / length(v) / length(s), -n, k) for n, (k, s) in enumerate(sides.items())), default=(0,)) if v else (0,)
+            if best[0] >= least:
+                out[i, line] = best[2], round(best[0], 9)
+    return out
+
+
+@pytest.mark.parametrize("least", [0.75, 0.3])
+def test_license_lines_without_a_telling_word(spark, least):
+    rows = [(i, f"{prose(i, 40)} in use and the\n{t}") for i, t in enumerate(license_scan.TEMPLATES.values())] * 20
+    wrapped = "use in source and binary forms, with or without modification, are permitted"
+    rows += [(50 + k, t) for k, t in enumerate(["CC BY-NC 4.0", "x\nCC BY 4.0\ny", "Released under MIT", wrapped, "in the and of", "4 0", "released by", None, ""])]
+    own = {"Own": "You may copy this work freely.", "Other": "the and the"}
+    for templates in (license_scan.TEMPLATES, own):
+        docs = [*rows, (90, "You may copy this work freely.")]
+        found = license_scan.scan_lines(spark.createDataFrame(docs, "doc_id long, text string"), templates=templates, least=least).collect()
+        expected = license_expected(docs, templates, least)
+        assert {(r.id, r.line): (r.license, round(r.cosine, 9)) for r in found} == expected
+        assert (90, 0) in expected if templates is own else {(50, 0), (51, 1), (52, 0), (53, 0)} <= expected.keys()
+
+
 def test_license_inheritance(spark, no_docs):
     files = [("LICENSE", "MIT"), ("a/b/COPYING", "GPL-3.0"), ("a/x.py", None), ("a/b/c/d.py", None), ("a/b/own.py", "MIT"), ("/z/q.py", None), (None, None), ("top.py", None)]
     found = license_scan.inherit(spark.createDataFrame(files, "path string, license string")).collect()

@@ -1,8 +1,8 @@
 """License scan: TF-IDF cosine of license text to templates, then inheritance from the nearest ancestor directory.
 
 Everything is DataFrame expressions. The vector space is the vocabulary of the templates, so a literal map from term to number
-bounds what tasks hold; a passage's vector is sparse, and only lines with a telling word are scored. Inverse
-document frequencies come from all documents.
+bounds what tasks hold; a passage's vector is sparse. Inverse document frequencies come from all documents. Lines are scored
+unless the terms they share with each template are proven too light to reach the cosine asked for.
 
 A passage is a line, so a notice inside a long text is compared by itself.
 """
@@ -10,6 +10,8 @@ A passage is a line, so a notice inside a long text is compared by itself.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,8 +31,10 @@ TEMPLATES = {
 LEAST_COSINE = 0.75
 #: File names that speak for their directory, in lower case.
 LICENSE_FILE = r"(?i)(^|/)(licen[cs]e|copying|notice)[^/]*$"
-#: A line without any of these words reaches no template: each template has one, and it is rare.
+#: Words of a notice, for callers that make paths; the scan itself does not depend on them.
 TELLING = r"(?i)licen[cs]e|redistribution"
+#: Keeps rounding from dropping a passage at the bound.
+_SLACK = 1e-9
 #: A term is a run of ASCII letters and digits, in lower case.
 TERM = "[a-z0-9]+"
 
@@ -49,10 +53,37 @@ def _dot(vector: str, side: Column) -> Column:
     return F.aggregate(vector, F.lit(0.0), lambda a, x: a + x["w"] * F.coalesce(F.element_at(side, x["term"]), F.lit(0.0)))
 
 
+def _literal(numbers: Mapping[str, float]) -> Column:
+    return F.create_map(*[x for t, v in sorted(numbers.items()) for x in (F.lit(t), F.lit(float(v)))])
+
+
+def _shared_part(distinct: str, side: Mapping[str, float]) -> Column:
+    """Squared length of the part of a unit vector that lies in the terms of ``distinct``."""
+    squares = _literal({t: v * v for t, v in side.items()})
+    return F.aggregate(F.array_intersect(distinct, F.array(*[F.lit(t) for t in side])), F.lit(0.0), lambda a, t: a + F.element_at(squares, t))
+
+
 def passages(docs: DataFrame, key: Column, text: Column, starts: str) -> DataFrame:
-    """Lines of every whole text that hold a word of ``starts``: ``id``, ``line``, ``passage``. A line is up to LF, CR or both."""
-    lines = docs.where(text.rlike(starts)).select(key.alias("id"), F.posexplode(F.split(F.coalesce(text, F.lit("")), r"\r\n|\r|\n")).alias("line", "passage"))
-    return lines.where(F.col("passage").rlike(starts))
+    """Lines of every whole text that match ``starts`` in lower case: ``id``, ``line``, ``passage``. A line is up to LF, CR or both."""
+    lines = docs.where(F.lower(text).rlike(starts)).select(key.alias("id"), F.posexplode(F.split(text, r"\r\n|\r|\n")).alias("line", "passage"))
+    return lines.where(F.lower("passage").rlike(starts))
+
+
+def needed_terms(sides: Mapping[str, Mapping[str, float]], least: float) -> list[str]:
+    """Terms of which a passage needs one to reach the cosine ``least`` with any of ``sides`` (unit vectors by license).
+
+    The cosine is at most the length of the part of the unit vector that lies in the shared terms (Cauchy-Schwarz). So the heaviest terms
+    of a template are needed, up to where the others together are shorter than ``least``.
+    """
+    needed = set()
+    for side in sides.values():
+        rest = sum(v * v for v in side.values())
+        for term, v in sorted(side.items(), key=lambda x: (-x[1], x[0])):
+            if rest < least * least - _SLACK:
+                break
+            needed.add(term)
+            rest -= v * v
+    return sorted(needed)
 
 
 def scan_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", templates: Mapping[str, str] = TEMPLATES, least: float = LEAST_COSINE) -> DataFrame:
@@ -73,11 +104,21 @@ def scan_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", templat
     weights = materialize(weights, "license-weights")
     idf = {r["term"]: r["idf"] for r in weights.collect()}  # bounded by the templates
     most = max(idf.values(), default=1.0)
-    found = passages(docs, F.col(key), F.col(text), TELLING).withColumn("words", terms(F.col("passage")))
-    found = found.where(F.size("words") > 0)
-    literal = F.create_map(*[x for t, v in sorted(idf.items()) for x in (F.lit(t), F.lit(float(v)))])
+    counts = template.collect()  # bounded by the templates
+    sides = {}
+    for name in sorted(templates):
+        own = {r["term"]: r["tf"] * idf[r["term"]] for r in counts if r["license"] == name}
+        length = sum(v * v for v in own.values()) ** 0.5
+        sides[name] = {t: v / length for t, v in sorted(own.items())}
+    # terms are ASCII, so these borders are those of a term
+    starts = rf"(?<![a-z0-9])(?:{'|'.join(needed_terms(sides, least))})(?![a-z0-9])" if least > 0 else TERM
+    found = passages(docs, F.col(key), F.col(text), starts).withColumn("words", terms(F.col("passage")))
+    found = found.where(F.size("words") > 0).withColumn("distinct_words", F.array_distinct("words"))
+    shared = [_shared_part("distinct_words", side) for side in sides.values() if side]
+    found = found.where(reduce(or_, [x >= least * abs(least) - _SLACK for x in shared], F.lit(False)))
+    literal = _literal(idf)
     weight = lambda t: F.coalesce(F.element_at(literal, t), F.lit(float(most)))
-    vectors = found.withColumn("distinct_words", F.array_distinct("words")).withColumn(
+    vectors = found.withColumn(
         "vector",
         F.transform(
             "distinct_words",
@@ -85,13 +126,7 @@ def scan_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", templat
         ),
     )
     norm = lambda v: F.sqrt(F.aggregate(v, F.lit(0.0), lambda a, x: a + x["w"] * x["w"]))
-    sides = template.collect()  # bounded by the templates
-    scores = []
-    for name in sorted(templates):
-        own = {r["term"]: r["tf"] * idf[r["term"]] for r in sides if r["license"] == name}
-        length = sum(v * v for v in own.values()) ** 0.5
-        side = F.create_map(*[x for t, v in sorted(own.items()) for x in (F.lit(t), F.lit(float(v / length)))])
-        scores.append(F.struct((_dot("vector", side) / F.col("norm")).alias("cosine"), F.lit(name).alias("license")))
+    scores = [F.struct((_dot("vector", _literal(side)) / F.col("norm")).alias("cosine"), F.lit(name).alias("license")) for name, side in sides.items() if side]
     ranked = vectors.withColumn("norm", norm("vector")).withColumn("scores", F.array(*scores))
     best = F.aggregate("scores", F.col("scores")[0], lambda a, x: F.when(x["cosine"] > a["cosine"], x).otherwise(a))
     return ranked.select("id", "line", best.alias("best")).where(F.col("best.cosine") >= least).select("id", "line", "best.license", "best.cosine")
