@@ -316,6 +316,36 @@ def test_salvage(spark, packed):
     assert ids_and_gaps(b"") == ([], [])
 
 
+def test_salvage_inside_a_member(spark):
+    records = plain_records(spark, 60)
+    names = [f"<urn:page:{i}>" for i in range(60)]
+    after = gzip.compress(records[0])
+    for level in (0, 6):
+        whole = gzip.compress(b"".join(records), level)
+        assert ids_and_gaps(whole) == (names, [])
+        # cut at its end, with and without a member behind it
+        for cut in (4, 40, len(whole) // 2):
+            ids, gaps = ids_and_gaps(whole[:-cut])
+            assert ids == names[: len(ids)] and len(ids) >= (30 if cut > 40 else 57) - 5
+            assert len(gaps) == 1 and 0 < gaps[0][0] < gaps[0][1] == len(whole) - cut and gaps[0][2] == "gzip member truncated"
+            ids, gaps = ids_and_gaps(whole[:-cut] + after)
+            assert ids[: 25] == names[:25] and ids[-1] == names[0] and gaps[-1][1] == len(whole) - cut
+        # damaged in its middle: a byte that inflates to another one, and a block that does not inflate
+        middle = len(whole) // 2
+        for damage in (bytes([whole[middle] ^ 0x5A]), b"\xff" * 600):
+            broken = whole[:middle] + damage + whole[middle + len(damage) :]
+            for data in (broken, after + broken + after):
+                ids, gaps = ids_and_gaps(data)
+                own = ids[1:-1] if data is not broken else ids
+                assert own[:15] == names[:15] and len(own) == len(set(own)) < 60 and gaps
+                assert data is broken or ids[0] == ids[-1] == names[0]
+    # a record without a digest is not trusted in a damaged member
+    bare = [b"WARC/1.1\r\nWARC-Type: metadata\r\nWARC-Record-ID: <urn:bare>\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n", *records[:2]]
+    whole = gzip.compress(b"".join(bare))
+    assert ids_and_gaps(whole[:-3])[0] == ["<urn:bare>", names[0]]
+    assert ids_and_gaps(whole[:-8] + bytes(8))[0] == names[:2]
+
+
 def test_salvage_reads_files(spark):
     import pathlib
 

@@ -8,6 +8,8 @@ The reader checks every record: framing, length, block digest, payload digest, a
 checksum. After a failed check it trusts nothing it has not seen valid: it resumes at the place the length field points to if a valid
 record begins there, or else searches for the next gzip member or version line that starts a valid record. The bytes
 between are logged as a gap with the reason. Later records are never lost with a damaged one.
+A damaged or truncated member is inflated up to its fault; the records before it are kept if they pass their checks, which
+in a damaged member (its checksum is of no use) includes a digest, and only the rest is the gap.
 """
 
 from __future__ import annotations
@@ -37,6 +39,10 @@ _EMPTY_MEMBER = bytes.fromhex("1f8b0800000000000003") + bytes.fromhex("0300") +
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _DATE = "2024-01-01T00:00:00Z"
 _START = re.compile(rb"\x1f\x8b\x08|WARC/1\.[01]\r\n")
+_TRUNCATED = "gzip member truncated"
+_ALGORITHMS = ("sha1", "sha256", "md5")
+#: Bytes that a faulty member is inflated by.
+_STEP = 1 << 12
 _VERSION = re.compile(rb"WARC/1\.[01]\r\n")
 
 RECORD_SCHEMA = (
@@ -135,7 +141,7 @@ def write_archives(
 def _digest_fits(claim: str | None, data: bytes) -> bool:
     """Whether a labelled digest belongs to ``data``; unknown algorithms and absent claims are no failure."""
     algorithm, colon, value = (claim or "").partition(":")
-    if not colon or algorithm.lower() not in ("sha1", "sha256", "md5"):
+    if not colon or algorithm.lower() not in _ALGORITHMS:
         return True
     actual = hashlib.new(algorithm.lower(), data)
     return value.lower() == actual.hexdigest() or value.upper().rstrip("=") == base64.b32encode(actual.digest()).decode().rstrip("=")
@@ -186,13 +192,78 @@ def _member(data: bytes, at: int) -> tuple[int, bytes | None, str]:
     except zlib.error:
         return -1, None, "gzip member damaged"
     if not engine.eof:
-        return -1, None, "gzip member truncated"
+        return -1, None, _TRUNCATED
     return len(data) - len(engine.unused_data), content, ""
 
 
+def _until_fault(data: bytes, at: int) -> bytes:
+    """What the faulty gzip member at ``at`` inflates to before its fault."""
+    engine, parts = zlib.decompressobj(31), []
+    for k in range(at, len(data), _STEP):
+        before, rest = engine.copy(), data[k : k + _STEP]
+        try:
+            parts.append(engine.decompress(rest))
+        except zlib.error:
+            # once more, a byte at a time on both sides: an error takes the output of its call with it
+            try:
+                for j in range(len(rest)):
+                    one = rest[j : j + 1]
+                    while one:
+                        parts.append(before.decompress(one, 1))
+                        one = before.unconsumed_tail
+            except zlib.error:
+                pass
+            break
+    return b"".join(parts)
+
+
+def _input_for(data: bytes, at: int, size: int) -> int:
+    """Where the input ends that the member at ``at`` needs for its first ``size`` bytes; they inflate without a fault."""
+    engine = zlib.decompressobj(31)
+    for k in range(at, len(data), _STEP):
+        before, rest = engine.copy(), data[k : k + _STEP]
+        try:
+            got = len(engine.decompress(rest, size))
+        except zlib.error:
+            got = size
+        if got < size:
+            size -= got
+            continue
+        for j in range(len(rest)):
+            one = rest[j : j + 1]
+            while one and size:
+                size -= len(before.decompress(one, size))
+                one = before.unconsumed_tail
+            if not size:
+                return k + j + 1
+    return len(data)
+
+
+def _vouched(header: dict) -> bool:
+    """Whether a record that passed its checks had a digest to check."""
+    claims = [header.get("warc-block-digest")] + [header.get("warc-payload-digest")] * (header["warc-type"] != "revisit")
+    return any((c or "").partition(":")[0].lower() in _ALGORITHMS and ":" in c for c in claims if c)
+
+
+def _before_fault(data: bytes, at: int, reason: str) -> tuple[int, list[tuple[dict | None, str, bytes, bytes]]]:
+    """Records and gaps of the faulty member at ``at``, up to its last good record, and where the input of that record ends."""
+    content, found, good, upto = _until_fault(data, at), [], 0, 0
+    for _, stop, header, why, block, payload in salvage(content):
+        if header is not None and reason != _TRUNCATED and not _vouched(header):
+            header, why, block, payload = None, "no digest in a damaged member", b"", b""
+        if header is not None and reason == _TRUNCATED and stop == len(content):
+            break  # the cut may have taken a part of it
+        found.append((header, why, block, payload))
+        if header is not None:
+            good, upto = len(found), stop
+    # the last byte of a cut archive stays in the gap, which says that the member is not whole
+    return (min(_input_for(data, at, upto), len(data) - 1) if good else at), found[:good]
+
+
 def _valid_start(data: bytes, at: int) -> bool:
     if data.startswith(b"\x1f\x8b\x08", at):
-        return _member(data, at)[1] is not None
+        _, content, reason = _member(data, at)
+        return content is not None or bool(_before_fault(data, at, reason)[1])
     return parse_record(data, at)[1] is not None
 
 
@@ -216,6 +287,10 @@ def salvage(data: bytes) -> Iterator[tuple[int, int, dict | None, str, bytes, by
                         yield at, end, header, why, block, payload
                 at = end
                 continue
+            stop, kept = _before_fault(data, at, reason)
+            for header, why, block, payload in kept:
+                yield at, stop, header, why, block, payload
+            at = stop
         else:
             end, header, reason, block, payload = parse_record(data, at)
             if header is not None:
