@@ -81,6 +81,25 @@ def test_headerless_scan_skips_a_header_line(spark, tmp_path):
     assert rows(got, "timestamp") == [(at(0), 0.5, None), (at(1), 1.5, None)]
 
 
+def test_leading_blank_lines(spark, tmp_path):
+    (tmp_path / "a.txt").write_text(f"\n \t\n{at(0)};1;2\n\n{at(1)};3;4\n")
+    (tmp_path / "b.txt").write_text(f"{at(2)};5;6\n")
+    (tmp_path / "c.txt").write_text("\n\n")
+    got = scan_headerless(spark, f"{tmp_path}/*.txt").select("client_1", "client_2")
+    assert sorted(map(tuple, got.collect())) == [(1.0, 2.0), (3.0, 4.0), (5.0, 6.0)]
+    folder = tmp_path / "headed"
+    folder.mkdir()
+    meter_file(folder / "a.txt", n=2, header="\n  \n" + HEADER)
+    meter_file(folder / "b.csv", n=1, header='\n"";"MT_002";"MT_001"\n', cells=lambda i: "8;9")
+    (folder / "blank.txt").write_text("\n \n")
+    got = scan_directory(spark, str(folder)).select("source_file", "MT_001", "MT_002")
+    assert sorted(map(tuple, got.collect())) == [("a.txt", "0,5", "0"), ("a.txt", "1,5", "1"), ("b.csv", "9", "8")]
+    only = tmp_path / "only"
+    only.mkdir()
+    (only / "blank.txt").write_text("\n \n")
+    assert scan_directory(spark, str(only)).count() == 0
+
+
 def test_headerless_scan_keeps_rows_without_timestamp(spark, tmp_path):
     (tmp_path / "a.txt").write_text("timestamp;MT_001;MT_002\n2024-01-01 00:00:00;1;2\n;2,5;x\n;;\n")
     (tmp_path / "b.txt").write_text(";7;\n2024-01-01 00:15:00;3;4\n")

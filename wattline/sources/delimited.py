@@ -109,12 +109,15 @@ def normalize_header(df: DataFrame, strict: bool = True) -> DataFrame:
 
 
 def first_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """``file, line``: the first line of every file, found in one distributed job for any number of files."""
+    """``file, line``: the first line of every file that is not blank, as the delimited reader counts them, in one distributed job.
+
+    A file of blank lines has none.
+    """
     lines = spark.read.text(paths).select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"), "value", F.monotonically_increasing_id().alias("place")
     )
     # a file's first line is the first row of its first block, and ids rise with the rows of a block
-    return lines.where("at = 0").groupBy("file").agg(F.min_by("value", "place").alias("line"))
+    return lines.where("at = 0").where(F.col("value").rlike(r"[^\x00-\x20]")).groupBy("file").agg(F.min_by("value", "place").alias("line"))
 
 
 def _present(spark: SparkSession, folder: str, endings: Sequence[str]) -> list[str]:
@@ -141,7 +144,7 @@ def scan_directory(spark: SparkSession, path: str, sep: str = SEPARATOR, source:
     if not patterns:
         return None
     lines = materialize(first_lines(spark, patterns), "headers")
-    kinds = [r["line"] for r in lines.select("line").distinct().orderBy("line").collect()]
+    kinds = [r["line"] for r in lines.select("line").distinct().orderBy("line").collect()] or [""]
     parts = []
     for line in kinds:
         names = _known_names(next(csv.reader([line], delimiter=sep), [""]))
@@ -166,7 +169,9 @@ def scan_headerless(
     cell is a number. All other rows stay, whatever their cells are.
     """
     try:
-        width = len(_reader(spark, sep).option("header", False).csv(path).columns)
+        lines = first_lines(spark, path)
+        line = lines.orderBy("file").select("line").first()
+        width = len(next(csv.reader([line["line"]], delimiter=sep))) if line else 1
     except AnalysisException as error:
         if _missing(error):
             raise IngestError(f"no file at {path!r}") from error
@@ -175,7 +180,7 @@ def scan_headerless(
     # the reader passes over each file's first line; those come from their own job and are judged one by one
     rest = _reader(spark, sep).option("header", True).schema(cells).csv(path)
     parsed = F.from_csv("line", F.lit(cells.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " ")), {"sep": sep, "quote": '"'})
-    first = first_lines(spark, path).where(F.trim("line") != "").select(parsed.alias("row")).select("row.*")
+    first = lines.select(parsed.alias("row")).select("row.*")
     stamp = F.col("c0").try_cast("timestamp_ntz")
     numbers = [to_number(F.col(f"c{i}"), T.StringType()) for i in range(1, width)]
     is_header = stamp.isNull() & F.coalesce(*numbers, F.lit(None).cast("double")).isNull()
