@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattline.llm import bpe, exact_dedup, fingerprints, jaccard_join, license_scan, mixing, rule_quality, substring_dedup, toxicity, warc
+from wattline.llm import bpe, exact_dedup, fingerprints, jaccard_join, license_scan, mixing, rule_quality, substring_dedup, toxicity, url_filter, warc
 from wattline.llm.batches import bound_batches
 
 QUERIES = {}
@@ -163,3 +163,45 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     ensemble = rule_quality.fit_rules(labelled(docs, table(spark, sf_dir, "labels"), "quality", 4, 2))
     scored = rule_quality.score_quality(docs.select("doc_id", "text"), ensemble)
     return scored.select("row.doc_id", toxicity.held_out(F.col("row.doc_id"), 4, 2).alias("held_out"), "score", "predicted")
+
+
+#: Host, path and verdict of the rules that decide first.
+URL_RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
+
+
+@query(
+    r"""
+    WITH junk(pattern, regex) AS (
+      VALUES ('||spam-farm.', '^([^/?#]*\.)?spam-farm\.'), ('||cheap-pills.', '^([^/?#]*\.)?cheap-pills\.'),
+        ('||free-casino.', '^([^/?#]*\.)?free-casino\.'), ('||adserver.', '^([^/?#]*\.)?adserver\.'),
+        ('||doubleclick.', '^([^/?#]*\.)?doubleclick\.'), ('/wp-login.', '/wp-login\.'), ('/wp-admin/', '/wp-admin/'),
+        ('/cgi-bin/', '/cgi-bin/'), ('/login^', '/login([^A-Za-z0-9_.%-]|$)'), ('/signin^', '/signin([^A-Za-z0-9_.%-]|$)'),
+        ('/logout^', '/logout([^A-Za-z0-9_.%-]|$)'), ('/cart^', '/cart([^A-Za-z0-9_.%-]|$)'),
+        ('/checkout^', '/checkout([^A-Za-z0-9_.%-]|$)'), ('/xmlrpc.', '/xmlrpc\.'), ('^phpsessid=', '[^A-Za-z0-9_.%-]phpsessid='),
+        ('^sessionid=', '[^A-Za-z0-9_.%-]sessionid=')
+    ), u AS (
+      SELECT page_id,
+        translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+        regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path,
+        regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^#]*)', 1) AS tail
+      FROM pages
+    ), r AS (
+      SELECT *, host || tail AS target, CASE
+        WHEN '.' || host LIKE '%.example.net' AND starts_with(path, '/en/') THEN 'example.net/en/'
+        WHEN '.' || host LIKE '%.example.com' AND starts_with(path, '/de/') THEN 'example.com/de/'
+        WHEN '.' || host LIKE '%.org' AND starts_with(path, '/fr/') THEN 'org/fr/'
+        WHEN '.' || host LIKE '%.net' AND starts_with(path, '/') THEN 'net/' END AS rule
+      FROM u
+    ), j AS (
+      SELECT target, arg_min(pattern, printf('%04d', 1000 - len(pattern)) || pattern) AS pattern
+      FROM (SELECT DISTINCT target FROM r WHERE rule IS NULL) t JOIN junk ON regexp_matches(target, regex) GROUP BY target
+    )
+    SELECT page_id, host, path, rule,
+      CASE WHEN rule IN ('net/', 'example.com/de/') OR (rule IS NULL AND pattern IS NOT NULL) THEN 'block' ELSE 'allow' END AS verdict,
+      CASE WHEN rule IS NULL THEN pattern ELSE '||' || rule END AS pattern
+    FROM r LEFT JOIN j USING (target)
+    """
+)
+def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = [*(url_filter.host_rule(*rule) for rule in URL_RULES), *url_filter.JUNK_RULES]
+    return url_filter.judge_urls(table(spark, sf_dir, "pages"), rules)
