@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattline.llm import bpe, exact_dedup, fingerprints, jaccard_join, license_scan, mixing, rule_quality, substring_dedup, toxicity, url_filter, warc
+from wattline.llm import bpe, exact_dedup, fingerprints, jaccard_join, license_scan, mixing, rule_quality, substring_dedup, token_alignment, toxicity, url_filter, warc
 from wattline.llm.batches import bound_batches
 
 QUERIES = {}
@@ -165,6 +165,14 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("row.doc_id", toxicity.held_out(F.col("row.doc_id"), 4, 2).alias("held_out"), "score", "predicted")
 
 
+@query()
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return token_alignment.align_texts(table(spark, sf_dir, "documents"), *paths).drop("groups")
+
+
 #: Host, path and verdict of the rules that decide first.
 URL_RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
 
