@@ -68,7 +68,8 @@ def test_literal_tokens_are_in_every_target_that_fits():
 def test_rules_are_filed_under_their_rarest_token(spark):
     targets = spark.createDataFrame([("a.b.com/x",), ("c.com/b",), ("com",)], "target string")
     rules = spark.createDataFrame([(0, "||b.com/", ["b", "com"]), (1, "||com/", ["com"]), (2, "x", []), (3, "|zz|com|", ["com", "zz"])], "place int, pattern string, tokens array<string>")
-    assert {r.place: r.token for r in url_filter.file_rules(targets, rules).collect()} == {0: "b", 1: "com", 2: "", 3: "zz"}
+    for few in (False, True):
+        assert {r.place: r.token for r in url_filter.file_rules(targets, rules, few).collect()} == {0: "b", 1: "com", 2: "", 3: "zz"}
 
 
 def test_empty_table(spark):

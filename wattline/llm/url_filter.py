@@ -99,14 +99,16 @@ def target_tokens(target: Column) -> Column:
     return F.array_distinct(F.regexp_extract_all(F.translate(target, UPPER, LOWER), F.lit("[a-z0-9]+"), F.lit(0)))
 
 
-def file_rules(targets: DataFrame, rules: DataFrame) -> DataFrame:
+def file_rules(targets: DataFrame, rules: DataFrame, few: bool = False) -> DataFrame:
     """The rules with the ``token`` they are filed under: of their literal tokens the one that fewest of ``targets`` hold, '' without any.
 
-    Counts cover all targets; only tokens of rules are counted, and they are combined before they move.
+    Counts cover all targets and are combined before they move. If the rules are known to be ``few``, only their tokens are counted.
     """
     words = rules.select("place", F.explode("tokens").alias("token"))
     wanted = words.select("token").distinct()
-    held = targets.select(F.explode(target_tokens(F.col("target"))).alias("token")).join(wanted, "token", "left_semi")
+    held = targets.select(F.explode(target_tokens(F.col("target"))).alias("token"))
+    if few:
+        held = held.join(F.broadcast(wanted), "token", "left_semi")
     counts = held.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
     rarest = words.join(counts, "token", "left").groupBy("place").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "token")).alias("best"))
     return rules.join(rarest, "place", "left").select("place", "pattern", F.coalesce("best.token", F.lit("")).alias("token"))
@@ -136,15 +138,13 @@ def judge_urls(
     table = spark.createDataFrame(
         [(place, r.pattern, literal_tokens(r.pattern)) for place, r in enumerate(ranked)], "place int, pattern string, tokens array<string>"
     )
-    index = file_rules(rows, table)
-    if len(ranked) <= most_rules and sum(len(r.pattern) for r in ranked) <= MOST_BYTES:
-        best = _by_index(rows, index)
-    else:
-        best = _by_join(rows, index)
+    few = len(ranked) <= most_rules and sum(len(r.pattern) for r in ranked) <= MOST_BYTES
+    index = file_rules(rows, table, few)
+    best = _by_index(rows, index) if few else _by_join(rows, index)
     told = spark.createDataFrame(
         [(place, r.name, r.verdict, r.pattern) for place, r in enumerate(ranked)], "place int, rule string, verdict string, pattern string"
     )
-    told = F.broadcast(told) if len(ranked) <= most_rules else told
+    told = F.broadcast(told) if few else told
     return best.join(told, "place", "left").select(
         F.col("key").alias(key), "host", "path", "rule", F.coalesce("verdict", F.lit(default)).alias("verdict"), "pattern"
     )
