@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattline.llm import bpe, exact_dedup, fingerprints, jaccard_join, license_scan, mixing, rule_quality, substring_dedup, token_alignment, toxicity, url_filter, warc
+from wattline.llm import bpe, exact_dedup, fingerprints, jaccard_join, license_scan, mixing, prefix_trie, rule_quality, substring_dedup, token_alignment, toxicity, url_filter, warc
 from wattline.llm.batches import bound_batches
 
 QUERIES = {}
@@ -165,6 +165,49 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("row.doc_id", toxicity.held_out(F.col("row.doc_id"), 4, 2).alias("held_out"), "score", "predicted")
 
 
+@query(
+    r"""
+    WITH RECURSIVE crc AS (
+      SELECT list_transform(range(256), lambda i : list_reduce(range(8), lambda c, k : CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i)) AS tab
+    ), said AS (
+      SELECT conv_id, turn, md5(len(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS digest,
+        len(regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+')) AS words
+      FROM conversations WHERE conv_id IS NOT NULL
+    ), heads AS (
+      SELECT conv_id, xor(list_reduce(list_transform(string_split(conv_id::VARCHAR, ''), lambda x : ord(x)::BIGINT),
+        lambda c, b : xor(tab[xor(c & 255, b) + 1], c >> 8), 4294967295), 4294967295) % 4 AS h
+      FROM (SELECT DISTINCT conv_id FROM said), crc
+    ), own AS (
+      SELECT conv_id, any_value(h) AS h, list({'d': digest, 'w': words} ORDER BY turn NULLS FIRST, digest) AS ts
+      FROM said JOIN heads USING (conv_id) GROUP BY conv_id
+    ), built AS (
+      SELECT o.conv_id, list_concat(coalesce(b.ts[1:o.h], []), o.ts[o.h + 1:]) AS ts FROM own o LEFT JOIN own b ON b.conv_id = o.conv_id - o.conv_id % 20
+    ), rows_of AS (
+      SELECT conv_id, d AS depth, len(ts) AS turns, array_to_string(list_transform(ts[1:d], lambda t : t.d), ',') AS node,
+        CASE WHEN d > 0 THEN array_to_string(list_transform(ts[1:d - 1], lambda t : t.d), ',') END AS parent, coalesce(ts[d].w, 0) AS words
+      FROM (SELECT conv_id, ts, unnest(range(len(ts) + 1)) AS d FROM built)
+    ), nodes AS (
+      SELECT node, parent, depth, words, count(*) AS n_convs, min(conv_id) AS conv_id,
+        sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (depth = turns), '')) AS ends_sha256
+      FROM rows_of GROUP BY ALL
+    ), kids AS (SELECT parent AS node, count(*) AS n_children FROM nodes WHERE parent IS NOT NULL GROUP BY parent
+    ), weighed AS (
+      SELECT n.*, coalesce(n_children, 0) AS n_children, (n_children IS NULL)::INT AS leaf, (n_convs - 1) * words AS saved FROM nodes n LEFT JOIN kids USING (node)
+    ), up AS (
+      SELECT node AS of, parent, leaf, saved FROM weighed
+      UNION ALL SELECT u.parent, w.parent, u.leaf, u.saved FROM up u JOIN weighed w ON w.node = u.parent
+    ), sums AS (SELECT of AS node, sum(leaf)::BIGINT AS n_leaves, sum(saved)::BIGINT AS saved_tokens FROM up GROUP BY of)
+    SELECT w.conv_id, w.depth, p.conv_id AS parent_conv_id, w.n_convs, w.n_children, n_leaves, saved_tokens, w.ends_sha256
+    FROM weighed w JOIN sums USING (node) LEFT JOIN nodes p ON p.node = w.parent
+    """
+)
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conv = F.col("conv")
+    heads = prefix_trie.Heads(conv - conv % 20, F.crc32(conv.cast("string").cast("binary")) % 4, 3)
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"), heads=heads).drop("node")
+
+
 @query()
 def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
