@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wattline.errors import OptionError, TrainingError
+from wattline.operators.boosting import EnsembleModel, Growth, fit_boosted, fit_forest, load_ensemble, save_ensemble
 
 # Spark's trees are at most this deep.
 MAX_DEPTH = 30
@@ -171,6 +172,102 @@ def build(definition: ModelDefinition, label_std: float | None = None):
     return BUILDERS[definition.kind](definition.params, label_std)
 
 
+#: Cells times trees up to which a bootstrapped forest is grown from sums per cell.
+MOST_BAGGED = 2_000_000
+
+
+def _chosen_features(value: Any, count: int) -> int | None:
+    """Features that a split may use; None is all."""
+    if value in (None, "all", "None", 1.0):
+        return None
+    if value in ("auto", "onethird"):
+        return max(1, count // 3)
+    if value in ("sqrt", "log2"):
+        return max(1, int(math.sqrt(count) if value == "sqrt" else math.log2(count)))
+    number = float(value)
+    return max(1, int(number * count) if isinstance(value, float) and number <= 1 else int(number))
+
+
+def _no_limit(value: Any) -> int | None:
+    return None if value in (None, "None", -1, 0) else int(value)
+
+
+def _whole_rows(params: Mapping[str, Any]) -> bool:
+    """Sampling of rows needs rows, which cells do not keep; such definitions are fitted by Spark's own estimators."""
+    return float(params.get("subsample", 1.0)) == 1.0
+
+
+_GBM = {
+    "n_estimators", "learning_rate", "max_depth", "max_leaf_nodes", "min_samples_leaf", "min_samples_split", "max_features", "max_bins", "subsample", "random_state", "init",
+}
+_XGB = {
+    "n_estimators", "learning_rate", "eta", "max_depth", "max_leaves", "grow_policy", "reg_lambda", "reg_alpha", "gamma", "min_child_weight", "max_bin", "max_bins", "subsample",
+    "colsample_bytree", "random_state", "min_samples_leaf", "min_samples_split",
+}
+_LGBM = {
+    "n_estimators", "learning_rate", "num_leaves", "max_depth", "min_child_samples", "min_child_weight", "reg_lambda", "reg_alpha", "min_split_gain", "max_bin", "max_bins",
+    "subsample", "colsample_bytree", "random_state",
+}
+
+
+def _gbm_fit(params, train, features, target):
+    _reject_unknown("gradient_boosting", params, _GBM)
+    growth = Growth(
+        max_depth=_depth(params.get("max_depth", 3), MAX_DEPTH), max_leaves=_no_limit(params.get("max_leaf_nodes")), min_rows=float(params.get("min_samples_leaf", 1)),
+        min_split_rows=float(params.get("min_samples_split", 2)), features_per_split=_chosen_features(params.get("max_features"), len(features)),
+    )
+    return fit_boosted(
+        train, features, target, growth, int(params.get("n_estimators", 100)), float(params.get("learning_rate", 0.1)), int(params.get("max_bins", 255)),
+        seed=_seed(params), init=str(params.get("init") or "mean"),
+    )
+
+
+def _xgb_fit(params, train, features, target):
+    """Level-wise trees with a penalty on leaf values; ``gamma`` is compared with half the gain, as that library defines it."""
+    _reject_unknown("xgboost", params, _XGB)
+    lossguide = params.get("grow_policy", "depthwise") == "lossguide"
+    if params.get("max_leaves") and not lossguide:
+        raise OptionError("max_leaves needs grow_policy 'lossguide'")
+    growth = Growth(
+        max_depth=_no_limit(params.get("max_depth", 0 if lossguide else 6)), max_leaves=_no_limit(params.get("max_leaves")), min_rows=float(params.get("min_samples_leaf", 1)),
+        min_split_rows=float(params.get("min_samples_split", 2)), min_hessian=float(params.get("min_child_weight", 1.0)), reg_lambda=float(params.get("reg_lambda", 1.0)),
+        reg_alpha=float(params.get("reg_alpha", 0.0)), min_gain=2.0 * float(params.get("gamma", 0.0)), features_per_tree=float(params.get("colsample_bytree", 1.0)),
+    )
+    rate = float(params.get("learning_rate", params.get("eta", 0.3)))
+    bins = int(params.get("max_bin", params.get("max_bins", 256)))
+    return fit_boosted(train, features, target, growth, int(params.get("n_estimators", 100)), rate, bins, missing_allowed=True, seed=_seed(params))
+
+
+def _lgbm_fit(params, train, features, target):
+    """Leaf-wise trees: best first, up to ``num_leaves`` leaves."""
+    _reject_unknown("lightgbm", params, _LGBM)
+    growth = Growth(
+        max_depth=_no_limit(params.get("max_depth", -1)), max_leaves=int(params.get("num_leaves", 31)), min_rows=float(params.get("min_child_samples", 20)),
+        min_hessian=float(params.get("min_child_weight", 1e-3)), reg_lambda=float(params.get("reg_lambda", 0.0)), reg_alpha=float(params.get("reg_alpha", 0.0)),
+        min_gain=float(params.get("min_split_gain", 0.0)), features_per_tree=float(params.get("colsample_bytree", 1.0)),
+    )
+    bins = int(params.get("max_bin", params.get("max_bins", 255)))
+    rate = float(params.get("learning_rate", 0.1))
+    return fit_boosted(train, features, target, growth, int(params.get("n_estimators", 100)), rate, bins, missing_allowed=True, seed=_seed(params))
+
+
+def _forest_fit(params, train, features, target):
+    _reject_unknown("random_forest_regressor", params, _FOREST)
+    growth = Growth(
+        max_depth=_depth(params.get("max_depth"), MAX_DEPTH), min_rows=float(params.get("min_samples_leaf", 1)), min_split_rows=float(params.get("min_samples_split", 2)),
+        features_per_split=_chosen_features(params.get("max_features"), len(features)),
+    )
+    return fit_forest(
+        train, features, target, growth, int(params.get("n_estimators", 100)), int(params.get("max_bins", 255)), bool(params.get("bootstrap", True)), _seed(params), MOST_BAGGED
+    )
+
+
+#: Kinds that are fitted on cells: (parameters, table, features, target) to a model, or None if the cells are too many.
+CELL_FITS: dict[str, Callable[..., EnsembleModel | None]] = {
+    "random_forest_regressor": _forest_fit, "gradient_boosting": _gbm_fit, "xgboost": _xgb_fit, "lightgbm": _lgbm_fit,
+}
+
+
 def label_deviation(df: DataFrame, target: str, sample: bool = False) -> float:
     """The standard deviation that a solver scales labels by: of the population, or of a sample."""
     return float(df.agg((F.stddev_samp if sample else F.stddev_pop)(target)).first()[0] or 0.0)
@@ -186,8 +283,16 @@ def _check_classes(df: DataFrame, target: str) -> None:
 
 def fit(
     definition: ModelDefinition, train: DataFrame, features: Sequence[str], target: str = "total_load"
-) -> PipelineModel:
-    """Fitted pipeline: feature vector and model. It scores a table that holds the feature columns."""
+) -> PipelineModel | EnsembleModel:
+    """A fitted model. It scores a table that holds the feature columns.
+
+    Tree kinds are fitted on cells (see ``cells.py``). Spark's own estimators take those whose rows are sampled (``subsample`` below 1), and
+    bootstrapped forests over more than ``MOST_BAGGED`` cells times trees.
+    """
+    if definition.kind in CELL_FITS and _whole_rows(definition.params):
+        model = CELL_FITS[definition.kind](definition.params, train, features, target)
+        if model is not None:
+            return model
     stages: list[Any] = [VectorAssembler(inputCols=list(features), outputCol="features")]
     if definition.kind == "random_forest_classifier":
         _check_classes(train, target)
@@ -205,19 +310,22 @@ def fit(
     return Pipeline(stages=[*stages, build(definition, deviation).setSolver("l-bfgs" if wide else "normal")]).fit(prepared)
 
 
-def predict(model: PipelineModel, df: DataFrame, keep: Sequence[str]) -> DataFrame:
+def predict(model: PipelineModel | EnsembleModel, df: DataFrame, keep: Sequence[str]) -> DataFrame:
     """Kept columns and ``prediction``. No shuffle."""
     return model.transform(df).select(*keep, "prediction")
 
 
-def save_model(model: PipelineModel, base: str, name: str, run_id: str) -> str:
+def save_model(model: PipelineModel | EnsembleModel, base: str, name: str, run_id: str) -> str:
     path = f"{base.rstrip('/')}/{name}_{run_id}"
-    model.write().overwrite().save(path)
+    if isinstance(model, EnsembleModel):
+        save_ensemble(model, path)
+    else:
+        model.write().overwrite().save(path)
     return path
 
 
-def load_model(path: str) -> PipelineModel:
+def load_model(path: str) -> PipelineModel | EnsembleModel:
     try:
-        return PipelineModel.load(path)
+        return load_ensemble(path) or PipelineModel.load(path)
     except Exception as error:
         raise TrainingError(f"no model can be loaded from {path!r}") from error
