@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
@@ -11,17 +12,16 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import IndexToString, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wattline.errors import OptionError, TrainingError
-from wattline.operators.boosting import EnsembleModel, Growth, fit_boosted, fit_forest, load_ensemble, save_ensemble
+from wattline.operators.boosting import EnsembleModel, Growth, fit_boosted, fit_forest
+from wattline.operators.linear import Gram, LinearNet, gram, solve
 
 # Spark's trees are at most this deep.
 MAX_DEPTH = 30
-# The normal-equation solver takes as many features.
-MAX_NORMAL_FEATURES = 4096
 
 
 @dataclass(frozen=True)
@@ -281,18 +281,35 @@ def _check_classes(df: DataFrame, target: str) -> None:
             raise TrainingError(f"{target!r} is continuous; a classifier needs classes")
 
 
+_NET = {"alpha", "l1_ratio", "max_iter", "tol", "fit_intercept", "random_state"}
+#: Models of this library, which keep themselves as text.
+OWN_MODELS = {m.FORMAT: m for m in (EnsembleModel, LinearNet)}
+Model = PipelineModel | EnsembleModel | LinearNet
+
+
+def fit_net(params: Mapping[str, Any], sums: Gram) -> LinearNet:
+    _reject_unknown("elastic_net", params, _NET)
+    return solve(
+        sums, float(params.get("alpha", 1.0)), float(params.get("l1_ratio", 0.5)), bool(params.get("fit_intercept", True)),
+        int(params.get("max_iter", 1000)), float(params.get("tol", 1e-9)),
+    )
+
+
 def fit(
-    definition: ModelDefinition, train: DataFrame, features: Sequence[str], target: str = "total_load"
-) -> PipelineModel | EnsembleModel:
+    definition: ModelDefinition, train: DataFrame, features: Sequence[str], target: str = "total_load", sums: Gram | None = None
+) -> Model:
     """A fitted model. It scores a table that holds the feature columns.
 
-    Tree kinds are fitted on cells (see ``cells.py``). Spark's own estimators take those whose rows are sampled (``subsample`` below 1), and
-    bootstrapped forests over more than ``MOST_BAGGED`` cells times trees.
+    Tree kinds are fitted on cells (see ``cells.py``), elastic nets on a Gram matrix (``sums``, if it is known already). Spark's own estimators
+    take tree kinds whose rows are sampled (``subsample`` below 1), bootstrapped forests over more than ``MOST_BAGGED`` cells times trees,
+    classifiers, and nets without intercept.
     """
     if definition.kind in CELL_FITS and _whole_rows(definition.params):
         model = CELL_FITS[definition.kind](definition.params, train, features, target)
         if model is not None:
             return model
+    if definition.kind == "elastic_net" and definition.params.get("fit_intercept", True):
+        return fit_net(definition.params, sums or gram(train, features, target))
     stages: list[Any] = [VectorAssembler(inputCols=list(features), outputCol="features")]
     if definition.kind == "random_forest_classifier":
         _check_classes(train, target)
@@ -302,30 +319,32 @@ def fit(
         fitted = Pipeline(stages=[*stages, estimator, back]).fit(labels.transform(train.select(*features, target)))
         return fitted
     prepared = train.select(*features, F.col(target).cast("double").alias("label"))
-    if definition.kind != "elastic_net":
-        return Pipeline(stages=[*stages, build(definition)]).fit(prepared)
-    # Beyond the normal equations' bound the iterative solver takes over; it scales labels by the sample deviation.
-    wide = len(features) > MAX_NORMAL_FEATURES
-    deviation = label_deviation(prepared, "label", sample=wide) or None
-    return Pipeline(stages=[*stages, build(definition, deviation).setSolver("l-bfgs" if wide else "normal")]).fit(prepared)
+    deviation = (label_deviation(prepared, "label") or None) if definition.kind == "elastic_net" else None
+    return Pipeline(stages=[*stages, build(definition, deviation)]).fit(prepared)
 
 
-def predict(model: PipelineModel | EnsembleModel, df: DataFrame, keep: Sequence[str]) -> DataFrame:
+def predict(model: Model, df: DataFrame, keep: Sequence[str]) -> DataFrame:
     """Kept columns and ``prediction``. No shuffle."""
     return model.transform(df).select(*keep, "prediction")
 
 
-def save_model(model: PipelineModel | EnsembleModel, base: str, name: str, run_id: str) -> str:
+def save_model(model: Model, base: str, name: str, run_id: str) -> str:
+    """Write a model; this library's own as one JSON line below ``metadata``, where pipelines keep theirs."""
     path = f"{base.rstrip('/')}/{name}_{run_id}"
-    if isinstance(model, EnsembleModel):
-        save_ensemble(model, path)
-    else:
+    if isinstance(model, PipelineModel):
         model.write().overwrite().save(path)
+    else:
+        text = json.dumps({"class": model.FORMAT, "model": model.to_json()})
+        SparkSession.active().createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/metadata")
     return path
 
 
-def load_model(path: str) -> PipelineModel | EnsembleModel:
+def load_model(path: str) -> Model:
     try:
-        return load_ensemble(path) or PipelineModel.load(path)
+        first = SparkSession.active().read.text(f"{path}/metadata", wholetext=True).first()
+        told = json.loads(first["value"])
+        if told["class"] in OWN_MODELS:
+            return OWN_MODELS[told["class"]].from_json(told["model"])
+        return PipelineModel.load(path)
     except Exception as error:
         raise TrainingError(f"no model can be loaded from {path!r}") from error

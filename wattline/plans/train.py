@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from wattline.operators.models import DEFAULT_MODELS, ModelDefinition
-from wattline.operators.search import Trial, best_trial, search
+from wattline.operators.search import Halving, Trial, best_trial, search
 from wattline.operators.split import TRAIN_END, VAL_END, feature_columns, split_frames
 from wattline.plans.prepare import PrepareOptions, gated
 from wattline.plans.runlog import RunLog, now
@@ -25,6 +25,9 @@ class TrainOptions:
     features: Sequence[str] | None = None
     scoring: str = "rmse"
     parallelism: int = 4
+    strategy: str = "grid"
+    max_trials: int | None = None
+    halving: Halving | None = None
     training_params: dict[str, str] = field(default_factory=dict)
 
     def path(self, table: str) -> str:
@@ -71,6 +74,8 @@ def train_job(raw: DataFrame, options: TrainOptions) -> TrainResult:
             trials = search(
                 train, validation, features, target, options.definitions,
                 models_path=options.path("models"), parallelism=options.parallelism,
+                strategy=options.strategy, max_trials=options.max_trials, halving=options.halving,
+                trials_path=options.path("halving_rungs") if options.strategy == "halving" else None,
             )
             log_trials(spark, options.path("trial_metrics"), trials, options.training_params)
             best = best_trial(trials, options.scoring)
