@@ -5,7 +5,7 @@ the cells: few cells are held by the driver as arrays, more stay a distributed t
 the sums up. Of two sibling leaves only the one with fewer rows is aggregated; the other one is the difference to their parent. The split search sees histograms
 alone, so both ways grow the same trees.
 
-Leaves are split best first. The children of all leaves that may be split next are aggregated in one pass, so a tree takes
+Leaves are split best first. The children of all leaves that wait for it are aggregated in one pass, so a tree takes
 about as many passes as it has levels. ``max_leaves`` bounds a leaf-wise tree, ``max_depth`` a level-wise one; without a bound on leaves the
 order does not matter.
 
@@ -98,7 +98,8 @@ def soft(g: np.ndarray, alpha: float) -> np.ndarray:
 
 def _score(g: np.ndarray, h: np.ndarray, growth: Growth) -> np.ndarray:
     below = h + growth.reg_lambda
-    return np.divide(soft(g, growth.reg_alpha) ** 2, below, out=np.zeros_like(below), where=below > 0)
+    drawn = soft(g, growth.reg_alpha) if growth.reg_alpha else g
+    return np.divide(drawn * drawn, below, out=np.zeros_like(below), where=below > 0)
 
 
 def leaf_value(g: float, h: float, growth: Growth) -> float:
@@ -130,33 +131,35 @@ def best_splits(hist: np.ndarray, missing: np.ndarray, allowed: np.ndarray, grow
         fits &= (whole[:, :, None, 2] >= growth.min_split_rows) & (left[..., 1] >= growth.min_hessian) & (right[..., 1] >= growth.min_hessian)
         gain = _score(left[..., 0], left[..., 1], growth) + _score(right[..., 0], right[..., 1], growth) - base
         gains[side] = np.where(fits, gain, -np.inf)
-    # where nothing is missing both sides are equal: the side with more rows
     best = gains.max(axis=0)
     flat = best.reshape(leaves, -1)
-    # gains that differ by rounding alone are equal, and the first one counts
     top = flat.max(axis=1)
+    # gains that differ by rounding alone are equal, and the first one counts
+    first = np.argmax(flat >= (top * (1 - 1e-12))[:, None], axis=1)
     found: list[tuple | None] = []
-    for leaf in range(leaves):
-        if not top[leaf] - growth.min_gain > noise:
+    for leaf, (most, at) in enumerate(zip(top.tolist(), first.tolist(), strict=True)):
+        if not most - growth.min_gain > noise:
             found.append(None)
             continue
-        at = int(np.argmax(flat[leaf] >= top[leaf] * (1 - 1e-12)))
         feature, cut = divmod(at, bins)
         if absent[leaf, feature, 2] > 0:
             goes_left = bool(gains[1, leaf, feature, cut] > gains[0, leaf, feature, cut])
         else:
+            # nothing is missing and both sides are equal: the one with more rows
             goes_left = bool(2 * upto[leaf, feature, cut, 2] > whole[leaf, feature, 2])
-        found.append((float(top[leaf] - growth.min_gain), feature, cut, goes_left))
+        found.append((most - growth.min_gain, feature, cut, goes_left))
     return found
 
 
 class HeldCells:
     """Cells as arrays of the driver; at most ``MOST_CELLS``."""
 
-    def __init__(self, bins: np.ndarray, n: np.ndarray, s: np.ndarray, shape: tuple[int, int], missing: np.ndarray):
+    def __init__(self, bins: np.ndarray, n: np.ndarray, s: np.ndarray, shape: tuple[int, int], missing: np.ndarray, root: np.ndarray | None = None):
         self.bins, self.n, self.s, self.shape, self.missing = bins, n, s, shape, missing
+        #: The root of the tree that a cell belongs to, where several grow together.
+        self.root = np.zeros(len(n), np.int64) if root is None else root
         self.prediction = np.zeros(len(n))
-        self.energy = float((s * s / n).sum())
+        self.energy = float((s * s / n).sum()) if len(n) else 0.0
         self.places = bins + np.arange(shape[0]) * shape[1]
 
     def sums(self) -> tuple[float, float]:
@@ -166,26 +169,30 @@ class HeldCells:
         self.prediction[:] = value
 
     def begin(self, tree: Tree) -> None:
-        self.node = np.zeros(len(self.n), np.int64)
+        self.node = self.root.copy()
         self.gradient = self.prediction * self.n - self.s
 
     def split(self, tree: Tree, at: Sequence[int]) -> None:
         """Move the cells of nodes that have got children."""
-        for node in at:
-            rows = np.flatnonzero(self.node == node)
-            b, f = self.bins[rows, tree.feature[node]], tree.feature[node]
-            goes_left = np.where(b == self.missing[f], tree.missing_left[node], b <= tree.cut[node])
-            self.node[rows] = np.where(goes_left, tree.left[node], tree.right[node])
+        feature, cut, missing_left, left, right = (np.array(x) for x in (tree.feature, tree.cut, tree.missing_left, tree.left, tree.right))
+        fresh = np.zeros(len(feature), bool)
+        fresh[list(at)] = True
+        rows = np.flatnonzero(fresh[self.node])
+        node = self.node[rows]
+        f = feature[node]
+        b = self.bins[rows, f]
+        goes_left = np.where(b == self.missing[f], missing_left[node], b <= cut[node])
+        self.node[rows] = np.where(goes_left, left[node], right[node])
 
     def histograms(self, tree: Tree, at: Sequence[int]) -> np.ndarray:
         features, bins = self.shape
-        out = np.zeros((len(at), features, bins, 3))
-        for k, node in enumerate(at):
-            rows = self.node == node
-            places, size = self.places[rows].ravel(), features * bins
-            for j, x in enumerate((self.gradient, self.n, self.n)):
-                out[k, :, :, j] = np.bincount(places, np.repeat(x[rows], features), size).reshape(features, bins)
-        return out
+        slot = np.full(len(tree.feature), -1, np.int64)
+        slot[list(at)] = np.arange(len(at))
+        leaf = slot[self.node]
+        rows = np.flatnonzero(leaf >= 0)
+        places, size = (self.places[rows] + (leaf[rows] * features * bins)[:, None]).ravel(), len(at) * features * bins
+        gradient, n = (np.bincount(places, np.repeat(x[rows], features), size) for x in (self.gradient, self.n))
+        return np.stack([gradient, n, n], -1).reshape(len(at), features, bins, 3)
 
     def finish(self, tree: Tree) -> None:
         self.prediction += tree.predict(self.bins, self.missing)
@@ -271,75 +278,124 @@ class SpreadCells:
         self.trees, self.first = [], 0.0
 
 
-def grow_tree(cells: HeldCells | SpreadCells, growth: Growth, rate: float = 1.0, draw: np.random.Generator | None = None) -> Tree:
-    """One tree on the gradients that ``cells`` have. Leaf values are scaled by ``rate``."""
-    features, _ = cells.shape
-    usable = np.ones(features, bool)
+def _usable(features: int, growth: Growth, draw: np.random.Generator | None) -> np.ndarray:
+    """Features that one tree may use."""
+    out = np.ones(features, bool)
     if growth.features_per_tree < 1:
-        usable[:] = False
-        usable[draw.choice(features, max(1, round(growth.features_per_tree * features)), replace=False)] = True
+        out[:] = False
+        out[draw.choice(features, max(1, round(growth.features_per_tree * features)), replace=False)] = True
+    return out
+
+
+def _allowed(usable: np.ndarray, growth: Growth, draw: np.random.Generator | None) -> np.ndarray:
+    """Features that each split may use, of those its tree may (leaf, feature)."""
+    if growth.features_per_split and growth.features_per_split < usable.shape[1]:
+        usable = usable.copy()
+        for row in usable:
+            row[draw.permutation(np.flatnonzero(row))[growth.features_per_split :]] = False
+    return usable
+
 
-    def allowed(n: int) -> np.ndarray:
-        out = np.tile(usable, (n, 1))
-        if growth.features_per_split and growth.features_per_split < features:
-            for row in out:
-                row[draw.permutation(np.flatnonzero(row))[growth.features_per_split :]] = False
-        return out
+def _open_children(tree: Tree, node: int, split: tuple, hist: np.ndarray, missing: np.ndarray) -> tuple[int, int, bool]:
+    """Write a split down; its children, and whether the left one has no more rows."""
+    tree.gain[node], tree.feature[node], tree.cut[node], tree.missing_left[node] = split
+    rows = hist[tree.feature[node], :, 2]
+    left_rows = rows[: tree.cut[node] + 1].sum() + (rows[missing[tree.feature[node]]] if tree.missing_left[node] else 0.0)
+    tree.left[node], tree.right[node] = tree.add(0.0, 0.0), tree.add(0.0, 0.0)
+    return tree.left[node], tree.right[node], bool(2 * left_rows <= rows.sum())
 
+
+def _sibling(parent: np.ndarray, hist: np.ndarray) -> np.ndarray:
+    other = parent - hist
+    # what subtraction leaves of bins without rows is no gradient
+    other[other[..., 2] < 0.5] = 0.0
+    return other
+
+
+def _describe(tree: Tree, nodes: Sequence[int], hists: np.ndarray, growth: Growth, rate: float) -> None:
+    sums = hists[:, 0].sum(axis=1)
+    for node, (g, h, c) in zip(nodes, sums.tolist(), strict=True):
+        tree.rows[node], tree.value[node] = c, rate * leaf_value(g, h, growth)
+
+
+def grow_levels(cells: HeldCells | SpreadCells, growth: Growth, rate: float = 1.0, draw: np.random.Generator | None = None, roots: int = 1) -> list[Tree]:
+    """Trees on the gradients that ``cells`` have, level by level; several grow in the same passes. Leaf values are scaled by ``rate``."""
     tree = Tree()
     cells.begin(tree)
+    nodes = [tree.add(0.0, 0.0) for _ in range(roots)]
+    usable = np.stack([_usable(cells.shape[0], growth, draw) for _ in nodes])
+    hists = cells.histograms(tree, nodes)
+    depth, chosen = 0, set()
+    while nodes:
+        _describe(tree, nodes, hists, growth, rate)
+        if growth.max_depth is not None and depth >= growth.max_depth:
+            break
+        splits = best_splits(hists, cells.missing, _allowed(usable, growth, draw), growth, NOISE * cells.energy)
+        at = [k for k, split in enumerate(splits) if split]
+        if not at:
+            break
+        parts = [_open_children(tree, nodes[k], splits[k], hists[k], cells.missing) for k in at]
+        fresh = [nodes[k] for k in at]
+        chosen.update(fresh)
+        cells.split(tree, fresh)
+        small = cells.histograms(tree, [left if less else right for left, right, less in parts])
+        large = _sibling(hists[at], small)
+        less = np.array([p[2] for p in parts])[:, None, None, None]
+        hists = np.stack([np.where(less, small, large), np.where(less, large, small)], 1).reshape(-1, *small.shape[1:])
+        nodes = [child for left, right, _ in parts for child in (left, right)]
+        usable = np.repeat(usable[at], 2, axis=0)
+        depth += 1
+    return [_pruned(tree, chosen, root) for root in range(roots)]
+
+
+def grow_tree(cells: HeldCells | SpreadCells, growth: Growth, rate: float = 1.0, draw: np.random.Generator | None = None) -> Tree:
+    """One tree on the gradients that ``cells`` have: level by level, or best first with a bound on leaves."""
+    if growth.max_leaves is None:
+        return grow_levels(cells, growth, rate, draw)[0]
+    tree = Tree()
+    cells.begin(tree)
+    usable = _usable(cells.shape[0], growth, draw)[None]
     hists = {tree.add(0.0, 0.0): cells.histograms(tree, [0])[0]}
     depth, splits, children = {0: 0}, {}, {}
 
     def judge(nodes: list[int]) -> None:
-        found = best_splits(np.stack([hists[k] for k in nodes]), cells.missing, allowed(len(nodes)), growth, NOISE * cells.energy)
+        stacked = np.stack([hists[k] for k in nodes])
+        _describe(tree, nodes, stacked, growth, rate)
+        found = best_splits(stacked, cells.missing, _allowed(np.repeat(usable, len(nodes), axis=0), growth, draw), growth, NOISE * cells.energy)
         for node, split in zip(nodes, found, strict=True):
-            g, h, c = hists[node][0].sum(axis=0)
-            tree.rows[node], tree.value[node] = float(c), rate * leaf_value(g, h, growth)
             if split and (growth.max_depth is None or depth[node] < growth.max_depth):
                 splits[node] = split
 
     judge([0])
-    most = growth.max_leaves or (1 << 62)
     queue = [(-splits[0][0], 0)] if splits else []
-    chosen, leaves = [], 1
-    while queue and leaves < most:
+    chosen: set[int] = set()
+    while queue and len(chosen) < growth.max_leaves - 1:
         if queue[0][1] not in children:
-            # the children of every leaf that may be split with the leaves that are left, in one pass
-            fresh = [node for _, node in heapq.nsmallest(min(len(queue), most - leaves), queue) if node not in children]
+            # the children of every leaf in the queue, in one pass; some may not be needed in the end
+            fresh = [node for _, node in sorted(queue) if node not in children]
             small = []
             for node in fresh:
-                gain, tree.feature[node], tree.cut[node], tree.missing_left[node] = splits[node]
-                hist = hists[node][tree.feature[node]]
-                at = cells.missing[tree.feature[node]]
-                left_rows = hist[: tree.cut[node] + 1, 2].sum() + (hist[at, 2] if tree.missing_left[node] else 0.0)
-                tree.gain[node] = gain
-                tree.left[node], tree.right[node] = children[node] = tree.add(0.0, 0.0), tree.add(0.0, 0.0)
-                depth[children[node][0]] = depth[children[node][1]] = depth[node] + 1
-                small.append(children[node][0] if 2 * left_rows <= hist[:, 2].sum() else children[node][1])
+                left, right, less = _open_children(tree, node, splits[node], hists[node], cells.missing)
+                children[node] = left, right
+                depth[left] = depth[right] = depth[node] + 1
+                small.append(left if less else right)
             cells.split(tree, fresh)
-            found = cells.histograms(tree, small)
-            for node, less, hist in zip(fresh, small, found, strict=True):
+            for node, less, hist in zip(fresh, small, cells.histograms(tree, small), strict=True):
                 left, right = children[node]
-                hists[less] = hist
-                other = hists[right if less == left else left] = hists[node] - hist
-                # what subtraction leaves of bins without rows is no gradient
-                other[other[..., 2] < 0.5] = 0.0
-                del hists[node]
+                hists[less], hists[right if less == left else left] = hist, _sibling(hists.pop(node), hist)
             judge([child for node in fresh for child in children[node]])
         node = heapq.heappop(queue)[1]
-        chosen.append(node)
-        leaves += 1
+        chosen.add(node)
         for child in children[node]:
             if child in splits:
                 heapq.heappush(queue, (-splits[child][0], child))
-    return _pruned(tree, set(chosen))
+    return _pruned(tree, chosen)
 
 
-def _pruned(tree: Tree, chosen: set[int]) -> Tree:
-    """The tree of the chosen splits alone, its nodes numbered anew from the root."""
+def _pruned(tree: Tree, chosen: set[int], root: int = 0) -> Tree:
+    """The tree of the chosen splits below ``root`` alone, its nodes numbered anew."""
     out = Tree()
-    stack = [(0, out.add(tree.rows[0], tree.value[0]))]
+    stack = [(root, out.add(tree.rows[root], tree.value[root]))]
     while stack:
         old, new = stack.pop()
         if old not in chosen:
@@ -485,14 +541,14 @@ def bagged_cells(rows: DataFrame, binning: Binning, trees: int, seed: int) -> Da
     return parts.groupBy("place", "tree").agg(F.sum("n").alias("n"), F.sum("s").alias("s"))
 
 
-def grow_forest(binning: Binning, samples: Sequence[HeldCells | SpreadCells], growth: Growth, seed: int) -> EnsembleModel:
-    """The mean of one tree per sample; a tree predicts the mean label of its leaf."""
-    draw = np.random.default_rng(seed)
-    trees = []
-    for cells in samples:
-        cells.start(0.0)
-        trees.append(grow_tree(cells, growth, 1.0, draw))
-    return EnsembleModel(binning, trees, 0.0, average=True)
+#: Trees of a forest that grow in the same passes.
+TREES_AT_ONCE = 50
+
+
+def grow_forest(binning: Binning, cells: HeldCells | SpreadCells, growth: Growth, seed: int, roots: int = 1) -> EnsembleModel:
+    """The mean of one tree per root of ``cells``; a tree predicts the mean label of its leaf."""
+    cells.start(0.0)
+    return EnsembleModel(binning, grow_levels(cells, growth, 1.0, np.random.default_rng(seed), roots), 0.0, average=True)
 
 
 def fit_forest(
@@ -503,20 +559,25 @@ def fit_forest(
     cells = cell_table(train, binning, target, missing_allowed=False)
     drawn = growth.features_per_split is not None
     if not bootstrap:
-        # without draws all trees are the same
         held = open_cells(cells, binning, most_cells)
-        model = grow_forest(binning, [held] * (trees if drawn else 1), growth, seed)
-        model.trees = model.trees if drawn else model.trees * trees
-        return model
+        # without draws all trees are the same
+        grown = [grow_forest(binning, held, growth, seed + k).trees[0] for k in range(trees if drawn else 1)]
+        return EnsembleModel(binning, grown if drawn else grown * trees, 0.0, average=True)
     if binning.grid >= 1 << 62 or cells.count() * trees > most_cells:
         return None
     (shape, missing), sizes = _shape(binning), [len(c) + 2 for c in binning.cuts]
     bagged = bagged_cells(bin_rows(train, binning, target), binning, trees, seed).orderBy("tree", "place").toPandas()
     place, tree, n, s = (bagged[c].to_numpy() for c in ("place", "tree", "n", "s"))
     bins = np.stack(np.unravel_index(place, sizes), 1)
-    samples = []
-    for k in range(trees):
-        rows = tree == k
-        # a sample of few rows may be empty, as all of a bootstrap's draws may miss them: it takes all
-        samples.append(HeldCells(bins[rows], n[rows], s[rows], shape, missing) if rows.any() else open_cells(cells, binning, most_cells))
-    return grow_forest(binning, samples, growth, seed)
+    # a sample of few rows may be empty, as all of its draws may miss them: it predicts the mean of all
+    mean = s.sum() / n.sum() if len(n) else float(cells.agg(F.sum("s") / F.sum("n")).first()[0])
+    grown = []
+    for begin in range(0, trees, TREES_AT_ONCE):
+        end = min(trees, begin + TREES_AT_ONCE)
+        rows = (tree >= begin) & (tree < end)
+        held = HeldCells(bins[rows], n[rows], s[rows], shape, missing, tree[rows].astype(np.int64) - begin)
+        grown += grow_forest(binning, held, growth, seed + begin, end - begin).trees
+    for one in grown:
+        if not one.rows[0]:
+            one.value[0] = mean
+    return EnsembleModel(binning, grown, 0.0, average=True)

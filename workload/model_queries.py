@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from wattline.errors import TrainingError
 from wattline.operators.drift import (
     DRIFT_RATIOS,
     detect_drift,
@@ -17,8 +18,8 @@ from wattline.operators.evaluate import (
     metrics_long,
     threshold_breaches as breaches,
 )
-from wattline.operators.models import ModelDefinition, fit, load_model, predict, save_model
-from wattline.operators.search import Trial, grid, search, trial_table
+from wattline.operators.models import DEFAULT_MODELS, ModelDefinition, fit, load_model, predict, save_model
+from wattline.operators.search import Halving, Trial, grid, search, trial_table
 from wattline.operators.select import champion_vs_baseline as champion_or_baseline
 from wattline.operators.select import select_best as best_of
 from wattline.operators.select import select_best_lenient as best_of_lenient
@@ -31,6 +32,7 @@ from wattline.plans.train import TrainOptions, log_trials, train_job
 from wattline.sources.tables import (
     COMPARISON_SCHEMA,
     REPORT_SCHEMA,
+    RUN_PHASES_SCHEMA,
     TRIAL_METRICS_SCHEMA,
     champion,
     load_champion,
@@ -100,26 +102,94 @@ def train_rf_cells(spark, sf_dir):
 @query(_CELLS_SQL)
 def train_gbt_cells(spark, sf_dir):
     """A first tree of full depth predicts the mean of each cell, and the trees behind it have nothing left to fit."""
-    params = {"n_estimators": 3, "learning_rate": 0.05, "max_depth": 30}
+    params = {"n_estimators": 3, "learning_rate": 0.05, "max_depth": 30, "init": "tree"}
     return _cells(spark, sf_dir, ModelDefinition("gbm", "gradient_boosting", params))
 
 
+_BY_NAME = {d.name: d for d in DEFAULT_MODELS}
+
+
 @query()
 def train_gbt(spark, sf_dir):
-    params = {"n_estimators": 12, "learning_rate": 0.2, "max_depth": 4}
-    return _trained(spark, sf_dir, ModelDefinition("gbm", "gradient_boosting", params))
+    return _trained(spark, sf_dir, _BY_NAME["gbm"])
 
 
 @query()
 def train_xgb_like(spark, sf_dir):
-    params = {"n_estimators": 8, "learning_rate": 0.3, "max_depth": 6}
-    return _trained(spark, sf_dir, ModelDefinition("xgb", "xgboost", params))
+    return _trained(spark, sf_dir, _BY_NAME["xgb"])
 
 
 @query()
 def train_lgbm_like(spark, sf_dir):
-    params = {"n_estimators": 8, "learning_rate": 0.3, "num_leaves": 16}
-    return _trained(spark, sf_dir, ModelDefinition("lgbm", "lightgbm", params))
+    return _trained(spark, sf_dir, _BY_NAME["lgbm"])
+
+
+#: Trees that part all cells: each round takes the same share of what is left of a cell's mean.
+_PARTING = {
+    "gbm": ModelDefinition("gbm", "gradient_boosting", {"n_estimators": 300, "learning_rate": 0.05, "max_depth": 30}),
+    "xgb": ModelDefinition("xgb", "xgboost", {"n_estimators": 400, "learning_rate": 0.05, "max_depth": 0, "reg_lambda": 0.0}),
+    "lgbm": ModelDefinition("lgbm", "lightgbm", {"n_estimators": 300, "learning_rate": 0.03, "num_leaves": 512, "min_child_samples": 1}),
+}
+_SHARES = ", ".join(f"('{n}', 1 - pow(1 - {d.params['learning_rate']}::DOUBLE, {d.params['n_estimators']}))" for n, d in _PARTING.items())
+
+
+@query(
+    f"""WITH {fx.ENGINEERED_SQL}, train AS (SELECT * FROM engineered WHERE {_TRAIN}), whole AS (SELECT avg(total_load) AS mean FROM train),
+    cells AS (SELECT hour_of_day, day_of_week, is_weekend, avg(total_load) AS cell_mean FROM train GROUP BY ALL)
+    SELECT kind, hour_of_day, day_of_week, is_weekend, round(mean + (cell_mean - mean) * share, 4) AS prediction
+    FROM cells, whole, (VALUES {_SHARES}) s(kind, share)"""
+)
+def boosted_cells(spark, sf_dir):
+    """All three boosted kinds with their declared rounds and rates, where every cell has a leaf of its own."""
+    train, _, _ = _slices(spark, sf_dir)
+    cells = train.select(*FEATURES).distinct()
+    guesses = F.array(*[F.struct(F.lit(n).alias("kind"), fit(d, train, FEATURES).column().alias("p")) for n, d in _PARTING.items()])
+    return cells.select(*FEATURES, F.inline(guesses)).select("kind", *FEATURES, F.round("p", 4).alias("prediction"))
+
+
+_STUMPS = {
+    "gbm": (ModelDefinition("gbm", "gradient_boosting", {"n_estimators": 1, "learning_rate": 1.0, "max_depth": 1}), 0.0, 1, False),
+    "xgb": (ModelDefinition("xgb", "xgboost", {"n_estimators": 1, "learning_rate": 1.0, "max_depth": 1, "reg_lambda": 5.0, "min_child_weight": 8}), 5.0, 8, True),
+    "lgbm": (ModelDefinition("lgbm", "lightgbm", {"n_estimators": 1, "learning_rate": 1.0, "num_leaves": 2, "min_child_samples": 20}), 0.0, 20, True),
+}
+_STUMPS_SQL = ", ".join(f"('{n}', {lam}::DOUBLE, {least}, {str(gaps).lower()})" for n, (_, lam, least, gaps) in _STUMPS.items())
+
+
+@query(
+    f"""WITH {fx.ENGINEERED_SQL}, train AS (SELECT *, minute(timestamp) = 45 AS gap FROM engineered WHERE {_TRAIN}), whole AS (SELECT avg(total_load) AS mean FROM train),
+    kinds(kind, lam, least, gaps) AS (VALUES {_STUMPS_SQL}),
+    long AS (
+      SELECT kind, lam, least, mean - total_load AS g, unnest([
+        {{'f': 0, 'x': CASE WHEN NOT (gaps AND gap) THEN hour_of_day END}}, {{'f': 1, 'x': day_of_week}}, {{'f': 2, 'x': is_weekend}}], recursive := true)
+      FROM train, whole, kinds
+    ), bins AS (SELECT kind, lam, least, f, x, sum(g) AS g, count(*)::DOUBLE AS h FROM long GROUP BY ALL
+    ), sums AS (
+      SELECT *, sum(g) OVER w AS gl, sum(h) OVER w AS hl, lead(x) OVER (PARTITION BY kind, f ORDER BY x NULLS LAST) AS up,
+        sum(g) OVER a AS ga, sum(h) OVER a AS ha, coalesce(sum(g) FILTER (x IS NULL) OVER a, 0) AS g0, coalesce(sum(h) FILTER (x IS NULL) OVER a, 0) AS h0
+      FROM bins WINDOW w AS (PARTITION BY kind, f ORDER BY x NULLS LAST), a AS (PARTITION BY kind, f)
+    ), sides AS (
+      SELECT kind, lam, least, f, x, up, ga, ha, gl, hl, CASE WHEN h0 > 0 THEN false ELSE hl * 2 > ha END AS missing_left FROM sums WHERE x IS NOT NULL
+      UNION ALL SELECT kind, lam, least, f, x, up, ga, ha, gl + g0, hl + h0, true FROM sums WHERE x IS NOT NULL AND h0 > 0
+    ), gains AS (
+      SELECT *, gl * gl / (hl + lam) + (ga - gl) * (ga - gl) / (ha - hl + lam) - ga * ga / (ha + lam) AS gain FROM sides WHERE hl >= least AND ha - hl >= least
+    ), best AS (SELECT * FROM gains QUALIFY row_number() OVER (PARTITION BY kind ORDER BY gain DESC, f, x, missing_left) = 1)
+    SELECT kind, f AS feature, (x + up) / 2.0::DOUBLE AS cut, missing_left, hl AS n_left, ha - hl AS n_right,
+      round(-gl / (hl + lam), 4) AS value_left, round(-(ga - gl) / (ha - hl + lam), 4) AS value_right FROM best"""
+)
+def boosted_first_split(spark, sf_dir):
+    """The first split of each boosted kind against all splits there are; the hour is missing on every fourth slot for the kinds that learn a side for that."""
+    train, _, _ = _slices(spark, sf_dir)
+    gap = F.when(F.minute("timestamp") != 45, F.col("hour_of_day"))
+    rows = []
+    for name, (definition, _, _, gaps) in _STUMPS.items():
+        model = fit(definition, train.withColumn("hour_of_day", gap) if gaps else train, FEATURES)
+        tree = model.trees[0]
+        cuts = model.binning.cuts[tree.feature[0]]
+        cut = cuts[tree.cut[0]] if tree.cut[0] < len(cuts) else None
+        sides = tree.left[0], tree.right[0]
+        rows.append((name, tree.feature[0], cut, tree.missing_left[0], *(tree.rows[k] for k in sides), *(tree.value[k] for k in sides)))
+    found = spark.createDataFrame(rows, "kind string, feature int, cut double, missing_left boolean, n_left double, n_right double, l double, r double")
+    return found.select(*found.columns[:6], F.round("l", 4).alias("value_left"), F.round("r", 4).alias("value_right"))
 
 
 @query()
@@ -150,6 +220,37 @@ def train_elastic_net(spark, sf_dir):
     )
 
 
+#: With no first-order penalty three features have a closed form: the ridge equations, solved by determinants.
+RIDGE = ModelDefinition("ridge", "elastic_net", {"alpha": 10.0, "l1_ratio": 0.0})
+
+
+def _ridge_sql(source: str) -> str:
+    x = ("hour_of_day", "day_of_week", "is_weekend")
+    sums = ", ".join(f"covar_pop({a}, {b}) + {10.0 if a == b else 0.0} AS m{i}{j}" for i, a in enumerate(x) for j, b in enumerate(x))
+    right = ", ".join(f"covar_pop({a}, total_load) AS r{i}, avg({a}) AS x{i}" for i, a in enumerate(x))
+
+    def det(column: int | None) -> str:
+        m = [[f"r{i}" if j == column else f"m{i}{j}" for j in range(3)] for i in range(3)]
+        return " + ".join(f"{m[0][a]} * ({m[1][b]} * {m[2][c]} - {m[1][c]} * {m[2][b]})" for a, b, c in ((0, 1, 2), (1, 2, 0), (2, 0, 1)))
+
+    return f"""stats AS (SELECT {sums}, {right}, avg(total_load) AS my FROM {source}),
+    net AS (SELECT *, my - w0 * x0 - w1 * x1 - w2 * x2 AS b FROM (SELECT *, {', '.join(f'({det(k)}) / ({det(None)}) AS w{k}' for k in range(3))} FROM stats))"""
+
+
+_RIDGE_GUESS = "b + w0 * hour_of_day + w1 * day_of_week + w2 * is_weekend"
+
+
+@query(
+    f"""WITH {fx.ENGINEERED_SQL}, train AS (SELECT * FROM engineered WHERE {_TRAIN}), {_ridge_sql('train')}
+    SELECT DISTINCT hour_of_day, day_of_week, is_weekend, round({_RIDGE_GUESS}, 4) AS prediction FROM engineered, net WHERE {_VALIDATION}"""
+)
+def train_ridge(spark, sf_dir):
+    """All three features, from one Gram matrix."""
+    train, validation, _ = _slices(spark, sf_dir)
+    guesses = predict(fit(RIDGE, train, FEATURES), validation.select(*FEATURES).distinct(), FEATURES)
+    return guesses.withColumn("prediction", F.round("prediction", 4))
+
+
 _GRID = {"alpha": [0.1, 10.0, 50.0], "l1_ratio": [0.1, 0.5, 0.9]}
 _GRID_SQL = f"""WITH {fx.ENGINEERED_SQL},
 points AS (SELECT unnest([{', '.join(f"{{'i': {i * 3 + j}, 'a': CAST({a} AS DOUBLE), 'r': CAST({r} AS DOUBLE)}}" for i, a in enumerate(_GRID['alpha']) for j, r in enumerate(_GRID['l1_ratio']))}]) AS p),
@@ -167,20 +268,44 @@ def grid_search(spark, sf_dir):
     return trial_table(spark, trials).select("model_name", F.round(F.col("metrics")["rmse"], 3).alias("rmse"))
 
 
-_SMALL_SEARCH = (
-    ModelDefinition("rf_small", "random_forest_regressor", {"n_estimators": 10, "max_depth": 6}),
-    ModelDefinition("gbm", "gradient_boosting", {"n_estimators": 6, "learning_rate": 0.3, "max_depth": 3}),
-    NET,
-    # fails, and is recorded as failed
-    ModelDefinition("broken", "elastic_net", {"alpha": -1.0}),
-)
+# fails, and is recorded as failed
+_BROKEN = ModelDefinition("broken", "elastic_net", {"alpha": -1.0})
+#: The declared grid of the forest.
+_FOREST_GRID = {"n_estimators": [50, 100, 200], "max_depth": [None, 10, 20], "min_samples_split": [2, 5]}
+
+
+def _shown(spark, trials):
+    return trial_table(spark, trials).select("ordinal", "model_name", "model_kind", "status", F.col("metrics")["rmse"].alias("rmse"))
 
 
 @query()
 def model_search(spark, sf_dir):
+    """The default definitions with all their rounds and features, and one that fails."""
     train, validation, _ = _slices(spark, sf_dir)
-    trials = trial_table(spark, search(train, validation, FEATURES, definitions=_SMALL_SEARCH))
-    return trials.select("ordinal", "model_name", "model_kind", "status", F.col("metrics")["rmse"].alias("rmse"))
+    return _shown(spark, search(train, validation, FEATURES, definitions=[*DEFAULT_MODELS, _BROKEN]))
+
+
+@query()
+def forest_grid(spark, sf_dir):
+    train, validation, _ = _slices(spark, sf_dir)
+    definitions = grid("rf", "random_forest_regressor", _FOREST_GRID, {"random_state": 42, "n_jobs": -1}, max_trials=20)
+    return _shown(spark, search(train, validation, FEATURES, definitions=definitions))
+
+
+@query()
+def halving_search(spark, sf_dir):
+    """A grid of boosted trees and nets under a budget of rounds, and again from the table of rungs that the first search left."""
+    train, validation, _ = _slices(spark, sf_dir)
+    definitions = [
+        *grid("gbm", "gradient_boosting", {"learning_rate": [0.02, 0.1], "max_depth": [2, 4]}, {"n_estimators": 300}),
+        *grid("lgbm", "lightgbm", {"num_leaves": [8, 64], "learning_rate": [0.03, 0.3]}, {"n_estimators": 300}), NET, _BROKEN,
+    ]
+    base = scratch_path(spark, "halving")
+    given = {"definitions": definitions, "strategy": "halving", "halving": Halving(600), "models_path": f"{base}/models", "trials_path": f"{base}/rungs"}
+    first = search(train, validation, FEATURES, **given)
+    again = search(train, validation, FEATURES, **given)
+    same = F.lit([(t.run_id, t.status) for t in first] == [(t.run_id, t.status) for t in again])
+    return _shown(spark, again).withColumn("resumed", same)
 
 
 @query()
@@ -188,7 +313,7 @@ def compare_models(spark, sf_dir):
     train, validation, _ = _slices(spark, sf_dir)
     base = scratch_path(spark, "compare")
     compare(
-        train, validation, FEATURES, _SMALL_SEARCH[0], _SMALL_SEARCH[1:3],
+        train, validation, FEATURES, DEFAULT_MODELS[0], DEFAULT_MODELS[1:],
         reports=f"{base}/comparisons", registry=f"{base}/registry",
     )
     report = read_table(spark, f"{base}/comparisons", COMPARISON_SCHEMA)
@@ -201,7 +326,7 @@ def compare_models(spark, sf_dir):
 def model_roundtrip(spark, sf_dir):
     """A saved and loaded model predicts what it did before."""
     train, _, test = _slices(spark, sf_dir)
-    model = fit(_SMALL_SEARCH[0], train, FEATURES)
+    model = fit(DEFAULT_MODELS[0], train, FEATURES)
     loaded = load_model(save_model(model, scratch_path(spark, "models"), "rf", "run"))
     twice = predict(model, test, [*FEATURES, "timestamp"]).withColumnRenamed("prediction", "first")
     again = predict(loaded, twice, ["first"])
@@ -516,15 +641,18 @@ def retrain_decision(spark, sf_dir):
 # --- jobs --------------------------------------------------------------------------------------
 
 
-def _train_net(spark, sf_dir, base: str):
-    """The training job on the raw file, with the one model that has a closed form."""
+def _train(spark, sf_dir, base: str, definition: ModelDefinition, features=None):
+    """The training job on the raw file, with one definition; all features unless some are named."""
     raw = scan_file(spark, raw_file(spark, sf_dir), Contract(RAW, "raw"))
-    options = TrainOptions(
-        base, train_end=fx.TRAIN_END, val_end=fx.VAL_END, definitions=[NET], features=["hour_of_day"]
-    )
+    options = TrainOptions(base, train_end=fx.TRAIN_END, val_end=fx.VAL_END, definitions=[definition], features=features)
     return raw, train_job(raw, options)
 
 
+def _train_net(spark, sf_dir, base: str):
+    """The one model that has a closed form on one feature."""
+    return _train(spark, sf_dir, base, NET, ["hour_of_day"])
+
+
 _RAW_NET_SQL = f"{fx.RAW_ENGINEERED_SQL}, train AS (SELECT * FROM engineered WHERE {_TRAIN}), {fx.elastic_net_sql('train')}"
 
 
@@ -541,7 +669,92 @@ def batch_predict(spark, sf_dir):
     return spark.read.parquet(out).select(ending, "timestamp", F.round("prediction", 3).alias("prediction"))
 
 
+_RAW_CELLS_SQL = f"""{fx.RAW_ENGINEERED_SQL}, train AS (SELECT * FROM engineered WHERE {_TRAIN}), whole AS (SELECT avg(total_load) AS mean FROM train),
+    cells AS (SELECT hour_of_day, day_of_week, is_weekend, avg(total_load) AS cell_mean FROM train GROUP BY ALL),
+    guesses AS (SELECT c.timestamp, mean + (cell_mean - mean) * (1 - pow(1 - 0.03::DOUBLE, 300)) AS prediction
+      FROM (SELECT timestamp, {fx.CALENDAR_SQL} FROM exact_readings) c LEFT JOIN cells USING (hour_of_day, day_of_week, is_weekend) CROSS JOIN whole)"""
+
+
+def _seen(train, guesses):
+    """Predictions of calendar cells that the training slice has; what a tree says of others has no closed form, and is shown as null."""
+    cells = train.select(*FEATURES, F.lit(True).alias("seen")).distinct()
+    stamp = F.col("timestamp")
+    placed = guesses.select(
+        "*", F.hour(stamp).cast("bigint").alias("hour_of_day"), F.weekday(stamp).cast("bigint").alias("day_of_week"), (F.weekday(stamp) >= 5).cast("bigint").alias("is_weekend")
+    )
+    met = placed.join(F.broadcast(cells), FEATURES, "left")  # at most 168 cells
+    return met.withColumn("prediction", F.when(F.col("seen"), F.round("prediction", 3))).drop("seen", *FEATURES)
+
+
+@query(
+    f"""WITH {_RAW_CELLS_SQL} SELECT CASE WHEN timestamp < TIMESTAMP '{fx.TRAIN_END}' THEN 'txt' ELSE 'csv' END AS ending, timestamp,
+    round(prediction, 3) AS prediction FROM guesses"""
+)
+def batch_predict_boosted(spark, sf_dir):
+    """The batch job with a leaf-wise champion of 300 rounds on all features."""
+    base = scratch_path(spark, "batch-boosted")
+    _, result = _train(spark, sf_dir, base, _PARTING["lgbm"])
+    train, _, _ = split_frames(spark.read.parquet(result.engineered), fx.TRAIN_END, fx.VAL_END)
+    out = score_job(spark, reading_files(spark, sf_dir), f"{base}/registry", f"{base}/predictions")
+    ending = F.regexp_extract("source_file", r"\.(\w+)$", 1).alias("ending")
+    return _seen(train, spark.read.parquet(out).select(ending, "timestamp", "prediction"))
+
+
 _ERROR_SQL = "sqrt(avg((total_load - (b + w * hour_of_day)) ^ 2))"
+_RIDGE_ERROR_SQL = f"sqrt(avg((total_load - ({_RIDGE_GUESS})) ^ 2))"
+
+
+def _monitored(spark, base: str, raw):
+    options = MonitorOptions(f"{base}/registry", f"{base}/reports", f"{base}/run_phases", PrepareOptions(), fx.VAL_END)
+    monitor_job(raw, options)
+    report = read_table(spark, f"{base}/reports", REPORT_SCHEMA)
+    return report.select(
+        "model_version",
+        F.round(F.col("baseline_metrics")["rmse"], 3).alias("baseline_rmse"),
+        F.round(F.col("live_metrics")["rmse"], 3).alias("live_rmse"),
+        "drift_detected",
+    )
+
+
+@query(
+    f"""WITH {fx.RAW_ENGINEERED_SQL}, train AS (SELECT * FROM engineered WHERE {_TRAIN}), {_ridge_sql('train')},
+    base AS (SELECT {_RIDGE_ERROR_SQL} AS rmse FROM engineered, net WHERE {_VALIDATION}),
+    live AS (SELECT {_RIDGE_ERROR_SQL} AS rmse FROM engineered, net WHERE timestamp > TIMESTAMP '{fx.VAL_END}')
+    SELECT 'v1' AS model_version, round(base.rmse, 3) AS baseline_rmse, round(live.rmse, 3) AS live_rmse,
+      (live.rmse - base.rmse) / base.rmse > 0.1::DOUBLE AS drift_detected FROM base, live"""
+)
+def monitor_live_all(spark, sf_dir):
+    """The monitoring job with a champion on all features."""
+    base = scratch_path(spark, "monitor-all")
+    raw, _ = _train(spark, sf_dir, base, RIDGE)
+    return _monitored(spark, base, raw)
+
+
+@query()
+def monitor_live_boosted(spark, sf_dir):
+    """The monitoring job with the best of the default definitions as champion."""
+    base = scratch_path(spark, "monitor-boosted")
+    raw = scan_file(spark, raw_file(spark, sf_dir), Contract(RAW, "raw"))
+    train_job(raw, TrainOptions(base, train_end=fx.TRAIN_END, val_end=fx.VAL_END))
+    return _monitored(spark, base, raw)
+
+
+_OUTCOMES = """SELECT * FROM (VALUES ('FAILED', 'data', 'SUCCESS', false), ('FAILED', 'model_search', 'FAILED', true),
+    ('SUCCESS', 'data', 'SUCCESS', false), ('SUCCESS', 'model_search', 'SUCCESS', false), ('SUCCESS', 'registry', 'SUCCESS', false))
+    v(run_status, phase, status, has_message)"""
+
+
+@query(f"WITH n AS (SELECT count(*) AS n FROM events) SELECT v.* FROM ({_OUTCOMES}) v, n WHERE n > 0")
+def run_log_phases(spark, sf_dir):
+    """What two training jobs wrote to their log: one that went through, and one whose only definition cannot be fitted."""
+    base = scratch_path(spark, "run-log")
+    raw, _ = _train(spark, sf_dir, base, NET)
+    try:
+        _train(spark, sf_dir, base, _BROKEN)
+    except TrainingError:
+        pass
+    phases = read_table(spark, f"{base}/run_phases", RUN_PHASES_SCHEMA).where("duration_ms >= 0 and ended_at >= started_at")
+    return phases.select("run_status", "phase", "status", F.col("error_message").isNotNull().alias("has_message"))
 
 
 @query(
@@ -555,15 +768,7 @@ def monitor_live(spark, sf_dir):
     """Train, register, then monitor the champion on the live slice and read the report."""
     base = scratch_path(spark, "monitor")
     raw, _ = _train_net(spark, sf_dir, base)
-    options = MonitorOptions(f"{base}/registry", f"{base}/reports", f"{base}/run_phases", PrepareOptions(), fx.VAL_END)
-    monitor_job(raw, options)
-    report = read_table(spark, f"{base}/reports", REPORT_SCHEMA)
-    return report.select(
-        "model_version",
-        F.round(F.col("baseline_metrics")["rmse"], 3).alias("baseline_rmse"),
-        F.round(F.col("live_metrics")["rmse"], 3).alias("live_rmse"),
-        "drift_detected",
-    )
+    return _monitored(spark, base, raw)
 
 
 # --- streams -----------------------------------------------------------------------------------
@@ -583,6 +788,24 @@ def stream_score(spark, sf_dir):
     return spark.read.parquet(f"{base}/out").select("timestamp", F.round("prediction", 3).alias("prediction"))
 
 
+@query(
+    f"""WITH {fx.ENGINEERED_SQL}, train AS (SELECT * FROM engineered WHERE {_TRAIN}), whole AS (SELECT avg(total_load) AS mean FROM train),
+    cells AS (SELECT hour_of_day, day_of_week, is_weekend, avg(total_load) AS cell_mean FROM train GROUP BY ALL)
+    SELECT c.timestamp, round(mean + (cell_mean - mean) * (1 - pow(1 - 0.05::DOUBLE, 300)), 3) AS prediction
+    FROM (SELECT timestamp, {fx.CALENDAR_SQL} FROM exact_readings) c LEFT JOIN cells USING (hour_of_day, day_of_week, is_weekend) CROSS JOIN whole"""
+)
+def stream_score_boosted(spark, sf_dir):
+    """A stream scored by boosted trees on all features: a lookup in the JVM."""
+    train, _, _ = _slices(spark, sf_dir)
+    model = fit(_PARTING["gbm"], train, FEATURES)
+    base = scratch_path(spark, "stream-boosted")
+    source = fx.readings_raw(spark, sf_dir)
+    source.write.parquet(f"{base}/in")
+    stream = spark.readStream.schema(source.schema).parquet(f"{base}/in")
+    run_available(score_stream(stream, model), f"{base}/out", f"{base}/checkpoint")
+    return _seen(train, spark.read.parquet(f"{base}/out").select("timestamp", "prediction"))
+
+
 _TYPE_MEANS_SQL = "types AS (SELECT event_type, avg(value) AS prediction FROM events GROUP BY 1)"
 
 
