@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,8 +31,15 @@ def pieces(batch: pa.RecordBatch, column: str, limit: int = PIECE_BYTES) -> Iter
     starts = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
     for begin, end in zip(starts, np.r_[starts[1:], batch.num_rows], strict=True):
         yield batch.slice(begin, end - begin)
-    # workers live on after a task; what it has freed goes back to the system
+    give_back()
+
+
+def give_back() -> None:
+    """Workers live on after a task; what it has freed goes back to the system, where the allocators can do that."""
     pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 def text_bytes(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:

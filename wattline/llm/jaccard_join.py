@@ -2,18 +2,17 @@
 
 The product of the incidence matrix with its transpose counts how many n-grams two documents share. It is never built
 whole: for similarity t two sets of sizes a <= b can only link if a >= t * b, and if they share one of the first
-``size - ceil(t * size) + 1`` n-grams of each in any fixed global order. Only these entries become rows, blocked
-by n-gram; the pairs of a block are counted up, pairs outside the size bound are dropped, and the overlap of the others is
-completed from whole texts.
-
-The order puts n-grams that are common in the corpus last, then sorts by hash. So passages that many documents share
-stay out of the product unless a document has little else. Any set of common n-grams gives the same links; it only
-decides how many pairs are looked at.
-
-Documents with equal sets are one class and are compared once. In a large block pairs are not expanded: each round compares
-all members with one hub of the block, links are merged to components, and only pairs of different components remain.
-When hubs find few links, the shared entries of all pairs that remain are counted, pairs that cannot reach the overlap which their sizes ask for
-are dropped, and the others are compared; so the components are exactly those of the full join.
+``size - ceil(t * size) + 1`` n-grams of each in any fixed global order.
+
+The order is by the number of documents that have an n-gram, rare ones first. Those that one document has alone are no entries of
+the product; they only fill the front of its order. So a document whose first n-grams are its own meets no other one, and a passage
+that many documents share brings no two of them together unless they have little else. Only what is left becomes rows, blocked by n-gram.
+
+Documents with equal sets are one class and are compared once. In a block pairs are not expanded: each round compares every
+member with one hub, the one of its blocks' hubs that it shares most entries with, links are merged to components, and only pairs of different
+components remain. When these are few, or hubs find few links, the shared entries of all pairs that remain are counted, pairs that cannot
+reach the overlap which their sizes ask for are dropped, and the others are compared; so the components are exactly those of the
+full join. Overlaps are counted on the n-grams that more than one document has.
 """
 
 from __future__ import annotations
@@ -32,12 +31,18 @@ from wattline.storage import materialize
 WORDS = 5
 #: Similarity as a fraction of integers, so that borders are exact.
 PERCENT = 75
-#: An n-gram seen this often, counting only repeats inside a task's pieces, is common.
-COMMON = 12
-#: Most common n-grams that are sent to all tasks (8 bytes each), the most frequent first. Others only cost time.
+#: An n-gram seen this often, counting only repeats inside a task's pieces, is common: it comes last in the order and is not counted again.
+COMMON = 1000
+#: Most common n-grams that are sent to all tasks (8 bytes each), the most frequent first. Others are counted like all.
 MOST_COMMON = 1_000_000
+#: Documents up to which an n-gram is counted; more frequent ones are alike in the order.
+MOST_COUNTED = 4096
+#: Bytes of text that are shingled together; a longer text is taken alone.
+SHINGLE_BYTES = 512 << 10
 #: Rounds with hubs go on while at least one in so many of the pairs they compare is a link.
 PAIRS_PER_LINK = 20
+#: Pairs of different components are expanded once they are no more than so many times the entries.
+PAIRS_PER_ENTRY = 2
 #: Members of one hub that one task streams over.
 SLOT_ROWS = 2000
 #: Narrow tables (keys only) of at most so many rows are broadcast, after they are counted; larger ones are shuffled.
@@ -59,56 +64,162 @@ def shingle_sets(texts, words: int = WORDS):
             yield np.empty(0, np.uint64)
 
 
-def _common_grams(docs: DataFrame, words: int, least: int, most: int) -> np.ndarray:
-    """Hashes of frequent n-grams, ascending: repeats inside pieces of text are summed over the corpus."""
+def _profiles(docs: DataFrame, words: int) -> DataFrame:
+    """One row per document: ``rid``, ``id``, ``text_hash``, ``n``, ``sig``; and n-grams that repeat inside a piece of texts, in its first row: ``again``, ``times``."""
+    kind = docs.schema["id"].dataType.simpleString()
 
     def run(batches):
         import pyarrow as pa
+        from pyspark import TaskContext
 
+        rid = TaskContext.get().partitionId() << 33
         for batch in batches:
-            for piece in pieces(batch, "text"):
-                grams, counts = np.unique(np.concatenate([np.empty(0, np.uint64), *shingle_sets(piece.column("text"), words)]), return_counts=True)
+            for piece in pieces(batch, "text", SHINGLE_BYTES):
+                sizes, sigs, sets = [], [], []
+                for grams in shingle_sets(piece.column("text"), words):
+                    sizes.append(len(grams))
+                    sigs.append(hashlib.blake2b(grams.tobytes(), digest_size=16).digest())
+                    sets.append(grams)
+                grams, counts = np.unique(np.concatenate(sets), return_counts=True)
                 many = counts > 1
-                yield pa.RecordBatch.from_arrays([pa.array(grams[many].view(np.int64)), pa.array(counts[many].astype(np.int64))], ["gram", "n"])
+                blank = [None] * (len(sizes) - 1)
+                rids = np.arange(rid, rid + len(sizes), dtype=np.int64)
+                rid += len(sizes)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(rids), piece.column("id"), piece.column("text_hash"), pa.array(sizes, pa.int64()), pa.array(sigs, pa.binary()),
+                     pa.array([grams[many].view(np.int64), *blank], pa.list_(pa.int64())), pa.array([counts[many], *blank], pa.list_(pa.int64()))],
+                    ["rid", "id", "text_hash", "n", "sig", "again", "times"],
+                )
+
+    return docs.mapInArrow(run, f"rid long, id {kind}, text_hash long, n long, sig binary, again array<long>, times array<long>")
 
-    sums = docs.select("text").mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+
+def _common_grams(profiles: DataFrame, least: int, most: int) -> np.ndarray:
+    """Hashes of frequent n-grams, ascending: repeats inside pieces of text are summed over the corpus."""
+    repeats = profiles.where("again is not null").select(F.explode(F.arrays_zip("again", "times")).alias("r"))
+    sums = repeats.groupBy(F.col("r.again").alias("gram")).agg(F.sum("r.times").alias("n")).where(F.col("n") >= least)
     found = sums.orderBy(F.desc("n"), "gram").limit(most).select("gram").toPandas()["gram"].to_numpy(np.int64)
     return np.sort(found.view(np.uint64))
 
 
-def _profiles(docs: DataFrame, words: int, percent: int, common: np.ndarray) -> DataFrame:
-    """One row per document: ``rid``, ``id``, ``text_hash``, ``n``, ``sig``, and its part of the product: ``rare``, ``often``."""
-    shared = docs.sparkSession.sparkContext.broadcast(common)
-    kind = docs.schema["id"].dataType.simpleString()
+#: What a row of the incidence matrix is: an n-gram to be counted, a common one, or the size of its document in place of an n-gram.
+COUNTED, FREQUENT, SIZE = 0, 1, 2
+
+
+def _incidence(texts: DataFrame, words: int, common: np.ndarray) -> DataFrame:
+    """The incidence matrix: ``gram``, ``node``, ``kind``. ``texts``: (node, text)."""
+    shared = texts.sparkSession.sparkContext.broadcast(common)
 
     def run(batches):
         import pyarrow as pa
-        from pyspark import TaskContext
 
         known = shared.value
-        rid = TaskContext.get().partitionId() << 33
         for batch in batches:
-            for piece in pieces(batch, "text"):
-                sizes, sigs, rare, often = [], [], [], []
+            for piece in pieces(batch, "text", SHINGLE_BYTES):
+                parts, kinds, counts = [], [], []
                 for grams in shingle_sets(piece.column("text"), words):
-                    n = len(grams)
-                    sizes.append(n)
-                    sigs.append(hashlib.blake2b(grams.tobytes(), digest_size=16).digest())
-                    take = n - -(-percent * n // 100) + 1 if n else 0
                     at = np.minimum(np.searchsorted(known, grams), len(known) - 1)
-                    is_common = known[at] == grams if len(known) else np.zeros(n, bool)
-                    few = grams[~is_common][:take]
-                    rare.append(few.view(np.int64))
-                    often.append(grams[is_common][: take - len(few)].view(np.int64))
-                rids = np.arange(rid, rid + len(sizes), dtype=np.int64)
-                rid += len(sizes)
+                    often = known[at] == grams if len(known) else np.zeros(len(grams), bool)
+                    parts += [np.array([len(grams)], np.uint64), grams]
+                    kinds += [np.array([SIZE], np.int8), often.astype(np.int8)]
+                    counts.append(len(grams) + 1)
+                nodes = np.repeat(piece.column("node").to_numpy(), counts)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(rids), piece.column("id"), piece.column("text_hash"), pa.array(sizes, pa.int64()), pa.array(sigs, pa.binary()),
-                     pa.array(rare, pa.list_(pa.int64())), pa.array(often, pa.list_(pa.int64()))],
-                    ["rid", "id", "text_hash", "n", "sig", "rare", "often"],
-                )
+                    [pa.array(np.concatenate(parts).view(np.int64)), pa.array(nodes), pa.array(np.concatenate(kinds))], ["gram", "node", "kind"]
+                )
+
+    return texts.mapInArrow(run, "gram long, node long, kind byte")
+
 
-    return docs.mapInArrow(run, f"rid long, id {kind}, text_hash long, n long, sig binary, rare array<long>, often array<long>")
+def _counted(incidence: DataFrame) -> DataFrame:
+    """Entries whose n-gram more than one document has: ``node``, ``gram``, ``df``; and per document a row with ``df`` 0 and its size as ``gram``.
+
+    An n-gram's rows meet in one task, common ones are spread by document. A task holds at most ``MOST_COUNTED`` rows of one n-gram back.
+    """
+    place = F.when(F.col("kind") == COUNTED, F.col("gram")).otherwise(F.xxhash64("node"))
+    dealt = incidence.withColumn("place", place).repartition("place").drop("place").sortWithinPartitions("kind", "gram")
+
+    def run(batches):
+        import pyarrow as pa
+
+        def out(gram, node, df):
+            some = df != 1
+            return pa.RecordBatch.from_arrays([pa.array(node[some]), pa.array(gram[some]), pa.array(df[some].astype(np.int32))], ["node", "gram", "df"])
+
+        # rows of the last n-gram, which may go on in the next batch, and whether it is known to be very frequent
+        held_gram, held_node, frequent = np.empty(0, np.int64), np.empty(0, np.int64), False
+        for batch in batches:
+            gram, node, kind = (batch.column(c).to_numpy() for c in ("gram", "node", "kind"))
+            other = kind != COUNTED
+            if other.any():
+                yield out(gram[other], node[other], np.where(kind[other] == SIZE, 0, MOST_COUNTED + 1))
+                gram, node = gram[~other], node[~other]
+            if not len(gram):
+                continue
+            fresh = not len(held_gram) or held_gram[0] != gram[0]
+            if fresh and len(held_gram):
+                yield out(held_gram, held_node, np.full(len(held_gram), MOST_COUNTED if frequent else len(held_gram)))
+            frequent = frequent and not fresh
+            if not fresh:
+                gram, node = np.concatenate([held_gram, gram]), np.concatenate([held_node, node])
+            first = np.flatnonzero(np.r_[True, gram[1:] != gram[:-1]])
+            sizes = np.diff(np.r_[first, len(gram)])
+            df = np.repeat(np.minimum(sizes, MOST_COUNTED), sizes)
+            if frequent:
+                df[: sizes[0]] = MOST_COUNTED
+            end = first[-1]
+            if sizes[-1] >= MOST_COUNTED or (frequent and not end):
+                # its place in the order is known: nothing needs to wait but one row that names it
+                frequent, end = True, len(gram) - 1
+            else:
+                frequent = False
+            yield out(gram[:end], node[:end], df[:end])
+            held_gram, held_node = gram[end:], node[end:]
+        if len(held_gram):
+            yield out(held_gram, held_node, np.full(len(held_gram), MOST_COUNTED if frequent else len(held_gram)))
+
+    return dealt.mapInArrow(run, "node long, gram long, df int")
+
+
+def _shared_sets(counted: DataFrame, percent: int) -> DataFrame:
+    """Documents that can link at all: ``node``, ``n``, ``grams`` (those that others have too, ascending, 8 bytes each) and ``prefix``, its entries of the product.
+
+    All other n-grams of a document are its own and come first in the order, so the prefix is what its length leaves for the shared ones.
+    """
+    dealt = counted.repartition("node").sortWithinPartitions("node", "df", "gram").select("node", "gram")
+
+    def run(batches):
+        import pyarrow as pa
+
+        def sets(nodes, grams, borders):
+            rows = ([], [], [], [])
+            for a, b in zip(borders[:-1], borders[1:], strict=True):
+                n, shared = int(grams[a]), grams[a + 1 : b]
+                left = len(shared) - -(-percent * n // 100) + 1
+                if left > 0:
+                    for column, value in zip(rows, (nodes[a], n, np.sort(shared.view(np.uint64)).tobytes(), shared[:left]), strict=True):
+                        column.append(value)
+            kinds = (pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()))
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(rows, kinds, strict=True)], ["node", "n", "grams", "prefix"])
+
+        held: list = []
+        for batch in batches:
+            nodes, grams = batch.column("node").to_numpy(), batch.column("gram").to_numpy()
+            if not len(nodes):
+                continue
+            if held and held[0][0][0] == nodes[0] == nodes[-1]:
+                held.append((nodes, grams))
+                continue
+            if held:
+                nodes, grams = (np.concatenate([*(h[k] for h in held), x]) for k, x in enumerate((nodes, grams)))
+            first = np.flatnonzero(np.r_[True, nodes[1:] != nodes[:-1]])
+            yield sets(nodes, grams, first)
+            held = [(nodes[first[-1] :], grams[first[-1] :])]
+        if held:
+            nodes, grams = (np.concatenate([h[k] for h in held]) for k in range(2))
+            yield sets(nodes, grams, [0, len(nodes)])
+
+    return dealt.mapInArrow(run, "node long, n long, grams binary, prefix array<long>")
 
 
 def _small(keys: DataFrame) -> DataFrame:
@@ -116,10 +227,10 @@ def _small(keys: DataFrame) -> DataFrame:
     return F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys
 
 
-def _verify(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of ``pairs`` that link, by whole texts: 100 * overlap >= percent * union.
+def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of ``pairs`` that link: 100 * overlap >= percent * union.
 
-    The texts of all a go to their b in bounded slots, each slot gets the text of b once and first, and a task holds one set of b
+    The sets of all a go to their b in bounded slots, each slot gets the set of b once and first, and a task holds one set of b
     while the others stream past.
     """
     counts = pairs.groupBy("b").agg(F.count(F.lit(1)).alias("rows"))
@@ -128,28 +239,27 @@ def _verify(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Dat
     heads = heads.select("b", "slot", F.lit(None).cast("long").alias("a"), F.col("b").alias("of"))
     rest = pairs.join(sized, "b").withColumn("slot", F.pmod(F.xxhash64("a"), F.col("slots")).cast("int"))
     places = materialize(heads.union(rest.select("b", "slot", "a", F.col("a").alias("of"))), "places")
-    met = texts.join(_small(places), F.col("of") == F.col("node")).select("b", "slot", "a", "text")
+    met = sets.join(_small(places), F.col("of") == F.col("node")).select("b", "slot", "a", "n", "grams")
     dealt = met.repartition("b", "slot").sortWithinPartitions("b", "slot", F.col("a").asc_nulls_first())
 
     def run(batches):
         import pyarrow as pa
 
-        hub = np.empty(0, np.uint64)
+        hub, size = np.empty(0, np.uint64), 0
         for batch in batches:
-            for piece in pieces(batch, "text"):
-                left, right = [], []
-                sets = shingle_sets(piece.column("text"), words)
-                for a, b, grams in zip(piece.column("a").to_pylist(), piece.column("b").to_pylist(), sets, strict=True):
-                    if a is None:
-                        hub = grams
-                        continue
-                    short, long = (grams, hub) if len(grams) < len(hub) else (hub, grams)
-                    at = np.minimum(np.searchsorted(long, short), len(long) - 1)
-                    both = int((long[at] == short).sum())
-                    if 100 * both >= percent * (len(grams) + len(hub) - both):
-                        left.append(a)
-                        right.append(b)
-                yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], ["u", "v"])
+            left, right = [], []
+            for a, b, n, raw in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "n", "grams")), strict=True):
+                grams = np.frombuffer(raw, np.uint64)
+                if a is None:
+                    hub, size = grams, n
+                    continue
+                short, long = (grams, hub) if len(grams) < len(hub) else (hub, grams)
+                at = np.minimum(np.searchsorted(long, short), len(long) - 1)
+                both = int((long[at] == short).sum())
+                if 100 * both >= percent * (n + size - both):
+                    left.append(a)
+                    right.append(b)
+            yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], ["u", "v"])
 
     return dealt.mapInArrow(run, "u long, v long")
 
@@ -181,8 +291,8 @@ def _blocks(entries: DataFrame, turn: int) -> DataFrame:
     return blocks.where("pairs > 0").select("gram", "pairs", "hub.b", "hub.m", "hub.comp_b")
 
 
-def link_classes(entries: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """``node, comp`` of all classes that link with another one. ``entries``: (gram, node, n); ``texts``: (node, text)."""
+def link_classes(entries: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``node, comp`` of all classes that link with another one. ``entries``: (gram, node, n); ``sets``: (node, n, grams)."""
     spark = entries.sparkSession
     labels = spark.createDataFrame([], "node long, comp long")
     edges = tested = None
@@ -198,7 +308,7 @@ def link_classes(entries: DataFrame, texts: DataFrame, words: int, percent: int)
         # blocks of one component are done for good
         met = now.join(blocks, "gram")
         now = materialize(met.drop("pairs"), "entries")
-        last = turn > 0 and links * PAIRS_PER_LINK <= compared
+        last = turn > 0 and (links * PAIRS_PER_LINK <= compared or left <= PAIRS_PER_ENTRY * now.count())
         pairs = now
         if last:
             own = now.select("gram", "node", "n", "comp")
@@ -208,11 +318,13 @@ def link_classes(entries: DataFrame, texts: DataFrame, words: int, percent: int)
         fresh = pairs.groupBy(F.col("node").alias("a"), "b").agg(F.count(F.lit(1)).alias("shared"), F.first("n").alias("n"), F.first("m").alias("m"))
         if last:
             fresh = fresh.where(_reaches("shared", "n", "m", percent))
-        fresh = fresh.select("a", "b")
         if tested is not None:
             fresh = fresh.join(tested, ["a", "b"], "left_anti")
-        fresh = materialize(fresh, "pairs")
-        found = materialize(_verify(fresh, texts, words, percent), "links")
+        if not last:
+            # one hub for each member: the one that it shares most entries with
+            fresh = fresh.groupBy("a").agg(F.max(F.struct("shared", "b")).alias("hub")).select("a", F.col("hub.b").alias("b"))
+        fresh = materialize(fresh.select("a", "b"), "pairs")
+        found = materialize(_verify(fresh, sets, percent), "links")
         links, compared = found.count(), fresh.count()
         if links:
             edges = found if edges is None else edges.union(found)
@@ -234,34 +346,26 @@ def jaccard_components(docs: DataFrame, text: str = "text", key: str = "doc_id",
     Null keys are reached by no key: a component of null keys only has a null id. An empty table gives an empty result.
     """
     source = docs.select(F.col(key).alias("id"), F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("text_hash"))
-    common = _common_grams(source, words, COMMON, MOST_COMMON)
-    profiles = materialize(_profiles(source, words, percent, common), "profiles")
+    profiles = materialize(_profiles(source, words), "profiles")
+    common = _common_grams(profiles, COMMON, MOST_COMMON)
     filled = profiles.where("n > 0")
     classes = materialize(
         filled.groupBy("sig").agg(F.min("rid").alias("node"), F.min("id").alias("least_id"), F.count(F.lit(1)).alias("rows")), "classes"
     )
     again = materialize(filled.join(classes.where("rows > 1").select("sig", "node"), "sig").where("rid <> node").select("rid"), "copies")
-    heads = filled.join(_small(again), "rid", "left_anti")
-    rare = heads.select(F.explode("rare").alias("gram"), F.col("rid").alias("node"), "n")
-    order = Window.partitionBy("gram").orderBy("node")
-    rare = (
-        rare.withColumn("prior", F.lag("node").over(order)).withColumn("next", F.lead("node").over(order))
-        .where(F.col("prior").isNotNull() | F.col("next").isNotNull()).drop("prior", "next")
-    )
-    often = heads.select(F.explode("often").alias("gram"), F.col("rid").alias("node"), "n")
-    entries = materialize(rare.union(often), "entries")
+    heads = filled.join(_small(again), "rid", "left_anti").select("rid", "id", "text_hash")
     # rows that repeat id and text would bring the text of their class several times
     repeated = profiles.groupBy("id", "text_hash").agg(F.count(F.lit(1)).alias("k")).where("k > 1")
     repeated = repeated.select(F.col("id").alias("again_id"), F.col("text_hash").alias("again_hash"))
-    wanted = profiles.select("rid", "id", "text_hash").join(entries.select(F.col("node").alias("rid")).distinct(), "rid", "left_semi")
-    wanted = wanted.join(repeated, (F.col("text_hash") == F.col("again_hash")) & F.col("id").eqNullSafe(F.col("again_id")), "left").select(
+    wanted = heads.join(repeated, (F.col("text_hash") == F.col("again_hash")) & F.col("id").eqNullSafe(F.col("again_id")), "left").select(
         F.col("rid").alias("node"), F.col("id").alias("of_id"), F.col("text_hash").alias("of_hash"), F.col("again_hash").isNotNull().alias("repeats")
     )
     wanted = _small(materialize(wanted, "wanted"))
     met = source.join(wanted, (F.col("text_hash") == F.col("of_hash")) & F.col("id").eqNullSafe(F.col("of_id"))).select("node", "text", "repeats")
     texts = met.where("not repeats").drop("repeats").union(met.where("repeats").drop("repeats").dropDuplicates(["node"]))
-    texts = materialize(texts, "texts")
-    labels = link_classes(entries, texts, words, percent)
+    sets = materialize(_shared_sets(_counted(_incidence(texts, words, common)), percent), "sets")
+    entries = materialize(sets.select(F.explode("prefix").alias("gram"), "node", "n"), "entries")
+    labels = link_classes(entries, sets.select("node", "n", "grams"), percent)
     placed = classes.join(labels, "node", "left").select("sig", F.coalesce("comp", "node").alias("comp"), "least_id")
     least = placed.groupBy("comp").agg(F.min("least_id").alias("component_id"))
     named = placed.join(least, "comp").select("sig", "comp", "component_id")

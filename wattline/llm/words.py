@@ -42,15 +42,19 @@ def word_spans(raw: np.ndarray, borders: np.ndarray) -> tuple[np.ndarray, np.nda
 
 
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
+# Powers that a task keeps; those of longer texts are made for the occasion.
+_KEPT = 1 << 19
 _tables: dict[int, np.ndarray] = {}
 
 
 def _powers(base: np.uint64, n: int) -> np.ndarray:
     known = _tables.get(int(base))
     if known is None or len(known) < n:
-        steps = np.full(max(n, 1 << 21), base, np.uint64)
+        steps = np.full(max(n, _KEPT), base, np.uint64)
         steps[0] = 1
-        known = _tables[int(base)] = np.cumprod(steps)
+        known = np.cumprod(steps)
+        if n <= _KEPT:
+            _tables[int(base)] = known
     return known
 
 
