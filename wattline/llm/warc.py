@@ -4,8 +4,8 @@ A record is a column expression; a task compresses each record as a gzip member
 writes the members' bytes end to end, on any file system that Spark can write. The sink wants a separator, which is an
 empty gzip member. Reading takes each archive file as one row of the ``binaryFile`` source and walks it inside a task.
 
-The reader checks every record: framing, length, block digest, payload digest, and for compressed members the
-checksum. After a failed check it trusts nothing it has not seen valid: it resumes at the place the length field points to if a valid
+The reader checks every record: framing, length, the form of its header (see `header_fault`), block digest, payload digest, and for
+compressed members the checksum. After a failed check it trusts nothing it has not seen valid: it resumes at the place the length field points to if a valid
 record begins there, or else searches for the next gzip member or version line that starts a valid record. The bytes
 between are logged as a gap with the reason. Later records are never lost with a damaged one.
 A damaged or truncated member is inflated up to its fault; the records before it are kept if they pass their checks, which
@@ -40,13 +40,33 @@ _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _DATE = "2024-01-01T00:00:00Z"
 _START = re.compile(rb"\x1f\x8b\x08|WARC/1\.[01]\r\n")
 _TRUNCATED = "gzip member truncated"
+#: Digests that are checked, and those that are only known by their names.
 _ALGORITHMS = ("sha1", "sha256", "md5")
+_OTHER_ALGORITHMS = ("sha224", "sha384", "sha512", "sha-1", "sha-256", "sha-384", "sha-512", "blake2b", "blake2s", "blake3", "crc32", "crc32c", "xxh64", "xxh3")
 #: Bytes that a faulty member is inflated by.
 _STEP = 1 << 12
 _VERSION = re.compile(rb"WARC/1\.[01]\r\n")
-
+#: A header goes on to an empty line; the next version line ends a header that has none, as does this many bytes.
+_HEAD_END = re.compile(rb"\r\n\r\n|\r\n(?=WARC/1\.[01]\r\n)")
+_MOST_HEADER = 1 << 20
+_NAME = re.compile(rb"[!#$%&'*+.^_`|~0-9A-Za-z-]+")
+_CONTROL = re.compile(rb"[\x00-\x08\x0a-\x1f\x7f]")
+_URI = re.compile(r"<[A-Za-z][A-Za-z0-9+.-]*:[^\s<>]+>")
+_STAMP = re.compile(r"\d{4}(-(0[1-9]|1[0-2])(-(0[1-9]|[12]\d|3[01])(T([01]\d|2[0-3]):[0-5]\d(:[0-5]\d(\.\d{1,9})?)?Z)?)?)?")
+_MEDIA = re.compile(r"(application|audio|chemical|example|font|image|message|model|multipart|text|video|x-[^/;\s]+)/[^/;\s]+((\s*;\s*[^=;\s]+=(\"[^\"]*\"|[^;\s]+))*)")
+
+# Fixed values of the format: record types, field names, and revisit profiles.
+TYPES = ("warcinfo", "response", "resource", "request", "metadata", "revisit", "conversion", "continuation")
+FIELDS = (
+    "warc-type", "warc-record-id", "warc-date", "content-length", "content-type", "warc-concurrent-to", "warc-block-digest", "warc-payload-digest", "warc-ip-address",
+    "warc-refers-to", "warc-refers-to-target-uri", "warc-refers-to-date", "warc-target-uri", "warc-truncated", "warc-warcinfo-id", "warc-filename", "warc-profile",
+    "warc-identified-payload-type", "warc-segment-origin-id", "warc-segment-number", "warc-segment-total-length",
+)
+PROFILES = tuple(f"http://netpreserve.org/warc/{v}/revisit/{k}" for v in ("1.0", "1.1") for k in ("identical-payload-digest", "server-not-modified"))
+
+_LONGS = {c: "Int64" for c in ("payload_bytes", "inner_offset", "inner_length")}
 RECORD_SCHEMA = (
-    "archive string, offset long, length long, kind string, reason string, warc_type string, record_id string, "
+    "archive string, offset long, length long, inner_offset long, inner_length long, kind string, reason string, warc_type string, record_id string, "
     "target_uri string, refers_to string, payload_digest string, payload_bytes long, payload binary"
 )
 
@@ -147,6 +167,57 @@ def _digest_fits(claim: str | None, data: bytes) -> bool:
     return value.lower() == actual.hexdigest() or value.upper().rstrip("=") == base64.b32encode(actual.digest()).decode().rstrip("=")
 
 
+def _misspelt(name: str, known: tuple[str, ...]) -> bool:
+    """Whether one character parts ``name`` from a known one."""
+    return name not in known and any(len(k) == len(name) and sum(a != b for a, b in zip(k, name, strict=True)) == 1 for k in known)
+
+
+def header_fault(header: dict[str, str]) -> str:
+    """What is wrong with the form of a header, or ''.
+
+    Digests cover the block alone, so damage of a header shows in its form only: a type that is none, an id that is no URI, a date that is none, a digest
+    without algorithm, a content type that does not belong to the record, a field or algorithm that one character parts from a known one. What stays
+    undetected is damage that leaves a valid header: other characters in an id, an address or the figures of a date, a version of the other
+    number, letters in the other case, and changes in fields that are not known.
+    """
+    if "warc-type" not in header or "warc-record-id" not in header:
+        return "mandatory field missing"
+    if any(_misspelt(name, FIELDS) for name in header):
+        return "misspelt field"
+    if header["warc-type"] not in TYPES:
+        return "unknown record type"
+    for name in ("warc-record-id", "warc-concurrent-to", "warc-warcinfo-id"):
+        if name in header and not _URI.fullmatch(header[name]):
+            return "id is no URI"
+    refers = header.get("warc-refers-to")
+    if refers is not None and not _URI.fullmatch(refers):
+        return "id is no URI"
+    if "warc-date" in header and not _STAMP.fullmatch(header["warc-date"]):
+        return "date is none"
+    for name in ("warc-block-digest", "warc-payload-digest"):
+        if name in header:
+            algorithm, colon, value = header[name].partition(":")
+            if not colon or not value or algorithm.lower() not in _ALGORITHMS + _OTHER_ALGORITHMS:
+                return "digest is none"
+    if header["warc-type"] == "revisit" and _misspelt(header.get("warc-profile", ""), PROFILES):
+        return "misspelt profile"
+    media = header.get("content-type")
+    if media is not None:
+        found = _MEDIA.fullmatch(media)
+        if not found:
+            return "content type is none"
+        web = header.get("warc-target-uri", "").lower().startswith(("http:", "https:"))
+        if media.split(";")[0].strip().lower() == "application/http":
+            message = {"response": "response", "revisit": "response", "request": "request"}.get(header["warc-type"])
+            for part in media.split(";")[1:]:
+                name, _, value = part.strip().partition("=")
+                if name.lower() not in ("msgtype", "version") or (name.lower() == "msgtype" and message and value.strip('"').lower() != message):
+                    return "content type is not the record's"
+        elif web and header["warc-type"] in ("response", "request") and _misspelt(media.split(";")[0].strip().lower(), ("application/http",)):
+            return "content type is not the record's"
+    return ""
+
+
 def parse_record(data: bytes, at: int) -> tuple[int, dict | None, str, bytes, bytes]:
     """The record that starts at ``at``: its end, header, failed check (empty: none), block and payload.
 
@@ -154,34 +225,44 @@ def parse_record(data: bytes, at: int) -> tuple[int, dict | None, str, bytes, by
     """
     if not _VERSION.match(data, at):
         return -1, None, "no version line", b"", b""
-    head_end = data.find(b"\r\n\r\n", at)
-    if head_end < 0:
+    found = _HEAD_END.search(data, at + 8, at + _MOST_HEADER)
+    if not found or found.group() != b"\r\n\r\n":
         return -1, None, "header without end", b"", b""
+    head_end = found.start()
     header = {}
     for line in data[at:head_end].split(b"\r\n")[1:]:
         name, colon, value = line.partition(b":")
-        if not colon:
+        if not colon or not _NAME.fullmatch(name.rstrip(b" \t")):
             return -1, None, "broken header line", b"", b""
-        header[name.strip().lower().decode("latin-1")] = value.strip().decode("utf-8", "replace")
-    if not re.fullmatch("[0-9]+", header.get("content-length", "")):
+        name = name.strip().lower().decode("latin-1")
+        # an address is kept as it was crawled
+        if _CONTROL.search(value) and name != "warc-target-uri":
+            return -1, None, "broken header line", b"", b""
+        if name in header and name in FIELDS and name != "warc-concurrent-to":
+            # two headers run into one where a record was cut
+            return -1, None, "field repeated", b"", b""
+        header[name] = value.strip().decode("utf-8", "replace")
+    if not re.fullmatch("0|[1-9][0-9]*", header.get("content-length", "")):
         return -1, None, "no content length", b"", b""
     begin, end = head_end + 4, head_end + 4 + int(header["content-length"])
     if end > len(data):
         return -1, None, "truncated block", b"", b""
-    block = data[begin:end]
+    stop = end
     if data[end : end + 4] == b"\r\n\r\n":
-        end += 4
+        stop += 4
     elif end < len(data):
         return -1, None, "record without end", b"", b""
-    if "warc-type" not in header or "warc-record-id" not in header:
-        return end, None, "mandatory field missing", b"", b""
+    fault = header_fault(header)
+    if fault:
+        return stop, None, fault, b"", b""
+    block = data[begin:end]
     if not _digest_fits(header.get("warc-block-digest"), block):
-        return end, None, "block digest differs", b"", b""
+        return stop, None, "block digest differs", b"", b""
     http = header.get("content-type", "").startswith("application/http")
     payload = block.partition(b"\r\n\r\n")[2] if http else block
     if header["warc-type"] != "revisit" and not _digest_fits(header.get("warc-payload-digest"), payload):
-        return end, None, "payload digest differs", b"", b""
-    return end, header, "", block, payload
+        return stop, None, "payload digest differs", b"", b""
+    return stop, header, "", block, payload
 
 
 def _member(data: bytes, at: int) -> tuple[int, bytes | None, str]:
@@ -245,15 +326,15 @@ def _vouched(header: dict) -> bool:
     return any((c or "").partition(":")[0].lower() in _ALGORITHMS and ":" in c for c in claims if c)
 
 
-def _before_fault(data: bytes, at: int, reason: str) -> tuple[int, list[tuple[dict | None, str, bytes, bytes]]]:
-    """Records and gaps of the faulty member at ``at``, up to its last good record, and where the input of that record ends."""
+def _before_fault(data: bytes, at: int, reason: str) -> tuple[int, list[tuple]]:
+    """Records and gaps of the faulty member at ``at``, up to its last good record, with their places in it; and where the input of that record ends."""
     content, found, good, upto = _until_fault(data, at), [], 0, 0
-    for _, stop, header, why, block, payload in salvage(content):
+    for begin, stop, header, why, block, payload in salvage(content):
         if header is not None and reason != _TRUNCATED and not _vouched(header):
             header, why, block, payload = None, "no digest in a damaged member", b"", b""
         if header is not None and reason == _TRUNCATED and stop == len(content):
             break  # the cut may have taken a part of it
-        found.append((header, why, block, payload))
+        found.append((begin, stop, header, why, block, payload))
         if header is not None:
             good, upto = len(found), stop
     # the last byte of a cut archive stays in the gap, which says that the member is not whole
@@ -268,33 +349,37 @@ def _valid_start(data: bytes, at: int) -> bool:
 
 
 def salvage(data: bytes) -> Iterator[tuple[int, int, dict | None, str, bytes, bytes]]:
-    """Walk an archive, whole or per-record compressed: (start, end, header, failed check, block, payload) for every record and gap."""
+    """Walk an archive, whole or per-record compressed: (start, end, header, failed check, block, payload) for every record and gap.
+
+    Inside a compressed member start and end are the member's; `walk` has the places inside it too.
+    """
+    for start, end, _, header, why, block, payload in walk(data):
+        yield start, end, header, why, block, payload
+
+
+def walk(data: bytes) -> Iterator[tuple[int, int, tuple[int, int] | None, dict | None, str, bytes, bytes]]:
+    """As `salvage`, with the place inside a compressed member behind start and end: (begin, stop) of its content, or None.
+
+    The bytes of an archive, or of a member's content, are parted among records and gaps: none lies in two of them.
+    """
     at = 0
     while at < len(data):
         if data.startswith(b"\x1f\x8b\x08", at):
             end, content, reason = _member(data, at)
             if content is not None:
-                inner, bad = 0, ""
-                while inner < len(content):
-                    stop, header, bad, block, payload = parse_record(content, inner)
-                    if header is None:
-                        break
-                    yield at, end, header, "", block, payload
-                    inner = stop
-                if bad:
-                    # what is left inside a readable member is searched like a plain archive
-                    for _, _, header, why, block, payload in salvage(content[inner:]):
-                        yield at, end, header, why, block, payload
+                # the content is searched like a plain archive
+                for begin, stop, header, why, block, payload in salvage(content):
+                    yield at, end, (begin, stop), header, why, block, payload
                 at = end
                 continue
             stop, kept = _before_fault(data, at, reason)
-            for header, why, block, payload in kept:
-                yield at, stop, header, why, block, payload
+            for begin, inner_stop, header, why, block, payload in kept:
+                yield at, stop, (begin, inner_stop), header, why, block, payload
             at = stop
         else:
             end, header, reason, block, payload = parse_record(data, at)
             if header is not None:
-                yield at, end, header, "", block, payload
+                yield at, end, None, header, "", block, payload
                 at = end
                 continue
         start = at
@@ -306,7 +391,7 @@ def salvage(data: bytes) -> Iterator[tuple[int, int, dict | None, str, bytes, by
                 if _valid_start(data, found.start()):
                     at = found.start()
                     break
-        yield start, at, None, reason, b"", b""
+        yield start, at, None, None, reason, b"", b""
 
 
 def _http_length(block: bytes) -> int | None:
@@ -317,7 +402,8 @@ def _http_length(block: bytes) -> int | None:
 def read_archives(spark: SparkSession, path: str, payload: bool = True) -> DataFrame:
     """All records and gaps below ``path``.
 
-    ``kind`` is ``record`` or ``gap``; a gap has only archive, offset, length and reason. Digest and size of a response are those of
+    ``kind`` is ``record`` or ``gap``; a gap has only archive, its place and reason. ``offset`` and ``length`` are those of the gzip member if it is in one, and
+    ``inner_offset`` and ``inner_length`` its place in the member's content (else null). Digest and size of a response are those of
     the payload that was read; those of a revisit come from its own headers. ``payload`` is null when not asked for. An
     empty file has neither. One archive is the unit of work: files above 2 GB are beyond a row of Spark.
     """
@@ -329,22 +415,23 @@ def read_archives(spark: SparkSession, path: str, payload: bool = True) -> DataF
         for frame in frames:
             for archive, content in zip(frame["path"], frame["content"], strict=True):
                 rows = []
-                for start, end, header, reason, block, body in salvage(bytes(content)):
+                for start, end, inner, header, reason, block, body in walk(bytes(content)):
+                    place = archive, start, end - start, *((inner[0], inner[1] - inner[0]) if inner else (None, None))
                     if header is None:
-                        rows.append((archive, start, end - start, "gap", reason, *[None] * 7))
+                        rows.append((*place, "gap", reason, *[None] * 7))
                         continue
                     kind = header["warc-type"]
                     again = kind == "revisit"
                     digest = (header.get("warc-payload-digest") or ":").partition(":")[2] if again else hashlib.sha256(body).hexdigest()
                     size = _http_length(block) if again else len(body)
                     rows.append(
-                        (archive, start, end - start, "record", None, kind, header["warc-record-id"], header.get("warc-target-uri"),
+                        (*place, "record", None, kind, header["warc-record-id"], header.get("warc-target-uri"),
                          header.get("warc-refers-to"), digest, size, body if payload else None)
                     )
                     if len(rows) >= 500:
-                        yield pd.DataFrame(rows, columns=names).astype({"payload_bytes": "Int64"})
+                        yield pd.DataFrame(rows, columns=names).astype(_LONGS)
                         rows = []
-                yield pd.DataFrame(rows, columns=names).astype({"payload_bytes": "Int64"})
+                yield pd.DataFrame(rows, columns=names).astype(_LONGS)
 
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     return files.select("path", "content").mapInPandas(read, RECORD_SCHEMA)
