@@ -23,7 +23,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wattline.llm.batches import pieces, text_bytes
+from wattline.llm.batches import give_back, pieces, text_bytes
 from wattline.llm.components import components
 from wattline.llm.words import gram_hashes, mix, span_hashes, word_spans
 from wattline.storage import materialize
@@ -35,14 +35,14 @@ PERCENT = 75
 COMMON = 1000
 #: Most common n-grams that are sent to all tasks (8 bytes each), the most frequent first. Others are counted like all.
 MOST_COMMON = 1_000_000
-#: Documents up to which an n-gram is counted; more frequent ones are alike in the order.
-MOST_COUNTED = 4096
+#: Entries of the incidence matrix that a block has on average, and that a task gathers before it deals them to blocks.
+BLOCK_ENTRIES, ENTRIES_AT_ONCE = 4 << 20, 1 << 20
 #: Bytes of text that are shingled together; a longer text is taken alone.
 SHINGLE_BYTES = 512 << 10
 #: Rounds with hubs go on while at least one in so many of the pairs they compare is a link.
 PAIRS_PER_LINK = 20
 #: Pairs of different components are expanded once they are no more than so many times the entries.
-PAIRS_PER_ENTRY = 2
+PAIRS_PER_ENTRY = 8
 #: Members of one hub that one task streams over.
 SLOT_ROWS = 2000
 #: Narrow tables (keys only) of at most so many rows are broadcast, after they are counted; larger ones are shuffled.
@@ -102,83 +102,137 @@ def _common_grams(profiles: DataFrame, least: int, most: int) -> np.ndarray:
     return np.sort(found.view(np.uint64))
 
 
-#: What a row of the incidence matrix is: an n-gram to be counted, a common one, or the size of its document in place of an n-gram.
-COUNTED, FREQUENT, SIZE = 0, 1, 2
+def _pack(places: np.ndarray, buckets: int, *columns: np.ndarray):
+    """Entries as one row per bucket: (bucket, the bytes of its part of each column), entries in the order they have."""
+    order = np.argsort(places, kind="stable")
+    borders = np.searchsorted(places[order], np.arange(buckets + 1))
+    parts = [c[order] for c in columns]
+    for k in np.flatnonzero(np.diff(borders)).tolist():
+        yield k, *(p[borders[k] : borders[k + 1]].tobytes() for p in parts)
 
 
-def _incidence(texts: DataFrame, words: int, common: np.ndarray) -> DataFrame:
-    """The incidence matrix: ``gram``, ``node``, ``kind``. ``texts``: (node, text)."""
+def _deltas(nodes: bytes) -> bytes:
+    """Ascending 64-bit numbers as differences, which compress well."""
+    return np.diff(np.frombuffer(nodes, np.int64), prepend=0).tobytes()
+
+
+def _batch(rows: list[tuple], schema):
+    """Rows as one batch; it holds what was gathered, a bounded number of entries."""
+    import pyarrow as pa
+
+    columns = list(zip(*rows, strict=True)) or [()] * len(schema)
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema.names)
+
+
+def _bucketed(batches, columns: int):
+    """For each bucket of rows sorted by bucket: its number and the rows' other columns, one list each."""
+    bucket, rows = None, []
+    for batch in batches:
+        for at, *row in zip(*(batch.column(k).to_pylist() for k in range(columns + 1)), strict=True):
+            if at != bucket and rows:
+                yield bucket, list(zip(*rows, strict=True))
+                rows = []
+            bucket = at
+            rows.append(row)
+    if rows:
+        yield bucket, list(zip(*rows, strict=True))
+
+
+def _place(hashes: np.ndarray, buckets: int) -> np.ndarray:
+    """The bucket of each 64-bit hash, by its upper half."""
+    return ((hashes >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+
+
+#: Last classes of the order: as many documents or more, and common n-grams, which are not counted.
+VERY_FREQUENT, KNOWN_COMMON = 254, 255
+
+
+def _df_class(df: np.ndarray) -> np.ndarray:
+    """Numbers of documents as one byte that keeps their order: exact up to 127, by eighths of a power of two beyond."""
+    power = np.floor(np.log2(np.maximum(df, 1)) * 8).astype(np.int64)
+    return np.where(df < 128, df, np.minimum(128 + power - 56, VERY_FREQUENT)).astype(np.uint8)
+
+
+_BLOCKS = "bucket int, nodes binary, grams binary, classes binary"
+
+
+def _incidence(texts: DataFrame, words: int, common: np.ndarray, buckets: int) -> DataFrame:
+    """The incidence matrix in blocks: ``bucket``, ``nodes``, ``grams``, ``classes``. ``texts``: (node, text).
+
+    The first ``buckets`` are blocks by n-gram, with no class yet. Those behind are blocks by document: its size, as an n-gram of class 0, and what it has of
+    common n-grams, which need no counting.
+    """
+    import pyarrow as pa
+
     shared = texts.sparkSession.sparkContext.broadcast(common)
+    schema = pa.schema([("bucket", pa.int32()), ("nodes", pa.binary()), ("grams", pa.binary()), ("classes", pa.binary())])
 
     def run(batches):
-        import pyarrow as pa
-
         known = shared.value
+        held, size = [], 0
+
+        def pack():
+            held.sort(key=lambda h: h[0])
+            often = [_among(known, g) for _, g in held]
+            nodes = np.repeat([n for n, _ in held], [len(g) - int(o.sum()) for (_, g), o in zip(held, often, strict=True)])
+            grams = np.concatenate([g[~o] for (_, g), o in zip(held, often, strict=True)])
+            rows = [(k, _deltas(n), g, None) for k, n, g in _pack(_place(grams, buckets), buckets, nodes, grams)]
+            nodes = np.repeat([n for n, _ in held], [int(o.sum()) + 1 for o in often])
+            grams = np.concatenate([np.r_[np.uint64(len(g)), g[o]] for (_, g), o in zip(held, often, strict=True)])
+            classes = np.concatenate([np.r_[np.uint8(0), np.full(int(o.sum()), KNOWN_COMMON, np.uint8)] for o in often])
+            places = _place(mix(nodes.view(np.uint64)), buckets)
+            rows += [(buckets + k, _deltas(n), g, c) for k, n, g, c in _pack(places, buckets, nodes, grams, classes)]
+            held.clear()
+            return _batch(rows, schema)
+
         for batch in batches:
             for piece in pieces(batch, "text", SHINGLE_BYTES):
-                parts, kinds, counts = [], [], []
-                for grams in shingle_sets(piece.column("text"), words):
-                    at = np.minimum(np.searchsorted(known, grams), len(known) - 1)
-                    often = known[at] == grams if len(known) else np.zeros(len(grams), bool)
-                    parts += [np.array([len(grams)], np.uint64), grams]
-                    kinds += [np.array([SIZE], np.int8), often.astype(np.int8)]
-                    counts.append(len(grams) + 1)
-                nodes = np.repeat(piece.column("node").to_numpy(), counts)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(parts).view(np.int64)), pa.array(nodes), pa.array(np.concatenate(kinds))], ["gram", "node", "kind"]
-                )
+                for node, grams in zip(piece.column("node").to_pylist(), shingle_sets(piece.column("text"), words), strict=True):
+                    held.append((node, grams))
+                    size += len(grams)
+                if size >= ENTRIES_AT_ONCE:
+                    yield pack()
+                    size = 0
+        if held:
+            yield pack()
 
-    return texts.mapInArrow(run, "gram long, node long, kind byte")
+    return texts.mapInArrow(run, _BLOCKS)
 
 
-def _counted(incidence: DataFrame) -> DataFrame:
-    """Entries whose n-gram more than one document has: ``node``, ``gram``, ``df``; and per document a row with ``df`` 0 and its size as ``gram``.
+def _among(known: np.ndarray, grams: np.ndarray) -> np.ndarray:
+    """Which of ``grams`` are in the sorted array ``known``."""
+    if not len(known):
+        return np.zeros(len(grams), bool)
+    return known[np.minimum(np.searchsorted(known, grams), len(known) - 1)] == grams
 
-    An n-gram's rows meet in one task, common ones are spread by document. A task holds at most ``MOST_COUNTED`` rows of one n-gram back.
-    """
-    place = F.when(F.col("kind") == COUNTED, F.col("gram")).otherwise(F.xxhash64("node"))
-    dealt = incidence.withColumn("place", place).repartition("place").drop("place").sortWithinPartitions("kind", "gram")
 
-    def run(batches):
-        import pyarrow as pa
+def _counted(incidence: DataFrame, buckets: int) -> DataFrame:
+    """Entries whose n-gram more than one document has, with the class of its count, and all that need no counting; in blocks by document.
 
-        def out(gram, node, df):
-            some = df != 1
-            return pa.RecordBatch.from_arrays([pa.array(node[some]), pa.array(gram[some]), pa.array(df[some].astype(np.int32))], ["node", "gram", "df"])
+    An n-gram's entries meet in one block of bounded size.
+    """
+    import pyarrow as pa
 
-        # rows of the last n-gram, which may go on in the next batch, and whether it is known to be very frequent
-        held_gram, held_node, frequent = np.empty(0, np.int64), np.empty(0, np.int64), False
-        for batch in batches:
-            gram, node, kind = (batch.column(c).to_numpy() for c in ("gram", "node", "kind"))
-            other = kind != COUNTED
-            if other.any():
-                yield out(gram[other], node[other], np.where(kind[other] == SIZE, 0, MOST_COUNTED + 1))
-                gram, node = gram[~other], node[~other]
-            if not len(gram):
+    schema = pa.schema([("bucket", pa.int32()), ("nodes", pa.binary()), ("grams", pa.binary()), ("classes", pa.binary())])
+
+    def run(batches):
+        for bucket, (nodes, grams, classes) in _bucketed(batches, 3):
+            if bucket >= buckets:
+                yield _batch([(bucket - buckets, *row) for row in zip(nodes, grams, classes, strict=True)], schema)
                 continue
-            fresh = not len(held_gram) or held_gram[0] != gram[0]
-            if fresh and len(held_gram):
-                yield out(held_gram, held_node, np.full(len(held_gram), MOST_COUNTED if frequent else len(held_gram)))
-            frequent = frequent and not fresh
-            if not fresh:
-                gram, node = np.concatenate([held_gram, gram]), np.concatenate([held_node, node])
-            first = np.flatnonzero(np.r_[True, gram[1:] != gram[:-1]])
-            sizes = np.diff(np.r_[first, len(gram)])
-            df = np.repeat(np.minimum(sizes, MOST_COUNTED), sizes)
-            if frequent:
-                df[: sizes[0]] = MOST_COUNTED
-            end = first[-1]
-            if sizes[-1] >= MOST_COUNTED or (frequent and not end):
-                # its place in the order is known: nothing needs to wait but one row that names it
-                frequent, end = True, len(gram) - 1
-            else:
-                frequent = False
-            yield out(gram[:end], node[:end], df[:end])
-            held_gram, held_node = gram[end:], node[end:]
-        if len(held_gram):
-            yield out(held_gram, held_node, np.full(len(held_gram), MOST_COUNTED if frequent else len(held_gram)))
-
-    return dealt.mapInArrow(run, "node long, gram long, df int")
+            nodes = np.concatenate([np.cumsum(np.frombuffer(n, np.int64)) for n in nodes])
+            grams = np.frombuffer(b"".join(grams), np.uint64)
+            _, index, df = np.unique(grams, return_inverse=True, return_counts=True)
+            df = df[index]
+            some = df > 1
+            order = np.argsort(nodes[some], kind="stable")
+            nodes, grams, classes = (x[some][order] for x in (nodes, grams, _df_class(df)))
+            places = _place(mix(nodes.view(np.uint64)), buckets)
+            yield _batch([(k, _deltas(n), g, c) for k, n, g, c in _pack(places, buckets, nodes, grams, classes)], schema)
+            give_back()
+
+    dealt = incidence.repartition("bucket").sortWithinPartitions("bucket")
+    return dealt.mapInArrow(run, _BLOCKS)
 
 
 def _shared_sets(counted: DataFrame, percent: int) -> DataFrame:
@@ -186,39 +240,33 @@ def _shared_sets(counted: DataFrame, percent: int) -> DataFrame:
 
     All other n-grams of a document are its own and come first in the order, so the prefix is what its length leaves for the shared ones.
     """
-    dealt = counted.repartition("node").sortWithinPartitions("node", "df", "gram").select("node", "gram")
+    import pyarrow as pa
 
-    def run(batches):
-        import pyarrow as pa
+    schema = pa.schema([("node", pa.int64()), ("n", pa.int64()), ("grams", pa.binary()), ("prefix", pa.list_(pa.int64()))])
 
-        def sets(nodes, grams, borders):
-            rows = ([], [], [], [])
-            for a, b in zip(borders[:-1], borders[1:], strict=True):
-                n, shared = int(grams[a]), grams[a + 1 : b]
-                left = len(shared) - -(-percent * n // 100) + 1
-                if left > 0:
-                    for column, value in zip(rows, (nodes[a], n, np.sort(shared.view(np.uint64)).tobytes(), shared[:left]), strict=True):
-                        column.append(value)
-            kinds = (pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()))
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(rows, kinds, strict=True)], ["node", "n", "grams", "prefix"])
-
-        held: list = []
-        for batch in batches:
-            nodes, grams = batch.column("node").to_numpy(), batch.column("gram").to_numpy()
-            if not len(nodes):
-                continue
-            if held and held[0][0][0] == nodes[0] == nodes[-1]:
-                held.append((nodes, grams))
-                continue
-            if held:
-                nodes, grams = (np.concatenate([*(h[k] for h in held), x]) for k, x in enumerate((nodes, grams)))
+    def run(batches):
+        for _, (nodes, grams, classes) in _bucketed(batches, 3):
+            nodes = np.concatenate([np.cumsum(np.frombuffer(n, np.int64)) for n in nodes])
+            grams, classes = np.frombuffer(b"".join(grams), np.uint64), np.frombuffer(b"".join(classes), np.uint8)
+            order = np.lexsort((grams, classes, nodes))
+            nodes, grams = nodes[order], grams[order]
             first = np.flatnonzero(np.r_[True, nodes[1:] != nodes[:-1]])
-            yield sets(nodes, grams, first)
-            held = [(nodes[first[-1] :], grams[first[-1] :])]
-        if held:
-            nodes, grams = (np.concatenate([h[k] for h in held]) for k in range(2))
-            yield sets(nodes, grams, [0, len(nodes)])
-
+            # the size comes first
+            n = grams[first].astype(np.int64)
+            left = np.diff(np.r_[first, len(nodes)]) - 1 + (-percent * n // 100) + 1
+            rows, held = [], 0
+            for k in np.flatnonzero(left > 0).tolist():
+                a = int(first[k]) + 1
+                b = int(first[k + 1]) if k + 1 < len(first) else len(nodes)
+                rows.append((int(nodes[a]), int(n[k]), np.sort(grams[a:b]).tobytes(), grams[a : a + left[k]].view(np.int64)))
+                held += b - a
+                if held >= ENTRIES_AT_ONCE:
+                    yield _batch(rows, schema)
+                    rows, held = [], 0
+            yield _batch(rows, schema)
+            give_back()
+
+    dealt = counted.repartition("bucket").sortWithinPartitions("bucket")
     return dealt.mapInArrow(run, "node long, n long, grams binary, prefix array<long>")
 
 
@@ -353,7 +401,7 @@ def jaccard_components(docs: DataFrame, text: str = "text", key: str = "doc_id",
         filled.groupBy("sig").agg(F.min("rid").alias("node"), F.min("id").alias("least_id"), F.count(F.lit(1)).alias("rows")), "classes"
     )
     again = materialize(filled.join(classes.where("rows > 1").select("sig", "node"), "sig").where("rid <> node").select("rid"), "copies")
-    heads = filled.join(_small(again), "rid", "left_anti").select("rid", "id", "text_hash")
+    heads = filled.join(_small(again), "rid", "left_anti").select("rid", "id", "text_hash", "n")
     # rows that repeat id and text would bring the text of their class several times
     repeated = profiles.groupBy("id", "text_hash").agg(F.count(F.lit(1)).alias("k")).where("k > 1")
     repeated = repeated.select(F.col("id").alias("again_id"), F.col("text_hash").alias("again_hash"))
@@ -363,7 +411,9 @@ def jaccard_components(docs: DataFrame, text: str = "text", key: str = "doc_id",
     wanted = _small(materialize(wanted, "wanted"))
     met = source.join(wanted, (F.col("text_hash") == F.col("of_hash")) & F.col("id").eqNullSafe(F.col("of_id"))).select("node", "text", "repeats")
     texts = met.where("not repeats").drop("repeats").union(met.where("repeats").drop("repeats").dropDuplicates(["node"]))
-    sets = materialize(_shared_sets(_counted(_incidence(texts, words, common)), percent), "sets")
+    buckets = int(heads.agg(F.sum("n")).first()[0] or 0) // BLOCK_ENTRIES + 1
+    counted = _counted(_incidence(texts, words, common, buckets), buckets)
+    sets = materialize(_shared_sets(counted, percent), "sets")
     entries = materialize(sets.select(F.explode("prefix").alias("gram"), "node", "n"), "entries")
     labels = link_classes(entries, sets.select("node", "n", "grams"), percent)
     placed = classes.join(labels, "node", "left").select("sig", F.coalesce("comp", "node").alias("comp"), "least_id")
