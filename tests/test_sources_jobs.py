@@ -223,3 +223,27 @@ def test_promotion_from_given_results(spark):
         promote_from_results(spark, base, [Candidate("nan", {"rmse": float("nan")}, "p")])
     with pytest.raises(TrainingError):
         promote_from_results(spark, base, [Candidate("gone", {"mse": 1.0}, "p")])
+
+
+def test_headerless_files_of_three_widths(spark, tmp_path):
+    (tmp_path / "a.txt").write_text(f"{at(0)};1;2\n{at(1)};3;4\n")
+    (tmp_path / "b.txt").write_text(f"{at(2)};5;6;7\n{at(3)};8\n")
+    # a line inside a file is the widest of all, and a quoted cell holds a separator
+    (tmp_path / "c.txt").write_text(f'{at(4)};9\n{at(5)};10;"x;y";11;12\n')
+    got = scan_headerless(spark, f"{tmp_path}/*.txt")
+    assert got.columns == ["timestamp", "client_1", "client_2", "client_3", "client_4"]
+    assert rows(got, "timestamp") == [
+        (at(0), 1.0, 2.0, None, None), (at(1), 3.0, 4.0, None, None), (at(2), 5.0, 6.0, 7.0, None), (at(3), 8.0, None, None, None),
+        (at(4), 9.0, None, None, None), (at(5), 10.0, None, 11.0, 12.0),
+    ]
+
+
+def test_one_scan_for_many_headers(spark, tmp_path):
+    for i, order in enumerate((("A", "B", "C"), ("C", "A"), ("B",), ("C", "B", "A"))):
+        header = ";".join(f'"MT_{n}"' for n in order)
+        (tmp_path / f"f{i}.txt").write_text(f'"";{header}\n"{at(i)}";' + ";".join(f"{n}{i}" for n in order) + "\n")
+    got = scan_directory(spark, str(tmp_path))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan csv") == 1
+    found = got.select("source_file", "MT_A", "MT_B", "MT_C").orderBy("source_file").collect()
+    assert [tuple(r) for r in found] == [("f0.txt", "A0", "B0", "C0"), ("f1.txt", "A1", None, "C1"), ("f2.txt", None, "B2", None), ("f3.txt", "A3", "B3", "C3")]

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import csv
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,7 +14,7 @@ from wattline.errors import IngestError
 from wattline.functions.names import quote
 from wattline.functions.numeric import to_number
 from wattline.operators.contracts import Contract
-from wattline.storage import materialize
+from wattline.storage import attach, materialize
 
 # Separator of the meter files, and the name other tools give a blank header.
 SEPARATOR = ";"
@@ -108,8 +107,15 @@ def normalize_header(df: DataFrame, strict: bool = True) -> DataFrame:
     return df.select(*[columns[old].alias(new) for old, new in mapping.items()])
 
 
-def first_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """``file, line``: the first line of every file that is not blank, as the delimited reader counts them, in one distributed job.
+def field_count(line: Column, sep: str) -> Column:
+    """Cells of a line: separators outside quotes, and one more."""
+    bare = F.regexp_replace(line, r'"(?:[^"]|"")*"', "")
+    return ((F.length(bare) - F.length(F.replace(bare, F.lit(sep), F.lit("")))) / F.lit(len(sep)) + 1).cast("int")
+
+
+def first_lines(spark: SparkSession, paths: str | Sequence[str], sep: str = SEPARATOR) -> DataFrame:
+    """``file, line, width``: the first line of every file that is not blank, as the delimited reader counts them, and the most cells of any of
+    its lines, in one distributed job.
 
     A file of blank lines has none.
     """
@@ -117,7 +123,9 @@ def first_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"), "value", F.monotonically_increasing_id().alias("place")
     )
     # a file's first line is the first row of its first block, and ids rise with the rows of a block
-    return lines.where("at = 0").where(F.col("value").rlike(r"[^\x00-\x20]")).groupBy("file").agg(F.min_by("value", "place").alias("line"))
+    first = F.min_by("value", F.when(F.col("at") == 0, F.col("place")))
+    told = lines.where(F.col("value").rlike(r"[^\x00-\x20]")).groupBy("file").agg(first.alias("line"), F.max(field_count(F.col("value"), sep)).alias("width"))
+    return told.where("line is not null")
 
 
 def _present(spark: SparkSession, folder: str, endings: Sequence[str]) -> list[str]:
@@ -136,28 +144,29 @@ def _present(spark: SparkSession, folder: str, endings: Sequence[str]) -> list[s
 def scan_directory(spark: SparkSession, path: str, sep: str = SEPARATOR, source: str = "source_file") -> DataFrame | None:
     """All ``*.txt`` and ``*.csv`` of a directory as one table of text with its source file; None if there are none.
 
-    Files may order their columns differently. One job reads every first line; each distinct header gives one scan, which keeps the rows
-    of its own files, and the scans are put together by name. When all headers agree, that is one scan. Files are never
-    listed on the driver; headers are, one per kind of file.
+    Files may order their columns differently. One job reads every first line, and one scan all rows, whatever the number of headers: a
+    row finds the places of its file's columns in a small table of files. Files are never listed on the driver; headers are, one per
+    kind of file.
     """
     patterns = _present(spark, path, ("txt", "csv"))
     if not patterns:
         return None
-    lines = materialize(first_lines(spark, patterns), "headers")
+    lines = materialize(first_lines(spark, patterns, sep), "headers")
     kinds = [r["line"] for r in lines.select("line").distinct().orderBy("line").collect()] or [""]
-    parts = []
-    for line in kinds:
-        names = _known_names(next(csv.reader([line], delimiter=sep), [""]))
-        schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(names))])
-        scan = _reader(spark, sep).option("header", True).schema(schema).csv(patterns)
-        # the hidden file columns have to be taken before the columns get new names
-        cells = [F.col(f"c{i}").alias(n) for i, n in enumerate(names)]
-        rows = scan.select(*cells, F.col("_metadata.file_name").alias(source), F.col("_metadata.file_path").alias("_file"))
-        if len(kinds) > 1:
-            own = lines.where(F.col("line") == F.lit(line)).select(F.col("file").alias("_file"))
-            rows = rows.join(own, "_file", "left_semi")
-        parts.append(rows.drop("_file"))
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    headers = [_known_names(next(csv.reader([line], delimiter=sep), [""])) for line in kinds]
+    schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(max(map(len, headers)))])
+    scan = _reader(spark, sep).option("header", True).schema(schema).csv(patterns)
+    # the hidden file columns have to be taken before the columns get new names
+    if len(kinds) == 1:
+        return scan.select(*[F.col(f"c{i}").alias(n) for i, n in enumerate(headers[0])], F.col("_metadata.file_name").alias(source))
+    names = list(dict.fromkeys(n for header in headers for n in header))
+    places = [(line, [header.index(n) if n in header else None for n in names]) for line, header in zip(kinds, headers, strict=True)]
+    known = spark.createDataFrame(places, "line string, _places array<int>")
+    of_file = lines.join(F.broadcast(known), "line").select(F.col("file").alias("_file"), "_places")
+    cells = F.array(*[F.col(c) for c in schema.names]).alias("_cells")
+    rows = scan.select(cells, F.col("_metadata.file_name").alias(source), F.col("_metadata.file_path").alias("_file"))
+    met = attach(rows, materialize(of_file, "header-places"), ["_file"], ["_cells"])
+    return met.select(*[F.get("_cells", F.get("_places", F.lit(j))).alias(n) for j, n in enumerate(names)], source)
 
 
 def scan_headerless(
@@ -165,17 +174,17 @@ def scan_headerless(
 ) -> DataFrame:
     """Timestamp, then numbers named ``client_1`` and up; cells that do not convert are missing.
 
-    A header line that is there all the same is left out: the first line of a file, if its first cell is no timestamp and no other
-    cell is a number. All other rows stay, whatever their cells are.
+    There are as many columns as the widest line of any file has; shorter rows lack the last ones. A header line that is there all the
+    same is left out: the first line of a file, if its first cell is no timestamp and no other cell is a number. All other rows stay,
+    whatever their cells are.
     """
     try:
-        lines = first_lines(spark, path)
-        line = lines.orderBy("file").select("line").first()
-        width = len(next(csv.reader([line["line"]], delimiter=sep))) if line else 1
+        lines = materialize(first_lines(spark, path, sep), "first-lines")
     except AnalysisException as error:
         if _missing(error):
             raise IngestError(f"no file at {path!r}") from error
         raise
+    width = lines.agg(F.max("width")).first()[0] or 1
     cells = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(width)])
     # the reader passes over each file's first line; those come from their own job and are judged one by one
     rest = _reader(spark, sep).option("header", True).schema(cells).csv(path)
