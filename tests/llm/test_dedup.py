@@ -91,7 +91,7 @@ def test_near_edges(edge_docs, monkeypatch, changes):
     assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in found), key=repr) == expected
 
 
-@pytest.mark.parametrize("changes", [{}, {"PAIRS_PER_LINK": 0, "COMMON": 2, "SLOT_ROWS": 5}])
+@pytest.mark.parametrize("changes", [{}, {"PAIRS_PER_LINK": 0, "COMMON": 2, "SLOT_ROWS": 5}, {"BLOCK_ENTRIES": 90, "ENTRIES_AT_ONCE": 40, "PAIRS_PER_ENTRY": 0, "SHINGLE_BYTES": 900}])
 def test_near_group_and_common_passage(spark, monkeypatch, changes):
     for name, value in changes.items():
         monkeypatch.setattr(jaccard_join, name, value)
@@ -183,3 +183,26 @@ def test_empty_tables(no_docs):
     assert jaccard_join.jaccard_components(no_docs).count() == 0
     assert jaccard_join.near_dedup(no_docs).count() == 0
     assert substring_dedup.substring_dedup(no_docs).count() == 0
+
+
+def test_classes_of_counts_keep_their_order():
+    import numpy as np
+
+    df = np.unique(np.r_[np.arange(1, 5000), 2 ** np.arange(12, 40), 3 ** np.arange(9, 24)])
+    classes = jaccard_join._df_class(df).astype(int)
+    assert (np.diff(classes) >= 0).all() and classes[126] == 127 and classes[127] == 128 and classes[-1] == jaccard_join.VERY_FREQUENT
+
+
+def test_blocks_keep_their_entries():
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    grams, nodes = rng.integers(0, 1 << 63, 999, dtype=np.uint64) * 2, np.sort(rng.integers(-50, 1 << 40, 999))
+    found = set()
+    for k, g, n in jaccard_join._pack(jaccard_join._place(grams, 7), 7, grams, nodes):
+        again = np.cumsum(np.frombuffer(jaccard_join._deltas(n), np.int64))
+        assert again.tolist() == np.frombuffer(n, np.int64).tolist()
+        back = jaccard_join._long(jaccard_join._short(g), k)
+        assert ((back ^ np.frombuffer(g, np.uint64)) & np.uint64((1 << 48) - 1) == 0).all() and (back >> np.uint64(48) == k).all()
+        found |= set(zip(np.frombuffer(g, np.uint64).tolist(), again.tolist(), strict=True))
+    assert found == set(zip(grams.tolist(), nodes.tolist(), strict=True))

@@ -22,6 +22,7 @@ import hashlib
 import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wattline.llm.batches import give_back, pieces, text_bytes
 from wattline.llm.components import components
@@ -36,7 +37,7 @@ COMMON = 1000
 #: Most common n-grams that are sent to all tasks (8 bytes each), the most frequent first. Others are counted like all.
 MOST_COMMON = 1_000_000
 #: Entries of the incidence matrix that a block has on average, and that a task gathers before it deals them to blocks.
-BLOCK_ENTRIES, ENTRIES_AT_ONCE = 4 << 20, 1 << 20
+BLOCK_ENTRIES, ENTRIES_AT_ONCE = 1 << 20, 1 << 20
 #: Bytes of text that are shingled together; a longer text is taken alone.
 SHINGLE_BYTES = 512 << 10
 #: Rounds with hubs go on while at least one in so many of the pairs they compare is a link.
@@ -138,6 +139,17 @@ def _bucketed(batches, columns: int):
         yield bucket, list(zip(*rows, strict=True))
 
 
+def _short(grams: bytes) -> bytes:
+    """The lower six bytes of 64-bit hashes. With the block that they are in, they name an n-gram by more than 48 bits."""
+    return np.frombuffer(grams, np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
+
+def _long(short: bytes, block: int) -> np.ndarray:
+    out = np.zeros((len(short) // 6, 8), np.uint8)
+    out[:, :6] = np.frombuffer(short, np.uint8).reshape(-1, 6)
+    return out.view(np.uint64)[:, 0] | np.uint64((block & 0xFFFF) << 48)
+
+
 def _place(hashes: np.ndarray, buckets: int) -> np.ndarray:
     """The bucket of each 64-bit hash, by its upper half."""
     return ((hashes >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
@@ -153,22 +165,26 @@ def _df_class(df: np.ndarray) -> np.ndarray:
     return np.where(df < 128, df, np.minimum(128 + power - 56, VERY_FREQUENT)).astype(np.uint8)
 
 
-_BLOCKS = "bucket int, nodes binary, grams binary, classes binary"
+#: A block: of entries in order of their documents, the documents, n-grams and classes of counts. ``of`` is the block by n-gram that they were in.
+_BLOCKS = "bucket int, of int, nodes binary, grams binary, classes binary"
+
+
+def _block_schema():
+    import pyarrow as pa
+
+    return pa.schema([("bucket", pa.int32()), ("of", pa.int32()), ("nodes", pa.binary()), ("grams", pa.binary()), ("classes", pa.binary())])
 
 
 def _incidence(texts: DataFrame, words: int, common: np.ndarray, buckets: int) -> DataFrame:
-    """The incidence matrix in blocks: ``bucket``, ``nodes``, ``grams``, ``classes``. ``texts``: (node, text).
+    """The incidence matrix in blocks. ``texts``: (node, text).
 
     The first ``buckets`` are blocks by n-gram, with no class yet. Those behind are blocks by document: its size, as an n-gram of class 0, and what it has of
     common n-grams, which need no counting.
     """
-    import pyarrow as pa
-
     shared = texts.sparkSession.sparkContext.broadcast(common)
-    schema = pa.schema([("bucket", pa.int32()), ("nodes", pa.binary()), ("grams", pa.binary()), ("classes", pa.binary())])
 
     def run(batches):
-        known = shared.value
+        known, schema = shared.value, _block_schema()
         held, size = [], 0
 
         def pack():
@@ -176,20 +192,21 @@ def _incidence(texts: DataFrame, words: int, common: np.ndarray, buckets: int) -
             often = [_among(known, g) for _, g in held]
             nodes = np.repeat([n for n, _ in held], [len(g) - int(o.sum()) for (_, g), o in zip(held, often, strict=True)])
             grams = np.concatenate([g[~o] for (_, g), o in zip(held, often, strict=True)])
-            rows = [(k, _deltas(n), g, None) for k, n, g in _pack(_place(grams, buckets), buckets, nodes, grams)]
+            rows = [(k, k, _deltas(n), _short(g), None) for k, n, g in _pack(_place(grams, buckets), buckets, nodes, grams)]
             nodes = np.repeat([n for n, _ in held], [int(o.sum()) + 1 for o in often])
             grams = np.concatenate([np.r_[np.uint64(len(g)), g[o]] for (_, g), o in zip(held, often, strict=True)])
             classes = np.concatenate([np.r_[np.uint8(0), np.full(int(o.sum()), KNOWN_COMMON, np.uint8)] for o in often])
             places = _place(mix(nodes.view(np.uint64)), buckets)
-            rows += [(buckets + k, _deltas(n), g, c) for k, n, g, c in _pack(places, buckets, nodes, grams, classes)]
+            rows += [(buckets + k, 0, _deltas(n), _short(g), c) for k, n, g, c in _pack(places, buckets, nodes, grams, classes)]
             held.clear()
             return _batch(rows, schema)
 
         for batch in batches:
             for piece in pieces(batch, "text", SHINGLE_BYTES):
                 for node, grams in zip(piece.column("node").to_pylist(), shingle_sets(piece.column("text"), words), strict=True):
-                    held.append((node, grams))
-                    size += len(grams)
+                    if len(grams):
+                        held.append((node, grams))
+                        size += len(grams)
                 if size >= ENTRIES_AT_ONCE:
                     yield pack()
                     size = 0
@@ -211,24 +228,26 @@ def _counted(incidence: DataFrame, buckets: int) -> DataFrame:
 
     An n-gram's entries meet in one block of bounded size.
     """
-    import pyarrow as pa
-
-    schema = pa.schema([("bucket", pa.int32()), ("nodes", pa.binary()), ("grams", pa.binary()), ("classes", pa.binary())])
 
     def run(batches):
-        for bucket, (nodes, grams, classes) in _bucketed(batches, 3):
+        schema = _block_schema()
+        for bucket, (of, nodes, grams, classes) in _bucketed(batches, 4):
             if bucket >= buckets:
-                yield _batch([(bucket - buckets, *row) for row in zip(nodes, grams, classes, strict=True)], schema)
+                yield _batch([(bucket - buckets, *row) for row in zip(of, nodes, grams, classes, strict=True)], schema)
                 continue
             nodes = np.concatenate([np.cumsum(np.frombuffer(n, np.int64)) for n in nodes])
-            grams = np.frombuffer(b"".join(grams), np.uint64)
-            _, index, df = np.unique(grams, return_inverse=True, return_counts=True)
-            df = df[index]
-            some = df > 1
-            order = np.argsort(nodes[some], kind="stable")
-            nodes, grams, classes = (x[some][order] for x in (nodes, grams, _df_class(df)))
+            grams = _long(b"".join(grams), 0)
+            order = np.argsort(grams, kind="stable")
+            first = np.flatnonzero(np.r_[True, np.diff(grams[order]) != 0])
+            df = np.diff(np.r_[first, len(grams)])
+            # in place of the entries that are alone in their n-gram nothing is kept
+            kept = order[np.repeat(df > 1, df)]
+            classes = np.repeat(_df_class(df[df > 1]), df[df > 1])
+            order = np.argsort(nodes[kept], kind="stable")
+            kept, classes = kept[order], classes[order]
+            nodes, grams = nodes[kept], grams[kept]
             places = _place(mix(nodes.view(np.uint64)), buckets)
-            yield _batch([(k, _deltas(n), g, c) for k, n, g, c in _pack(places, buckets, nodes, grams, classes)], schema)
+            yield _batch([(k, bucket, _deltas(n), _short(g), c) for k, n, g, c in _pack(places, buckets, nodes, grams, classes)], schema)
             give_back()
 
     dealt = incidence.repartition("bucket").sortWithinPartitions("bucket")
@@ -245,9 +264,10 @@ def _shared_sets(counted: DataFrame, percent: int) -> DataFrame:
     schema = pa.schema([("node", pa.int64()), ("n", pa.int64()), ("grams", pa.binary()), ("prefix", pa.list_(pa.int64()))])
 
     def run(batches):
-        for _, (nodes, grams, classes) in _bucketed(batches, 3):
+        for _, (of, nodes, grams, classes) in _bucketed(batches, 4):
             nodes = np.concatenate([np.cumsum(np.frombuffer(n, np.int64)) for n in nodes])
-            grams, classes = np.frombuffer(b"".join(grams), np.uint64), np.frombuffer(b"".join(classes), np.uint8)
+            grams = np.concatenate([_long(g, k) for k, g in zip(of, grams, strict=True)])
+            classes = np.frombuffer(b"".join(classes), np.uint8)
             order = np.lexsort((grams, classes, nodes))
             nodes, grams = nodes[order], grams[order]
             first = np.flatnonzero(np.r_[True, nodes[1:] != nodes[:-1]])
@@ -385,6 +405,19 @@ def link_classes(entries: DataFrame, sets: DataFrame, percent: int) -> DataFrame
     return labels
 
 
+def _texts_of(source: DataFrame, profiles: DataFrame, heads: DataFrame) -> DataFrame:
+    """``node, text`` of the rows ``heads``, met by key and text."""
+    # rows that repeat id and text would bring the text of their class several times
+    repeated = profiles.groupBy("id", "text_hash").agg(F.count(F.lit(1)).alias("k")).where("k > 1")
+    repeated = repeated.select(F.col("id").alias("again_id"), F.col("text_hash").alias("again_hash"))
+    wanted = heads.join(repeated, (F.col("text_hash") == F.col("again_hash")) & F.col("id").eqNullSafe(F.col("again_id")), "left").select(
+        F.col("rid").alias("node"), F.col("id").alias("of_id"), F.col("text_hash").alias("of_hash"), F.col("again_hash").isNotNull().alias("repeats")
+    )
+    wanted = _small(materialize(wanted, "wanted"))
+    met = source.join(wanted, (F.col("text_hash") == F.col("of_hash")) & F.col("id").eqNullSafe(F.col("of_id"))).select("node", "text", "repeats")
+    return met.where("not repeats").drop("repeats").union(met.where("repeats").drop("repeats").dropDuplicates(["node"]))
+
+
 def jaccard_components(docs: DataFrame, text: str = "text", key: str = "doc_id", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """One row per document: ``doc_id``, ``text_hash``, ``n_shingles``, ``component_id``, and ``component``, a number per component.
 
@@ -396,21 +429,23 @@ def jaccard_components(docs: DataFrame, text: str = "text", key: str = "doc_id",
     source = docs.select(F.col(key).alias("id"), F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("text_hash"))
     profiles = materialize(_profiles(source, words), "profiles")
     common = _common_grams(profiles, COMMON, MOST_COMMON)
+    whole = isinstance(docs.schema[key].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
+    named_alike = profiles.where("n > 0").groupBy("id").agg(F.count(F.lit(1)).alias("k")).where("k > 1 or id is null")
+    # keys that name one row each number the rows; else they are numbered as they were read
+    by_key = whole and named_alike.isEmpty()
+    if by_key:
+        profiles = profiles.withColumn("rid", F.col("id").cast("long"))
     filled = profiles.where("n > 0")
     classes = materialize(
         filled.groupBy("sig").agg(F.min("rid").alias("node"), F.min("id").alias("least_id"), F.count(F.lit(1)).alias("rows")), "classes"
     )
     again = materialize(filled.join(classes.where("rows > 1").select("sig", "node"), "sig").where("rid <> node").select("rid"), "copies")
     heads = filled.join(_small(again), "rid", "left_anti").select("rid", "id", "text_hash", "n")
-    # rows that repeat id and text would bring the text of their class several times
-    repeated = profiles.groupBy("id", "text_hash").agg(F.count(F.lit(1)).alias("k")).where("k > 1")
-    repeated = repeated.select(F.col("id").alias("again_id"), F.col("text_hash").alias("again_hash"))
-    wanted = heads.join(repeated, (F.col("text_hash") == F.col("again_hash")) & F.col("id").eqNullSafe(F.col("again_id")), "left").select(
-        F.col("rid").alias("node"), F.col("id").alias("of_id"), F.col("text_hash").alias("of_hash"), F.col("again_hash").isNotNull().alias("repeats")
-    )
-    wanted = _small(materialize(wanted, "wanted"))
-    met = source.join(wanted, (F.col("text_hash") == F.col("of_hash")) & F.col("id").eqNullSafe(F.col("of_id"))).select("node", "text", "repeats")
-    texts = met.where("not repeats").drop("repeats").union(met.where("repeats").drop("repeats").dropDuplicates(["node"]))
+    if by_key:
+        texts = source.select(F.col("id").cast("long").alias("node"), "text")
+        texts = texts.join(_small(again.withColumnRenamed("rid", "node")), "node", "left_anti")
+    else:
+        texts = _texts_of(source, profiles, heads)
     buckets = int(heads.agg(F.sum("n")).first()[0] or 0) // BLOCK_ENTRIES + 1
     counted = _counted(_incidence(texts, words, common, buckets), buckets)
     sets = materialize(_shared_sets(counted, percent), "sets")
