@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from wattline.functions.calendar import MICROS_PER_SECOND, wall_micros
 from wattline.operators.ordered import CHUNK_DAYS, CHUNK_ROWS, Near, nearest
+from wattline.operators.timed import timed
 
 STEP_SECONDS = 900
 _BLOCK = 4096
@@ -22,13 +23,15 @@ def interval_anomalies(
     step_seconds: int = STEP_SECONDS,
     chunk_days: int = CHUNK_DAYS,
     chunk_rows: int = CHUNK_ROWS,
+    untimed: str = "reject",
 ) -> DataFrame:
     """Rows that do not follow their predecessor by one step: (keys, previous, timestamp, steps).
 
-    The first row of a series has no predecessor and is no anomaly.
+    The first row of a series has no predecessor and is no anomaly. Rows without timestamp are left out, and are those of
+    `rejected_rows`, or fail the job (``untimed`` "fail").
     """
     columns = [*keys, ts, *([tie] if tie else [])]
-    stamped = df.where(F.col(ts).isNotNull()).select(*columns)
+    stamped = timed(df, untimed, ts).select(*columns)
     before = Near("previous", F.col(ts), strict=True)
     steps = (wall_micros(F.col(ts)) - wall_micros(F.col("previous"))) / (step_seconds * MICROS_PER_SECOND)
     return (
@@ -51,15 +54,16 @@ def interpolate_gaps(
     step_seconds: int = STEP_SECONDS,
     chunk_days: int = CHUNK_DAYS,
     chunk_rows: int = CHUNK_ROWS,
+    untimed: str = "reject",
 ) -> DataFrame:
     """Complete the grid of every series and fill missing values linearly in time.
 
     Missing steps are made from each reading and its follower, so no full grid is built
     and no join is needed. Nothing is filled before the first or after the last present value.
-    Output: (keys, timestamp, value, is_filled).
+    Rows without timestamp are treated as in `interval_anomalies`. Output: (keys, timestamp, value, is_filled).
     """
     keys = list(keys)
-    stamped = df.where(F.col(ts).isNotNull()).select(*keys, ts, F.col(value).cast("double").alias(value))
+    stamped = timed(df, untimed, ts).select(*keys, ts, F.col(value).cast("double").alias(value))
     merged = merge_repeated(stamped, value, keys, ts)
     known_at = F.when(F.col(value).isNotNull(), F.col(ts))
     seen = nearest(

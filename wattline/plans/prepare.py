@@ -18,6 +18,7 @@ from wattline.operators.clean import KW_TO_KWH, clean_long, coerce_numeric
 from wattline.operators.contracts import ENGINEERED, PREPROCESSED, RAW, Contract
 from wattline.operators.features import engineer_long, engineer_wide
 from wattline.operators.impute import STRATEGIES, fill_wide, forward_fill, impute_long
+from wattline.operators.timed import rejected_rows, timed  # noqa: F401  (rejected_rows is part of this job)
 from wattline.sources.delimited import ingest_timestamp
 from wattline.storage import materialize
 
@@ -40,20 +41,6 @@ class PrepareOptions:
 ROW = "_row"
 
 
-def rejected_rows(df: DataFrame, ts: str = "timestamp") -> DataFrame:
-    """Rows that have no place in time; `prepare` refuses them unless told to leave them out."""
-    return df.where(F.col(ts).isNull())
-
-
-def _timed(df: DataFrame, untimed: str) -> DataFrame:
-    if untimed == "reject":
-        return df.where("timestamp is not null")
-    if untimed != "fail":
-        raise OptionError(f"unknown choice {untimed!r} for rows without timestamp; known: fail, reject")
-    refuse = F.raise_error(F.lit("a row has no timestamp; see rejected_rows")).cast("boolean")
-    return df.where(F.when(F.col("timestamp").isNull(), refuse).otherwise(F.lit(True)))
-
-
 def _check_types(df: DataFrame, meters: Sequence[str], options: PrepareOptions) -> None:
     texts = [c for c in meters if is_text(df.schema[c].dataType)]
     if texts and not options.convert:
@@ -83,7 +70,7 @@ def prepare(df: DataFrame, options: PrepareOptions = PrepareOptions(), keys: Seq
     """
     if options.imputation not in STRATEGIES:
         raise OptionError(f"unknown imputation strategy {options.imputation!r}; known: {STRATEGIES}")
-    stamped = _timed(df, options.untimed)
+    stamped = timed(df, options.untimed)
     if options.route == "wide":
         return engineer_wide(
             clean_wide(stamped, options, keys), options.method, options.pattern, options.flags, options.target, keys

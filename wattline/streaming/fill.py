@@ -18,6 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from wattline.operators.impute import forward_fill
 from wattline.operators.ordered import CHUNK_DAYS, CHUNK_ROWS
+from wattline.operators.timed import rejected_rows, timed
 from wattline.storage import attach, remove, scratch_path
 
 
@@ -41,6 +42,10 @@ class StreamFill:
     def late(self) -> str:
         return f"{self.base}/late"
 
+    @property
+    def untimed(self) -> str:
+        return f"{self.base}/untimed"
+
     def state(self, batch_id: int) -> str:
         return f"{self.base}/state/batch_id={batch_id}"
 
@@ -59,8 +64,10 @@ class StreamFill:
         state = self._previous(spark, batch_id)
         # The batch is needed several times; on shared storage it survives the loss of an executor.
         held = scratch_path(spark, "stream-batch")
-        batch.where(F.col(ts).isNotNull()).write.parquet(held)
-        rows = spark.read.schema(batch.schema).parquet(held)
+        batch.write.parquet(held)
+        arrived = spark.read.schema(batch.schema).parquet(held)
+        rejected_rows(arrived, ts).write.mode("overwrite").parquet(f"{self.untimed}/batch_id={batch_id}")
+        rows = timed(arrived, "reject", ts)
         if state is None:
             known = rows.withColumns(
                 {
@@ -108,3 +115,7 @@ class StreamFill:
 
     def late_rows(self, spark: SparkSession) -> DataFrame:
         return spark.read.parquet(self.late).drop("batch_id")
+
+    def untimed_rows(self, spark: SparkSession) -> DataFrame:
+        """Readings without a timestamp, which have no place in a series."""
+        return spark.read.parquet(self.untimed).drop("batch_id")
