@@ -12,7 +12,7 @@ from wattline.operators.search import Halving, Trial, best_trial, search
 from wattline.operators.split import TRAIN_END, VAL_END, feature_columns, split_frames
 from wattline.plans.prepare import PrepareOptions, gated
 from wattline.plans.runlog import RunLog, now
-from wattline.sources.tables import TRIAL_METRICS_SCHEMA, append_rows, register, save_engineered
+from wattline.sources.tables import TRIAL_METRICS_SCHEMA, append_rows, publish, register
 
 
 @dataclass(frozen=True)
@@ -66,7 +66,7 @@ def train_job(raw: DataFrame, options: TrainOptions) -> TrainResult:
     target = options.prepare.target
     with RunLog(spark, options.path("run_phases"), "train", {"scoring": options.scoring}) as log:
         with log.phase("data"):
-            path = save_engineered(gated(raw, options.prepare), options.path("engineered"))
+            path = publish(gated(raw, options.prepare), options.path("engineered"))
             engineered = spark.read.parquet(path)
         with log.phase("model_search"):
             train, validation, _ = split_frames(engineered, options.train_end, options.val_end)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wattline.errors import OptionError, RegistryError
+from wattline.sources.commits import CommitLog
 
 METRICS_MAP = T.MapType(T.StringType(), T.DoubleType())
 TEXT_MAP = T.MapType(T.StringType(), T.StringType())
@@ -72,6 +74,44 @@ def save_engineered(df: DataFrame, path: str, fmt: str = "parquet", partition_by
     return path
 
 
+def publish(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = ()) -> str:
+    """Replace a published table in one step, and return the folder of its new version.
+
+    The version is written to a folder of its own; a commit then names it the current one. Readers that opened the version before go on with it, and a
+    job that fails in the middle leaves the table as it was. `vacuum` removes older versions.
+    """
+    spark = df.sparkSession
+    folder = f"{path.rstrip('/')}/version-{uuid.uuid4().hex}"
+    save_engineered(df, folder, fmt, partition_by)
+    CommitLog(spark, f"{path.rstrip('/')}/_commits").append({"folder": folder, "format": fmt})
+    return folder
+
+
+def read_published(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """The current version of a published table."""
+    record = CommitLog(spark, f"{path.rstrip('/')}/_commits").latest()
+    if record is None:
+        raise OptionError(f"nothing was published at {path!r}")
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.format(record["format"]).option("header", True).load(record["folder"])
+
+
+def vacuum(spark: SparkSession, path: str, keep: int = 1) -> None:
+    """Remove all but the last ``keep`` versions, and what failed jobs left; not while such a job runs."""
+    table = CommitLog(spark, f"{path.rstrip('/')}/_commits").table(_schema(folder=T.StringType()))
+    if table is None:
+        return
+    # a commit's file is named by its number
+    rows = table.select("folder").withColumn("at", F.col("_metadata.file_name")).orderBy(F.desc("at")).limit(keep).collect()
+    kept = {r["folder"].rsplit("/", 1)[-1] for r in rows}
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in system.listStatus(where):
+        name = status.getPath().getName()
+        if name.startswith("version-") and name not in kept:
+            system.delete(status.getPath(), True)
+
+
 def save_predictions(df: DataFrame, path: str, source: str = "source_file") -> str:
     """One folder per source file. A later job replaces the folders of its own sources only.
 
@@ -96,18 +136,25 @@ def champion(records: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return newest.where("_last is not null").select(*by, "_last.*")
 
 
+def registry_records(spark: SparkSession, path: str) -> DataFrame:
+    """All records of a registry: its commits, and rows of a table that was written before there were commits."""
+    rows = read_table(spark, path, REGISTRY_SCHEMA)
+    commits = CommitLog(spark, f"{path.rstrip('/')}/_commits").table(REGISTRY_SCHEMA)
+    return rows if commits is None else rows.unionByName(commits)
+
+
 def register(
     spark: SparkSession, path: str, model_name: str, model_path: str, metrics: dict[str, float], created_at: str
 ) -> str:
-    """Append a record and return its version. One writer at a time."""
-    version = f"v{read_table(spark, path, REGISTRY_SCHEMA).count() + 1}"
-    append_rows(spark, path, [(version, model_name, model_path, metrics, "champion", created_at)], REGISTRY_SCHEMA)
-    return version
+    """Append a record in one commit and return its version. Writers at the same time get versions one after the other."""
+    last = read_table(spark, path, REGISTRY_SCHEMA).agg(F.max(version_number(F.col("version")))).first()[0] or 0
+    record = {"model_name": model_name, "model_path": model_path, "metrics": metrics, "stage": "champion", "created_at": created_at}
+    return f"v{CommitLog(spark, f'{path.rstrip("/")}/_commits').append(record, last + 1, 'version', 'v{}')}"
 
 
 def load_champion(spark: SparkSession, path: str):
     """The newest champion record, or an error when no model was registered."""
-    row = champion(read_table(spark, path, REGISTRY_SCHEMA)).first()
+    row = champion(registry_records(spark, path)).first()
     if row is None:
         raise RegistryError(f"no champion in the registry at {path!r}; train a model first")
     return row
