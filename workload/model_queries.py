@@ -38,10 +38,14 @@ from wattline.sources.tables import (
     load_champion,
     phase_durations,
     read_table,
+    register,
+    registry_records,
 )
 from wattline.storage import materialize, scratch_path
 from wattline.streaming.fill import StreamFill
 from wattline.streaming.live import live_metrics, run_available, score_stream
+from wattline.streaming.metrics import LiveMetrics
+from wattline.streaming.restate import RestatedFill
 from workload import fixtures as fx
 from workload.registry import query
 from workload.table_queries import raw_file, reading_files
@@ -850,3 +854,77 @@ def stream_fill(spark, sf_dir):
         stream = spark.readStream.schema(rows.schema).parquet(f"{base}/in")
         fill.start(stream).awaitTermination()
     return fill.result(spark).select("meter_id", "event_id", "timestamp", "value")
+
+
+# arrivals of the streams below: two parts in order of time, then every tenth event late
+_ARRIVAL_SQL = "CASE WHEN event_id % 10 = 3 THEN 2 WHEN ts < TIMESTAMP '2024-01-12' THEN 0 ELSE 1 END"
+_LATE_SQL = f"""arrived AS (SELECT *, {_ARRIVAL_SQL} AS part FROM events),
+    mark AS (SELECT max(ts) - INTERVAL 1 HOUR AS closed FROM arrived WHERE part < 2),
+    placed AS (SELECT arrived.*, part = 2 AND date_trunc('day', ts) + INTERVAL 1 DAY <= closed AS late FROM arrived, mark)"""
+
+
+def _metrics_run(spark, sf_dir):
+    """The live metrics of three arrivals; the stream stops after each and goes on from its checkpoint."""
+    rows = fx.events(spark, sf_dir)
+    types = F.broadcast(materialize(rows.groupBy("event_type").agg(F.avg("value").alias("prediction")), "types"))  # five rows
+    scored = rows.join(types, "event_type").select("ts", F.col("value").alias("label"), "prediction", "event_id")
+    early = scored.where(F.col("ts") < F.lit(fx.TRAIN_END).cast("timestamp_ntz"))
+    baseline = evaluate(early, (), ["rmse"]).first()["rmse"]
+    base = scratch_path(spark, "stream-metrics-all")
+    job = LiveMetrics(base, baseline)
+    arrival = F.when(F.col("event_id") % 10 == 3, 2).when(F.col("ts") < F.lit("2024-01-12").cast("timestamp_ntz"), 0).otherwise(1)
+    for part in range(3):
+        scored.where(arrival == part).write.mode("append").parquet(f"{base}/in")
+        job.start(spark.readStream.schema(scored.schema).parquet(f"{base}/in")).awaitTermination()
+    return job
+
+
+@query(
+    f"""WITH {_TYPE_MEANS_SQL}, {_LATE_SQL}, scored AS (SELECT ts, value AS label, prediction, late FROM placed JOIN types USING (event_type)),
+    base AS (SELECT sqrt(avg((label - prediction) ^ 2)) AS rmse FROM scored WHERE ts < TIMESTAMP '{fx.TRAIN_END}'),
+    newest AS (SELECT max(ts) - INTERVAL 1 HOUR AS mark FROM events),
+    days AS (SELECT date_trunc('day', ts)::TIMESTAMP AS window_start, count(*) AS n_rows, avg((label - prediction) ^ 2) AS mse FROM scored WHERE NOT late GROUP BY 1)
+    SELECT window_start, n_rows, round(sqrt(mse), 4) AS rmse, round(mse, 3) AS mse, (sqrt(mse) - base.rmse) / base.rmse > 0.1::DOUBLE AS drift_detected,
+      window_start + INTERVAL 1 DAY <= mark AS is_final FROM days, base, newest"""
+)
+def stream_live_metrics_all(spark, sf_dir):
+    """All windows, the open ones too."""
+    found = _metrics_run(spark, sf_dir).result(spark)
+    return found.select("window_start", "n_rows", F.round("rmse", 4).alias("rmse"), F.round("mse", 3).alias("mse"), "drift_detected", "is_final")
+
+
+@query(f"WITH {_LATE_SQL} SELECT event_id, ts FROM placed WHERE late")
+def stream_late_rows(spark, sf_dir):
+    """Rows that came after their window had closed."""
+    return _metrics_run(spark, sf_dir).late_rows(spark).select("event_id", "ts")
+
+
+@query(
+    f"""WITH {fx.LONG_SQL} SELECT meter_id, event_id, timestamp,
+    last_value(value IGNORE NULLS) OVER (PARTITION BY meter_id ORDER BY timestamp, event_id ROWS UNBOUNDED PRECEDING) AS value FROM readings_long"""
+)
+def stream_fill_restated(spark, sf_dir):
+    """Readings come up to six hours late, out of order; what they correct is stated again."""
+    rows = fx.readings_long(spark, sf_dir)
+    base = scratch_path(spark, "stream-restated")
+    fill = RestatedFill(base, 8 * 3600, tie="event_id")
+    comes = F.col("timestamp") + F.make_dt_interval(hours=(F.col("event_id") * 37 % 7).cast("int"))
+    bounds = [F.lit(b).cast("timestamp_ntz") for b in ("2024-01-10", "2024-01-20")]
+    arrival = F.when(comes < bounds[0], 0).when(comes < bounds[1], 1).otherwise(2)
+    for part in range(3):
+        rows.where(arrival == part).write.mode("append").parquet(f"{base}/in")
+        fill.start(spark.readStream.schema(rows.schema).parquet(f"{base}/in")).awaitTermination()
+    return fill.result(spark).select("meter_id", "event_id", "timestamp", "value")
+
+
+_TYPE_RECORDS_SQL = f"SELECT model_name, row_number() OVER (ORDER BY model_name) AS n, round(rmse, 6) AS rmse FROM ({_TYPE_SPREAD_SQL})"
+
+
+@query(f"SELECT 'v' || n AS version, model_name, rmse, n = max(n) OVER () AS is_champion FROM ({_TYPE_RECORDS_SQL})")
+def registry_commits(spark, sf_dir):
+    """Each event type registers a model in a commit of its own; the newest is champion."""
+    path = scratch_path(spark, "registry-commits")
+    for t in _type_trials(spark, sf_dir):
+        register(spark, path, t.definition.name, t.model_path, t.metrics, "now")
+    newest = load_champion(spark, path)["version"]
+    return registry_records(spark, path).select("version", "model_name", F.round(F.col("metrics")["rmse"], 6).alias("rmse"), (F.col("version") == newest).alias("is_champion"))

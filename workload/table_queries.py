@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattline.functions.calendar import wall_micros
+from wattline.functions.calendar import slot_start, wall_micros
 from wattline.functions.names import matching
 from wattline.functions.rowwise import row_aggregate
 from wattline.operators.clean import KW_TO_KWH, coerce_numeric, scale_meters, select_meters
@@ -21,6 +22,7 @@ from wattline.operators.features import (
 from wattline.operators.gaps import interpolate_gaps as fill_gaps
 from wattline.operators.gaps import interval_anomalies as odd_steps
 from wattline.operators.impute import fill_median, fill_mode, forward_fill
+from wattline.operators.local_time import interpolate_local, to_local
 from wattline.operators.clean import to_long
 from wattline.operators.profile import clean_checks as check_cleaned
 from wattline.operators.profile import decimal_format as format_of
@@ -36,8 +38,8 @@ from wattline.sources.delimited import (
     scan_headerless as scan_without_header,
     write_delimited,
 )
-from wattline.sources.tables import save_engineered
-from wattline.storage import scratch_path
+from wattline.sources.tables import publish, read_published, save_engineered, vacuum
+from wattline.storage import materialize, scratch_path
 from workload import fixtures as fx
 from workload.registry import query
 
@@ -166,6 +168,21 @@ def sink_roundtrip(spark, sf_dir):
     return _ends(both)
 
 
+@query(f"WITH {fx.ENGINEERED_SQL} SELECT timestamp, round(total_load, 6) AS total_load, hour_of_day, day_of_week, is_weekend FROM engineered")
+def publish_roundtrip(spark, sf_dir):
+    """Published in two versions, with a job between them that fails; the second one is read, and the first is removed."""
+    table = materialize(fx.engineered(spark, sf_dir), "engineered")
+    path = scratch_path(spark, "published")
+    publish(table.where("hour_of_day < 12"), path)
+    try:
+        publish(table.withColumn("total_load", F.raise_error(F.lit("stopped")).cast("double")), path)
+    except PySparkException:
+        pass
+    publish(table, path)
+    vacuum(spark, path)
+    return read_published(spark, path, table.schema).withColumn("total_load", F.round("total_load", 6))
+
+
 # --- projections and cleaning -----------------------------------------------------------------
 
 
@@ -263,6 +280,38 @@ def interpolate_gaps(spark, sf_dir):
     return fill_gaps(to_long(fx.readings(spark, sf_dir)))
 
 
+#: Days by which the slots are moved, so that clocks in Lisbon go back in them, on 27 October 2024 at 1:00 UTC.
+_SHIFT_DAYS, _ZONE = 290, "Europe/Lisbon"
+
+
+@query(
+    f"""WITH slots AS (SELECT user_id % 3 AS meter_id, time_bucket(INTERVAL '15 minutes', ts) + INTERVAL {_SHIFT_DAYS} DAY AS moved, avg(value) AS value
+      FROM events WHERE event_id % 5 <> 0 GROUP BY ALL),
+    read_out AS (SELECT meter_id, epoch(moved)::BIGINT AS reading_id, moved + CASE WHEN moved < TIMESTAMP '2024-10-27 01:00:00' THEN INTERVAL 1 HOUR ELSE INTERVAL 0 HOUR END AS t, value FROM slots),
+    marked AS (SELECT *, t >= TIMESTAMP '2024-10-27 01:00:00' AND t < TIMESTAMP '2024-10-27 02:00:00' AS twice FROM read_out),
+    passes AS (SELECT *, twice AND coalesce(max(t) OVER (PARTITION BY meter_id, twice ORDER BY reading_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) >= t, false) AS again FROM marked),
+    told AS (SELECT meter_id, t - CASE WHEN t < TIMESTAMP '2024-10-27 01:00:00' OR (twice AND NOT again) THEN INTERVAL 1 HOUR ELSE INTERVAL 0 HOUR END AS instant, avg(value) AS value
+      FROM passes GROUP BY ALL),
+    spans AS (SELECT meter_id, min(instant) AS a, max(instant) AS b FROM told GROUP BY 1),
+    grid AS (SELECT meter_id, unnest(generate_series(a, b, INTERVAL '15 minutes')) AS instant FROM spans),
+    near AS (SELECT g.meter_id, g.instant, value,
+      last_value(CASE WHEN value IS NOT NULL THEN g.instant END IGNORE NULLS) OVER before AS lt, last_value(value IGNORE NULLS) OVER before AS lv,
+      first_value(CASE WHEN value IS NOT NULL THEN g.instant END IGNORE NULLS) OVER behind AS rt, first_value(value IGNORE NULLS) OVER behind AS rv
+      FROM grid g LEFT JOIN told USING (meter_id, instant) WINDOW before AS (PARTITION BY meter_id ORDER BY instant ROWS UNBOUNDED PRECEDING),
+        behind AS (PARTITION BY meter_id ORDER BY instant ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))
+    SELECT meter_id, instant, instant + CASE WHEN instant < TIMESTAMP '2024-10-27 01:00:00' THEN INTERVAL 1 HOUR ELSE INTERVAL 0 HOUR END AS timestamp,
+      round(coalesce(value, lv + (rv - lv) * (CAST(epoch_us(instant) - epoch_us(lt) AS DOUBLE) / (epoch_us(rt) - epoch_us(lt)))), 6) AS value, value IS NULL AS is_filled FROM near"""
+)
+def interpolate_local_time(spark, sf_dir):
+    """Readings with local stamps over the hour that came twice: passes told apart by their order, gaps filled between instants."""
+    moved = F.col("slot") + F.make_dt_interval(days=F.lit(_SHIFT_DAYS))
+    slots = fx.events(spark, sf_dir).where("event_id % 5 <> 0").groupBy((F.col("user_id") % 3).alias("meter_id"), slot_start(F.col("ts")).alias("slot")).agg(F.avg("value").alias("value"))
+    number = F.floor(wall_micros(F.col("moved")) / 1_000_000).cast("bigint").alias("reading_id")
+    read_out = slots.withColumn("moved", moved).select("meter_id", number, to_local(F.col("moved"), _ZONE).alias("timestamp"), "value")
+    filled = interpolate_local(read_out, _ZONE)
+    return filled.withColumn("value", F.round("value", 6))
+
+
 @query(
     f"""WITH {fx.READINGS_SQL}, steps AS (SELECT lag(timestamp) OVER (ORDER BY timestamp) AS previous, timestamp FROM readings)
     SELECT previous, timestamp, (epoch_us(timestamp) - epoch_us(previous)) / 900000000 AS steps FROM steps
