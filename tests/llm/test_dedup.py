@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 import pytest
 
 from wattline.llm import exact_dedup, fm_index, jaccard_join, substring_dedup
+from wattline.llm import components as component_module
 from wattline.llm.components import components
 
 from .conftest import SCHEMA, edge_rows, prose
@@ -120,7 +121,9 @@ def test_near_dedup_keeps_one(edge_docs):
     assert kept.count() == groups
 
 
-def test_components(spark):
+@pytest.mark.parametrize("few", [0, 200_000])
+def test_components(spark, monkeypatch, few):
+    monkeypatch.setattr(component_module, "FEW_EDGES", few)
     edges = [(1, 2), (2, 3), (3, 4), (9, 4), (20, 21), (22, 21), (5, 5)]
     found = {r.node: r.comp for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert found == {1: 1, 2: 1, 3: 1, 4: 1, 9: 1, 20: 20, 21: 20, 22: 20}

@@ -9,7 +9,7 @@ the product; they only fill the front of its order. So a document whose first n-
 that many documents share brings no two of them together unless they have little else. Only what is left becomes rows, blocked by n-gram.
 
 Documents with equal sets are one class and are compared once. In a block pairs are not expanded: each round compares every
-member with one hub, the one of its blocks' hubs that it shares most entries with, links are merged to components, and only pairs of different
+member with few hubs, those of its blocks' hubs that it shares most entries with, links are merged to components, and only pairs of different
 components remain. When these are few, or hubs find few links, the shared entries of all pairs that remain are counted, pairs that cannot
 reach the overlap which their sizes ask for are dropped, and the others are compared; so the components are exactly those of the
 full join. Overlaps are counted on the n-grams that more than one document has.
@@ -44,6 +44,8 @@ SHINGLE_BYTES = 512 << 10
 PAIRS_PER_LINK = 20
 #: Pairs of different components are expanded once they are no more than so many times the entries.
 PAIRS_PER_ENTRY = 8
+#: Hubs that a member is compared with in one round.
+HUBS = 3
 #: Members of one hub that one task streams over.
 SLOT_ROWS = 2000
 #: Narrow tables (keys only) of at most so many rows are broadcast, after they are counted; larger ones are shuffled.
@@ -389,8 +391,9 @@ def link_classes(entries: DataFrame, sets: DataFrame, percent: int) -> DataFrame
         if tested is not None:
             fresh = fresh.join(tested, ["a", "b"], "left_anti")
         if not last:
-            # one hub for each member: the one that it shares most entries with
-            fresh = fresh.groupBy("a").agg(F.max(F.struct("shared", "b")).alias("hub")).select("a", F.col("hub.b").alias("b"))
+            # few hubs for each member: those that it shares most entries with
+            hubs = F.sort_array(F.collect_list(F.struct("shared", "b")), asc=False)
+            fresh = fresh.groupBy("a").agg(F.slice(hubs, 1, HUBS).alias("hubs")).select("a", F.explode("hubs.b").alias("b"))
         fresh = materialize(fresh.select("a", "b"), "pairs")
         found = materialize(_verify(fresh, sets, percent), "links")
         links, compared = found.count(), fresh.count()
