@@ -400,3 +400,44 @@ def test_salvage_takes_linear_time():
     ids, gaps = ids_and_gaps(b"WARC/1.1\r\n" * 100_000 + b"WARC/1.1\r\nWARC-Type: response\r\n" * 30_000)
     # the search that took 2.6 s for 220 KB would take minutes for these 2 MB
     assert not ids and len(gaps) == 1 and time.perf_counter() - begin < 20
+
+
+def test_toxicity_equals_a_restatement(spark):
+    """Counts, ratios and scores again, in plain Python over n-grams as strings; slots do not collide here."""
+    rows = labelled_rows(200)
+    model = toxicity.fit_toxicity(spark.createDataFrame(rows, "key long, text string, label int"), bits=26)
+    sets = [{t.lower()[k : k + n] for n in toxicity.SIZES for k in range(len(t) - n + 1)} for _, t, _ in rows]
+    slot = {g: int(toxicity.gram_slots(toxicity.code_points(g), (len(g),), 26)[0]) for s in sets for g in s}
+    toxic, other = (sum(1 for r in rows if r[2] == label) for label in (1, 0))
+    with_toxic = Counter(g for s, r in zip(sets, rows, strict=True) if r[2] for g in s)
+    with_any = Counter(g for s in sets for g in s)
+    kept = {}
+    for g, n in with_any.items():
+        p, q, both = with_toxic[g] / toxic, (n - with_toxic[g]) / other, n / (toxic + other)
+        error = math.sqrt(both * (1 - both) * (1 / toxic + 1 / other))
+        if abs(p - q) / max(error, 1e-9) >= toxicity.LEAST_DEVIATION:
+            kept[g] = math.log((with_toxic[g] + 1) / (toxic + 2)) - math.log((n - with_toxic[g] + 1) / (other + 2))
+    assert sorted(slot[g] for g in kept) == model.slots.tolist()
+    # the fit is at its optimum: the gradient of the balanced, penalised loss is nothing
+    place = {s: k for k, s in enumerate(model.slots.tolist())}
+    x = np.zeros((len(rows), len(kept)))
+    for k, s in enumerate(sets):
+        for g in s & kept.keys():
+            x[k, place[slot[g]]] = kept[g]
+    ratio = np.zeros(len(kept))
+    for g, r in kept.items():
+        ratio[place[slot[g]]] = r
+    w, y = model.weights / ratio, np.array([r[2] for r in rows])
+    score = 1 / (1 + np.exp(-(x @ w + model.intercept)))
+    weight = np.where(y == 1, len(rows) / (2 * toxic), len(rows) / (2 * other)) / len(rows)
+    assert np.abs(x.T @ (weight * (score - y)) + toxicity.PENALTY * w).max() < 2e-3
+    places = model.places()
+    found = [model.score(toxicity.code_points(t), places) for _, t, _ in rows]
+    assert found == pytest.approx(score.tolist(), abs=1e-9)
+
+
+def test_toxicity_windows_are_of_characters():
+    assert len(toxicity.gram_slots(toxicity.code_points("漢字漢字漢"), (3,))) == 3
+    assert toxicity.gram_slots(toxicity.code_points("ÉCOLE")).tolist() == toxicity.gram_slots(toxicity.code_points("école")).tolist()
+    longer, shorter = toxicity.gram_slots(toxicity.code_points("abcdef"), (3, 5)), toxicity.gram_slots(toxicity.code_points("abcde"), (5,))
+    assert longer[4] == shorter[0] and len(longer) == 6

@@ -1,9 +1,9 @@
 """Toxicity: a linear classifier on character n-grams scaled by naive Bayes log-count ratios.
 
-A text is the set of its hashed byte n-grams (ASCII letters lower-cased). Features whose share differs clearly between toxic
-and other training texts are kept; each is scaled by the log ratio of its smoothed frequencies in both, and a logistic
-regression with an L2 penalty is fitted on the scaled features. Presence, not frequency, counts, so one insult in a long
-text weighs as much as in a short one.
+A text is the set of its hashed character n-grams, cut at code points, in lower case by Unicode. Features whose share differs clearly between
+toxic and other training texts are kept; each is scaled by the log ratio of its smoothed frequencies in both, and a logistic
+regression with an L2 penalty is fitted on the scaled features, with both labels weighing the same in all. Presence, not frequency, counts, so one
+insult in a long text weighs as much as in a short one.
 
 The model is fitted on a bounded, documented sample of the labelled rows; every text is scored whole.
 """
@@ -17,40 +17,44 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wattline.llm.batches import pieces, text_bytes
+from wattline.llm.batches import pieces
 from wattline.storage import materialize
 
-#: Sizes of the character windows, in bytes.
-SIZES = (3, 4, 5)
-#: Features are hashed to this many bits, which bounds the counts: 2^20 slots.
+#: Sizes of the character windows, in code points.
+SIZES = (3, 4, 5, 6)
+#: Features are hashed to this many bits, which bounds the counts and the model: 2^20 slots.
 BITS = 20
 #: Labelled rows in the training sample, about; the only sample in this module.
 TRAIN_ROWS = 12_000
-#: Features kept: those whose shares differ by so many standard errors, the clearest first up to a number.
-LEAST_DEVIATION, MOST_FEATURES = 4.0, 4096
+#: Features kept: those whose shares differ by so many standard errors. Others are noise of the sample.
+LEAST_DEVIATION = 5.0
 #: Tasks that count the sample; each sends one row per slot it has seen.
 COUNT_TASKS = 8
 SMOOTHING = 1.0
 PENALTY = 1e-3
 
-_STEP = np.uint32(0x9E3779B1)
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
+_PRIME, _SPREAD = np.uint64(0x100000001B3), np.uint64(0x9E3779B97F4A7C15)
 
 
-def gram_slots(raw: np.ndarray, sizes: Sequence[int] = SIZES, bits: int = BITS) -> np.ndarray:
-    """Slots of the n-grams of one text; with every size in turn."""
-    low = _LOWER[raw].astype(np.uint32) + np.uint32(1)
+def code_points(text: str | None) -> np.ndarray:
+    """The characters of a text in lower case, as numbers."""
+    return np.frombuffer((text or "").lower().encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
+def gram_slots(points: np.ndarray, sizes: Sequence[int] = SIZES, bits: int = BITS) -> np.ndarray:
+    """Slots of the n-grams of one text, given its code points; with every size in turn. Longer windows go on from the shorter ones."""
+    wide = points.astype(np.uint64)
     out = []
-    for n in sizes:
-        if len(low) < n:
-            continue
-        mixed = low[: len(low) - n + 1] * np.uint32(n)
-        for k in range(1, n):
-            mixed = mixed * _STEP + low[k : len(low) - n + 1 + k]
-        mixed ^= mixed >> np.uint32(15)
-        mixed *= np.uint32(0x85EBCA6B)
-        out.append((mixed >> np.uint32(32 - bits)).astype(np.int32))
+    mixed, done = np.full(len(wide), 1, np.uint64), 0
+    for n in sorted(sizes):
+        if len(wide) < n:
+            break
+        for k in range(done, n):
+            mixed = mixed[: len(wide) - k]
+            mixed = (mixed ^ wide[k:]) * _PRIME
+            mixed ^= mixed >> np.uint64(29)
+        done = n
+        out.append((mixed * _SPREAD >> np.uint64(64 - bits)).astype(np.int32))
     return np.concatenate(out) if out else np.empty(0, np.int32)
 
 
@@ -71,29 +75,28 @@ class ToxicityModel:
 
     def places(self) -> np.ndarray:
         """For each slot its place among the kept features, or -1."""
-        out = np.full(1 << self.bits, -1, np.int16)
+        out = np.full(1 << self.bits, -1, np.int32)
         out[self.slots] = np.arange(len(self.slots))
         return out
 
-    def score(self, raw: np.ndarray, places: np.ndarray) -> float:
-        """Probability for one text."""
-        total = float(self.weights[kept_features(raw, places, self.sizes, self.bits)].sum()) + self.intercept
+    def score(self, points: np.ndarray, places: np.ndarray) -> float:
+        """Probability for one text, given its code points."""
+        total = float(self.weights[kept_features(points, places, self.sizes, self.bits)].sum()) + self.intercept
         return float(1.0 / (1.0 + np.exp(-np.clip(total, -30, 30))))
 
 
-def kept_features(raw: np.ndarray, places: np.ndarray, sizes: Sequence[int], bits: int) -> np.ndarray:
+def kept_features(points: np.ndarray, places: np.ndarray, sizes: Sequence[int], bits: int) -> np.ndarray:
     """Places of the kept features that a text has."""
-    met = places[gram_slots(raw, sizes, bits)]
+    met = places[gram_slots(points, sizes, bits)]
     return np.unique(met[met >= 0])
 
 
 def _each_text(batches):
-    """(label, bytes) of the rows of ``label, text`` batches."""
+    """(label, code points) of the rows of ``label, text`` batches."""
     for batch in batches:
         for piece in pieces(batch, "text"):
-            raw, borders = text_bytes(piece.column("text"))
-            for label, a, b in zip(piece.column("label").to_pylist(), borders[:-1], borders[1:], strict=True):
-                yield label, raw[a:b]
+            for label, text in zip(piece.column("label").to_pylist(), piece.column("text").to_pylist(), strict=True):
+                yield label, code_points(text)
 
 
 def _count_slots(train: DataFrame, sizes: Sequence[int], bits: int) -> DataFrame:
@@ -103,8 +106,8 @@ def _count_slots(train: DataFrame, sizes: Sequence[int], bits: int) -> DataFrame
         import pyarrow as pa
 
         counts = np.zeros((2, 1 << bits), np.int32)
-        for label, raw in _each_text(batches):
-            counts[label, np.unique(gram_slots(raw, sizes, bits))] += 1
+        for label, points in _each_text(batches):
+            counts[label, np.unique(gram_slots(points, sizes, bits))] += 1
         slots = np.flatnonzero(counts.any(axis=0))
         yield pa.RecordBatch.from_arrays([pa.array(slots.astype(np.int32)), pa.array(counts[0, slots]), pa.array(counts[1, slots])], ["slot", "other", "toxic"])
 
@@ -139,11 +142,9 @@ def fit_toxicity(labelled: DataFrame, train_rows: int = TRAIN_ROWS, seed: int =
     clear = (
         counted.withColumn("deviation", F.abs(p - q) / F.greatest(error, F.lit(1e-9)))
         .where(F.col("deviation") >= LEAST_DEVIATION)
-        .orderBy(F.desc("deviation"), "slot")
-        .limit(MOST_FEATURES)
+        .orderBy("slot")
         .select("slot", "other", "toxic")
-        .toPandas()
-        .sort_values("slot")
+        .toPandas()  # at most a row for each of the 2^20 slots
     )
     if clear.empty:
         return prior
@@ -157,9 +158,9 @@ def fit_toxicity(labelled: DataFrame, train_rows: int = TRAIN_ROWS, seed: int =
 
         places = ToxicityModel(*shared.value, 0.0, tuple(sizes), bits).places()
         labels, found = [], []
-        for label, raw in _each_text(batches):
+        for label, points in _each_text(batches):
             labels.append(label)
-            found.append(kept_features(raw, places, sizes, bits).astype(np.int32))
+            found.append(kept_features(points, places, sizes, bits).astype(np.int32))
         yield pa.RecordBatch.from_arrays([pa.array(labels, pa.int32()), pa.array(found, pa.list_(pa.int32()))], ["label", "found"])
 
     width, scale = len(slots), ratio
@@ -169,8 +170,11 @@ def fit_toxicity(labelled: DataFrame, train_rows: int = TRAIN_ROWS, seed: int =
         return SparseVector(width, found, [float(scale[k]) for k in found])
 
     found = train.mapInArrow(features, "label int, found array<int>")
-    points = found.select(F.col("label").cast("double").alias("label"), scaled("found").alias("features"))
-    fitted = LogisticRegression(maxIter=40, regParam=PENALTY, elasticNetParam=0.0, standardization=False, tol=1e-5).fit(points)
+    # both labels weigh the same in all, however rare one is
+    balance = F.when(F.col("label") == 1, (toxic + other) / (2.0 * toxic)).otherwise((toxic + other) / (2.0 * other))
+    points = found.select(F.col("label").cast("double").alias("label"), balance.alias("weight"), scaled("found").alias("features"))
+    learner = LogisticRegression(maxIter=60, regParam=PENALTY, elasticNetParam=0.0, standardization=False, tol=1e-6, weightCol="weight")
+    fitted = learner.fit(points)
     return ToxicityModel(slots, np.asarray(fitted.coefficients.toArray()) * ratio, float(fitted.intercept), tuple(sizes), bits)
 
 
@@ -193,8 +197,7 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, text: str = "text", th
         for array in arrays:
             scores = [np.empty(0)]
             for piece in pieces(pa.RecordBatch.from_arrays([array], ["text"]), "text"):
-                raw, borders = text_bytes(piece.column("text"))
-                scores.append(np.array([known.score(raw[a:b], places) for a, b in zip(borders[:-1], borders[1:], strict=True)]))
+                scores.append(np.array([known.score(code_points(t), places) for t in piece.column("text").to_pylist()]))
             yield pa.array(np.concatenate(scores))
 
     # only the text goes to Python; the row stays where it is. Not deterministic: it is to run once, whatever refers to it
