@@ -441,3 +441,99 @@ def test_toxicity_windows_are_of_characters():
     assert toxicity.gram_slots(toxicity.code_points("ÉCOLE")).tolist() == toxicity.gram_slots(toxicity.code_points("école")).tolist()
     longer, shorter = toxicity.gram_slots(toxicity.code_points("abcdef"), (3, 5)), toxicity.gram_slots(toxicity.code_points("abcde"), (5,))
     assert longer[4] == shorter[0] and len(longer) == 6
+
+
+MIT_TEXT = """The MIT License (MIT)
+
+Copyright (c) 2024 Foo Corp.
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+"""
+APACHE_HEADER = """/*
+ * Licensed under the Apache License, Version 2.0 (the "License");
+ * you may not use this file except in compliance with the License.
+ * You may obtain a copy of the License at
+ *
+ *     http://www.apache.org/licenses/LICENSE-2.0
+ */
+"""
+
+
+def license_files():
+    return [
+        (1, MIT_TEXT), (2, "MIT License"), (3, "# SPDX-License-Identifier: Apache-2.0\nimport os\n" + prose(1, 200)), (4, "GNU GENERAL PUBLIC LICENSE\n  Version 3\n"),
+        (5, APACHE_HEADER + prose(2, 300)), (6, "Released under the MIT License by Foo Corp."), (7, prose(3, 80) + "\r\nReleased under the MIT License.\r\n" + prose(4, 80)),
+        (8, "// SPDX-License-Identifier: GPL-2.0-or-later"), (9, "# SPDX-License-Identifier: Unknown-9"), (10, "They licensed their song to a film."), (11, None), (12, ""), (None, "MIT License"),
+        (13, "This Source Code Form is subject to the terms of the Mozilla Public\n# License, v. 2.0. If a copy of the MPL was not distributed with this\n# file, You can obtain one at http://mozilla.org/MPL/2.0/."),
+        (2, "MIT License"), (14, " \n".join(["word"] * 5000)), (15, "Permission granted to use this file " + prose(9, 30)),
+    ]
+
+
+def test_license_texts_headers_and_tags(spark):
+    docs = spark.createDataFrame(license_files() * 3, "doc_id long, text string").select("*", F.lit("x").alias("license"), F.lit("y").alias("body"))
+    found = license_scan.scan_passages(docs).collect()
+    names = {r.id: r.license for r in found}
+    assert names == {1: "MIT", 2: "MIT", 3: "Apache-2.0", 4: "GPL-3.0", 5: "Apache-2.0", 6: "MIT", 7: "MIT", 8: "GPL-2.0", 13: "MPL-2.0", None: "MIT"}
+    assert len(found) == len(names) and all(0 < r.share <= 1 + 1e-9 for r in found)
+    share = {r.id: r.share for r in found}
+    # license files by their share of weight, whatever their length; sources with a header or a line are none
+    assert {k for k, v in share.items() if v >= license_scan.FILE_SHARE} == {1, 2, 4, 6, 8, 13, None}
+    plan = license_scan.scan_passages(docs)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_license_passages_equal_a_restatement(spark):
+    """Cosines, covers and shares again in plain Python."""
+    rows = license_files()
+    total = len(rows)
+    split = lambda t: re.findall("[a-z0-9]+", (t or "").lower())
+    vocabulary = {t for _, x in license_scan.LICENSE_TEXTS for t in split(x)}
+    df = Counter(t for _, x in rows for t in set(split(x)) & vocabulary)
+    idf = {t: math.log((total + 1) / (df[t] + 1)) + 1 for t in vocabulary}
+    most = max(idf.values())
+    weight = lambda words: {t: n * idf.get(t, most) for t, n in Counter(words).items()}
+    length = lambda v: math.sqrt(sum(x * x for x in v.values()))
+    expected = {}
+    for key, text in rows:
+        paragraphs = [p for p in re.split(license_scan._BLANK_LINES, text or "") if re.search("[\r\n]", p.strip("\r\n"))]
+        hits, words = [], set()
+        for passage in [*re.split("\r\n|\r|\n", text or ""), *paragraphs]:
+            own = weight(split(passage))
+            best = None
+            for name, template in sorted(license_scan.LICENSE_TEXTS, key=lambda x: x[0]):
+                side = weight(split(template))
+                cosine = sum(v * own.get(t, 0) for t, v in side.items()) / length(side) / (length(own) or 1)
+                cover = math.sqrt(sum(v * v for t, v in side.items() if t in own)) / length(side)
+                if (cosine >= 0.75 or (cosine >= 0.5 and cover >= 0.95)) and (best is None or cosine > best[0]):
+                    best = cosine, name
+            tag = re.search(license_scan.SPDX_TAG, passage) if not re.search("[\r\n]", passage) else None
+            known = {n.lower(): n for n in license_scan.SPDX_NAMES}.get(tag[1].lower()) if tag else None
+            for hit in [best, known and (1.0, known)]:
+                if hit:
+                    hits.append((-hit[0], hit[1]))
+                    words |= set(split(passage))
+        if hits:
+            cosine, name = min(hits, key=lambda h: (round(h[0], 12), h[1]))
+            everything = [idf.get(t, most) for t in split(text)]
+            expected[key] = name, -cosine, sum(idf.get(t, most) for t in split(text) if t in words) / sum(everything)
+    found = license_scan.scan_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.id: r.license for r in found} == {k: v[0] for k, v in expected.items()}
+    for r in found:
+        assert (r.cosine, r.share) == pytest.approx(expected[r.id][1:])
+
+
+def test_license_file_speaks_for_its_directory(spark, no_docs):
+    rows = [(1, "a", MIT_TEXT * 20), (2, "a", prose(1, 50)), (3, "b", prose(2, 50)), (4, "a", APACHE_HEADER + prose(3, 200)), (5, "a/x", None), (None, "a", "")]
+    docs = spark.createDataFrame(rows, "doc_id long, folder string, text string")
+    path = F.concat_ws("/", "folder", F.coalesce(F.col("doc_id").cast("string"), F.lit("none")))
+    found = {r.id: r for r in license_scan.scan_files(docs, path, file_share=license_scan.FILE_SHARE).collect()}
+    assert {k: (r.effective, r.inherited_from) for k, r in found.items()} == {
+        1: ("MIT", None), 2: ("MIT", "a"), 3: (None, None), 4: ("Apache-2.0", None), 5: ("MIT", "a"), None: ("MIT", "a")
+    }
+    assert found[1].path == "a/LICENSE.1" and found[4].path == "a/4" and len(found) == len(rows)
+    assert license_scan.scan_files(no_docs, F.lit("a/b"), file_share=0.5).count() == 0

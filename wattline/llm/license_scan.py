@@ -4,7 +4,9 @@ Everything is DataFrame expressions. The vector space is the vocabulary of the t
 bounds what tasks hold; a passage's vector is sparse. Inverse document frequencies come from all documents. Lines are scored
 unless the terms they share with each template are proven too light to reach the cosine asked for.
 
-A passage is a line, so a notice inside a long text is compared by itself.
+`scan_lines` takes every line as a passage, so a notice inside a long text is compared by itself. `scan_passages` takes paragraphs too, for headers and license
+texts that are wrapped over lines, knows SPDX tags, and accepts a notice that names an owner if it has nearly all of a template. The share of a text's
+weight that such passages have, and not its length, makes it a license file.
 """
 
 from __future__ import annotations
@@ -27,6 +29,45 @@ TEMPLATES = {
     "MIT": "Released under the MIT License.",
     "BSD-3-Clause": "Redistribution and use in source and binary forms, with or without modification, are permitted.",
 }
+# Titles, headers and characteristic paragraphs of usual licenses, as published.
+LICENSE_TEXTS = (
+    *TEMPLATES.items(),
+    ("MIT", "The MIT License (MIT)"),
+    ("MIT", "MIT License"),
+    ("MIT", """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to
+    deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of
+    the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:"""),
+    ("Apache-2.0", "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/"),
+    ("Apache-2.0", """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of
+    the License at http://www.apache.org/licenses/LICENSE-2.0"""),
+    ("GPL-2.0", "GNU GENERAL PUBLIC LICENSE Version 2, June 1991"),
+    ("GPL-2.0", """This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software
+    Foundation; either version 2 of the License, or (at your option) any later version."""),
+    ("GPL-3.0", "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("GPL-3.0", "GNU GENERAL PUBLIC LICENSE Version 3"),
+    ("GPL-3.0", """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software
+    Foundation, either version 3 of the License, or (at your option) any later version."""),
+    ("LGPL-2.1", """This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free
+    Software Foundation; either version 2.1 of the License, or (at your option) any later version."""),
+    ("MPL-2.0", "Mozilla Public License Version 2.0"),
+    ("MPL-2.0", """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain
+    one at http://mozilla.org/MPL/2.0/."""),
+    ("BSD-3-Clause", """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"""),
+    ("BSD-3-Clause", """Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without
+    specific prior written permission."""),
+    ("ISC", """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and
+    this permission notice appear in all copies."""),
+    ("Unlicense", "This is free and unencumbered software released into the public domain."),
+)
+#: The names that an SPDX tag may give.
+SPDX_NAMES = tuple(sorted({name for name, _ in LICENSE_TEXTS} | {"BSD-2-Clause", "LGPL-3.0", "AGPL-3.0", "CC0-1.0", "Zlib", "BSL-1.0"}))
+SPDX_TAG = r"(?i)SPDX-License-Identifier:\s*\(?([a-z0-9.-]+?)(?:-only|-or-later|\+)?(?:[^a-z0-9.+-]|$)"
+#: A passage that has this much of a template's weight counts from a lower cosine on: what is left may be an owner.
+LEAST_COVER, COVERED_COSINE = 0.95, 0.5
+#: A text is a license file from this share of its weight in license passages on.
+FILE_SHARE = 0.5
+#: Lines without a word part paragraphs; marks of comments are no words.
+_BLANK_LINES = r"(?:\r\n|\r|\n)(?:[^\r\nA-Za-z0-9]*(?:\r\n|\r|\n))+"
 #: Cosine from which a passage counts as the license.
 LEAST_COSINE = 0.75
 #: File names that speak for their directory, in lower case.
@@ -92,44 +133,111 @@ def scan_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", templat
     Terms outside the templates weigh as much as the rarest term, so other words in a line lower its cosine. Ties go to the license
     that comes first by name. Null and empty texts have no line; repeated rows are found once for each row; null keys stay.
     """
-    spark = docs.sparkSession
-    template = materialize(_template_terms(spark, templates), "license-terms")
-    vocabulary = [r["term"] for r in template.select("term").distinct().orderBy("term").collect()]  # bounded by the templates
-    known = F.array(*[F.lit(t) for t in vocabulary])
-    counted = docs.select(F.explode(F.array_intersect(F.array_distinct(terms(F.coalesce(F.col(text), F.lit("")))), known)).alias("term"))
-    frequency = counted.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    total = docs.count()
-    weights = template.select("term").distinct().join(frequency, "term", "left")
-    weights = weights.select("term", (F.log(F.lit(total + 1.0) / (F.coalesce("df", F.lit(0)) + 1)) + 1.0).alias("idf"))
-    weights = materialize(weights, "license-weights")
-    idf = {r["term"]: r["idf"] for r in weights.collect()}  # bounded by the templates
-    most = max(idf.values(), default=1.0)
-    counts = template.collect()  # bounded by the templates
-    sides = {}
-    for name in sorted(templates):
-        own = {r["term"]: r["tf"] * idf[r["term"]] for r in counts if r["license"] == name}
-        length = sum(v * v for v in own.values()) ** 0.5
-        sides[name] = {t: v / length for t, v in sorted(own.items())}
-    # terms are ASCII, so these borders are those of a term
-    starts = rf"(?<![a-z0-9])(?:{'|'.join(needed_terms(sides, least))})(?![a-z0-9])" if least > 0 else TERM
-    found = passages(docs, F.col(key), F.col(text), starts).withColumn("words", terms(F.col("passage")))
-    found = found.where(F.size("words") > 0).withColumn("distinct_words", F.array_distinct("words"))
-    shared = [_shared_part("distinct_words", side) for side in sides.values() if side]
-    found = found.where(reduce(or_, [x >= least * abs(least) - _SLACK for x in shared], F.lit(False)))
-    literal = _literal(idf)
-    weight = lambda t: F.coalesce(F.element_at(literal, t), F.lit(float(most)))
+    space = _Space(docs, text, list(templates.items()))
+    found = _candidates(passages(docs, F.col(key), F.col(text), space.starts(least)), space, least)
+    return _best(_scored(found, space)).where(F.col("best.cosine") >= least).select("id", "line", "best.license", "best.cosine")
+
+
+class _Space:
+    """The templates as unit vectors over their terms, with frequencies from all documents."""
+
+    def __init__(self, docs: DataFrame, text: str, templates: list[tuple[str, str]]):
+        spark = docs.sparkSession
+        names = {str(k): name for k, (name, _) in enumerate(templates)}
+        template = materialize(_template_terms(spark, {str(k): t for k, (_, t) in enumerate(templates)}), "license-terms")
+        vocabulary = [r["term"] for r in template.select("term").distinct().orderBy("term").collect()]  # bounded by the templates
+        known = F.array(*[F.lit(t) for t in vocabulary])
+        counted = docs.select(F.explode(F.array_intersect(F.array_distinct(terms(F.coalesce(F.col(text), F.lit("")))), known)).alias("term"))
+        frequency = counted.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+        total = docs.count()
+        weights = template.select("term").distinct().join(frequency, "term", "left")
+        weights = weights.select("term", (F.log(F.lit(total + 1.0) / (F.coalesce("df", F.lit(0)) + 1)) + 1.0).alias("idf"))
+        weights = materialize(weights, "license-weights")
+        self.idf = {r["term"]: r["idf"] for r in weights.collect()}  # bounded by the templates
+        self.most = max(self.idf.values(), default=1.0)
+        counts = template.collect()  # bounded by the templates
+        #: (license, unit vector) by license name, then in the given order.
+        self.sides: list[tuple[str, dict[str, float]]] = []
+        for place in sorted(names, key=lambda k: (names[k], int(k))):
+            own = {r["term"]: r["tf"] * self.idf[r["term"]] for r in counts if r["license"] == place}
+            length = sum(v * v for v in own.values()) ** 0.5
+            if own:
+                self.sides.append((names[place], {t: v / length for t, v in sorted(own.items())}))
+
+    def starts(self, least: float) -> str:
+        """Pattern of the terms of which a passage needs one. Terms are ASCII, so its borders are those of a term."""
+        needed = needed_terms({str(k): side for k, (_, side) in enumerate(self.sides)}, least)
+        return rf"(?<![a-z0-9])(?:{'|'.join(needed)})(?![a-z0-9])" if least > 0 else TERM
+
+    def weight(self, term: Column) -> Column:
+        return F.coalesce(F.element_at(_literal(self.idf), term), F.lit(float(self.most)))
+
+
+def _candidates(found: DataFrame, space: _Space, least: float) -> DataFrame:
+    """Passages that may reach ``least``, with their ``words``."""
+    found = found.withColumn("words", terms(F.col("passage"))).where(F.size("words") > 0).withColumn("distinct_words", F.array_distinct("words"))
+    shared = [_shared_part("distinct_words", side) for _, side in space.sides]
+    return found.where(reduce(or_, [x >= least * abs(least) - _SLACK for x in shared], F.lit(False)))
+
+
+def _scored(found: DataFrame, space: _Space) -> DataFrame:
+    """Add ``scores``: cosine, license and cover (the length of a template's vector in the terms that it shares with the passage) for every template."""
     vectors = found.withColumn(
         "vector",
         F.transform(
             "distinct_words",
-            lambda t: F.struct(t.alias("term"), (F.size(F.filter("words", lambda w: w == t)) * weight(t)).alias("w")),
+            lambda t: F.struct(t.alias("term"), (F.size(F.filter("words", lambda w: w == t)) * space.weight(t)).alias("w")),
         ),
     )
     norm = lambda v: F.sqrt(F.aggregate(v, F.lit(0.0), lambda a, x: a + x["w"] * x["w"]))
-    scores = [F.struct((_dot("vector", _literal(side)) / F.col("norm")).alias("cosine"), F.lit(name).alias("license")) for name, side in sides.items() if side]
-    ranked = vectors.withColumn("norm", norm("vector")).withColumn("scores", F.array(*scores))
-    best = F.aggregate("scores", F.col("scores")[0], lambda a, x: F.when(x["cosine"] > a["cosine"], x).otherwise(a))
-    return ranked.select("id", "line", best.alias("best")).where(F.col("best.cosine") >= least).select("id", "line", "best.license", "best.cosine")
+    scores = [
+        F.struct((_dot("vector", _literal(side)) / F.col("norm")).alias("cosine"), F.lit(name).alias("license"), F.sqrt(_shared_part("distinct_words", side)).alias("cover"))
+        for name, side in space.sides
+    ]
+    return vectors.withColumn("norm", norm("vector")).withColumn("scores", F.array(*scores))
+
+
+def _best(scored: DataFrame) -> DataFrame:
+    """Add ``best``: of the scores the highest cosine, the first by name in ties."""
+    return scored.withColumn("best", F.aggregate("scores", F.col("scores")[0], lambda a, x: F.when(x["cosine"] > a["cosine"], x).otherwise(a)))
+
+
+def scan_passages(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", templates: tuple[tuple[str, str], ...] = LICENSE_TEXTS, least: float = LEAST_COSINE,
+    covered: float = COVERED_COSINE, cover: float = LEAST_COVER,
+) -> DataFrame:
+    """Licenses found in whole texts, by rows: ``id``, ``row_hash`` (of the text), ``license``, ``cosine``, ``share``.
+
+    Passages are lines, and paragraphs of more than one line. A passage counts if its cosine to a template reaches ``least``, or reaches ``covered`` while it
+    has ``cover`` of the template's weight. An SPDX tag with a known name counts with a cosine of 1. The license of a text is that of its best passage (ties:
+    the first by name); ``share`` is the weight of the words in all its passages that count, each word once, over that of all its words. Null and
+    empty texts have none; rows that repeat key and text are found once; null keys stay.
+    """
+    space = _Space(docs, text, list(templates))
+    starts = rf"{space.starts(least)}|spdx-license-identifier"
+    content = F.col(text)
+    rows = docs.where(F.lower(content).rlike(starts)).select(F.col(key).alias("id"), F.xxhash64(content).alias("row_hash"), content.alias("body")).dropDuplicates(["id", "row_hash"])
+    lines, wrapped = F.split("body", r"\r\n|\r|\n"), F.filter(F.split("body", _BLANK_LINES), lambda p: F.trim(p, F.lit("\r\n")).rlike(r"\r|\n"))
+    several = rows.select("id", "row_hash", F.posexplode(F.concat(lines, wrapped)).alias("line", "passage")).where(F.lower("passage").rlike(starts))
+    tagged = F.regexp_extract("passage", SPDX_TAG, 1)
+    known = F.create_map(*[x for n in SPDX_NAMES for x in (F.lit(n.lower()), F.lit(n))])
+    # a tag stands for its line, not for the paragraph around it
+    tags = several.where(F.lower("passage").contains("spdx-license-identifier") & ~F.col("passage").rlike(r"\r|\n")).select(
+        "id", "row_hash", F.element_at(known, F.lower(tagged)).alias("license"), F.lit(1.0).alias("cosine"), terms(F.col("passage")).alias("words")
+    )
+    scored = _scored(_candidates(several, space, least), space)
+    counts = lambda x: (x["cosine"] >= least) | ((x["cosine"] >= covered) & (x["cover"] >= cover))
+    fitting = _best(scored.withColumn("scores", F.filter("scores", counts)).where(F.size("scores") > 0))
+    hits = fitting.select("id", "row_hash", "best.license", "best.cosine", "words").unionByName(tags.where("license is not null"))
+    found = hits.groupBy("id", "row_hash").agg(
+        F.min(F.struct((-F.col("cosine")).alias("order"), "license", "cosine")).alias("best"), F.array_distinct(F.flatten(F.collect_list("words"))).alias("words")
+    )
+    total = lambda words: F.aggregate(words, F.lit(0.0), lambda a, t: a + space.weight(t))
+    # a license passage has more of its words elsewhere in the text only by accident: every word counts as often as it stands there
+    whole = rows.select(F.col("id").alias("of_id"), F.col("row_hash").alias("of_hash"), terms(F.col("body")).alias("all_words"))
+    met = found.join(whole, F.col("id").eqNullSafe(F.col("of_id")) & (F.col("row_hash") == F.col("of_hash")))
+    inside = F.filter("all_words", lambda t: F.array_contains("words", t))
+    return met.select("id", "row_hash", "best.license", "best.cosine", (total(inside) / total(F.col("all_words"))).alias("share"))
 
 
 def ancestors(path: Column) -> Column:
@@ -168,16 +276,18 @@ def inherit(files: DataFrame, path: str = "path", license: str = "license") -> D
     )
 
 
-def scan_files(docs: DataFrame, path: Column, key: str = "doc_id", text: str = "text", templates: Mapping[str, str] = TEMPLATES, least: float = LEAST_COSINE) -> DataFrame:
-    """One row per key: ``id``, ``path``, ``license``, ``cosine``, ``effective``, ``inherited_from``.
+def scan_files(
+    docs: DataFrame, path: Column, key: str = "doc_id", text: str = "text", templates: tuple[tuple[str, str], ...] = LICENSE_TEXTS, least: float = LEAST_COSINE, file_share: float | None = None
+) -> DataFrame:
+    """One row per row of ``docs``: ``id``, ``path``, ``license``, ``cosine``, ``share``, ``effective``, ``inherited_from``.
 
-    A file's own license is the best of its lines (ties: the first by name). Rows that repeat a key have the lines of all. The
-    result has every row of ``docs``; an empty table gives an empty result.
+    A file's own license is that of its best passage (see `scan_passages`). Where paths do not say which files are licenses, ``file_share`` does: a file with
+    that much of its weight in license passages speaks for its directory, under the name ``LICENSE.`` and its own. An empty table gives an empty result.
     """
-    best = (
-        scan_lines(docs, key, text, templates, least).groupBy(F.col("id").alias("of_id"))
-        .agg(F.min(F.struct((-F.col("cosine")).alias("order"), "license", "cosine")).alias("best"))
-    )
-    files = docs.select(F.col(key).alias("id"), path.alias("path"))
-    own = files.join(best, F.col("id").eqNullSafe(F.col("of_id")), "left").select("id", "path", F.col("best.license").alias("license"), F.col("best.cosine").alias("cosine"))
+    found = scan_passages(docs, key, text, templates, least).select(F.col("id").alias("of_id"), F.col("row_hash").alias("of_hash"), "license", "cosine", "share")
+    files = docs.select(F.col(key).alias("id"), path.alias("path"), F.xxhash64(F.col(text)).alias("row_hash"))
+    own = files.join(found, F.col("id").eqNullSafe(F.col("of_id")) & (F.col("row_hash") == F.col("of_hash")), "left").select("id", "path", "license", "cosine", "share")
+    if file_share is not None:
+        speaks = F.regexp_replace("path", r"^((?:.*/)?)([^/]*)$", "$1LICENSE.$2")
+        own = own.withColumn("path", F.when(F.col("share") >= file_share, speaks).otherwise(F.col("path")))
     return inherit(own)

@@ -44,12 +44,11 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as files: a source is a project, a hundred ids are a directory, and a text that is little but a notice is its license file."""
+    """Documents as files: a source is a project, a hundred ids are a directory, and a text that is little but a license speaks for its directory."""
     docs = table(spark, sf_dir, "documents")
-    notice = F.coalesce(F.length("text") <= 200, F.lit(False)) & F.col("text").rlike(license_scan.TELLING)
     folder = F.concat_ws("/", F.coalesce("source", F.lit("none")), F.floor(F.col("doc_id") / 100).cast("string"))
-    path = F.concat_ws("/", folder, F.concat(F.when(notice, F.lit("LICENSE.")).otherwise(F.lit("text.")), F.col("doc_id").cast("string")))
-    found = license_scan.scan_files(docs, path)
+    path = F.concat_ws("/", folder, F.concat(F.lit("text."), F.col("doc_id").cast("string")))
+    found = license_scan.scan_files(docs, path, file_share=license_scan.FILE_SHARE)
     return found.withColumnRenamed("id", "doc_id")
 
 
