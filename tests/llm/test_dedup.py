@@ -92,7 +92,7 @@ def test_near_edges(edge_docs, monkeypatch, changes):
     assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in found), key=repr) == expected
 
 
-@pytest.mark.parametrize("changes", [{}, {"PAIRS_PER_LINK": 0, "COMMON": 2, "SLOT_ROWS": 5}, {"BLOCK_ENTRIES": 90, "ENTRIES_AT_ONCE": 40, "PAIRS_PER_ENTRY": 0, "SHINGLE_BYTES": 900}])
+@pytest.mark.parametrize("changes", [{}, {"PAIRS_PER_LINK": 0, "COMMON": 2, "SLOT_ROWS": 5}, {"BLOCK_ENTRIES": 90, "ENTRIES_AT_ONCE": 40, "PAIRS_PER_ENTRY": 0, "SHINGLE_BYTES": 900}, {"PAIRS_PER_LINK": 10**9, "MOST_CARRIED": 12}])
 def test_near_group_and_common_passage(spark, monkeypatch, changes):
     for name, value in changes.items():
         monkeypatch.setattr(jaccard_join, name, value)

@@ -20,7 +20,7 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -44,6 +44,8 @@ SHINGLE_BYTES = 512 << 10
 PAIRS_PER_LINK = 20
 #: Pairs of different components are expanded once they are no more than so many times the entries.
 PAIRS_PER_ENTRY = 8
+#: Entries of a document that go with each of them when pairs are made.
+MOST_CARRIED = 256
 #: Hubs that a member is compared with in one round.
 HUBS = 3
 #: Members of one hub that one task streams over.
@@ -338,14 +340,19 @@ def _fits(a: str, b: str, percent: int):
     return (100 * F.least(a, b) >= percent * F.greatest(a, b))
 
 
-def _reaches(shared: str, a: str, b: str, percent: int):
-    """Whether sets of sizes a and b that share ``shared`` entries of the product can link.
+def _short_prefix():
+    """A document's entries in their order, or null if they are many: then its pairs are made by every entry, and counted."""
+    return F.when(F.size("prefix") <= MOST_CARRIED, F.col("prefix"))
+
+
+def _reaches(shared: Column, a: str, b: str, percent: int):
+    """Whether sets of sizes a and b that share ``shared`` entries of the product (a column) can link.
 
     Of the set whose entries end first in the order, all n-grams up to there are entries, and of the other one too. So the overlap is
     the shared entries and at most what that set has behind its entries: ``ceil(t * size) - 1``.
     """
     behind = F.greatest(*[F.floor((percent * F.col(c) + 99) / 100) - 1 for c in (a, b)])
-    return (100 + percent) * (F.col(shared) + behind) >= percent * (F.col(a) + F.col(b))
+    return (100 + percent) * (shared + behind) >= percent * (F.col(a) + F.col(b))
 
 
 def _blocks(entries: DataFrame, turn: int) -> DataFrame:
@@ -362,7 +369,7 @@ def _blocks(entries: DataFrame, turn: int) -> DataFrame:
 
 
 def link_classes(entries: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """``node, comp`` of all classes that link with another one. ``entries``: (gram, node, n); ``sets``: (node, n, grams)."""
+    """``node, comp`` of all classes that link with another one. ``entries``: (gram, node, n); ``sets``: (node, n, grams, prefix)."""
     spark = entries.sparkSession
     labels = spark.createDataFrame([], "node long, comp long")
     edges = tested = None
@@ -381,13 +388,19 @@ def link_classes(entries: DataFrame, sets: DataFrame, percent: int) -> DataFrame
         last = turn > 0 and (links * PAIRS_PER_LINK <= compared or left <= PAIRS_PER_ENTRY * now.count())
         pairs = now
         if last:
-            own = now.select("gram", "node", "n", "comp")
-            other = own.select("gram", F.col("node").alias("b"), F.col("n").alias("m"), F.col("comp").alias("comp_b"))
-            pairs = own.join(other, "gram").where(F.col("node") < F.col("b"))
-        pairs = pairs.where((F.col("comp") != F.col("comp_b")) & _fits("n", "m", percent))
-        fresh = pairs.groupBy(F.col("node").alias("a"), "b").agg(F.count(F.lit(1)).alias("shared"), F.first("n").alias("n"), F.first("m").alias("m"))
+            # a pair is made once, by the first entry that both have, and only if all entries that both have reach far enough
+            own = now.select("gram", "node", "n", "comp").join(sets.select("node", _short_prefix().alias("own")), "node")
+            other = own.select(F.col("gram").alias("gram_b"), F.col("node").alias("b"), F.col("n").alias("m"), F.col("comp").alias("comp_b"), F.col("own").alias("their"))
+            both = F.array_intersect("own", "their")
+            made_here = both.isNull() | ((F.get(both, F.lit(0)) == F.col("gram")) & _reaches(F.size(both), "n", "m", percent))
+            apart = (F.col("node") < F.col("b")) & (F.col("comp") != F.col("comp_b")) & _fits("n", "m", percent)
+            pairs = own.join(other, (F.col("gram") == F.col("gram_b")) & apart & made_here)
+            pairs = pairs.withColumn("entries", F.when(both.isNull(), 1).otherwise(F.size(both)))
+        else:
+            pairs = pairs.where((F.col("comp") != F.col("comp_b")) & _fits("n", "m", percent)).withColumn("entries", F.lit(1))
+        fresh = pairs.groupBy(F.col("node").alias("a"), "b").agg(F.sum("entries").alias("shared"), F.first("n").alias("n"), F.first("m").alias("m"))
         if last:
-            fresh = fresh.where(_reaches("shared", "n", "m", percent))
+            fresh = fresh.where(_reaches(F.col("shared"), "n", "m", percent))
         if tested is not None:
             fresh = fresh.join(tested, ["a", "b"], "left_anti")
         if not last:
@@ -453,7 +466,7 @@ def jaccard_components(docs: DataFrame, text: str = "text", key: str = "doc_id",
     counted = _counted(_incidence(texts, words, common, buckets), buckets)
     sets = materialize(_shared_sets(counted, percent), "sets")
     entries = materialize(sets.select(F.explode("prefix").alias("gram"), "node", "n"), "entries")
-    labels = link_classes(entries, sets.select("node", "n", "grams"), percent)
+    labels = link_classes(entries, sets, percent)
     placed = classes.join(labels, "node", "left").select("sig", F.coalesce("comp", "node").alias("comp"), "least_id")
     least = placed.groupBy("comp").agg(F.min("least_id").alias("component_id"))
     named = placed.join(least, "comp").select("sig", "comp", "component_id")
