@@ -209,6 +209,20 @@ def train_rf_classifier(spark, sf_dir):
     )
 
 
+@query(
+    """WITH c AS (SELECT hour(ts)::BIGINT AS hour_of_day, (isodow(ts) - 1)::BIGINT AS day_of_week, event_type, count(*) AS n FROM events GROUP BY ALL)
+    SELECT hour_of_day, day_of_week, sum(n)::BIGINT AS n_rows, max(n) AS n_predicted FROM c GROUP BY ALL"""
+)
+def train_rf_classifier_cells(spark, sf_dir):
+    """Whole samples, all features and full depth: a cell's class is one that no other outnumbers."""
+    rows = fx.events(spark, sf_dir).select("event_type", F.hour("ts").cast("bigint").alias("hour_of_day"), F.weekday("ts").cast("bigint").alias("day_of_week"))
+    rows = materialize(rows, "classes")
+    params = {"n_estimators": 3, "max_depth": 30, "bootstrap": False, "max_features": "all"}
+    model = fit(ModelDefinition("rf_class", "random_forest_classifier", params), rows, ["hour_of_day", "day_of_week"], "event_type")
+    guessed = predict(model, rows, ["event_type", "hour_of_day", "day_of_week"])
+    return guessed.groupBy("hour_of_day", "day_of_week").agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("prediction") == F.col("event_type")).alias("n_predicted"))
+
+
 _NET_SQL = f"{fx.ENGINEERED_SQL}, train AS (SELECT * FROM engineered WHERE {_TRAIN}), {fx.elastic_net_sql('train')}"
 
 
