@@ -537,3 +537,20 @@ def test_license_file_speaks_for_its_directory(spark, no_docs):
     }
     assert found[1].path == "a/LICENSE.1" and found[4].path == "a/4" and len(found) == len(rows)
     assert license_scan.scan_files(no_docs, F.lit("a/b"), file_share=0.5).count() == 0
+
+
+def test_long_texts_are_taken_in_blocks(monkeypatch):
+    from wattline.llm import words
+
+    text = prose(5, 4000) + " " + "long" * 900 + " é漢字 " + prose(6, 50)
+    points = toxicity.code_points(text)
+    whole = np.unique(toxicity.gram_slots(points))
+    raw = np.frombuffer(text.encode(), np.uint8)
+    starts, ends, _ = words.word_spans(raw, np.array([0, len(raw)]))
+    hashes = words.span_hashes(raw, starts, ends, fold=True)
+    monkeypatch.setattr(toxicity, "BLOCK_POINTS", 100)
+    monkeypatch.setattr(words, "_KEPT", 64)
+    assert toxicity.distinct_slots(points, toxicity.SIZES, toxicity.BITS).tolist() == whole.tolist()
+    assert words.span_hashes(raw, starts, ends, fold=True).tolist() == hashes.tolist()
+    assert len(set(hashes.tolist())) == len({raw[a:b].tobytes().lower() for a, b in zip(starts, ends, strict=True)})
+    assert toxicity.distinct_slots(points[:0], toxicity.SIZES, toxicity.BITS).tolist() == []

@@ -28,6 +28,8 @@ BITS = 20
 TRAIN_ROWS = 12_000
 #: Features kept: those whose shares differ by so many standard errors. Others are noise of the sample.
 LEAST_DEVIATION = 5.0
+#: Characters of a text that are taken together.
+BLOCK_POINTS = 1 << 17
 #: Tasks that count the sample; each sends one row per slot it has seen.
 COUNT_TASKS = 8
 SMOOTHING = 1.0
@@ -85,10 +87,21 @@ class ToxicityModel:
         return float(1.0 / (1.0 + np.exp(-np.clip(total, -30, 30))))
 
 
+def distinct_slots(points: np.ndarray, sizes: Sequence[int], bits: int, places: np.ndarray | None = None) -> np.ndarray:
+    """The distinct slots of a text, or with ``places`` the places of those that have one. A long text is taken in blocks that share their borders."""
+    found = []
+    for begin in range(0, max(len(points), 1), BLOCK_POINTS):
+        met = gram_slots(points[begin : begin + BLOCK_POINTS + max(sizes) - 1], sizes, bits)
+        if places is not None:
+            met = places[met]
+            met = met[met >= 0]
+        found.append(np.unique(met))
+    return found[0] if len(found) == 1 else np.unique(np.concatenate(found))
+
+
 def kept_features(points: np.ndarray, places: np.ndarray, sizes: Sequence[int], bits: int) -> np.ndarray:
     """Places of the kept features that a text has."""
-    met = places[gram_slots(points, sizes, bits)]
-    return np.unique(met[met >= 0])
+    return distinct_slots(points, sizes, bits, places)
 
 
 def _each_text(batches):
@@ -107,7 +120,7 @@ def _count_slots(train: DataFrame, sizes: Sequence[int], bits: int) -> DataFrame
 
         counts = np.zeros((2, 1 << bits), np.int32)
         for label, points in _each_text(batches):
-            counts[label, np.unique(gram_slots(points, sizes, bits))] += 1
+            counts[label, distinct_slots(points, sizes, bits)] += 1
         slots = np.flatnonzero(counts.any(axis=0))
         yield pa.RecordBatch.from_arrays([pa.array(slots.astype(np.int32)), pa.array(counts[0, slots]), pa.array(counts[1, slots])], ["slot", "other", "toxic"])
 

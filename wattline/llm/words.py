@@ -42,7 +42,7 @@ def word_spans(raw: np.ndarray, borders: np.ndarray) -> tuple[np.ndarray, np.nda
 
 
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
-# Powers that a task keeps; those of longer texts are made for the occasion.
+# Bytes that are hashed together, and so powers that a task keeps; only a longer word has more made for the occasion.
 _KEPT = 1 << 19
 _tables: dict[int, np.ndarray] = {}
 
@@ -59,14 +59,21 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
 
 
 def span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: bool = False) -> np.ndarray:
-    """Hash of the bytes of each span; with ``fold`` A-Z count as a-z."""
-    if not len(starts):
-        return np.empty(0, np.uint64)
-    total = np.empty(len(raw) + 1, np.uint64)
-    total[0] = 0
-    np.cumsum((_FOLDED if fold else _BYTE)[raw] * _powers(_BASE, len(raw))[: len(raw)], out=total[1:])
-    # each span is moved to place 0, by the inverse of the power it starts with
-    return mix((total[ends] - total[starts]) * _powers(_INVERSE, len(raw))[starts])
+    """Hash of the bytes of each span; with ``fold`` A-Z count as a-z. Spans ascend; they are hashed in blocks, so memory does not grow with a text."""
+    out = np.empty(len(starts), np.uint64)
+    begin = 0
+    while begin < len(starts):
+        end = max(begin + 1, int(np.searchsorted(ends, starts[begin] + _KEPT, "right")))
+        first = int(starts[begin])
+        part = raw[first : int(ends[end - 1])]
+        total = np.empty(len(part) + 1, np.uint64)
+        total[0] = 0
+        np.cumsum((_FOLDED if fold else _BYTE)[part] * _powers(_BASE, len(part))[: len(part)], out=total[1:])
+        # each span is moved to place 0, by the inverse of the power it starts with
+        at = starts[begin:end] - first
+        out[begin:end] = mix((total[ends[begin:end] - first] - total[at]) * _powers(_INVERSE, len(part))[at])
+        begin = end
+    return out
 
 
 def gram_hashes(words: np.ndarray, n: int) -> np.ndarray:
