@@ -36,8 +36,8 @@ PERCENT = 75
 COMMON = 1000
 #: Most common n-grams that are sent to all tasks (8 bytes each), the most frequent first. Others are counted like all.
 MOST_COMMON = 1_000_000
-#: Entries of the incidence matrix that a block has on average, and that a task gathers before it deals them to blocks.
-BLOCK_ENTRIES, ENTRIES_AT_ONCE = 1 << 20, 1 << 20
+#: Entries of the incidence matrix that a block has on average, and that a task gathers before it deals them to blocks; and of these at least, per block.
+BLOCK_ENTRIES, ENTRIES_AT_ONCE, ENTRIES_PER_ROW = 1 << 19, 1 << 18, 64
 #: Bytes of text that are shingled together; a longer text is taken alone.
 SHINGLE_BYTES = 512 << 10
 #: Rounds with hubs go on while at least one in so many of the pairs they compare is a link.
@@ -186,6 +186,7 @@ def _incidence(texts: DataFrame, words: int, common: np.ndarray, buckets: int) -
     common n-grams, which need no counting.
     """
     shared = texts.sparkSession.sparkContext.broadcast(common)
+    at_once = max(ENTRIES_AT_ONCE, buckets * ENTRIES_PER_ROW)
 
     def run(batches):
         known, schema = shared.value, _block_schema()
@@ -211,9 +212,10 @@ def _incidence(texts: DataFrame, words: int, common: np.ndarray, buckets: int) -
                     if len(grams):
                         held.append((node, grams))
                         size += len(grams)
-                if size >= ENTRIES_AT_ONCE:
+                if size >= at_once:
                     yield pack()
                     size = 0
+                    give_back()
         if held:
             yield pack()
 
