@@ -527,6 +527,19 @@ def test_license_passages_equal_a_restatement(spark):
         assert (r.cosine, r.share) == pytest.approx(expected[r.id][1:])
 
 
+def test_license_scores_are_computed_once(spark):
+    """A plan that repeats the terms of a passage in each place that names them took minutes for a few notices."""
+    docs = spark.createDataFrame([(i, MIT_TEXT * 3) for i in range(40)], "doc_id long, text string")
+    optimized = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    assert optimized(license_scan.scan_passages(docs)).count("regexp_extract_all") <= 4
+    files = license_scan.scan_files(docs, F.lit("a/b"), file_share=license_scan.FILE_SHARE)
+    assert optimized(files).count("regexp_extract_all") <= 4
+    assert {(r.license, r.share >= license_scan.FILE_SHARE) for r in files.collect()} == {("MIT", True)}
+    words = spark.createDataFrame([("b a b c a b".split(),), ([],)], "words array<string>")
+    counted = [r[0] and {c.term: c.n for c in r[0]} for r in words.select(license_scan._counted(F.col("words"))).collect()]
+    assert counted == [{"a": 2, "b": 3, "c": 1}, None]
+
+
 def test_license_file_speaks_for_its_directory(spark, no_docs):
     rows = [(1, "a", MIT_TEXT * 20), (2, "a", prose(1, 50)), (3, "b", prose(2, 50)), (4, "a", APACHE_HEADER + prose(3, 200)), (5, "a/x", None), (None, "a", "")]
     docs = spark.createDataFrame(rows, "doc_id long, folder string, text string")

@@ -11,7 +11,7 @@ weight that such passages have, and not its length, makes it a license file.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from functools import reduce
 from operator import or_
 
@@ -89,7 +89,12 @@ def _template_terms(spark, templates: Mapping[str, str]) -> DataFrame:
     return rows.select("license", F.explode(terms(F.col("template"))).alias("term")).groupBy("license", "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
-def _dot(vector: str, side: Column) -> Column:
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, computed once for each row. Spark puts a column's expression in place of each mention of it that it merges or pushes down."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _dot(vector: Column, side: Column) -> Column:
     """Product of a sparse vector (array of term, w) with a map from term to number."""
     return F.aggregate(vector, F.lit(0.0), lambda a, x: a + x["w"] * F.coalesce(F.element_at(side, x["term"]), F.lit(0.0)))
 
@@ -98,7 +103,7 @@ def _literal(numbers: Mapping[str, float]) -> Column:
     return F.create_map(*[x for t, v in sorted(numbers.items()) for x in (F.lit(t), F.lit(float(v)))])
 
 
-def _shared_part(distinct: str, side: Mapping[str, float]) -> Column:
+def _shared_part(distinct: Column, side: Mapping[str, float]) -> Column:
     """Squared length of the part of a unit vector that lies in the terms of ``distinct``."""
     squares = _literal({t: v * v for t, v in side.items()})
     return F.aggregate(F.array_intersect(distinct, F.array(*[F.lit(t) for t in side])), F.lit(0.0), lambda a, t: a + F.element_at(squares, t))
@@ -134,8 +139,11 @@ def scan_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", templat
     that comes first by name. Null and empty texts have no line; repeated rows are found once for each row; null keys stay.
     """
     space = _Space(docs, text, list(templates.items()))
-    found = _candidates(passages(docs, F.col(key), F.col(text), space.starts(least)), space, least)
-    return _best(_scored(found, space)).where(F.col("best.cosine") >= least).select("id", "line", "best.license", "best.cosine")
+    found = passages(docs, F.col(key), F.col(text), space.starts(least))
+    best = _let(terms(F.col("passage")), lambda words: F.when(_may_reach(words, space, least), _best(_scores(words, space))))
+    best = found.select("id", "line", best.alias("best"))
+    # written, so that no condition on the result is worked out by scoring again
+    return materialize(best, "license-lines").where(F.col("best.cosine") >= least).select("id", "line", "best.license", "best.cosine")
 
 
 class _Space:
@@ -165,41 +173,58 @@ class _Space:
                 self.sides.append((names[place], {t: v / length for t, v in sorted(own.items())}))
 
     def starts(self, least: float) -> str:
-        """Pattern of the terms of which a passage needs one. Terms are ASCII, so its borders are those of a term."""
-        needed = needed_terms({str(k): side for k, (_, side) in enumerate(self.sides)}, least)
-        return rf"(?<![a-z0-9])(?:{'|'.join(needed)})(?![a-z0-9])" if least > 0 else TERM
+        """Pattern of the terms of which a passage needs one. Terms are ASCII, so its borders are those of a term.
+
+        Few places of a text have a border before them, and at these a first letter leaves few terms to try.
+        """
+        needed: dict[str, list[str]] = {}
+        for term in needed_terms({str(k): side for k, (_, side) in enumerate(self.sides)}, least):
+            needed.setdefault(term[0], []).append(term[1:])
+        tried = "|".join(f"{first}(?:{'|'.join(rest)})" for first, rest in needed.items())
+        return rf"(?:[^a-z0-9]|^)(?:{tried})(?![a-z0-9])" if least > 0 else TERM
 
     def weight(self, term: Column) -> Column:
         return F.coalesce(F.element_at(_literal(self.idf), term), F.lit(float(self.most)))
 
 
-def _candidates(found: DataFrame, space: _Space, least: float) -> DataFrame:
-    """Passages that may reach ``least``, with their ``words``."""
-    found = found.withColumn("words", terms(F.col("passage"))).where(F.size("words") > 0).withColumn("distinct_words", F.array_distinct("words"))
-    shared = [_shared_part("distinct_words", side) for _, side in space.sides]
-    return found.where(reduce(or_, [x >= least * abs(least) - _SLACK for x in shared], F.lit(False)))
+def _may_reach(words: Column, space: _Space, least: float) -> Column:
+    """Whether the terms that a passage shares with some template are heavy enough for ``least``."""
 
+    def any_of(distinct: Column) -> Column:
+        return reduce(or_, [_shared_part(distinct, side) >= least * abs(least) - _SLACK for _, side in space.sides], F.lit(False))
 
-def _scored(found: DataFrame, space: _Space) -> DataFrame:
-    """Add ``scores``: cosine, license and cover (the length of a template's vector in the terms that it shares with the passage) for every template."""
-    vectors = found.withColumn(
-        "vector",
-        F.transform(
-            "distinct_words",
-            lambda t: F.struct(t.alias("term"), (F.size(F.filter("words", lambda w: w == t)) * space.weight(t)).alias("w")),
-        ),
-    )
-    norm = lambda v: F.sqrt(F.aggregate(v, F.lit(0.0), lambda a, x: a + x["w"] * x["w"]))
-    scores = [
-        F.struct((_dot("vector", _literal(side)) / F.col("norm")).alias("cosine"), F.lit(name).alias("license"), F.sqrt(_shared_part("distinct_words", side)).alias("cover"))
-        for name, side in space.sides
-    ]
-    return vectors.withColumn("norm", norm("vector")).withColumn("scores", F.array(*scores))
+    return _let(F.array_distinct(words), lambda distinct: (F.size(distinct) > 0) & any_of(distinct))
+
+
+def _counted(words: Column) -> Column:
+    """Each distinct word (``term``) and how often it stands in ``words`` (``n``), in time that grows with the words as sorting does."""
+
+    def runs(ordered: Column) -> Column:
+        places = F.sequence(F.lit(0), F.size(ordered) - 1)
+        first = F.filter(places, lambda k: (k == 0) | (F.get(ordered, k) != F.get(ordered, k - 1)))
+        return _let(first, lambda at: F.transform(at, lambda k, i: F.struct(F.get(ordered, k).alias("term"), (F.coalesce(F.get(at, i + 1), F.size(ordered)) - k).alias("n"))))
+
+    return F.when(F.size(words) > 0, _let(F.sort_array(words), runs))
+
+
+def _scores(words: Column, space: _Space) -> Column:
+    """Cosine, license and cover (the length of a template's vector in the terms that it shares with the passage) for every template."""
+
+    def against(vector: Column, distinct: Column, norm: Column) -> Column:
+        return F.array(
+            *[F.struct((_dot(vector, _literal(side)) / norm).alias("cosine"), F.lit(name).alias("license"), F.sqrt(_shared_part(distinct, side)).alias("cover")) for name, side in space.sides]
+        )
 
+    def from_vector(vector: Column) -> Column:
+        norm = F.sqrt(F.aggregate(vector, F.lit(0.0), lambda a, x: a + x["w"] * x["w"]))
+        return _let(norm, lambda length: _let(F.transform(vector, lambda x: x["term"]), lambda distinct: against(vector, distinct, length)))
 
-def _best(scored: DataFrame) -> DataFrame:
-    """Add ``best``: of the scores the highest cosine, the first by name in ties."""
-    return scored.withColumn("best", F.aggregate("scores", F.col("scores")[0], lambda a, x: F.when(x["cosine"] > a["cosine"], x).otherwise(a)))
+    return _let(F.transform(_counted(words), lambda c: F.struct(c["term"].alias("term"), (c["n"] * space.weight(c["term"])).alias("w"))), from_vector)
+
+
+def _best(scores: Column) -> Column:
+    """Of the scores the highest cosine, the first by name in ties; null if there is none."""
+    return _let(scores, lambda all_of: F.aggregate(all_of, F.get(all_of, F.lit(0)), lambda a, x: F.when(x["cosine"] > a["cosine"], x).otherwise(a)))
 
 
 def scan_passages(
@@ -216,28 +241,41 @@ def scan_passages(
     space = _Space(docs, text, list(templates))
     starts = rf"{space.starts(least)}|spdx-license-identifier"
     content = F.col(text)
-    rows = docs.where(F.lower(content).rlike(starts)).select(F.col(key).alias("id"), F.xxhash64(content).alias("row_hash"), content.alias("body")).dropDuplicates(["id", "row_hash"])
-    lines, wrapped = F.split("body", r"\r\n|\r|\n"), F.filter(F.split("body", _BLANK_LINES), lambda p: F.trim(p, F.lit("\r\n")).rlike(r"\r|\n"))
-    several = rows.select("id", "row_hash", F.posexplode(F.concat(lines, wrapped)).alias("line", "passage")).where(F.lower("passage").rlike(starts))
-    tagged = F.regexp_extract("passage", SPDX_TAG, 1)
+    rows = docs.where(F.lower(content).rlike(starts)).select(F.col(key).alias("id"), F.xxhash64(content).alias("row_hash"), content.alias("body"))
     known = F.create_map(*[x for n in SPDX_NAMES for x in (F.lit(n.lower()), F.lit(n))])
-    # a tag stands for its line, not for the paragraph around it
-    tags = several.where(F.lower("passage").contains("spdx-license-identifier") & ~F.col("passage").rlike(r"\r|\n")).select(
-        "id", "row_hash", F.element_at(known, F.lower(tagged)).alias("license"), F.lit(1.0).alias("cosine"), terms(F.col("passage")).alias("words")
-    )
-    scored = _scored(_candidates(several, space, least), space)
     counts = lambda x: (x["cosine"] >= least) | ((x["cosine"] >= covered) & (x["cover"] >= cover))
-    fitting = _best(scored.withColumn("scores", F.filter("scores", counts)).where(F.size("scores") > 0))
-    hits = fitting.select("id", "row_hash", "best.license", "best.cosine", "words").unionByName(tags.where("license is not null"))
-    found = hits.groupBy("id", "row_hash").agg(
-        F.min(F.struct((-F.col("cosine")).alias("order"), "license", "cosine")).alias("best"), F.array_distinct(F.flatten(F.collect_list("words"))).alias("words")
-    )
     total = lambda words: F.aggregate(words, F.lit(0.0), lambda a, t: a + space.weight(t))
-    # a license passage has more of its words elsewhere in the text only by accident: every word counts as often as it stands there
-    whole = rows.select(F.col("id").alias("of_id"), F.col("row_hash").alias("of_hash"), terms(F.col("body")).alias("all_words"))
-    met = found.join(whole, F.col("id").eqNullSafe(F.col("of_id")) & (F.col("row_hash") == F.col("of_hash")))
-    inside = F.filter("all_words", lambda t: F.array_contains("words", t))
-    return met.select("id", "row_hash", "best.license", "best.cosine", (total(inside) / total(F.col("all_words"))).alias("share"))
+
+    def cut(body: Column) -> Column:
+        wrapped = F.filter(F.split(body, _BLANK_LINES), lambda p: F.trim(p, F.lit("\r\n")).rlike(r"\r|\n"))
+        return F.filter(F.concat(F.split(body, r"\r\n|\r|\n"), wrapped), lambda p: F.lower(p).rlike(starts))
+
+    def tag(passage: Column) -> Column:
+        # a tag stands for its line, not for the paragraph around it
+        here = F.lower(passage).contains("spdx-license-identifier") & ~passage.rlike(r"\r|\n")
+        return F.when(here, F.element_at(known, F.lower(F.regexp_extract(passage, SPDX_TAG, 1))))
+
+    def hits_of(passage: Column) -> Column:
+        hit = lambda cosine, license, words: F.when(license.isNotNull(), F.struct(cosine.alias("cosine"), license.alias("license"), words.alias("words")))
+
+        def both(words: Column) -> Column:
+            best = F.when(_may_reach(words, space, least), _best(F.filter(_scores(words, space), counts)))
+            return F.array(_let(best, lambda b: hit(b["cosine"], b["license"], words)), _let(tag(passage), lambda name: hit(F.lit(1.0), name, words)))
+
+        return _let(terms(passage), both)
+
+    def judged(hits: Column, body: Column) -> Column:
+        best = F.array_min(F.transform(hits, lambda h: F.struct((-h["cosine"]).alias("order"), h["license"].alias("license"), h["cosine"].alias("cosine"))))
+        met = F.array_distinct(F.flatten(F.transform(hits, lambda h: h["words"])))
+        # a license passage has more of its words elsewhere in the text only by accident: every word counts as often as it stands there
+        inside = lambda words: _let(met, lambda m: F.filter(words, lambda t: F.array_contains(m, t)))
+        share = _let(terms(body), lambda words: total(inside(words)) / total(words))
+        return F.when(F.size(hits) > 0, _let(best, lambda b: F.struct(b["license"].alias("license"), b["cosine"].alias("cosine"), share.alias("share"))))
+
+    hits = F.array_compact(F.flatten(F.transform(cut(F.col("body")), hits_of)))
+    # written, so that no condition on the result is worked out by scoring again
+    found = materialize(rows.select("id", "row_hash", _let(hits, lambda h: judged(h, F.col("body"))).alias("found")), "license-hits")
+    return found.where("found is not null").select("id", "row_hash", "found.license", "found.cosine", "found.share").dropDuplicates(["id", "row_hash"])
 
 
 def ancestors(path: Column) -> Column:
@@ -290,4 +328,5 @@ def scan_files(
     if file_share is not None:
         speaks = F.regexp_replace("path", r"^((?:.*/)?)([^/]*)$", "$1LICENSE.$2")
         own = own.withColumn("path", F.when(F.col("share") >= file_share, speaks).otherwise(F.col("path")))
-    return inherit(own)
+    # inheritance reads the files three times
+    return inherit(materialize(own, "license-files"))
