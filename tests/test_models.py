@@ -2,6 +2,7 @@ import math
 import random
 
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from helpers import at
@@ -77,6 +78,27 @@ def test_classifier_returns_classes_and_refuses_a_continuous_target(spark, table
         fit(definition, table, FEATURES)
 
 
+def test_classifier_is_grown_from_cells(spark, monkeypatch, tmp_path):
+    """However many rows, training sees one number per cell, class and tree; beyond a bound Spark's own forest takes over."""
+    rows = spark.range(9000).select(
+        (F.col("id") % 24).alias("hour_of_day"), (F.col("id") % 7).alias("day_of_week"), F.when(F.col("id") % 24 < 8, "night").when(F.col("id") % 7 < 5, "work").otherwise("home").alias("kind")
+    )
+    definition = ModelDefinition("c", "random_forest_classifier", {"n_estimators": 20, "max_depth": 12})
+    features = ["hour_of_day", "day_of_week"]
+    model = fit(definition, rows, features, "kind")
+    assert not isinstance(model, PipelineModel)
+    assert sum(model.trees[0].rows[k] for k in range(len(model.trees[0].rows)) if model.trees[0].feature[k] < 0) == pytest.approx(9000, rel=0.1)
+    assert predict(model, rows, ["kind"]).where("kind <> prediction").isEmpty()
+    loaded = load_model(save_model(model, str(tmp_path), "c", "run1"))
+    assert predict(loaded, rows, ["kind"]).where("kind <> prediction").isEmpty()
+    assert fit(definition, rows, features, "kind").to_json() == model.to_json()
+    for broken in (rows.withColumn("kind", F.lit(None).cast("string")), rows.withColumn("day_of_week", F.lit(None).cast("int")), rows.limit(0)):
+        with pytest.raises(TrainingError):
+            fit(definition, broken, features, "kind")
+    monkeypatch.setattr("wattline.operators.models.MOST_BAGGED", 100)
+    assert isinstance(fit(definition, rows.limit(500), features, "kind"), PipelineModel)
+
+
 def test_save_and_load(table, tmp_path):
     model = fit(ModelDefinition("m", "random_forest_regressor", {"n_estimators": 3, "max_depth": 3}), table, FEATURES)
     loaded = load_model(save_model(model, str(tmp_path), "m", "run1"))

@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from wattline.errors import OptionError, TrainingError
 from wattline.operators.boosting import EnsembleModel, Growth, fit_boosted, fit_forest
+from wattline.operators.class_forest import ClassForest, fit_class_forest, split_features
 from wattline.operators.linear import Gram, LinearNet, gram, solve
 
 # Spark's trees are at most this deep.
@@ -262,9 +263,17 @@ def _forest_fit(params, train, features, target):
     )
 
 
+def _class_forest_fit(params, train, features, target):
+    options = _forest_options("random_forest_classifier", params, "sqrt")
+    _check_classes(train, target)
+    trees = options["numTrees"]
+    growth = Growth(max_depth=options["maxDepth"], min_rows=float(options["minInstancesPerNode"]), features_per_split=split_features(options["featureSubsetStrategy"], len(features), trees))
+    return fit_class_forest(train, features, target, growth, trees, options["maxBins"], options["bootstrap"], options["seed"], MOST_BAGGED)
+
+
 #: Kinds that are fitted on cells: (parameters, table, features, target) to a model, or None if the cells are too many.
-CELL_FITS: dict[str, Callable[..., EnsembleModel | None]] = {
-    "random_forest_regressor": _forest_fit, "gradient_boosting": _gbm_fit, "xgboost": _xgb_fit, "lightgbm": _lgbm_fit,
+CELL_FITS: dict[str, Callable[..., EnsembleModel | ClassForest | None]] = {
+    "random_forest_regressor": _forest_fit, "random_forest_classifier": _class_forest_fit, "gradient_boosting": _gbm_fit, "xgboost": _xgb_fit, "lightgbm": _lgbm_fit,
 }
 
 
@@ -283,8 +292,8 @@ def _check_classes(df: DataFrame, target: str) -> None:
 
 _NET = {"alpha", "l1_ratio", "max_iter", "tol", "fit_intercept", "random_state"}
 #: Models of this library, which keep themselves as text.
-OWN_MODELS = {m.FORMAT: m for m in (EnsembleModel, LinearNet)}
-Model = PipelineModel | EnsembleModel | LinearNet
+OWN_MODELS = {m.FORMAT: m for m in (EnsembleModel, ClassForest, LinearNet)}
+Model = PipelineModel | EnsembleModel | ClassForest | LinearNet
 
 
 def fit_net(params: Mapping[str, Any], sums: Gram) -> LinearNet:
@@ -301,8 +310,8 @@ def fit(
     """A fitted model. It scores a table that holds the feature columns.
 
     Tree kinds are fitted on cells (see ``cells.py``), elastic nets on a Gram matrix (``sums``, if it is known already). Spark's own estimators
-    take tree kinds whose rows are sampled (``subsample`` below 1), bootstrapped forests over more than ``MOST_BAGGED`` cells times trees,
-    classifiers, and nets without intercept.
+    take tree kinds whose rows are sampled (``subsample`` below 1), bootstrapped forests over more than ``MOST_BAGGED`` cells times trees (for
+    classifiers times classes, bootstrapped or not), and nets without intercept.
     """
     if definition.kind in CELL_FITS and _whole_rows(definition.params):
         model = CELL_FITS[definition.kind](definition.params, train, features, target)
