@@ -567,3 +567,25 @@ def test_long_texts_are_taken_in_blocks(monkeypatch):
     assert words.span_hashes(raw, starts, ends, fold=True).tolist() == hashes.tolist()
     assert len(set(hashes.tolist())) == len({raw[a:b].tobytes().lower() for a, b in zip(starts, ends, strict=True)})
     assert toxicity.distinct_slots(points[:0], toxicity.SIZES, toxicity.BITS).tolist() == []
+
+
+def test_encoder_keeps_decoded_bytes_only_where_they_differ(spark):
+    import json
+
+    from wattline.llm.batches import BATCH_BYTES, BATCH_SETTING, bound_batches
+
+    symbols = {c: i for i, c in enumerate(bpe.byte_symbols())}
+    file = {"model": {"vocab": symbols | {"ab": 256, "abc": 257}, "merges": ["a b", "ab c"]}, "added_tokens": [{"content": "<end>", "id": 300}]}
+    encoder = bpe.Encoder(bpe.Vocabulary(json.dumps(file)))
+    texts = ["abc cab \u00e9\u6f22 abcabc", "x<end>abc<end>", "", " \n"]
+    assert [back for _, back in encoder.written_and_decoded(texts)] == texts
+    # a second copy of every piece is what made the pipeline's last stage too large
+    assert encoder.bytes == {}
+    encoder = bpe.Encoder(bpe.Vocabulary(json.dumps(file)))
+    encoder.vocabulary.bytes_of[257] = b"\xffz"
+    got = list(encoder.written_and_decoded(texts))
+    assert [back for _, back in got] == [t.replace("abc", "\ufffdz") for t in texts]
+    assert [back for _, back in got] == [encoder.decode([int(i) for i in ids.split(",")] if ids else []) for ids, _ in got]
+    assert BATCH_BYTES <= 4 << 20
+    bound_batches(spark)
+    assert spark.conf.get(BATCH_SETTING)

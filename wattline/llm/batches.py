@@ -13,7 +13,7 @@ from pyspark.sql import SparkSession
 # Bytes of text that a task holds in expanded form at a time; one longer text is a piece of its own.
 PIECE_BYTES = 2 << 20
 # Bytes of one Arrow batch between Spark and a Python task, unless the session says otherwise.
-BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 16 << 20
+BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
 
 
 def bound_batches(spark: SparkSession) -> None:

@@ -17,15 +17,15 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattline.llm.batches import pieces
+from wattline.llm.batches import give_back, pieces
 
 #: Splits a text into pieces before merging; a fixed value of the byte-level vocabularies.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Known pieces of a task; the memory of the table is bounded by both.
-CACHE_PIECES = 200_000
-CACHE_CHARS = 12 << 20
+CACHE_PIECES = 100_000
+CACHE_CHARS = 6 << 20
 #: Bytes of text whose new pieces are merged together; the more, the fewer times each rank is taken.
-TEXT_BYTES = 2 << 20
+TEXT_BYTES = 1 << 20
 
 
 def byte_symbols() -> dict[str, int]:
@@ -65,7 +65,7 @@ class Vocabulary:
 
     def ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of each pair, or -1."""
-        key = left * self.width + right
+        key = left.astype(np.int64) * self.width + right
         at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
         return np.where((self.pairs[at] == key) & (left >= 0) & (right >= 0), self.rank_of[at], -1)
 
@@ -81,12 +81,12 @@ def merge_pieces(texts: list[bytes], vocabulary: Vocabulary) -> list[list[int]]:
     lengths = np.array([len(t) for t in texts], np.int64)
     starts = np.cumsum(lengths + 1) - lengths
     size = int(lengths.sum()) + len(texts) + 1
-    symbols = np.full(size, -1, np.int64)
+    symbols = np.full(size, -1, np.int32)
     inner = np.ones(size, bool)
     inner[0] = False
     inner[starts + lengths] = False
-    symbols[inner] = np.array(vocabulary.byte_id, np.int64)[np.frombuffer(b"".join(texts), np.uint8)]
-    after, before = np.arange(1, size + 1), np.arange(-1, size - 1)
+    symbols[inner] = np.array(vocabulary.byte_id, np.int32)[np.frombuffer(b"".join(texts), np.uint8)]
+    after, before = np.arange(1, size + 1, dtype=np.int32), np.arange(-1, size - 1, dtype=np.int32)
     where: dict[int, list[np.ndarray]] = {}
     active: list[int] = []
 
@@ -154,7 +154,8 @@ class Encoder:
     def _forget(self) -> None:
         # an added token is known by a tuple, which no piece of a text equals
         self.written: dict = {(t,): str(i) for t, i in self.vocabulary.added.items()}
-        self.bytes: dict = {(t,): t.encode() for t in self.vocabulary.added}
+        #: Decoded bytes of the pieces, where they are not the piece itself.
+        self.bytes: dict = {}
         self.chars = 0
 
     def split(self, texts: list[str]) -> list[list]:
@@ -174,7 +175,9 @@ class Encoder:
         self.chars += sum(map(len, new))
         for piece, ids in zip(new, merge_pieces([p.encode() for p in new], self.vocabulary), strict=True):
             self.written[piece] = ",".join(map(self.digits.__getitem__, ids))
-            self.bytes[piece] = self.decode_bytes(ids)
+            raw = self.decode_bytes(ids)
+            if raw != piece.encode():
+                self.bytes[piece] = raw
         return out
 
     def encode(self, texts: list[str]) -> Iterator[list[int]]:
@@ -192,8 +195,12 @@ class Encoder:
     def written_and_decoded(self, texts: list[str]) -> Iterator[tuple[str, str]]:
         """Ids joined by commas, and the text decoded from them. Pieces are written and decoded once while they are known."""
         for parts in self.split(texts):
-            raw = b"".join(map(self.bytes.__getitem__, parts))
-            yield ",".join(map(self.written.__getitem__, parts)), raw.decode("utf-8", "replace")
+            written = ",".join(map(self.written.__getitem__, parts))
+            if self.bytes:
+                raw = b"".join([self.bytes[p] if p in self.bytes else (p[0] if type(p) is tuple else p).encode() for p in parts])
+                yield written, raw.decode("utf-8", "replace")
+            else:
+                yield written, "".join([p[0] if type(p) is tuple else p for p in parts] if self.added is not None else parts)
 
 
 def read_vocabulary(spark, path: str) -> str:
@@ -233,6 +240,9 @@ def encode_texts(docs: DataFrame, vocabulary_path: str, text: str = "text", key:
                      pa.array(backs, pa.string()), pa.array(decoded_sums, pa.string())],
                     ["key", "n_tokens", "ids", "ids_sha256", "decoded", "decoded_sha256"],
                 )
+        # the worker lives on
+        del encoder
+        give_back()
 
     schema = f"key {kind.simpleString()}, n_tokens long, ids array<int>, ids_sha256 string, decoded string, decoded_sha256 string"
     narrow = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
