@@ -209,3 +209,28 @@ def test_blocks_keep_their_entries():
         assert ((back ^ np.frombuffer(g, np.uint64)) & np.uint64((1 << 48) - 1) == 0).all() and (back >> np.uint64(48) == k).all()
         found |= set(zip(np.frombuffer(g, np.uint64).tolist(), again.tolist(), strict=True))
     assert found == set(zip(grams.tolist(), nodes.tolist(), strict=True))
+
+
+def test_jaccard_pairs_deal_their_rows_once(spark, monkeypatch):
+    """Both sides of the join that makes the last pairs are one shuffle."""
+    shared = prose(1, 80)
+    docs = spark.createDataFrame([(i, f"{shared} {prose(i + 100, 20)}") for i in range(30)], "doc_id long, text string")
+    plans, write = [], jaccard_join.materialize
+
+    def watched(df, label, *more):
+        if label == "pairs":
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df, label, *more)
+
+    monkeypatch.setattr(jaccard_join, "materialize", watched)
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        found = jaccard_join.jaccard_components(docs).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert {r.doc_id: r.component_id for r in found} == {i: i for i in range(30)}
+    assert "array_intersect" in plans[-1] and "ReusedExchange" in plans[-1]

@@ -392,11 +392,14 @@ def link_classes(entries: DataFrame, sets: DataFrame, percent: int) -> DataFrame
         if last:
             # a pair is made once, by the first entry that both have, and only if all entries that both have reach far enough
             own = now.select("gram", "node", "n", "comp").join(sets.select("node", _short_prefix().alias("own")), "node")
-            other = own.select(F.col("gram").alias("gram_b"), F.col("node").alias("b"), F.col("n").alias("m"), F.col("comp").alias("comp_b"), F.col("own").alias("their"))
-            both = F.array_intersect("own", "their")
-            made_here = both.isNull() | ((F.get(both, F.lit(0)) == F.col("gram")) & _reaches(F.size(both), "n", "m", percent))
-            apart = (F.col("node") < F.col("b")) & (F.col("comp") != F.col("comp_b")) & _fits("n", "m", percent)
-            pairs = own.join(other, (F.col("gram") == F.col("gram_b")) & apart & made_here)
+            # both sides are the same rows under the same names, so that Spark deals them out once
+            left, right = own.alias("left"), own.alias("right")
+            both = F.array_intersect("left.own", "right.own")
+            made_here = both.isNull() | ((F.get(both, F.lit(0)) == F.col("left.gram")) & _reaches(F.size(both), "left.n", "right.n", percent))
+            apart = (F.col("left.node") < F.col("right.node")) & (F.col("left.comp") != F.col("right.comp")) & _fits("left.n", "right.n", percent)
+            pairs = left.join(right, (F.col("left.gram") == F.col("right.gram")) & apart & made_here)
+            pairs = pairs.select(F.col("left.node").alias("node"), F.col("right.node").alias("b"), F.col("left.n").alias("n"), F.col("right.n").alias("m"), both.alias("both"))
+            both = F.col("both")
             pairs = pairs.withColumn("entries", F.when(both.isNull(), 1).otherwise(F.size(both)))
         else:
             pairs = pairs.where((F.col("comp") != F.col("comp_b")) & _fits("n", "m", percent)).withColumn("entries", F.lit(1))
