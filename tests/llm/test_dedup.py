@@ -233,4 +233,5 @@ def test_jaccard_pairs_deal_their_rows_once(spark, monkeypatch):
         for k, v in before.items():
             spark.conf.set(k, v)
     assert {r.doc_id: r.component_id for r in found} == {i: i for i in range(30)}
-    assert "array_intersect" in plans[-1] and "ReusedExchange" in plans[-1]
+    # other parts of the plan are used again too: it is the rows with their entries that count
+    assert "array_intersect" in plans[-1] and any("ReusedExchange" in line and "own#" in line and "gram#" in line for line in plans[-1].splitlines())
